@@ -1,0 +1,163 @@
+"""Composite flows: serving features, wide features, training, scoring, exploration.
+
+Each flow is one lazy plan over its inputs (role tables); Catalyst prunes columns and
+pushes filters down to the parquet scans of the roles.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.columns import (non_numeric_to_zero, popularity_log10, reorder,
+                                 threshold_filter, to_double)
+from ..operators import enrich, explore, lookup, model, terms
+from . import bindings
+
+SERVING_COLUMNS = ["artist_name", "title", "td_confidence", "artist_hotness",
+                   "song_hotness", "td_meanPrice", "has_download_record"]
+
+
+@dataclass
+class Roles:
+    """The six input tables of the flows (plus requests)."""
+    song_info: DataFrame
+    play_count: DataFrame
+    similar_artists: DataFrame
+    artist_terms: DataFrame
+    term_scores: DataFrame
+    likes: DataFrame
+    downloads: DataFrame
+    requests: DataFrame
+
+    @classmethod
+    def from_test_tables(cls, spark: SparkSession, sf_dir: str) -> "Roles":
+        b = bindings
+        return cls(b.song_info(spark, sf_dir), b.play_count(spark, sf_dir),
+                   b.similar_artists(spark, sf_dir), b.artist_terms(spark, sf_dir),
+                   b.term_scores(spark, sf_dir), b.likes(spark, sf_dir),
+                   b.downloads(spark, sf_dir), b.requests(spark, sf_dir))
+
+
+# ---- Q1 ------------------------------------------------------------------------------
+
+def serving_songs(r: Roles, top_k: int = terms.DEFAULT_TOP_K) -> DataFrame:
+    """Flow A up to the genre join: songs + plays + similar count + genre match."""
+    songs = enrich.clean_song_info_serving(r.song_info)
+    s = enrich.left_join_play_count(songs, r.play_count)
+    s = enrich.left_join_similar_count(s, enrich.similar_artist_count(r.similar_artists))
+    # Flow A ranks terms on the cleaned hotness ('NA' counted as 0).
+    genre = terms.genre_match_from_songs(r.artist_terms, songs, "artist_hotness", top_k)
+    return terms.inner_join_genre_match(s, genre)
+
+
+def serving_features(r: Roles, top_k: int = terms.DEFAULT_TOP_K) -> DataFrame:
+    """Q1: six feature columns per (song x matching download record), plus
+    ``has_download_record``."""
+    records = enrich.clean_downloads(r.downloads, require_numeric_price=True)
+    out = enrich.left_join_downloads(serving_songs(r, top_k), records)
+    return out.select(*SERVING_COLUMNS)
+
+
+# ---- Q2 ------------------------------------------------------------------------------
+
+def wide_songs(r: Roles, top_k: int = terms.DEFAULT_TOP_K) -> DataFrame:
+    """Flow B up to the genre join."""
+    songs = enrich.clean_song_info_wide(r.song_info)
+    s = enrich.left_join_play_count(songs, r.play_count)
+    s = enrich.inner_join_song_count(s, enrich.artist_song_count(songs))
+    s = enrich.left_join_weight_freq(s, enrich.artist_weight_freq(r.term_scores))
+    s = enrich.left_join_similar_count(s, enrich.similar_artist_count(r.similar_artists))
+    s = enrich.left_join_likes(s, r.likes)
+    # Flow B ranks terms on the raw hotness: non-numbers are skipped by the mean.
+    raw = r.song_info.select("artist_id", to_double("artist_hotttnesss").alias("raw_hotness"))
+    genre = terms.genre_match_from_songs(r.artist_terms, raw, "raw_hotness", top_k)
+    return terms.inner_join_genre_match(s, genre)
+
+
+def wide_features(r: Roles, top_k: int = terms.DEFAULT_TOP_K, sort: bool = False) -> DataFrame:
+    """Q2: the 17-column training table in contract order (label last).
+
+    ``sort=True`` adds the reference's global sort by artist (T2); the table is written
+    and read unordered otherwise, which saves a range shuffle.
+    """
+    records = enrich.clean_downloads(r.downloads, require_numeric_price=False)
+    j = enrich.inner_join_downloads(wide_songs(r, top_k), records)
+    j = j.withColumn("popularity", popularity_log10(
+        "artist_familiarity", "song_count", "similar_artist_count"))
+    if sort:
+        j = enrich.sort_by_artist(j)
+    return reorder(j.withColumn("year", non_numeric_to_zero("year")), model.WIDE_COLUMNS)
+
+
+# ---- Q3 ------------------------------------------------------------------------------
+
+def train_and_evaluate(wide: DataFrame, feature_indexes=model.DEFAULT_FEATURE_INDEXES,
+                       num_trees: int = 30, max_depth: int = 8, test_percent: int = 30,
+                       split_key: str = "artist_key"):
+    """Q3: artist-disjoint split, forest on the training rows, metrics per split.
+
+    ``wide`` must carry ``split_key`` (an artist key) beside the contract columns.
+    Returns (model, predictions, metrics); predictions are cached because the metrics,
+    the prediction sink and the caller all re-read them.
+    """
+    cols = model.feature_names(feature_indexes)
+    data = model.prepare(model.artist_disjoint_split(wide, split_key, test_percent), cols)
+    fitted = model.train_forest(data.where(F.col("split") == "train"), cols,
+                                num_trees=num_trees, max_depth=max_depth)
+    preds = fitted.transform(data).cache()
+    return fitted, preds, model.evaluate_splits(preds)
+
+
+def wide_features_with_artist(r: Roles, top_k: int = terms.DEFAULT_TOP_K) -> DataFrame:
+    """Q2 plus the artist key, for the artist-disjoint split of Q3."""
+    records = enrich.clean_downloads(r.downloads, require_numeric_price=False)
+    j = enrich.inner_join_downloads(wide_songs(r, top_k), records)
+    j = j.withColumn("popularity", popularity_log10(
+        "artist_familiarity", "song_count", "similar_artist_count"))
+    j = j.withColumn("year", non_numeric_to_zero("year"))
+    return j.select(*model.WIDE_COLUMNS, F.col("td_artist").alias("artist_key"))
+
+
+# ---- Q4 ------------------------------------------------------------------------------
+
+def score_requests(requests: DataFrame, features: DataFrame, fitted,
+                   means: DataFrame | None = None) -> DataFrame:
+    """Q4: requests -> feature lookup -> forest score truncated toward zero."""
+    looked = lookup.lookup_cascade(requests, features, means)
+    cols = ["td_confidence", "artist_hotness", "song_hotness", "td_meanPrice"]
+    ready = model.mark_categorical(looked, "td_confidence")
+    for c in cols[1:]:
+        ready = ready.withColumn(c, F.col(c).cast("double"))
+    return model.predict_batch(fitted, ready).drop("features")
+
+
+def scoring_training_view(wide: DataFrame) -> DataFrame:
+    """The wide table under the serving feature names, for the scoring model."""
+    return wide.select(
+        F.col("td_confidence"), F.col("artist_hotttnesss").alias("artist_hotness"),
+        F.col("song_hotttnesss").alias("song_hotness"), F.col("td_meanPrice"),
+        F.col("td_downloads"))
+
+
+# ---- Q5 ------------------------------------------------------------------------------
+
+EXPLORE_COLUMNS = [c for c in model.WIDE_COLUMNS if c != model.LABEL]
+
+
+def explore_view(wide: DataFrame) -> DataFrame:
+    """P13 then P16: rows with confidence > 1, natural-log popularity in place of the
+    log10 one (as the exploration script does)."""
+    f = threshold_filter(wide, "td_confidence", explore.CONFIDENCE_THRESHOLD)
+    return explore.with_popularity_ln(f).withColumn("popularity", F.col("popularity_ln")) \
+                  .drop("popularity_ln")
+
+
+def explore_features(wide: DataFrame) -> DataFrame:
+    """Q5: mean, median and correlation with downloads for each feature, one row each."""
+    v = explore_view(wide)
+    mm = explore.mean_median(v, EXPLORE_COLUMNS)
+    r = explore.correlation_with_label(v, EXPLORE_COLUMNS, model.LABEL)
+    return mm.join(r, "feature")
