@@ -185,5 +185,17 @@ def string_to_double(c: str | Column) -> Column:
     return to_double(c)
 
 
+def fixed_round(c: str | Column, digits: int) -> Column:
+    """Round half up to ``digits`` decimals as floor(x * 10^d + 0.5) / 10^d.
+
+    Plain IEEE operations, so every engine gives the same double; values too large for
+    the scaled floor, NaN and infinities pass through unchanged.
+    """
+    x = _col(c)
+    scale = float(10 ** digits)
+    return F.when(F.abs(x) < F.lit(1e12), F.floor(x * scale + F.lit(0.5)) / F.lit(scale)) \
+            .otherwise(x)
+
+
 def _regex_quote(s: str) -> str:
     return "".join("\\" + ch if ch in r".^$*+?{}[]\|()/" else ch for ch in s)

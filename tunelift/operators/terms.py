@@ -11,6 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import fixed_round
+
+# Means are ranked on their value rounded to this many decimals, so that means equal
+# up to floating-point summation noise count as ties (broken by term).
+RANK_DIGITS = 9
 # Largest k whose top-k table is broadcast; a top-k result never exceeds k rows.
 MAX_BROADCAST_TOP_K = 1_000_000
 DEFAULT_TOP_K = 1000
@@ -40,7 +45,8 @@ def term_mean_hotness(terms: DataFrame, songs: DataFrame, hotness_col: str) -> D
 
 def top_terms(term_hotness: DataFrame, k: int = DEFAULT_TOP_K) -> DataFrame:
     """The k terms of highest mean hotness (ties broken by term; nulls last)."""
-    return (term_hotness.orderBy(F.col("artist_hotness").desc_nulls_last(),
+    rank = fixed_round("artist_hotness", RANK_DIGITS)
+    return (term_hotness.orderBy(rank.desc_nulls_last(),
                                  F.col("artist_term").asc())
                         .limit(k))
 

@@ -25,18 +25,22 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
 
 
-def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
-    return df.select(*[F.round(F.col(f.name), digits).alias(f.name)
+def round_doubles(df: DataFrame, digits: int = 6, overrides: dict | None = None) -> DataFrame:
+    over = overrides or {}
+    return df.select(*[C.fixed_round(f.name, over.get(f.name, digits)).alias(f.name)
                        if isinstance(f.dataType, DoubleType) else F.col(f.name)
                        for f in df.schema.fields])
 
 
-def query(key: str, sql: str | None = None, round_output: bool = True):
+def query(key: str, sql: str | None = None, round_output: bool = True,
+          digits: dict | None = None):
+    """Register ``fn`` under ``key``; ``digits`` overrides the 6 decimals per column
+    (large values keep fewer decimals, as doubles hold ~15 significant digits)."""
     def deco(fn: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             apply_session_settings(spark)
             df = fn(spark, sf_dir)
-            return round_doubles(df) if round_output else df
+            return round_doubles(df, 6, digits) if round_output else df
         run.__name__ = key
         run.__doc__ = fn.__doc__
         REGISTRY[key] = (run, with_fragments(sql) if sql else None)
@@ -126,7 +130,7 @@ def _s3(spark, d):
     path = scratch_path(spark, "s3")
     _part_lines(spark, d, pad="  ").write.text(path)
     return readers.read_trimmed_rows(spark, path, PART_COLS, ";", types=PART_TYPES,
-                                     header=HEADER_LINE.replace(";", "  ;  "))
+                                     header=HEADER_LINE)
 
 
 SERVING_TYPES = {"artist_name": "string", "title": "string", "td_confidence": "int",
@@ -208,7 +212,7 @@ def _metrics_sql(by_split: bool) -> str:
         FROM li_pred {grp}"""
 
 
-METRIC_DOUBLES = ["mse", "rmse", "r2", "mae", "explained_variance"]
+METRIC_DOUBLES = {"mse": 2, "rmse": 6, "r2": 6, "mae": 6, "explained_variance": 2}
 
 
 @query("write_metrics", rounded(f"""
@@ -216,7 +220,8 @@ METRIC_DOUBLES = ["mse", "rmse", "r2", "mae", "explained_variance"]
     SELECT split, 'mse' AS metric, mse AS value FROM m UNION ALL
     SELECT split, 'rmse', rmse FROM m UNION ALL SELECT split, 'r2', r2 FROM m UNION ALL
     SELECT split, 'mae', mae FROM m UNION ALL
-    SELECT split, 'explained_variance', explained_variance FROM m""", ["value"]))
+    SELECT split, 'explained_variance', explained_variance FROM m""", {"value": 2}),
+    digits={"value": 2})
 def _k3(spark, d):
     """K3: per-split metrics as split;metric;value lines, read back."""
     path = scratch_path(spark, "k3")
@@ -741,14 +746,15 @@ def _a10(spark, d):
     return explore.correlation_with_label(v, EXPLORE_COLS, model.LABEL)
 
 
-@query("regression_metrics", rounded(_metrics_sql(False), METRIC_DOUBLES))
+@query("regression_metrics", rounded(_metrics_sql(False), METRIC_DOUBLES), digits=METRIC_DOUBLES)
 def _a11(spark, d):
     """Metrics of a fixed prediction over all of lineitem."""
     return model.regression_metrics(lineitem_predictions(spark, d))
 
 
 @query("mean_squared_error", rounded("""
-    SELECT split, avg(pow(label - prediction, 2)) AS mse FROM li_pred GROUP BY split""", ["mse"]))
+    SELECT split, avg(pow(label - prediction, 2)) AS mse FROM li_pred GROUP BY split""", {"mse": 2}),
+    digits={"mse": 2})
 def _a12(spark, d):
     return model.mean_squared_error(lineitem_predictions(spark, d), by=["split"])
 
@@ -826,7 +832,7 @@ def _m4(spark, d):
                                                     "prediction_int")
 
 
-@query("evaluate_splits", rounded(_metrics_sql(True), METRIC_DOUBLES))
+@query("evaluate_splits", rounded(_metrics_sql(True), METRIC_DOUBLES), digits=METRIC_DOUBLES)
 def _m5(spark, d):
     """M5: regression metrics per split of a fixed prediction."""
     return model.evaluate_splits(lineitem_predictions(spark, d))

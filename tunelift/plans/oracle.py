@@ -25,6 +25,12 @@ def ordinal(x: str) -> str:
     return f"CAST(coalesce(CASE {x} {arms} END, -1) AS INTEGER)"
 
 
+def fround(x: str, d: int) -> str:
+    """Same rounding as ``functions.columns.fixed_round``."""
+    sc = float(10 ** d)
+    return f"(CASE WHEN abs({x}) < 1e12 THEN floor({x} * {sc} + 0.5) / {sc} ELSE {x} END)"
+
+
 def split_bucket(x: str) -> str:
     return f"(('0x' || substr(md5(CAST({x} AS VARCHAR)), 1, 8))::BIGINT % 100)"
 
@@ -45,7 +51,7 @@ def _term_rank(suffix: str, hot: str, songs: str, k: int) -> dict[str, str]:
             GROUP BY t.artist_term""",
         f"top_{suffix}": f"""
             SELECT artist_term, artist_hotness FROM term_hot_{suffix}
-            ORDER BY artist_hotness DESC NULLS LAST, artist_term LIMIT {k}""",
+            ORDER BY {fround('artist_hotness', 9)} DESC NULLS LAST, artist_term LIMIT {k}""",
         f"genre_{suffix}": f"""
             SELECT t.artist_id,
                    CAST(count(DISTINCT CASE WHEN tp.artist_term IS NOT NULL
@@ -183,9 +189,12 @@ def with_fragments(body: str) -> str:
     return f"WITH {ctes}\n{body}"
 
 
-def rounded(body: str, doubles: list[str], digits: int = 6) -> str:
-    """``body`` with the given double columns rounded (both sides round alike)."""
+def rounded(body: str, doubles, digits: int = 6) -> str:
+    """``body`` with the given double columns rounded (both sides round alike).
+
+    ``doubles`` is a list of columns, or a dict column -> decimals."""
     if not doubles:
         return body
-    rep = ", ".join(f"round({c}, {digits}) AS {c}" for c in doubles)
+    spec = doubles if isinstance(doubles, dict) else {c: digits for c in doubles}
+    rep = ", ".join(f"{fround(c, d)} AS {c}" for c, d in spec.items())
     return f"SELECT * REPLACE ({rep}) FROM ({body}) AS _r"
