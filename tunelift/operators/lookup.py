@@ -48,17 +48,18 @@ def lookup_cascade(requests: DataFrame, features: DataFrame,
 
     ``requests`` needs ``artist`` and ``title`` (raw text) plus any id columns, which are
     carried through.  ``features`` needs cleaned ``artist_name``, ``title`` and the four
-    feature columns.  The global level is a scalar subquery over ``means``.
-    """
-    means = means if means is not None else global_means(features)
+    feature columns.  The global level is a scalar subquery over ``means`` (one row).
 
-    def renamed(keys: list[str], prefix: str) -> DataFrame:
+    Each level is its own aggregate over ``features``, so ``features`` should be a
+    stored table (see ``session.materialize``), not a long plan computed four times.
+    """
+    def level(keys: list[str], prefix: str) -> DataFrame:
         agg = group_mean_or_single(features, keys)
         return agg.select(*[F.col(c).alias(f"{prefix}{c}") for c in agg.columns])
 
-    exact = renamed(["artist_name", "title"], "e_")
-    by_artist = renamed(["artist_name"], "a_")
-    by_title = renamed(["title"], "t_")
+    exact = level(["artist_name", "title"], "e_")
+    by_artist = level(["artist_name"], "a_")
+    by_title = level(["title"], "t_")
 
     r = (requests.withColumn("_k_artist", clean_key("artist"))
                  .withColumn("_k_title", clean_key("title")))
@@ -67,7 +68,8 @@ def lookup_cascade(requests: DataFrame, features: DataFrame,
           .join(by_artist, F.col("_k_artist") == F.col("a_artist_name"), "left")
           .join(by_title, F.col("_k_title") == F.col("t_title"), "left"))
 
-    g = means.select(F.struct(
+    m = means if means is not None else global_means(features)
+    g = m.select(F.struct(
         F.lit("global").alias("match_level"),
         F.col("mean_td_confidence").alias("td_confidence"),
         F.col("mean_artist_hotness").alias("artist_hotness"),
@@ -79,6 +81,6 @@ def lookup_cascade(requests: DataFrame, features: DataFrame,
         F.when(F.col("a_n_matches").isNotNull(), _level_struct("a_", "artist")),
         F.when(F.col("t_n_matches").isNotNull(), _level_struct("t_", "title")),
         g)
-    keep = [c for c in requests.columns]
+    keep = list(requests.columns)
     return (j.select(*keep, chosen.alias("_m"))
              .select(*keep, "_m.match_level", *[F.col(f"_m.{c}").alias(c) for c in FEATURES]))

@@ -15,7 +15,7 @@ from pyspark.sql.types import DoubleType
 
 from ..functions import columns as C
 from ..operators import audit, enrich, explore, lookup, model, terms
-from ..session import apply_session_settings, scratch_path
+from ..session import apply_session_settings, materialize, scratch_path
 from ..sources import readers, writers
 from . import bindings as B
 from . import pipelines as P
@@ -640,7 +640,8 @@ LOOKUP_SQL = f"""
 def _j10(spark, d):
     """Every request resolved by the exact/artist/title/global cascade."""
     r = roles(spark, d)
-    return lookup.lookup_cascade(r.requests, P.serving_features(r))
+    features = materialize(P.serving_features(r), "features")
+    return lookup.lookup_cascade(r.requests, features)
 
 
 @query("set_intersection_size", "SELECT artist_id, genre_match_count FROM genre_a10")
@@ -906,7 +907,8 @@ def _q4(spark, d):
     wide = P.scoring_training_view(P.wide_features(r))
     cols = ["td_confidence", "artist_hotness", "song_hotness", "td_meanPrice"]
     fitted = model.train_forest(model.prepare(wide, cols), cols, num_trees=30, max_depth=8)
-    scored = P.score_requests(r.requests, P.serving_features(r), fitted)
+    features = materialize(P.serving_features(r), "features")
+    scored = P.score_requests(r.requests, features, fitted)
     return scored.select("request_id", "match_level", "prediction", "prediction_int")
 
 

@@ -62,3 +62,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder, for written intermediates."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, f"scratch-{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df, name: str):
+    """Write ``df`` as parquet under the shared checkpoint folder and read it back.
+
+    Cuts the lineage of a table that several later plans read (and survives the loss of
+    executors, unlike a local checkpoint or a cache)."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
