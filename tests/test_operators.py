@@ -150,3 +150,20 @@ def test_binned_scatter_counts_every_row(spark):
     out = explore.binned_scatter(df, ["x"], "y", bins=10)
     assert out.agg(F.sum("n")).first()[0] == 100
     assert out.agg(F.max("x_bin")).first()[0] == 9
+
+
+@pytest.mark.parametrize("n", [1001, 1000])
+def test_exact_median_selection_rounds(spark, monkeypatch, n):
+    import numpy as np
+    monkeypatch.setattr(explore, "MEDIAN_FINAL_ROWS", 10)
+    monkeypatch.setattr(explore, "MEDIAN_BUCKETS", 4)
+    rng = np.random.default_rng(7)
+    vals = rng.lognormal(0, 2, n)
+    vals[: n // 3] = 5.0                      # one hot value holds a third of the rows
+    rows = [(float(v), float(i % 5), None if i % 11 == 0 else float(v) * 2) for i, v in enumerate(vals)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    got = {r["feature"]: r["median"] for r in explore.exact_median(df, ["a", "b", "c"]).collect()}
+    assert abs(got["a"] - float(np.median(vals))) < 1e-9
+    assert got["b"] == float(np.median([i % 5 for i in range(n)]))
+    c = [float(v) * 2 for i, v in enumerate(vals) if i % 11 != 0]
+    assert abs(got["c"] - float(np.median(c))) < 1e-9

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import popularity_ln
+from ..session import materialize
 
 # Exploration keeps rows with confidence above this value.
 CONFIDENCE_THRESHOLD = 1
@@ -17,6 +18,11 @@ CONFIDENCE_THRESHOLD = 1
 KMEANS_K = 8
 # Relative error used by the approximate median (``exact=False``).
 APPROX_ACCURACY = 100_000
+# Exact median by distributed selection: histogram buckets per round, and the largest
+# candidate range that is read out value by value.
+MEDIAN_BUCKETS = 1024
+MEDIAN_FINAL_ROWS = 50_000
+MEDIAN_MAX_ROUNDS = 64
 
 
 def _long(one_row: DataFrame, cols: Sequence[str], fields: dict[str, str]) -> DataFrame:
@@ -27,19 +33,97 @@ def _long(one_row: DataFrame, cols: Sequence[str], fields: dict[str, str]) -> Da
     return one_row.select(F.explode(F.array(*structs)).alias("s")).select("s.*")
 
 
-def mean_median(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
-    """Mean and median of each column, one row per column, one aggregate job.
+def mean_median(df: DataFrame, cols: Sequence[str], method: str = "select") -> DataFrame:
+    """Mean and median of each column, one row per column.
 
-    The exact median is Spark's percentile aggregate, which combines (value, count) maps
-    map-side: its memory grows with the number of distinct values, not rows.  For
-    continuous columns on very large tables pass ``exact=False`` (percentile sketch).
+    ``method``: ``"select"`` exact, by distributed selection (bounded memory, a few
+    scans); ``"percentile"`` exact, Spark's percentile aggregate (one pass, but its
+    (value, count) map grows with the distinct values, all merged in one task);
+    ``"approx"`` a percentile sketch.
     """
-    aggs = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        med = F.median(x) if exact else F.percentile_approx(x, 0.5, APPROX_ACCURACY)
-        aggs += [F.avg(x).alias(f"mean__{c}"), med.cast("double").alias(f"median__{c}")]
-    return _long(df.agg(*aggs), cols, {"mean": "", "median": ""})
+    means = _long(df.agg(*[F.avg(F.col(c).cast("double")).alias(f"mean__{c}") for c in cols]),
+                  cols, {"mean": ""})
+    if method == "select":
+        return means.join(exact_median(df, cols), "feature")
+    med = (lambda x: F.median(x)) if method == "percentile" else \
+          (lambda x: F.percentile_approx(x, 0.5, APPROX_ACCURACY))
+    meds = _long(df.agg(*[med(F.col(c).cast("double")).cast("double").alias(f"median__{c}")
+                          for c in cols]), cols, {"median": ""})
+    return means.join(meds, "feature")
+
+
+def stack_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(feature, x) rows for the non-null values of the given columns."""
+    return (df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x"))
+        for c in cols])).alias("s")).select("s.*").where(F.col("x").isNotNull()
+                                                          & ~F.isnan("x")))
+
+
+def exact_median(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Exact median of each column by distributed selection: (feature, median).
+
+    Each round counts, for every still-open (feature, rank), how many values fall in each
+    of ``MEDIAN_BUCKETS`` buckets of its candidate range (one aggregate job; the bucket
+    table has at most 2 x columns x buckets rows), then narrows the range to the bucket
+    holding the rank.  A range of one distinct value, or of at most ``MEDIAN_FINAL_ROWS``
+    values, is read out exactly.  No step holds more than those bounds in one task or on
+    the driver, whatever the table size or skew; the input is written once to the shared
+    checkpoint folder so the rounds rescan a stored table.
+    """
+    spark = df.sparkSession
+    st = materialize(stack_columns(df, cols), "median-input")
+    counts = {r["feature"]: r["n"] for r in
+              st.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # open ranges: (feature, rank) -> [lo, hi, below]; done: (feature, rank) -> value
+    bounds = {r["feature"]: (r["lo"], r["hi"]) for r in
+              st.groupBy("feature").agg(F.min("x").alias("lo"), F.max("x").alias("hi")).collect()}
+    open_: dict[tuple[str, int], list] = {}
+    for f, n in counts.items():
+        for k in {(n - 1) // 2, n // 2}:
+            open_[(f, k)] = [bounds[f][0], bounds[f][1], 0, n]
+    done: dict[tuple[str, int], float] = {}
+    for _ in range(MEDIAN_MAX_ROUNDS):
+        for key, (lo, hi, below, size) in list(open_.items()):
+            if lo == hi:
+                done[key] = lo
+                del open_[key]
+        small = {k: v for k, v in open_.items() if v[3] <= MEDIAN_FINAL_ROWS}
+        for (f, k), (lo, hi, below, _) in small.items():
+            vals = sorted(r[0] for r in st.where((F.col("feature") == f) & (F.col("x") >= lo)
+                                                 & (F.col("x") <= hi)).select("x").collect())
+            done[(f, k)] = vals[k - below]
+            del open_[(f, k)]
+        if not open_:
+            break
+        ranges = spark.createDataFrame(
+            [(f, k, float(lo), float(hi)) for (f, k), (lo, hi, _, _) in open_.items()],
+            "feature string, rank long, lo double, hi double")
+        b = F.least(F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo"))
+                            * MEDIAN_BUCKETS), F.lit(MEDIAN_BUCKETS - 1)).cast("int")
+        hist = (st.join(F.broadcast(ranges), "feature")
+                  .where((F.col("x") >= F.col("lo")) & (F.col("x") <= F.col("hi")))
+                  .groupBy("feature", "rank", b.alias("bucket"))
+                  .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("bmin"),
+                       F.max("x").alias("bmax"))
+                  .collect())
+        per: dict[tuple[str, int], list] = {}
+        for r in hist:
+            per.setdefault((r["feature"], r["rank"]), []).append(r)
+        for key, rows in per.items():
+            lo, hi, below, _ = open_[key]
+            seen = below
+            for r in sorted(rows, key=lambda r: r["bucket"]):
+                if key[1] < seen + r["n"]:
+                    open_[key] = [r["bmin"], r["bmax"], seen, r["n"]]
+                    break
+                seen += r["n"]
+    medians = {}
+    for f, n in counts.items():
+        a, c = done[(f, (n - 1) // 2)], done[(f, n // 2)]
+        medians[f] = a + (c - a) * 0.5
+    rows = [(c, medians.get(c)) for c in cols]
+    return spark.createDataFrame(rows, "feature string, median double")
 
 
 def correlation_with_label(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
@@ -57,6 +141,21 @@ def correlation_with_label(df: DataFrame, cols: Sequence[str], label: str) -> Da
     return _long(df.agg(*aggs), cols, {"r": ""})
 
 
+def feature_summary(df: DataFrame, cols: Sequence[str], label: str,
+                    method: str = "select") -> DataFrame:
+    """A9 + A10: (feature, mean, median, r) per column; means and r in one aggregate."""
+    y = F.col(label).cast("double")
+    aggs = []
+    for c in cols:
+        x = F.col(c).cast("double")
+        aggs += [F.avg(x).alias(f"mean__{c}"),
+                 F.try_divide(F.covar_pop(x, y),
+                              F.stddev_pop(x) * F.stddev_pop(y)).alias(f"r__{c}")]
+    mr = _long(df.agg(*aggs), cols, {"mean": "", "r": ""})
+    med = mean_median(df, cols, method).select("feature", "median")
+    return mr.join(med, "feature").select("feature", "mean", "median", "r")
+
+
 def with_popularity_ln(df: DataFrame) -> DataFrame:
     """P16 on the wide table: the natural-log popularity."""
     return df.withColumn("popularity_ln", popularity_ln(

@@ -157,7 +157,4 @@ def explore_view(wide: DataFrame) -> DataFrame:
 
 def explore_features(wide: DataFrame) -> DataFrame:
     """Q5: mean, median and correlation with downloads for each feature, one row each."""
-    v = explore_view(wide)
-    mm = explore.mean_median(v, EXPLORE_COLUMNS)
-    r = explore.correlation_with_label(v, EXPLORE_COLUMNS, model.LABEL)
-    return mm.join(r, "feature")
+    return explore.feature_summary(explore_view(wide), EXPLORE_COLUMNS, model.LABEL)
