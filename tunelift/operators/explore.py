@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import popularity_ln
@@ -37,19 +37,36 @@ def mean_median(df: DataFrame, cols: Sequence[str], method: str = "select") -> D
     """Mean and median of each column, one row per column.
 
     ``method``: ``"select"`` exact, by distributed selection (bounded memory, a few
-    scans); ``"percentile"`` exact, Spark's percentile aggregate (one pass, but its
-    (value, count) map grows with the distinct values, all merged in one task);
-    ``"approx"`` a percentile sketch.
+    scans of a stored copy of the columns); ``"percentile"`` exact, Spark's percentile
+    aggregate (one pass, but its (value, count) map grows with the distinct values, all
+    merged in one task); ``"approx"`` a percentile sketch.
     """
-    means = _long(df.agg(*[F.avg(F.col(c).cast("double")).alias(f"mean__{c}") for c in cols]),
-                  cols, {"mean": ""})
+    return _summary(df, cols, None, method)
+
+
+def _summary(df: DataFrame, cols: Sequence[str], label: str | None, method: str) -> DataFrame:
     if method == "select":
-        return means.join(exact_median(df, cols), "feature")
-    med = (lambda x: F.median(x)) if method == "percentile" else \
-          (lambda x: F.percentile_approx(x, 0.5, APPROX_ACCURACY))
-    meds = _long(df.agg(*[med(F.col(c).cast("double")).cast("double").alias(f"median__{c}")
-                          for c in cols]), cols, {"median": ""})
-    return means.join(meds, "feature")
+        df = materialize(df.select(*cols, *([label] if label else [])), "summary-input")
+    aggs, fields = [], {"mean": ""}
+    y = F.col(label).cast("double") if label else None
+    for c in cols:
+        x = F.col(c).cast("double")
+        aggs.append(F.avg(x).alias(f"mean__{c}"))
+        if method != "select":
+            med = F.median(x) if method == "percentile" else \
+                F.percentile_approx(x, 0.5, APPROX_ACCURACY)
+            aggs.append(med.cast("double").alias(f"median__{c}"))
+        if label:
+            aggs.append(F.try_divide(F.covar_pop(x, y),
+                                     F.stddev_pop(x) * F.stddev_pop(y)).alias(f"r__{c}"))
+    if method != "select":
+        fields["median"] = ""
+    if label:
+        fields["r"] = ""
+    out = _long(df.agg(*aggs), cols, fields)
+    if method == "select":
+        out = out.join(exact_median(df, cols, stored=True), "feature")
+    return out.select("feature", "mean", "median", *(["r"] if label else []))
 
 
 def stack_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -60,7 +77,7 @@ def stack_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
                                                           & ~F.isnan("x")))
 
 
-def exact_median(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def exact_median(df: DataFrame, cols: Sequence[str], stored: bool = False) -> DataFrame:
     """Exact median of each column by distributed selection: (feature, median).
 
     Each round counts, for every still-open (feature, rank), how many values fall in each
@@ -68,41 +85,53 @@ def exact_median(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     table has at most 2 x columns x buckets rows), then narrows the range to the bucket
     holding the rank.  A range of one distinct value, or of at most ``MEDIAN_FINAL_ROWS``
     values, is read out exactly.  No step holds more than those bounds in one task or on
-    the driver, whatever the table size or skew; the input is written once to the shared
-    checkpoint folder so the rounds rescan a stored table.
+    the driver, whatever the table size or skew.  Unless ``stored`` says ``df`` is
+    already a stored table, its columns are written once to the shared checkpoint
+    folder, so the rounds rescan a table instead of recomputing its plan.
     """
     spark = df.sparkSession
-    st = materialize(stack_columns(df, cols), "median-input")
-    counts = {r["feature"]: r["n"] for r in
-              st.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
-    # open ranges: (feature, rank) -> [lo, hi, below]; done: (feature, rank) -> value
-    bounds = {r["feature"]: (r["lo"], r["hi"]) for r in
-              st.groupBy("feature").agg(F.min("x").alias("lo"), F.max("x").alias("hi")).collect()}
+    base = df if stored else materialize(df.select(*cols), "median-input")
+    st = stack_columns(base, cols)
+    stats = st.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"),
+                                      F.max("x").alias("hi")).collect()
+    counts = {r["feature"]: r["n"] for r in stats}
+    # open ranges: (feature, rank) -> [lo, hi, values below lo, values in range]
     open_: dict[tuple[str, int], list] = {}
-    for f, n in counts.items():
-        for k in {(n - 1) // 2, n // 2}:
-            open_[(f, k)] = [bounds[f][0], bounds[f][1], 0, n]
+    for r in stats:
+        for k in {(r["n"] - 1) // 2, r["n"] // 2}:
+            open_[(r["feature"], k)] = [r["lo"], r["hi"], 0, r["n"]]
     done: dict[tuple[str, int], float] = {}
+
+    def ranges_df(keys):
+        return spark.createDataFrame(
+            [(f, k, float(open_[(f, k)][0]), float(open_[(f, k)][1]), open_[(f, k)][2])
+             for f, k in keys], "feature string, rank long, lo double, hi double, below long")
+
+    def in_range(keys):
+        return (st.join(F.broadcast(ranges_df(keys)), "feature")
+                  .where((F.col("x") >= F.col("lo")) & (F.col("x") <= F.col("hi"))))
+
     for _ in range(MEDIAN_MAX_ROUNDS):
-        for key, (lo, hi, below, size) in list(open_.items()):
+        for key, (lo, hi, _, _) in list(open_.items()):
             if lo == hi:
                 done[key] = lo
                 del open_[key]
-        small = {k: v for k, v in open_.items() if v[3] <= MEDIAN_FINAL_ROWS}
-        for (f, k), (lo, hi, below, _) in small.items():
-            vals = sorted(r[0] for r in st.where((F.col("feature") == f) & (F.col("x") >= lo)
-                                                 & (F.col("x") <= hi)).select("x").collect())
-            done[(f, k)] = vals[k - below]
-            del open_[(f, k)]
+        small = [k for k, v in open_.items() if v[3] <= MEDIAN_FINAL_ROWS]
+        if small:
+            # every small range in one job: rank the (at most MEDIAN_FINAL_ROWS) values of
+            # each range and keep the wanted one
+            w = Window.partitionBy("feature", "rank").orderBy("x")
+            picked = (in_range(small).withColumn("_i", F.row_number().over(w) - 1)
+                      .where(F.col("_i") == F.col("rank") - F.col("below"))
+                      .select("feature", "rank", "x").collect())
+            for r in picked:
+                done[(r["feature"], r["rank"])] = r["x"]
+                del open_[(r["feature"], r["rank"])]
         if not open_:
             break
-        ranges = spark.createDataFrame(
-            [(f, k, float(lo), float(hi)) for (f, k), (lo, hi, _, _) in open_.items()],
-            "feature string, rank long, lo double, hi double")
         b = F.least(F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo"))
                             * MEDIAN_BUCKETS), F.lit(MEDIAN_BUCKETS - 1)).cast("int")
-        hist = (st.join(F.broadcast(ranges), "feature")
-                  .where((F.col("x") >= F.col("lo")) & (F.col("x") <= F.col("hi")))
+        hist = (in_range(list(open_))
                   .groupBy("feature", "rank", b.alias("bucket"))
                   .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("bmin"),
                        F.max("x").alias("bmax"))
@@ -111,8 +140,7 @@ def exact_median(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         for r in hist:
             per.setdefault((r["feature"], r["rank"]), []).append(r)
         for key, rows in per.items():
-            lo, hi, below, _ = open_[key]
-            seen = below
+            seen = open_[key][2]
             for r in sorted(rows, key=lambda r: r["bucket"]):
                 if key[1] < seen + r["n"]:
                     open_[key] = [r["bmin"], r["bmax"], seen, r["n"]]
@@ -143,17 +171,9 @@ def correlation_with_label(df: DataFrame, cols: Sequence[str], label: str) -> Da
 
 def feature_summary(df: DataFrame, cols: Sequence[str], label: str,
                     method: str = "select") -> DataFrame:
-    """A9 + A10: (feature, mean, median, r) per column; means and r in one aggregate."""
-    y = F.col(label).cast("double")
-    aggs = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        aggs += [F.avg(x).alias(f"mean__{c}"),
-                 F.try_divide(F.covar_pop(x, y),
-                              F.stddev_pop(x) * F.stddev_pop(y)).alias(f"r__{c}")]
-    mr = _long(df.agg(*aggs), cols, {"mean": "", "r": ""})
-    med = mean_median(df, cols, method).select("feature", "median")
-    return mr.join(med, "feature").select("feature", "mean", "median", "r")
+    """A9 + A10: (feature, mean, median, r) per column; means and r in one aggregate,
+    over one stored copy of the columns shared with the median selection."""
+    return _summary(df, cols, label, method)
 
 
 def with_popularity_ln(df: DataFrame) -> DataFrame:
