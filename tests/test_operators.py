@@ -167,3 +167,11 @@ def test_exact_median_selection_rounds(spark, monkeypatch, n):
     assert got["b"] == float(np.median([i % 5 for i in range(n)]))
     c = [float(v) * 2 for i, v in enumerate(vals) if i % 11 != 0]
     assert abs(got["c"] - float(np.median(c))) < 1e-9
+
+
+def test_cluster_settings_scale_with_input():
+    from tunelift.session import cluster_settings
+    small = cluster_settings(1 << 30, 8)
+    big = cluster_settings(100 << 40, 8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
+    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)

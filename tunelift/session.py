@@ -21,6 +21,24 @@ SESSION_DEFAULTS = {
 }
 
 
+def cluster_settings(input_bytes: int, cores: int, target_partition_bytes: int = 256 << 20
+                     ) -> dict[str, str]:
+    """Settings sized for a cluster run over ``input_bytes`` of parquet on ``cores`` cores.
+
+    Shuffle partitions start at about one per 256 MB of input (at least 2 x cores) and AQE
+    coalesces them to the advisory size at run time; scan splits are 512 MB; a join side
+    is broadcast only when AQE has measured it under 64 MB.
+    """
+    parts = max(2 * cores, input_bytes // target_partition_bytes)
+    return {
+        "spark.sql.shuffle.partitions": str(int(parts)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(512 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "tunelift", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app_name)
