@@ -29,3 +29,32 @@ def test_stream_lookup_matches_batch(spark, scratch):
     want = sorted(tuple(x) for x in lookup.lookup_cascade(batch_req, features).collect())
     assert len(got) == r.requests.count()
     assert got == want
+
+
+def test_stream_scores_to_parquet_sink_exactly_once(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from tunelift.operators import model
+    from tunelift.plans.pipelines import scoring_training_view, wide_features
+
+    r = Roles.from_test_tables(spark, SF_SMALL)
+    features = materialize(serving_features(r), "features-stream")
+    cols = ["td_confidence", "artist_hotness", "song_hotness", "td_meanPrice"]
+    wide = scoring_training_view(wide_features(r))
+    fitted = model.train_forest(model.prepare(wide, cols), cols, num_trees=5, max_depth=4)
+
+    in_dir = os.path.join(scratch, "req")
+    r.requests.selectExpr("concat(artist, ';', title) AS value").write.text(in_dir)
+    out_dir, ckpt = os.path.join(scratch, "scores"), os.path.join(scratch, "ckpt")
+    accepted, _ = scoring.request_stream(spark, in_dir)
+    q = scoring.start_parquet_sink(scoring.stream_scores(accepted, features, fitted), out_dir, ckpt)
+    q.awaitTermination()
+    n = r.requests.count()
+    got = spark.read.parquet(out_dir)
+    assert got.count() == n
+    assert got.where(F.col("prediction_int").isNull()).count() == 0
+    # a restart from the same checkpoint adds nothing (files already processed)
+    accepted2, _ = scoring.request_stream(spark, in_dir)
+    q2 = scoring.start_parquet_sink(scoring.stream_scores(accepted2, features, fitted), out_dir, ckpt)
+    q2.awaitTermination()
+    assert spark.read.parquet(out_dir).count() == n
