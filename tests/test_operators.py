@@ -175,3 +175,32 @@ def test_cluster_settings_scale_with_input():
     big = cluster_settings(100 << 40, 8000)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
     assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_salted_join_equals_plain_join(spark, how):
+    from tunelift.operators.skew import salted_join
+    left = spark.createDataFrame(
+        [(1, "k"), (2, "k"), (3, "a"), (4, None), (5, "z")], "lid int, lk string")
+    right_rows = [("k", i) for i in range(40)] + [("k", 0)] * 5 + [("a", 100), ("b", 7), (None, 8)]
+    right = spark.createDataFrame(right_rows, "rk string, v int")
+    got = salted_join(left, right, [("lk", "rk")], how, min_rows=10, buckets=4)
+    want = left.join(right, left.lk == right.rk, how)
+    key = lambda r: (r["lid"], -1 if r["v"] is None else r["v"])
+    assert sorted(map(key, got.collect())) == sorted(map(key, want.collect()))
+    assert set(got.columns) == set(want.columns)
+
+
+def test_download_joins_salted_equal_plain(spark):
+    from tunelift.plans.pipelines import Roles, serving_songs, wide_songs
+    r = Roles.from_test_tables(spark, "/root/testdata/sf0.001")
+    rec_a = enrich.clean_downloads(r.downloads)
+    songs = serving_songs(r)
+    a = enrich.left_join_downloads(songs, rec_a, hot_rows=1).drop("td_artist", "td_title")
+    b = enrich.left_join_downloads(songs, rec_a).drop("td_artist", "td_title")
+    assert sorted(map(tuple, a.select(*b.columns).collect())) == sorted(map(tuple, b.collect()))
+    rec_b = enrich.clean_downloads(r.downloads, require_numeric_price=False)
+    ws = wide_songs(r)
+    c = enrich.inner_join_downloads(ws, rec_b, hot_rows=1)
+    d = enrich.inner_join_downloads(ws, rec_b)
+    assert sorted(map(tuple, c.select(*d.columns).collect())) == sorted(map(tuple, d.collect()))

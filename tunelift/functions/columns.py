@@ -185,16 +185,23 @@ def string_to_double(c: str | Column) -> Column:
     return to_double(c)
 
 
+def _floor_round(x: Column, digits: int) -> Column:
+    scale = float(10 ** digits)
+    return F.floor(x * scale + F.lit(0.5)) / F.lit(scale)
+
+
 def fixed_round(c: str | Column, digits: int) -> Column:
-    """Round half up to ``digits`` decimals as floor(x * 10^d + 0.5) / 10^d.
+    """Round half up to ``digits`` decimals, in two steps: first to ``digits + 3``
+    decimals (absorbs floating-point summation noise, so a true tie such as x.xxxxxx5
+    rounds the same whatever the summation order), then to ``digits``.
 
-    Plain IEEE operations, so every engine gives the same double; values too large for
-    the scaled floor, NaN and infinities pass through unchanged.
+    Each step is floor(x * 10^d + 0.5) / 10^d, plain IEEE operations, so every engine
+    gives the same double; values too large for the scaled floor pass through.
     """
     x = _col(c)
-    scale = float(10 ** digits)
-    return F.when(F.abs(x) < F.lit(1e12), F.floor(x * scale + F.lit(0.5)) / F.lit(scale)) \
-            .otherwise(x)
+    bound = 1e17 / float(10 ** (digits + 3))
+    return F.when(F.abs(x) < F.lit(bound),
+                  _floor_round(_floor_round(x, digits + 3), digits)).otherwise(x)
 
 
 def _regex_quote(s: str) -> str:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import (clean_key, fill_missing, is_number, lower_text,
                                  non_numeric_to_zero, ordinal_encode, to_double,
                                  weight_times_freq)
+from .skew import HOT_KEY_ROWS, salted_join
 
 SONG_NUMERIC = ["artist_hotttnesss", "artist_familiarity", "loudness", "tempo",
                 "duration", "song_hotttnesss"]
@@ -117,24 +118,29 @@ def left_join_likes(songs: DataFrame, likes: DataFrame) -> DataFrame:
 
 # ---- download joins (J4, J5) -------------------------------------------------------------
 
-def left_join_downloads(songs: DataFrame, records: DataFrame) -> DataFrame:
+DOWNLOAD_KEYS = [("title", "td_title"), ("artist_name", "td_artist")]
+
+
+def left_join_downloads(songs: DataFrame, records: DataFrame,
+                        hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """Songs left join download records on cleaned (title, artist).
 
     Many-to-many fan-out is kept.  Songs without a record get confidence 0 and price 0
-    (the same code as 'terrible'), so ``has_download_record`` tells them apart.
+    (the same code as 'terrible'), so ``has_download_record`` tells them apart.  A
+    (title, artist) with at least ``hot_rows`` records is salted (``skew.salted_join``).
     """
     rec = records.select("td_artist", "td_title", "td_confidence", "td_meanPrice")
-    cond = [songs["title"] == rec["td_title"], songs["artist_name"] == rec["td_artist"]]
-    out = (songs.join(rec, cond, "left")
+    out = (salted_join(songs, rec, DOWNLOAD_KEYS, "left", min_rows=hot_rows)
                 .withColumn("has_download_record", F.col("td_artist").isNotNull())
                 .drop("td_artist", "td_title"))
     return fill_missing(out, {"td_confidence": 0, "td_meanPrice": 0.0})
 
 
-def inner_join_downloads(songs: DataFrame, records: DataFrame) -> DataFrame:
-    """J5 (join part): download records inner join songs on (title, artist)."""
-    cond = [records["td_title"] == songs["title"], records["td_artist"] == songs["artist_name"]]
-    return records.join(songs, cond, "inner")
+def inner_join_downloads(songs: DataFrame, records: DataFrame,
+                         hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """J5 (join part): download records inner join songs on (title, artist); hot keys of
+    the records are salted."""
+    return salted_join(songs, records, DOWNLOAD_KEYS, "inner", min_rows=hot_rows)
 
 
 def sort_by_artist(df: DataFrame, artist_col: str = "td_artist",

@@ -27,8 +27,10 @@ def ordinal(x: str) -> str:
 
 def fround(x: str, d: int) -> str:
     """Same rounding as ``functions.columns.fixed_round``."""
-    sc = float(10 ** d)
-    return f"(CASE WHEN abs({x}) < 1e12 THEN floor({x} * {sc} + 0.5) / {sc} ELSE {x} END)"
+    s1, s2 = float(10 ** (d + 3)), float(10 ** d)
+    bound = 1e17 / s1
+    inner = f"(floor({x} * {s1} + 0.5) / {s1})"
+    return f"(CASE WHEN abs({x}) < {bound} THEN floor({inner} * {s2} + 0.5) / {s2} ELSE {x} END)"
 
 
 def split_bucket(x: str) -> str:
