@@ -815,7 +815,9 @@ def _m2(spark, d):
 def _m3(spark, d):
     """M3: forest on the training split; one row per tree (rows-only check)."""
     cols = model.feature_names(model.DEFAULT_FEATURE_INDEXES)
-    data = model.prepare(model.artist_disjoint_split(_scoring_wide(spark, d), "artist_key"), cols)
+    split = materialize(model.artist_disjoint_split(_scoring_wide(spark, d), "artist_key"),
+                        "m3-input")
+    data = model.prepare(split, cols)
     fitted = model.train_forest(data.where(F.col("split") == "train"), cols,
                                 num_trees=30, max_depth=8)
     forest = fitted.stages[-1]
@@ -904,7 +906,7 @@ def _q3(spark, d):
 def _q4(spark, d):
     """Q4: every request scored by a forest trained on the wide table (rows-only check)."""
     r = roles(spark, d)
-    wide = P.scoring_training_view(P.wide_features(r))
+    wide = materialize(P.scoring_training_view(P.wide_features(r)), "q4-train")
     cols = ["td_confidence", "artist_hotness", "song_hotness", "td_meanPrice"]
     fitted = model.train_forest(model.prepare(wide, cols), cols, num_trees=30, max_depth=8)
     features = materialize(P.serving_features(r), "features")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import (non_numeric_to_zero, popularity_log10, reorder,
                                  threshold_filter, to_double)
 from ..operators import enrich, explore, lookup, model, terms
+from ..session import materialize
 from . import bindings
 
 SERVING_COLUMNS = ["artist_name", "title", "td_confidence", "artist_hotness",
@@ -104,7 +105,10 @@ def train_and_evaluate(wide: DataFrame, feature_indexes=model.DEFAULT_FEATURE_IN
     the prediction sink and the caller all re-read them.
     """
     cols = model.feature_names(feature_indexes)
-    data = model.prepare(model.artist_disjoint_split(wide, split_key, test_percent), cols)
+    # The forest reads its input several times (split candidates, binning) and the
+    # predictions read it again: store the split table once instead of recomputing Q2.
+    split = materialize(model.artist_disjoint_split(wide, split_key, test_percent), "q3-input")
+    data = model.prepare(split, cols)
     fitted = model.train_forest(data.where(F.col("split") == "train"), cols,
                                 num_trees=num_trees, max_depth=max_depth)
     preds = fitted.transform(data).cache()
