@@ -204,3 +204,26 @@ def test_download_joins_salted_equal_plain(spark):
     c = enrich.inner_join_downloads(ws, rec_b, hot_rows=1)
     d = enrich.inner_join_downloads(ws, rec_b)
     assert sorted(map(tuple, c.select(*d.columns).collect())) == sorted(map(tuple, d.collect()))
+
+
+def test_comma_in_value_keeps_columns(spark):
+    """Values are never joined to text and split again, so a comma stays inside."""
+    raw = spark.createDataFrame(
+        [(1, 1, "a1", "Art, The", "Song, Part 1", "0.5", 0.1, -3.0, 120.0, 200.0, 0.7, "2001")],
+        "song_id int, track_id int, artist_id string, artist_name string, title string, "
+        "artist_hotttnesss string, artist_familiarity double, loudness double, tempo double, "
+        "duration double, song_hotttnesss double, year string")
+    row = enrich.clean_song_info_wide(raw).first()
+    assert row["artist_name"] == "artthe" and row["title"] == "songpart1"
+    assert row["artist_hotttnesss"] == 0.5 and row["year"] == "2001"
+
+
+def test_price_check_only_in_serving_flow(spark):
+    """The serving flow drops records whose mean price is not a number."""
+    raw = spark.createDataFrame([("A", "t", "NA", "3", "good"), ("A", "u", "1.5", "2", "poor")],
+                                "artist string, title string, mean_price string, "
+                                "downloads string, confidence string")
+    assert enrich.clean_downloads(raw, require_numeric_price=True).count() == 1
+    both = enrich.clean_downloads(raw, require_numeric_price=False).orderBy("td_title").collect()
+    assert [r["td_meanPrice"] for r in both] == [None, 1.5]
+    assert [r["td_confidence"] for r in both] == [3, 1]
