@@ -1,0 +1,39 @@
+"""The jobs chained through files: features -> wide -> training -> scoring -> report."""
+
+import os
+
+from tunelift.plans import jobs
+from tunelift.plans.pipelines import Roles
+from conftest import SF_SMALL
+
+
+def test_jobs_end_to_end(spark, scratch):
+    r = Roles.from_test_tables(spark, SF_SMALL)
+    serving = jobs.serving_job(r, scratch)
+    wide_path = jobs.wide_job(r, scratch)
+    wide = jobs.read_wide(spark, wide_path)
+    assert wide.count() > 0
+
+    out = jobs.training_job(wide, os.path.join(scratch, "train"), num_trees=5, max_depth=4)
+    metrics = spark.read.option("sep", ";").csv(out["metrics"]).collect()
+    assert {row[0] for row in metrics} == {"test", "train"} and len(metrics) == 10
+    assert spark.read.parquet(out["predictions"]).count() == wide.count()
+
+    model_path = jobs.scoring_model(wide, os.path.join(scratch, "scoring-model"), 5, 4)
+    req = os.path.join(scratch, "requests.txt")
+    with open(req, "w") as f:
+        f.write("Brand#13;anything\nUnknown;Thing\nbad line\na;b;c\n")
+    scores, rejected = jobs.scoring_job(spark, req, serving["features"], serving["means"],
+                                        model_path)
+    got = {row["request_line"]: row for row in scores.collect()}
+    assert got["Brand#13;anything"]["match_level"] == "artist"
+    assert got["Unknown;Thing"]["match_level"] == "global"
+    assert all(row["prediction_int"] is not None for row in got.values())
+    assert sorted(row[0] for row in rejected.collect()) == ["a;b;c", "bad line"]
+
+    report = jobs.explore_job(wide)
+    assert report["summary"].count() == 16
+    clusters = report["clusters"].collect()
+    assert 1 <= len(clusters) <= 8
+    assert sum(row["size"] for row in clusters) == wide.where("td_confidence > 1").count()
+    assert report["scatter"].count() > 0

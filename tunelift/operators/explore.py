@@ -191,6 +191,14 @@ def kmeans_label(df: DataFrame, col: str, k: int = KMEANS_K, seed: int = 42,
     return model.transform(data).drop("_km_features")
 
 
+def kmeans_centers(df: DataFrame, col: str, k: int = KMEANS_K, seed: int = 42) -> DataFrame:
+    """M7 as the exploration script prints it: (cluster, center, size) of a k-means fit
+    on one column."""
+    labelled = kmeans_label(df.select(col), col, k, seed)
+    return (labelled.groupBy("cluster")
+                    .agg(F.avg(col).alias("center"), F.count(F.lit(1)).alias("size")))
+
+
 def binned_scatter(df: DataFrame, x_cols: Sequence[str], y_col: str, bins: int = 20) -> DataFrame:
     """M8: 2-D histogram of each column against the label: (feature, x_bin, y_bin, n).
 
