@@ -76,9 +76,18 @@ def strip_trailing(c: str | Column, sep: str) -> Column:
     return F.regexp_replace(_col(c), _regex_quote(sep) + "+$", "")
 
 
+def split_jvm(c: str | Column, sep: str) -> Column:
+    """Split like a JVM ``String.split``: trailing empty fields are dropped, so a
+    non-empty line of separators only has no fields; the empty line is one field."""
+    x = _col(c)
+    stripped = strip_trailing(x, sep)
+    return F.when((stripped == F.lit("")) & (x != F.lit("")), F.array().cast("array<string>")) \
+            .otherwise(F.split(stripped, _regex_quote(sep)))
+
+
 def field_count(c: str | Column, sep: str) -> Column:
     """Number of fields of a line split by ``sep`` with trailing empties dropped."""
-    return F.size(F.split(strip_trailing(c, sep), _regex_quote(sep))).cast("int")
+    return F.size(split_jvm(c, sep)).cast("int")
 
 
 def field_count_filter(df: DataFrame, c: str, sep: str, n: int) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..functions.columns import _regex_quote, field_count, strip_trailing
+from ..functions.columns import field_count, split_jvm
 from ..session import apply_session_settings
 
 
@@ -35,7 +35,7 @@ def split_fields(lines: DataFrame, sep: str, col: str = "value") -> DataFrame:
     """Split text lines into an array column ``fields`` (trailing empty fields dropped,
     no quoting), keeping the other columns."""
     others = [c for c in lines.columns if c != col]
-    return lines.select(*others, F.split(strip_trailing(col, sep), _regex_quote(sep)).alias("fields"))
+    return lines.select(*others, split_jvm(col, sep).alias("fields"))
 
 
 def read_split_lines(spark: SparkSession, path: str, sep: str, header: str | None = None,
