@@ -44,8 +44,9 @@ def mean_median(df: DataFrame, cols: Sequence[str], method: str = "select") -> D
     return _summary(df, cols, None, method)
 
 
-def _summary(df: DataFrame, cols: Sequence[str], label: str | None, method: str) -> DataFrame:
-    if method == "select":
+def _summary(df: DataFrame, cols: Sequence[str], label: str | None, method: str,
+             stored: bool = False) -> DataFrame:
+    if method == "select" and not stored:
         df = materialize(df.select(*cols, *([label] if label else [])), "summary-input")
     aggs, fields = [], {"mean": ""}
     y = F.col(label).cast("double") if label else None
@@ -170,10 +171,11 @@ def correlation_with_label(df: DataFrame, cols: Sequence[str], label: str) -> Da
 
 
 def feature_summary(df: DataFrame, cols: Sequence[str], label: str,
-                    method: str = "select") -> DataFrame:
+                    method: str = "select", stored: bool = False) -> DataFrame:
     """A9 + A10: (feature, mean, median, r) per column; means and r in one aggregate,
-    over one stored copy of the columns shared with the median selection."""
-    return _summary(df, cols, label, method)
+    over one stored copy of the columns shared with the median selection (``stored``:
+    ``df`` already is one)."""
+    return _summary(df, cols, label, method, stored)
 
 
 def with_popularity_ln(df: DataFrame) -> DataFrame:
@@ -199,13 +201,18 @@ def kmeans_centers(df: DataFrame, col: str, k: int = KMEANS_K, seed: int = 42) -
                     .agg(F.avg(col).alias("center"), F.count(F.lit(1)).alias("size")))
 
 
-def binned_scatter(df: DataFrame, x_cols: Sequence[str], y_col: str, bins: int = 20) -> DataFrame:
+def binned_scatter(df: DataFrame, x_cols: Sequence[str], y_col: str, bins: int = 20,
+                   store_input: bool = False) -> DataFrame:
     """M8: 2-D histogram of each column against the label: (feature, x_bin, y_bin, n).
 
     Columns are stacked into (feature, x, y) rows, bin edges come from each feature's own
     min/max (a table of one row per feature, broadcast: its size is the column count), and
-    one ``groupBy`` counts every cell.
+    one ``groupBy`` counts every cell.  Edges and counts are two passes over ``df``; AQE
+    reuses the upstream shuffles between them, and ``store_input`` writes the columns
+    once first when ``df`` is costly to recompute.
     """
+    if store_input:
+        df = materialize(df.select(*x_cols, y_col), "scatter-input")
     stacked = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x"),
                  F.col(y_col).cast("double").alias("y")) for c in x_cols])).alias("s")

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import explore, lookup, model
+from ..session import materialize
 from ..sources import readers, writers
 from . import pipelines as P
 
@@ -96,9 +97,10 @@ def scoring_model(wide: DataFrame, model_path: str, num_trees: int = 30,
 
 def explore_job(wide: DataFrame, bins: int = 20) -> dict[str, DataFrame]:
     """Q5: per-feature summary (mean, median, r), download clusters, 2-D histograms."""
-    v = P.explore_view(wide)
+    # one stored copy of the view serves every part of the report
+    v = materialize(P.explore_view(wide).select(*P.EXPLORE_COLUMNS, model.LABEL), "explore")
     return {
-        "summary": explore.feature_summary(v, P.EXPLORE_COLUMNS, model.LABEL),
+        "summary": explore.feature_summary(v, P.EXPLORE_COLUMNS, model.LABEL, stored=True),
         "clusters": explore.kmeans_centers(v, model.LABEL),
         "scatter": explore.binned_scatter(v, P.EXPLORE_COLUMNS, model.LABEL, bins),
     }
