@@ -227,3 +227,16 @@ def test_price_check_only_in_serving_flow(spark):
     both = enrich.clean_downloads(raw, require_numeric_price=False).orderBy("td_title").collect()
     assert [r["td_meanPrice"] for r in both] == [None, 1.5]
     assert [r["td_confidence"] for r in both] == [3, 1]
+
+
+def test_nan_counts_as_missing_in_means(spark):
+    """D10: 'NaN' passes the number test, but means skip it."""
+    feats = spark.createDataFrame(
+        [("a", "s", 1, float("nan"), 0.5, 10.0), ("a", "t", 2, 0.4, 0.5, 30.0)], FEATS)
+    m = lookup.global_means(feats).first()
+    assert abs(m["mean_artist_hotness"] - 0.4) < 1e-12
+    g = {r["artist_name"]: r for r in lookup.group_mean_or_single(feats, ["artist_name"]).collect()}
+    assert abs(g["a"]["artist_hotness"] - 0.4) < 1e-12
+    t = spark.createDataFrame([("a", "x")], "artist_id string, artist_term string")
+    songs = spark.createDataFrame([("a", float("nan")), ("a", 0.2)], "artist_id string, h double")
+    assert abs(terms.term_mean_hotness(t, songs, "h").first()["artist_hotness"] - 0.2) < 1e-12

@@ -54,6 +54,17 @@ def to_double(c: str | Column) -> Column:
     return _col(c).try_cast("double")
 
 
+def nan_to_null(c: str | Column) -> Column:
+    """NaN (a number to ``try_cast``) as a missing value."""
+    x = _col(c).cast("double")
+    return F.nanvl(x, F.lit(None).cast("double"))
+
+
+def mean_of(c: str | Column) -> Column:
+    """Mean that skips nulls and NaN (NaN counts as missing, not as a value)."""
+    return F.avg(nan_to_null(c))
+
+
 def is_number(c: str | Column) -> Column:
     """True when the value parses as a double (null input is not a number)."""
     return to_double(c).isNotNull()

@@ -9,7 +9,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import popularity_ln
+from ..functions.columns import mean_of, popularity_ln
 from ..session import materialize
 
 # Exploration keeps rows with confidence above this value.
@@ -52,7 +52,7 @@ def _summary(df: DataFrame, cols: Sequence[str], label: str | None, method: str,
     y = F.col(label).cast("double") if label else None
     for c in cols:
         x = F.col(c).cast("double")
-        aggs.append(F.avg(x).alias(f"mean__{c}"))
+        aggs.append(mean_of(x).alias(f"mean__{c}"))
         if method != "select":
             med = F.median(x) if method == "percentile" else \
                 F.percentile_approx(x, 0.5, APPROX_ACCURACY)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import AVERAGED_CONFIDENCE, clean_key
+from ..functions.columns import AVERAGED_CONFIDENCE, clean_key, mean_of
 
 FEATURES = ["td_confidence", "artist_hotness", "song_hotness", "td_meanPrice"]
 NUMERIC_FEATURES = ["artist_hotness", "song_hotness", "td_meanPrice"]
@@ -21,9 +21,9 @@ LEVELS = ["exact", "artist", "title", "global"]
 def global_means(features: DataFrame) -> DataFrame:
     """One row of feature means, with the constant averaged confidence."""
     return features.agg(
-        F.avg("artist_hotness").alias("mean_artist_hotness"),
-        F.avg("song_hotness").alias("mean_song_hotness"),
-        F.avg("td_meanPrice").alias("mean_td_meanPrice"),
+        mean_of("artist_hotness").alias("mean_artist_hotness"),
+        mean_of("song_hotness").alias("mean_song_hotness"),
+        mean_of("td_meanPrice").alias("mean_td_meanPrice"),
     ).withColumn("mean_td_confidence", F.lit(AVERAGED_CONFIDENCE))
 
 
@@ -34,7 +34,7 @@ def group_mean_or_single(features: DataFrame, keys: list[str]) -> DataFrame:
         n.alias("n_matches"),
         F.when(n == 1, F.max(F.col("td_confidence").cast("double")))
          .otherwise(F.lit(AVERAGED_CONFIDENCE)).alias("td_confidence"),
-        *[F.avg(c).alias(c) for c in NUMERIC_FEATURES])
+        *[mean_of(c).alias(c) for c in NUMERIC_FEATURES])
 
 
 def _level_struct(prefix: str, level: str) -> F.Column:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import fixed_round
+from ..functions.columns import fixed_round, nan_to_null
 
 # Means are ranked on their value rounded to this many decimals, so that means equal
 # up to floating-point summation noise count as ties (broken by term).
@@ -23,10 +23,11 @@ DEFAULT_TOP_K = 1000
 
 def artist_hotness_totals(songs: DataFrame, hotness_col: str) -> DataFrame:
     """Per artist: songs, sum and count of non-null hotness (pre-aggregation for J9)."""
+    h = nan_to_null(hotness_col)          # NaN counts as missing in the mean
     return songs.groupBy("artist_id").agg(
         F.count(F.lit(1)).alias("songs"),
-        F.sum(hotness_col).alias("hotness_sum"),
-        F.count(hotness_col).alias("hotness_n"))
+        F.sum(h).alias("hotness_sum"),
+        F.count(h).alias("hotness_n"))
 
 
 def inner_join_term_hotness(terms: DataFrame, songs: DataFrame, hotness_col: str) -> DataFrame:

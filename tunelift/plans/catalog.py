@@ -498,7 +498,7 @@ def _p21(spark, d):
     """Averaged feature rows carry the constant confidence 3."""
     q1 = P.serving_features(roles(spark, d))
     g = q1.groupBy("artist_name", "title").agg(F.count(F.lit(1)).alias("n"),
-                                               F.avg("artist_hotness").alias("artist_hotness"))
+                                               C.mean_of("artist_hotness").alias("artist_hotness"))
     return g.where(F.col("n") > 1).select("artist_name", "title",
                                           C.constant_column().alias("td_confidence"),
                                           "artist_hotness")
@@ -510,7 +510,7 @@ def _p21(spark, d):
 def _p22(spark, d):
     """Mean of a text column via an explicit non-raising cast."""
     t = lineitem_text(spark, d)
-    return t.groupBy("l_returnflag").agg(F.avg(C.string_to_double("price_text")).alias("mean_price"))
+    return t.groupBy("l_returnflag").agg(C.mean_of(C.string_to_double("price_text")).alias("mean_price"))
 
 
 # =============================== joins =================================================
