@@ -793,13 +793,20 @@ def _scoring_wide(spark, d):
     return P.wide_features_with_artist(roles(spark, d))
 
 
-@query("assemble_features")
+@query("assemble_features", rounded("""
+    SELECT CAST(td_downloads AS DOUBLE) AS label,
+           CASE WHEN td_confidence >= 0 AND td_confidence < 6 THEN CAST(td_confidence AS DOUBLE)
+                ELSE 6.0 END AS f0,
+           artist_hotttnesss AS f1, song_hotttnesss AS f2, td_meanPrice AS f3
+    FROM q2""", ["label", "f0", "f1", "f2", "f3"]))
 def _m1(spark, d):
-    """M1: label + feature vector (as an array) of the shipped feature choice."""
+    """M1: label + feature vector of the shipped feature choice (positions 0, 1, 6, 13),
+    the vector read back as its components f0..f3."""
     from pyspark.ml.functions import vector_to_array
     cols = model.feature_names(model.DEFAULT_FEATURE_INDEXES)
-    a = model.assemble_features(model.prepare(_scoring_wide(spark, d), cols), cols)
-    return a.select("label", vector_to_array("features").alias("features"))
+    a = model.assemble_features(model.prepare(P.wide_features(roles(spark, d)), cols), cols)
+    arr = vector_to_array("features")
+    return a.select("label", *[arr[i].alias(f"f{i}") for i in range(len(cols))])
 
 
 @query("mark_categorical", """
