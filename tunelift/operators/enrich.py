@@ -136,11 +136,14 @@ def left_join_downloads(songs: DataFrame, records: DataFrame,
     return fill_missing(out, {"td_confidence": 0, "td_meanPrice": 0.0})
 
 
-def inner_join_downloads(songs: DataFrame, records: DataFrame,
-                         hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
-    """J5 (join part): download records inner join songs on (title, artist); hot keys of
-    the records are salted."""
-    return salted_join(songs, records, DOWNLOAD_KEYS, "inner", min_rows=hot_rows)
+def inner_join_downloads(songs: DataFrame, records: DataFrame) -> DataFrame:
+    """J5 (join part): download records inner join songs on (title, artist).
+
+    An inner join needs no salting: AQE's skew handling may split a skewed partition on
+    either side of an inner join (it cannot for the right side of a left join, hence
+    the salted path of J4)."""
+    cond = [records["td_title"] == songs["title"], records["td_artist"] == songs["artist_name"]]
+    return records.join(songs, cond, "inner")
 
 
 def sort_by_artist(df: DataFrame, artist_col: str = "td_artist",
