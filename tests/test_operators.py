@@ -241,3 +241,15 @@ def test_nan_counts_as_missing_in_means(spark):
     t = spark.createDataFrame([("a", "x")], "artist_id string, artist_term string")
     songs = spark.createDataFrame([("a", float("nan")), ("a", 0.2)], "artist_id string, h double")
     assert abs(terms.term_mean_hotness(t, songs, "h").first()["artist_hotness"] - 0.2) < 1e-12
+
+
+def test_lookup_cascade_null_keys_and_duplicates(spark, features):
+    req = spark.createDataFrame(
+        [(1, None, "s1"), (2, "A1", "s1"), (3, "A1", "s1"), (4, None, None), (5, "a3", None)],
+        "request_id int, artist string, title string")
+    out = {r["request_id"]: r for r in lookup.lookup_cascade(req, features).collect()}
+    assert len(out) == 5
+    assert out[1]["match_level"] == "title"
+    assert out[2]["match_level"] == out[3]["match_level"] == "exact"
+    assert out[4]["match_level"] == "global"
+    assert out[5]["match_level"] == "artist"

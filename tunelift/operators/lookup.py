@@ -63,10 +63,17 @@ def lookup_cascade(requests: DataFrame, features: DataFrame,
 
     r = (requests.withColumn("_k_artist", clean_key("artist"))
                  .withColumn("_k_title", clean_key("title")))
-    j = (r.join(exact, (F.col("_k_artist") == F.col("e_artist_name"))
-                & (F.col("_k_title") == F.col("e_title")), "left")
-          .join(by_artist, F.col("_k_artist") == F.col("a_artist_name"), "left")
-          .join(by_title, F.col("_k_title") == F.col("t_title"), "left"))
+    # Batch: resolve each distinct cleaned (artist, title) once, then join the answer
+    # back.  The distinct is a partial aggregate (a hot pair collapses map-side), the
+    # three level joins run on the distinct pairs, and the full request table is
+    # shuffled once for the join back instead of once per level.  A streaming table
+    # resolves its rows directly (a distinct would need streaming state).
+    dedupe = not requests.isStreaming
+    probe = r.select("_k_artist", "_k_title").distinct() if dedupe else r
+    j = (probe.join(exact, (F.col("_k_artist") == F.col("e_artist_name"))
+                    & (F.col("_k_title") == F.col("e_title")), "left")
+              .join(by_artist, F.col("_k_artist") == F.col("a_artist_name"), "left")
+              .join(by_title, F.col("_k_title") == F.col("t_title"), "left"))
 
     m = means if means is not None else global_means(features)
     g = m.select(F.struct(
@@ -82,5 +89,13 @@ def lookup_cascade(requests: DataFrame, features: DataFrame,
         F.when(F.col("t_n_matches").isNotNull(), _level_struct("t_", "title")),
         g)
     keep = list(requests.columns)
-    return (j.select(*keep, chosen.alias("_m"))
-             .select(*keep, "_m.match_level", *[F.col(f"_m.{c}").alias(c) for c in FEATURES]))
+    picked = [F.col("_m.match_level").alias("match_level"),
+              *[F.col(f"_m.{c}").alias(c) for c in FEATURES]]
+    if not dedupe:
+        return j.select(*keep, chosen.alias("_m")).select(*keep, *picked)
+    resolved = (j.select(F.col("_k_artist").alias("_ra"), F.col("_k_title").alias("_rt"),
+                         chosen.alias("_m"))
+                 .select("_ra", "_rt", *picked))
+    back = r.join(resolved, F.col("_k_artist").eqNullSafe(F.col("_ra"))
+                  & F.col("_k_title").eqNullSafe(F.col("_rt")), "left")
+    return back.select(*keep, "match_level", *FEATURES)
