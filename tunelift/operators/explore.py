@@ -203,13 +203,14 @@ def kmeans_centers(df: DataFrame, col: str, k: int = KMEANS_K, seed: int = 42) -
 
 def binned_scatter(df: DataFrame, x_cols: Sequence[str], y_col: str, bins: int = 20,
                    store_input: bool = False) -> DataFrame:
-    """M8: 2-D histogram of each column against the label: (feature, x_bin, y_bin, n).
-
-    Columns are stacked into (feature, x, y) rows, bin edges come from each feature's own
-    min/max (a table of one row per feature, broadcast: its size is the column count), and
-    one ``groupBy`` counts every cell.  Edges and counts are two passes over ``df``; AQE
-    reuses the upstream shuffles between them, and ``store_input`` writes the columns
-    once first when ``df`` is costly to recompute.
+    """M8: 2-D histogram of each column against the label: (feature, x_bin, y_bin, n,
+    frac), frac being the cell's share of the feature's points.
+
+    Columns are stacked into (feature, x, y) rows and counted per distinct value triple
+    (a partial aggregate).  Both the bin edges (each feature's min/max: one row per
+    feature, broadcast, its size is the column count) and the cell counts are computed
+    from that one aggregate, whose exchange Spark reuses, so ``df`` is computed once.
+    ``store_input`` writes the columns to the shared folder first instead.
     """
     if store_input:
         df = materialize(df.select(*x_cols, y_col), "scatter-input")
@@ -217,9 +218,13 @@ def binned_scatter(df: DataFrame, x_cols: Sequence[str], y_col: str, bins: int =
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x"),
                  F.col(y_col).cast("double").alias("y")) for c in x_cols])).alias("s")
     ).select("s.*").where(F.col("x").isNotNull() & F.col("y").isNotNull())
-    edges = stacked.groupBy("feature").agg(
+    points = stacked.groupBy("feature", "x", "y").agg(F.count(F.lit(1)).alias("k"))
+    # ``rows`` (points per feature, for the cell fraction) also keeps ``k`` in this
+    # branch, so both branches read the very same aggregate and its exchange is reused;
+    # were the aggregates pruned differently, ``df`` would be computed twice.
+    edges = points.groupBy("feature").agg(
         F.min("x").alias("x_min"), F.max("x").alias("x_max"),
-        F.min("y").alias("y_min"), F.max("y").alias("y_max"))
+        F.min("y").alias("y_min"), F.max("y").alias("y_max"), F.sum("k").alias("rows"))
     nb = F.lit(bins)
 
     def bin_of(v: str, lo: str, hi: str) -> F.Column:
@@ -227,7 +232,8 @@ def binned_scatter(df: DataFrame, x_cols: Sequence[str], y_col: str, bins: int =
         idx = F.floor(F.try_divide(F.col(v) - F.col(lo), width))
         return F.coalesce(F.least(idx, F.lit(bins - 1)), F.lit(0)).cast("int")
 
-    return (stacked.join(F.broadcast(edges), "feature")
+    cells = (points.join(F.broadcast(edges), "feature")
                    .groupBy("feature", bin_of("x", "x_min", "x_max").alias("x_bin"),
                             bin_of("y", "y_min", "y_max").alias("y_bin"))
-                   .agg(F.count(F.lit(1)).alias("n")))
+                   .agg(F.sum("k").alias("n"), F.max("rows").alias("rows")))
+    return cells.select("feature", "x_bin", "y_bin", "n", (F.col("n") / F.col("rows")).alias("frac"))

@@ -877,10 +877,12 @@ def _scatter_sql() -> str:
                     CAST(coalesce(least(floor((x - x_min) / nullif((x_max - x_min) / 20, 0)), 19), 0) AS INTEGER) AS x_bin,
                     CAST(coalesce(least(floor((y - y_min) / nullif((y_max - y_min) / 20, 0)), 19), 0) AS INTEGER) AS y_bin
                    FROM st JOIN ed ON st.feature = ed.feature)
-        SELECT feature, x_bin, y_bin, count(*) AS n FROM b GROUP BY feature, x_bin, y_bin"""
+        SELECT feature, x_bin, y_bin, count(*) AS n,
+               count(*) / sum(count(*)) OVER (PARTITION BY feature) AS frac
+        FROM b GROUP BY feature, x_bin, y_bin"""
 
 
-@query("binned_scatter", _scatter_sql())
+@query("binned_scatter", rounded(_scatter_sql(), ["frac"]))
 def _m8(spark, d):
     """M8: 20 x 20 histogram of each feature against downloads."""
     v = P.explore_view(P.wide_features(roles(spark, d)))
