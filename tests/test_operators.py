@@ -253,3 +253,14 @@ def test_lookup_cascade_null_keys_and_duplicates(spark, features):
     assert out[2]["match_level"] == out[3]["match_level"] == "exact"
     assert out[4]["match_level"] == "global"
     assert out[5]["match_level"] == "artist"
+
+
+def test_term_ranking_counts_repeated_rows(spark):
+    """Ranking weighs every term row; the genre count uses distinct terms."""
+    t = spark.createDataFrame([("a", "x"), ("a", "x"), ("b", "x"), ("b", "y")],
+                              "artist_id string, artist_term string")
+    songs = spark.createDataFrame([("a", 1.0), ("b", 0.0)], "artist_id string, h double")
+    th = {r[0]: r[1] for r in terms.term_mean_hotness(t, songs, "h").collect()}
+    assert abs(th["x"] - 2 / 3) < 1e-12 and th["y"] == 0.0
+    g = {r[0]: r[1] for r in terms.genre_match_from_songs(t, songs, "h", k=1).collect()}
+    assert g == {"a": 1, "b": 1}

@@ -64,8 +64,10 @@ def mark_categorical(df: DataFrame, col: str = "td_confidence",
 
 
 def assembler(feature_cols: Sequence[str], output: str = "features") -> VectorAssembler:
-    """M1: dense feature vector of the chosen columns."""
-    return VectorAssembler(inputCols=list(feature_cols), outputCol=output, handleInvalid="keep")
+    """M1: dense feature vector of the chosen columns.  Rows with a missing chosen
+    feature are skipped: a forest cannot use them (the original flow stops with a
+    number-format error on such a row)."""
+    return VectorAssembler(inputCols=list(feature_cols), outputCol=output, handleInvalid="skip")
 
 
 def assemble_features(df: DataFrame, feature_cols: Sequence[str], label: str = LABEL) -> DataFrame:
@@ -97,7 +99,7 @@ def train_forest(train: DataFrame, feature_cols: Sequence[str], num_trees: int =
                  max_depth: int = 8, seed: int = SEED) -> PipelineModel:
     """M3: assembler + random-forest regression, fitted (an action)."""
     pipe = Pipeline(stages=[assembler(feature_cols), forest(num_trees, max_depth, seed=seed)])
-    return pipe.fit(train)
+    return pipe.fit(train.where(F.col("label").isNotNull() & ~F.isnan("label")))
 
 
 def predict_batch(model: PipelineModel, df: DataFrame) -> DataFrame:

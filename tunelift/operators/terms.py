@@ -69,11 +69,10 @@ def artist_genre_match(terms: DataFrame, top: DataFrame, k: int = DEFAULT_TOP_K)
 
 def genre_match_from_songs(terms: DataFrame, songs: DataFrame, hotness_col: str,
                            k: int = DEFAULT_TOP_K) -> DataFrame:
-    """A3 -> T1 -> A5 in one plan; both branches read the same distinct term pairs, so
-    Spark can reuse that one exchange."""
-    pairs = terms.select("artist_id", "artist_term").distinct()
-    top = top_terms(term_mean_hotness(pairs, songs, hotness_col), k)
-    return artist_genre_match(pairs, top, k)
+    """A3 -> T1 -> A5 in one plan.  The ranking uses every term row (a repeated row
+    weighs twice, as in the original flow); the match count uses distinct terms."""
+    top = top_terms(term_mean_hotness(terms, songs, hotness_col), k)
+    return artist_genre_match(terms, top, k)
 
 
 def inner_join_genre_match(songs: DataFrame, genre: DataFrame) -> DataFrame:

@@ -19,6 +19,10 @@ from . import bindings
 
 SERVING_COLUMNS = ["artist_name", "title", "td_confidence", "artist_hotness",
                    "song_hotness", "td_meanPrice", "has_download_record"]
+# Song-info columns the flows read (the file may hold more).
+SONG_INFO_COLUMNS = ["song_id", "track_id", "artist_id", "artist_name", "title",
+                     "artist_hotttnesss", "artist_familiarity", "loudness", "tempo", "duration",
+                     "song_hotttnesss", "year"]
 
 
 @dataclass
@@ -33,6 +37,39 @@ class Roles:
     downloads: DataFrame
     requests: DataFrame
 
+    @classmethod
+    def from_files(cls, spark: SparkSession, song_info: str, artist_terms: str,
+                   similar_artists: str, play_count: str, likes: str, downloads: str,
+                   requests: str | None = None) -> "Roles":
+        """The roles from the original delimited input files.
+
+        Header-named files (``;`` song info and similar artists, ``,`` play counts and
+        likes) are read by column name; artist terms and download records are read by
+        position, every copy of their header line dropped.  Counts are cast once here.
+        """
+        from ..sources import readers as R
+
+        songs = R.read_delimited(spark, song_info, None, ";").select(*SONG_INFO_COLUMNS)
+        plays = R.read_delimited(spark, play_count, None, ",").select(
+            "play_song_id", "play_track_id", F.col("play_count").try_cast("long").alias("play_count"))
+        similar = R.read_delimited(spark, similar_artists, None, ";").select(
+            "artist_id", "similar_artist")
+        lk = R.read_delimited(spark, likes, None, ",").select(
+            "track", F.col("likes").try_cast("long").alias("likes"))
+        terms_rows = R.fields_to_columns(
+            R.read_split_lines(spark, artist_terms, ";", R.first_line(spark, artist_terms)),
+            ["artist_id", "artist_term", "weight", "freq"])
+        dl = R.fields_to_columns(
+            R.read_split_lines(spark, downloads, ";", R.first_line(spark, downloads), n_fields=5),
+            ["artist", "title", "mean_price", "downloads", "confidence"])
+        if requests is not None:
+            req, _ = R.read_requests(spark, requests)
+            req = req.withColumn("request_line", F.concat_ws(";", "artist", "title"))
+        else:
+            req = spark.createDataFrame([], "artist string, title string")
+        return cls(songs, plays, similar, terms_rows.select("artist_id", "artist_term"),
+                   terms_rows, lk, dl, req)
+
     @classmethod
     def from_test_tables(cls, spark: SparkSession, sf_dir: str) -> "Roles":
         b = bindings

@@ -16,19 +16,27 @@ from ..functions.columns import field_count, split_jvm
 from ..session import apply_session_settings
 
 
-def read_delimited(spark: SparkSession, path: str, schema: StructType | str, sep: str,
+def read_delimited(spark: SparkSession, path: str, schema: StructType | str | None, sep: str,
                    header: bool = True) -> DataFrame:
-    """Delimited file(s) with an explicit schema; rows of the wrong width are dropped.
+    """Delimited file(s); rows of the wrong width are dropped.
 
-    Column pruning of the CSV parser is switched off so that the width check sees every
-    column even when the caller projects a few.
+    With a ``schema`` the columns are typed by position; without one they are all
+    strings named by the header (no inference pass).  Column pruning of the CSV parser
+    is switched off so that the width check sees every column even when the caller
+    projects a few.
     """
     apply_session_settings(spark)
-    return (spark.read.schema(schema)
-            .option("header", str(header).lower())
-            .option("sep", sep)
-            .option("mode", "DROPMALFORMED")
-            .csv(path))
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return (reader.option("header", str(header).lower())
+                  .option("sep", sep)
+                  .option("mode", "DROPMALFORMED")
+                  .csv(path))
+
+
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line of a text file (a header), read as one row."""
+    row = spark.read.text(path).first()
+    return row["value"] if row else None
 
 
 def split_fields(lines: DataFrame, sep: str, col: str = "value") -> DataFrame:
