@@ -37,3 +37,18 @@ def test_jobs_end_to_end(spark, scratch):
     assert 1 <= len(clusters) <= 8
     assert sum(row["size"] for row in clusters) == wide.where("td_confidence > 1").count()
     assert report["scatter"].count() > 0
+
+
+def test_stage_counts_observed_in_one_write(spark, scratch):
+    from tunelift.operators import audit, enrich
+    from tunelift.plans import pipelines as P
+    r = Roles.from_test_tables(spark, SF_SMALL)
+    out = jobs.serving_job(r, os.path.join(scratch, "serving"))
+    got = {row["stage"]: int(row["rows"]) for row in
+           spark.read.option("header", "true").csv(out["stage_counts"]).collect()}
+    want = {r2["stage"]: r2["rows"] for r2 in audit.stage_row_counts([
+        ("songs", enrich.clean_song_info_serving(r.song_info)),
+        ("with_genre", P.serving_songs(r)),
+        ("download_records", enrich.clean_downloads(r.downloads)),
+        ("serving_features", P.serving_features(r))]).collect()}
+    assert got == want

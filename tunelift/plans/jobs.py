@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import explore, lookup, model
+from ..operators import audit, explore, lookup, model
 from ..session import materialize
 from ..sources import readers, writers
 from . import pipelines as P
@@ -32,23 +32,38 @@ def _p(base: str, name: str) -> str:
     return os.path.join(base, name)
 
 
+def _write_counts(spark: SparkSession, observations: dict, path: str) -> dict[str, int]:
+    """The stage row counts observed during the job's write, as a small table."""
+    counts = audit.observed_counts(observations)
+    writers.write_features_csv(audit.counts_table(spark, counts), path, single_file=True)
+    return counts
+
+
 def serving_job(roles: P.Roles, out_dir: str) -> dict[str, str]:
-    """Q1 + K1 + A6/K2: the serving features and their one-row means."""
+    """Q1 + K1 + A6/K2 + A7: the serving features, their one-row means, and the row
+    count of each stage (observed during the features write, no extra job)."""
     feats_path, means_path = _p(out_dir, "features"), _p(out_dir, "means")
-    writers.write_features_csv(P.serving_features(roles), feats_path)
     spark = roles.song_info.sparkSession
+    observations: dict = {}
+    writers.write_features_csv(P.serving_features(roles, observe=observations), feats_path)
+    _write_counts(spark, observations, _p(out_dir, "serving_stage_counts"))
     stored = readers.read_delimited(spark, feats_path, SERVING_SCHEMA, ",")
     writers.write_means(lookup.global_means(stored), means_path)
-    return {"features": feats_path, "means": means_path}
+    return {"features": feats_path, "means": means_path,
+            "stage_counts": _p(out_dir, "serving_stage_counts")}
 
 
 def wide_job(roles: P.Roles, out_dir: str, sort: bool = True) -> str:
-    """Q2 (+ T2) + K1: the wide training table with its artist key, sorted by artist."""
+    """Q2 (+ T2) + K1 + A7: the wide training table with its artist key, sorted by
+    artist, and the row count of each stage."""
     path = _p(out_dir, "wide")
-    wide = P.wide_features_with_artist(roles)
+    observations: dict = {}
+    wide = audit.observed(P.wide_features_with_artist(roles, observe=observations), "wide",
+                          observations)
     if sort:
         wide = wide.orderBy("artist_key", "td_meanPrice", "td_downloads")
     writers.write_features_csv(wide, path)
+    _write_counts(wide.sparkSession, observations, _p(out_dir, "wide_stage_counts"))
     return path
 
 

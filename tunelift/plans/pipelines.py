@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import (non_numeric_to_zero, popularity_log10, reorder,
                                  threshold_filter, to_double)
-from ..operators import enrich, explore, lookup, model, terms
+from ..operators import audit, enrich, explore, lookup, model, terms
 from ..session import materialize
 from . import bindings
 
@@ -81,38 +81,48 @@ class Roles:
 
 # ---- Q1 ------------------------------------------------------------------------------
 
-def serving_songs(r: Roles, top_k: int = terms.DEFAULT_TOP_K) -> DataFrame:
-    """Flow A up to the genre join: songs + plays + similar count + genre match."""
-    songs = enrich.clean_song_info_serving(r.song_info)
+def serving_songs(r: Roles, top_k: int = terms.DEFAULT_TOP_K,
+                  observe: dict | None = None) -> DataFrame:
+    """Flow A up to the genre join: songs + plays + similar count + genre match.
+
+    ``observe`` (a dict) collects a row count per stage during the caller's action."""
+    songs = audit.observed(enrich.clean_song_info_serving(r.song_info), "songs", observe)
     s = enrich.left_join_play_count(songs, r.play_count)
     s = enrich.left_join_similar_count(s, enrich.similar_artist_count(r.similar_artists))
     # Flow A ranks terms on the cleaned hotness ('NA' counted as 0).
     genre = terms.genre_match_from_songs(r.artist_terms, songs, "artist_hotness", top_k)
-    return terms.inner_join_genre_match(s, genre)
+    return audit.observed(terms.inner_join_genre_match(s, genre), "with_genre", observe)
 
 
-def serving_features(r: Roles, top_k: int = terms.DEFAULT_TOP_K) -> DataFrame:
+def serving_features(r: Roles, top_k: int = terms.DEFAULT_TOP_K,
+                     observe: dict | None = None) -> DataFrame:
     """Q1: six feature columns per (song x matching download record), plus
     ``has_download_record``."""
-    records = enrich.clean_downloads(r.downloads, require_numeric_price=True)
-    out = enrich.left_join_downloads(serving_songs(r, top_k), records)
-    return out.select(*SERVING_COLUMNS)
+    records = audit.observed(enrich.clean_downloads(r.downloads, require_numeric_price=True),
+                             "download_records", observe)
+    out = enrich.left_join_downloads(serving_songs(r, top_k, observe), records)
+    return audit.observed(out.select(*SERVING_COLUMNS), "serving_features", observe)
 
 
 # ---- Q2 ------------------------------------------------------------------------------
 
-def wide_songs(r: Roles, top_k: int = terms.DEFAULT_TOP_K) -> DataFrame:
-    """Flow B up to the genre join."""
-    songs = enrich.clean_song_info_wide(r.song_info)
-    s = enrich.left_join_play_count(songs, r.play_count)
-    s = enrich.inner_join_song_count(s, enrich.artist_song_count(songs))
-    s = enrich.left_join_weight_freq(s, enrich.artist_weight_freq(r.term_scores))
-    s = enrich.left_join_similar_count(s, enrich.similar_artist_count(r.similar_artists))
-    s = enrich.left_join_likes(s, r.likes)
+def wide_songs(r: Roles, top_k: int = terms.DEFAULT_TOP_K,
+               observe: dict | None = None) -> DataFrame:
+    """Flow B up to the genre join (``observe``: row count per stage, see above)."""
+    ob = audit.observed
+    songs = ob(enrich.clean_song_info_wide(r.song_info), "songs", observe)
+    s = ob(enrich.left_join_play_count(songs, r.play_count), "with_plays", observe)
+    s = ob(enrich.inner_join_song_count(s, enrich.artist_song_count(songs)),
+           "with_song_count", observe)
+    s = ob(enrich.left_join_weight_freq(s, enrich.artist_weight_freq(r.term_scores)),
+           "with_weight_freq", observe)
+    s = ob(enrich.left_join_similar_count(s, enrich.similar_artist_count(r.similar_artists)),
+           "with_similar", observe)
+    s = ob(enrich.left_join_likes(s, r.likes), "with_likes", observe)
     # Flow B ranks terms on the raw hotness: non-numbers are skipped by the mean.
     raw = r.song_info.select("artist_id", to_double("artist_hotttnesss").alias("raw_hotness"))
     genre = terms.genre_match_from_songs(r.artist_terms, raw, "raw_hotness", top_k)
-    return terms.inner_join_genre_match(s, genre)
+    return ob(terms.inner_join_genre_match(s, genre), "with_genre", observe)
 
 
 def wide_features(r: Roles, top_k: int = terms.DEFAULT_TOP_K, sort: bool = False) -> DataFrame:
@@ -152,10 +162,12 @@ def train_and_evaluate(wide: DataFrame, feature_indexes=model.DEFAULT_FEATURE_IN
     return fitted, preds, model.evaluate_splits(preds)
 
 
-def wide_features_with_artist(r: Roles, top_k: int = terms.DEFAULT_TOP_K) -> DataFrame:
+def wide_features_with_artist(r: Roles, top_k: int = terms.DEFAULT_TOP_K,
+                              observe: dict | None = None) -> DataFrame:
     """Q2 plus the artist key, for the artist-disjoint split of Q3."""
     records = enrich.clean_downloads(r.downloads, require_numeric_price=False)
-    j = enrich.inner_join_downloads(wide_songs(r, top_k), records)
+    j = audit.observed(enrich.inner_join_downloads(wide_songs(r, top_k, observe), records),
+                       "with_downloads", observe)
     j = j.withColumn("popularity", popularity_log10(
         "artist_familiarity", "song_count", "similar_artist_count"))
     j = j.withColumn("year", non_numeric_to_zero("year"))
