@@ -116,5 +116,15 @@ def test_command_line_jobs(spark, scratch):
     assert rows["nobody;x"]["match_level"] == "global"
     assert all(v["prediction_int"] is not None for v in rows.values())
     assert [x[0] for x in spark.read.text(sc["rejected"]).collect()] == ["junk"]
+    req_dir = os.path.join(scratch, "req-stream")
+    os.makedirs(req_dir)
+    with open(os.path.join(req_dir, "batch1.txt"), "w") as f:
+        f.write(f"{known['artist_name']};{known['title']}\nnobody;x\njunk\n")
+    st = main(["score-stream", "--requests-dir", req_dir, "--features", got["features"],
+               "--means", got["means"], "--model", got["scoring_model"],
+               "--out", os.path.join(scratch, "stream-out"),
+               "--checkpoint", os.path.join(scratch, "stream-ckpt"), "--available-now"])
+    streamed = {r["request_line"]: r["prediction_int"] for r in spark.read.parquet(st["scores"]).collect()}
+    assert streamed == {k: int(v["prediction_int"]) for k, v in rows.items()}
     ex = main(["explore", "--wide", got["wide"], "--out", os.path.join(scratch, "explore")])
     assert spark.read.option("header", "true").csv(ex["summary"]).count() == 16

@@ -5,6 +5,8 @@
   python -m tunelift train --wide DIR --out DIR [--trees 30] [--depth 8] [--features 0,1,6,13]
   python -m tunelift score --requests F --features DIR --means DIR --model DIR --out DIR
   python -m tunelift explore --wide DIR --out DIR
+  python -m tunelift score-stream --requests-dir DIR --features DIR --means DIR --model DIR \
+      --out DIR --checkpoint DIR [--available-now]
 
 Under spark-submit the master comes from the submit command (``--master`` here is for
 local runs).
@@ -41,6 +43,11 @@ def _parser() -> argparse.ArgumentParser:
     s = sub.add_parser("score", help="score request lines artist;title")
     for name in ("requests", "features", "means", "model", "out"):
         s.add_argument(f"--{name}", required=True)
+    ss = sub.add_parser("score-stream", help="score request files as they arrive (streaming)")
+    for name in ("requests-dir", "features", "means", "model", "out", "checkpoint"):
+        ss.add_argument(f"--{name}", required=True)
+    ss.add_argument("--available-now", action="store_true",
+                    help="process the files present now, then stop")
     e = sub.add_parser("explore", help="means, medians, correlations, clusters, histograms")
     e.add_argument("--wide", required=True)
     e.add_argument("--out", required=True)
@@ -69,6 +76,21 @@ def main(argv: list[str] | None = None) -> dict:
         scores.select("request_line", "match_level", "prediction_int") \
               .write.mode("overwrite").option("header", "true").csv(out["scores"])
         rejected.write.mode("overwrite").text(out["rejected"])
+    elif args.cmd == "score-stream":
+        from pyspark.sql import functions as F
+
+        from .sources import readers, writers
+        from .streaming import scoring
+        accepted, _ = scoring.request_stream(spark, args.requests_dir)
+        accepted = accepted.withColumn("request_line", F.concat_ws(";", "artist", "title"))
+        features = readers.read_delimited(spark, args.features, jobs.SERVING_SCHEMA, ",")
+        means = readers.read_delimited(spark, args.means, jobs.MEANS_SCHEMA, ",")
+        scores = scoring.stream_scores(accepted, features, writers.load_model(args.model), means)
+        q = scoring.start_parquet_sink(
+            scores.select("request_line", "match_level", "prediction", "prediction_int"),
+            args.out, args.checkpoint, available_now=args.available_now)
+        q.awaitTermination()
+        out = {"scores": args.out}
     else:
         report = jobs.explore_job(jobs.read_wide(spark, args.wide))
         out = {}
