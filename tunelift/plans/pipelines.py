@@ -111,14 +111,17 @@ def wide_songs(r: Roles, top_k: int = terms.DEFAULT_TOP_K,
     """Flow B up to the genre join (``observe``: row count per stage, see above)."""
     ob = audit.observed
     songs = ob(enrich.clean_song_info_wide(r.song_info), "songs", observe)
+    # Song-keyed joins first, then the four artist-keyed ones back to back: when the
+    # per-artist tables are too big to broadcast, consecutive sort-merge joins on
+    # artist_id share one partitioning of the songs (one shuffle instead of two).
     s = ob(enrich.left_join_play_count(songs, r.play_count), "with_plays", observe)
+    s = ob(enrich.left_join_likes(s, r.likes), "with_likes", observe)
     s = ob(enrich.inner_join_song_count(s, enrich.artist_song_count(songs)),
            "with_song_count", observe)
     s = ob(enrich.left_join_weight_freq(s, enrich.artist_weight_freq(r.term_scores)),
            "with_weight_freq", observe)
     s = ob(enrich.left_join_similar_count(s, enrich.similar_artist_count(r.similar_artists)),
            "with_similar", observe)
-    s = ob(enrich.left_join_likes(s, r.likes), "with_likes", observe)
     # Flow B ranks terms on the raw hotness: non-numbers are skipped by the mean.
     raw = r.song_info.select("artist_id", to_double("artist_hotttnesss").alias("raw_hotness"))
     genre = terms.genre_match_from_songs(r.artist_terms, raw, "raw_hotness", top_k)
