@@ -264,3 +264,28 @@ def test_term_ranking_counts_repeated_rows(spark):
     assert abs(th["x"] - 2 / 3) < 1e-12 and th["y"] == 0.0
     g = {r[0]: r[1] for r in terms.genre_match_from_songs(t, songs, "h", k=1).collect()}
     assert g == {"a": 1, "b": 1}
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_salted_join_left_hot_equals_plain(spark, how):
+    from tunelift.operators.skew import salted_join
+    left_rows = [(i, "k") for i in range(40)] + [(100, "a"), (101, None), (102, "z")]
+    left = spark.createDataFrame(left_rows, "lid int, lk string")
+    right = spark.createDataFrame([("k", 1), ("a", 2), ("b", 3)], "rk string, v int")
+    hot = spark.createDataFrame([("k",), ("z",)], "rk string")   # z is hot but has no partner
+    got = salted_join(left, right, [("lk", "rk")], how, hot=hot, hot_side="left", buckets=4)
+    want = left.join(right, left.lk == right.rk, how)
+    key = lambda r: (r["lid"], -1 if r["v"] is None else r["v"])
+    assert sorted(map(key, got.collect())) == sorted(map(key, want.collect()))
+
+
+def test_hot_artists_salted_in_flows(spark, monkeypatch):
+    from tunelift.operators import skew
+    from tunelift.plans import pipelines as P
+    r = P.Roles.from_test_tables(spark, "/root/testdata/sf0.001")
+    plain = sorted(map(tuple, P.wide_features(r).collect()))
+    plain_q1 = sorted(map(tuple, P.serving_features(r).collect()))
+    monkeypatch.setattr(skew, "HOT_KEY_ROWS", 5)       # every artist with >= 5 songs is hot
+    monkeypatch.setattr(skew.hot_by_count, "__defaults__", (5, skew.HOT_KEY_LIMIT))
+    assert sorted(map(tuple, P.wide_features(r).collect())) == plain
+    assert sorted(map(tuple, P.serving_features(r).collect())) == plain_q1

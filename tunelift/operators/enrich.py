@@ -116,6 +116,29 @@ def left_join_likes(songs: DataFrame, likes: DataFrame) -> DataFrame:
     return fill_missing(out, {"likes": 0})
 
 
+def artist_features(genre: DataFrame, song_counts: DataFrame | None = None,
+                    weight_freq: DataFrame | None = None,
+                    similar_counts: DataFrame | None = None) -> DataFrame:
+    """The per-artist tables combined into one row per artist, before touching songs.
+
+    Same semantics as joining them to the songs one by one (genre match and song count
+    are inner joins, weight*freq and similar count left joins filled with 0), but the
+    combining joins run between small per-artist tables that share their partitioning,
+    and the songs then take a single artist-keyed join.  That join reads two fresh
+    shuffles, so AQE can split a hot artist there; in a chain of joins that reuse one
+    partitioning only the first could be split.
+    """
+    t = genre
+    if song_counts is not None:
+        t = t.join(song_counts, "artist_id", "inner")
+    if weight_freq is not None:
+        t = fill_missing(t.join(weight_freq, "artist_id", "left"), {"weight_dot_freq": 0.0})
+    if similar_counts is not None:
+        t = fill_missing(t.join(similar_counts, "artist_id", "left"),
+                         {"similar_artist_count": 0})
+    return t
+
+
 # ---- download joins (J4, J5) -------------------------------------------------------------
 
 DOWNLOAD_KEYS = [("title", "td_title"), ("artist_name", "td_artist")]

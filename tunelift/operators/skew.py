@@ -35,40 +35,63 @@ def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_KEY_ROWS,
                   .limit(limit).select(*keys))
 
 
+def hot_by_count(counts: DataFrame, key: str, count_col: str, min_rows: int = HOT_KEY_ROWS,
+                 limit: int = HOT_KEY_LIMIT) -> DataFrame:
+    """Hot keys from a table that already holds a row count per key (e.g. songs per
+    artist): no extra pass over the big side."""
+    return (counts.where(F.col(count_col) >= min_rows)
+                  .orderBy(F.col(count_col).desc(), F.col(key)).limit(limit).select(key))
+
+
 def salted_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],
                 how: str = "inner", min_rows: int = HOT_KEY_ROWS,
-                limit: int = HOT_KEY_LIMIT, buckets: int = SALT_BUCKETS) -> DataFrame:
+                limit: int = HOT_KEY_LIMIT, buckets: int = SALT_BUCKETS,
+                hot: DataFrame | None = None, hot_side: str = "right") -> DataFrame:
     """``left.join(right, left.l == right.r for (l, r) in on, how)`` for how in
-    {'inner', 'left'}, with hot right keys salted.
-
-    Both sides are tagged through a broadcast lookup in the hot-key table (no plan is
-    split or computed twice).  A right row of a hot key gets a salt in [0, buckets); a
-    left row of a hot key is replicated once per salt; all other rows use salt 0.  Each
-    (left, right) pair then meets in exactly one bucket.  A hot left replica whose bucket
-    holds no right row is dropped: the key has right rows, so the left row is matched in
-    some other bucket and the left-join result is unchanged.
+    {'inner', 'left'}, with the rows of hot keys spread over ``buckets`` tasks.
+
+    ``hot_side`` names the side whose keys are heavy.  Its rows of a hot key get a salt
+    in [0, buckets); the other side's rows of that key are replicated once per salt;
+    all other rows use salt 0.  Each (left, right) pair meets in exactly one bucket.
+    ``hot`` gives the hot keys (columns named as the right keys, at most ``limit``
+    rows); by default the heaviest keys of the hot side with at least ``min_rows``
+    rows.  Both sides are tagged through a broadcast lookup in that bounded table: no
+    plan is split or computed twice.
+
+    With hot right keys and a left join, a hot left replica whose bucket holds no right
+    row is dropped: the key has right rows, so the left row is matched in some other
+    bucket and the result is unchanged.
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
+    if hot_side not in ("left", "right"):
+        raise ValueError("hot_side is 'left' or 'right'")
     rkeys = [rk for _, rk in on]
-    hot = F.broadcast(hot_keys(right, rkeys, min_rows, limit)
-                      .withColumn("_hot", F.lit(True)))          # at most `limit` rows
+    if hot is None:
+        hot = (hot_keys(right, rkeys, min_rows, limit) if hot_side == "right" else
+               hot_keys(left.select(*[F.col(lk).alias(rk) for lk, rk in on]), rkeys,
+                        min_rows, limit))
+    hot = F.broadcast(hot.select(*rkeys).withColumn("_hot", F.lit(True)))  # <= limit rows
     hot_l = hot.select(*[F.col(rk).alias(f"_hk_{i}") for i, rk in enumerate(rkeys)], "_hot")
 
     lt = left.join(hot_l, [left[lk] == hot_l[f"_hk_{i}"] for i, (lk, _) in enumerate(on)],
                    "left").drop(*[f"_hk_{i}" for i in range(len(on))])
-    ls = lt.withColumn("_salt", F.explode(
-        F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1)))
-         .otherwise(F.array(F.lit(0))))).withColumnRenamed("_hot", "_lhot")
-
     rt = right.join(hot, rkeys, "left")
-    # Any salt assignment gives the same result (each hot left row meets every salt),
-    # so a seeded random salt is safe under task retries and spreads duplicates too.
-    rs = rt.withColumn("_salt", F.when(F.col("_hot"), (F.rand(17) * buckets).cast("int"))
-                                 .otherwise(F.lit(0))).drop("_hot")
+    # A random salt is safe under task retries: the replicated side meets every salt,
+    # so any assignment gives the same result (and duplicates are spread too).
+    spread = F.when(F.col("_hot"), (F.rand(17) * buckets).cast("int")).otherwise(F.lit(0))
+    every = F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1)))
+                       .otherwise(F.array(F.lit(0))))
+    if hot_side == "right":
+        ls = lt.withColumn("_salt", every).withColumnRenamed("_hot", "_lhot")
+        rs = rt.withColumn("_salt", spread).drop("_hot")
+    else:
+        ls = lt.withColumn("_salt", spread).drop("_hot")
+        rs = rt.withColumn("_salt", every).drop("_hot")
 
     cond = [ls[lk] == rs[rk] for lk, rk in on] + [ls["_salt"] == rs["_salt"]]
     out = ls.join(rs, cond, how)
-    if how == "left":
+    if how == "left" and hot_side == "right":
         out = out.where(~(F.coalesce(F.col("_lhot"), F.lit(False)) & rs["_salt"].isNull()))
-    return out.drop(ls["_salt"]).drop(rs["_salt"]).drop("_lhot")
+    out = out.drop(ls["_salt"]).drop(rs["_salt"])
+    return out.drop("_lhot") if "_lhot" in out.columns else out

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import fixed_round, nan_to_null
+from .skew import salted_join
 
 # Means are ranked on their value rounded to this many decimals, so that means equal
 # up to floating-point summation noise count as ties (broken by term).
@@ -75,6 +76,19 @@ def genre_match_from_songs(terms: DataFrame, songs: DataFrame, hotness_col: str,
     return artist_genre_match(terms, top, k)
 
 
-def inner_join_genre_match(songs: DataFrame, genre: DataFrame) -> DataFrame:
-    """Songs inner join the genre match; songs whose artist has no terms are dropped."""
-    return songs.join(genre, "artist_id", "inner")
+def inner_join_genre_match(songs: DataFrame, genre: DataFrame,
+                           hot_artists: DataFrame | None = None) -> DataFrame:
+    """Songs inner join the genre match (or the combined per-artist table); songs
+    whose artist has no terms are dropped.
+
+    ``hot_artists`` (artist_id, at most ``skew.HOT_KEY_LIMIT`` rows) spreads the songs of
+    those artists over several tasks (``skew.salted_join``, hot side left): one artist
+    may hold a large share of all songs, and this join's per-artist side is not a
+    plain shuffle, so AQE could not split it."""
+    if hot_artists is None:
+        return songs.join(genre, "artist_id", "inner")
+    g = genre.withColumnRenamed("artist_id", "_g_artist_id")
+    hot = hot_artists.select(F.col("artist_id").alias("_g_artist_id"))
+    out = salted_join(songs, g, [("artist_id", "_g_artist_id")], "inner", hot=hot,
+                      hot_side="left")
+    return out.drop("_g_artist_id")

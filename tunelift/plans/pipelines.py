@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import (non_numeric_to_zero, popularity_log10, reorder,
                                  threshold_filter, to_double)
-from ..operators import audit, enrich, explore, lookup, model, terms
+from ..operators import audit, enrich, explore, lookup, model, skew, terms
 from ..session import materialize
 from . import bindings
 
@@ -88,10 +88,14 @@ def serving_songs(r: Roles, top_k: int = terms.DEFAULT_TOP_K,
     ``observe`` (a dict) collects a row count per stage during the caller's action."""
     songs = audit.observed(enrich.clean_song_info_serving(r.song_info), "songs", observe)
     s = enrich.left_join_play_count(songs, r.play_count)
-    s = enrich.left_join_similar_count(s, enrich.similar_artist_count(r.similar_artists))
     # Flow A ranks terms on the cleaned hotness ('NA' counted as 0).
     genre = terms.genre_match_from_songs(r.artist_terms, songs, "artist_hotness", top_k)
-    return audit.observed(terms.inner_join_genre_match(s, genre), "with_genre", observe)
+    per_artist = enrich.artist_features(
+        genre, similar_counts=enrich.similar_artist_count(r.similar_artists))
+    # J2 + J3 as one join of the songs with the combined per-artist table; artists with
+    # very many songs are salted (their song counts come from a cheap partial aggregate)
+    hot = skew.hot_by_count(enrich.artist_song_count(songs), "artist_id", "song_count")
+    return audit.observed(terms.inner_join_genre_match(s, per_artist, hot), "with_genre", observe)
 
 
 def serving_features(r: Roles, top_k: int = terms.DEFAULT_TOP_K,
@@ -111,21 +115,20 @@ def wide_songs(r: Roles, top_k: int = terms.DEFAULT_TOP_K,
     """Flow B up to the genre join (``observe``: row count per stage, see above)."""
     ob = audit.observed
     songs = ob(enrich.clean_song_info_wide(r.song_info), "songs", observe)
-    # Song-keyed joins first, then the four artist-keyed ones back to back: when the
-    # per-artist tables are too big to broadcast, consecutive sort-merge joins on
-    # artist_id share one partitioning of the songs (one shuffle instead of two).
+    # Song-keyed joins first, then one join with all per-artist features.
     s = ob(enrich.left_join_play_count(songs, r.play_count), "with_plays", observe)
     s = ob(enrich.left_join_likes(s, r.likes), "with_likes", observe)
-    s = ob(enrich.inner_join_song_count(s, enrich.artist_song_count(songs)),
-           "with_song_count", observe)
-    s = ob(enrich.left_join_weight_freq(s, enrich.artist_weight_freq(r.term_scores)),
-           "with_weight_freq", observe)
-    s = ob(enrich.left_join_similar_count(s, enrich.similar_artist_count(r.similar_artists)),
-           "with_similar", observe)
     # Flow B ranks terms on the raw hotness: non-numbers are skipped by the mean.
     raw = r.song_info.select("artist_id", to_double("artist_hotttnesss").alias("raw_hotness"))
     genre = terms.genre_match_from_songs(r.artist_terms, raw, "raw_hotness", top_k)
-    return ob(terms.inner_join_genre_match(s, genre), "with_genre", observe)
+    per_artist = enrich.artist_features(
+        genre, song_counts=enrich.artist_song_count(songs),
+        weight_freq=enrich.artist_weight_freq(r.term_scores),
+        similar_counts=enrich.similar_artist_count(r.similar_artists))
+    # J6, J7, J2 and J3 as one join of the songs with the combined per-artist table;
+    # artists with very many songs (per the table's own song_count) are salted
+    hot = skew.hot_by_count(per_artist, "artist_id", "song_count")
+    return ob(terms.inner_join_genre_match(s, per_artist, hot), "with_genre", observe)
 
 
 def wide_features(r: Roles, top_k: int = terms.DEFAULT_TOP_K, sort: bool = False) -> DataFrame:
