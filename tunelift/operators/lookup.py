@@ -12,10 +12,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import AVERAGED_CONFIDENCE, clean_key, mean_of
+from . import skew
 
 FEATURES = ["td_confidence", "artist_hotness", "song_hotness", "td_meanPrice"]
 NUMERIC_FEATURES = ["artist_hotness", "song_hotness", "td_meanPrice"]
 LEVELS = ["exact", "artist", "title", "global"]
+# Stands for a missing key in the join back (a cleaned key holds only [a-z0-9]).
+NULL_KEY = "\u0000"
 
 
 def global_means(features: DataFrame) -> DataFrame:
@@ -69,7 +72,8 @@ def lookup_cascade(requests: DataFrame, features: DataFrame,
     # shuffled once for the join back instead of once per level.  A streaming table
     # resolves its rows directly (a distinct would need streaming state).
     dedupe = not requests.isStreaming
-    probe = r.select("_k_artist", "_k_title").distinct() if dedupe else r
+    probe = (r.groupBy("_k_artist", "_k_title").agg(F.count(F.lit(1)).alias("_n_req"))
+             if dedupe else r)
     j = (probe.join(exact, (F.col("_k_artist") == F.col("e_artist_name"))
                     & (F.col("_k_title") == F.col("e_title")), "left")
               .join(by_artist, F.col("_k_artist") == F.col("a_artist_name"), "left")
@@ -94,8 +98,19 @@ def lookup_cascade(requests: DataFrame, features: DataFrame,
     if not dedupe:
         return j.select(*keep, chosen.alias("_m")).select(*keep, *picked)
     resolved = (j.select(F.col("_k_artist").alias("_ra"), F.col("_k_title").alias("_rt"),
-                         chosen.alias("_m"))
-                 .select("_ra", "_rt", *picked))
-    back = r.join(resolved, F.col("_k_artist").eqNullSafe(F.col("_ra"))
-                  & F.col("_k_title").eqNullSafe(F.col("_rt")), "left")
+                         "_n_req", chosen.alias("_m"))
+                 .select("_ra", "_rt", "_n_req", *picked))
+    # Join the answers back.  Null keys are mapped to a sentinel so that the join is a
+    # plain equi-join (every request has exactly one resolved row).  Request pairs with
+    # very many requests are salted: the resolved side is the output of joins, not a
+    # plain shuffle, so AQE could not split a hot pair here.
+    hot = skew.hot_by_count(resolved, ["_ra", "_rt"], "_n_req")
+    rq = (r.withColumn("_ba", F.coalesce("_k_artist", F.lit(NULL_KEY)))
+           .withColumn("_bt", F.coalesce("_k_title", F.lit(NULL_KEY))))
+    rv = (resolved.withColumn("_ra", F.coalesce("_ra", F.lit(NULL_KEY)))
+                  .withColumn("_rt", F.coalesce("_rt", F.lit(NULL_KEY))))
+    hot = hot.select(F.coalesce("_ra", F.lit(NULL_KEY)).alias("_ra"),
+                     F.coalesce("_rt", F.lit(NULL_KEY)).alias("_rt"))
+    back = skew.salted_join(rq, rv, [("_ba", "_ra"), ("_bt", "_rt")], "inner", hot=hot,
+                            hot_side="left")
     return back.select(*keep, "match_level", *FEATURES)

@@ -35,12 +35,14 @@ def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_KEY_ROWS,
                   .limit(limit).select(*keys))
 
 
-def hot_by_count(counts: DataFrame, key: str, count_col: str, min_rows: int = HOT_KEY_ROWS,
-                 limit: int = HOT_KEY_LIMIT) -> DataFrame:
+def hot_by_count(counts: DataFrame, key: str | Sequence[str], count_col: str,
+                 min_rows: int = HOT_KEY_ROWS, limit: int = HOT_KEY_LIMIT) -> DataFrame:
     """Hot keys from a table that already holds a row count per key (e.g. songs per
     artist): no extra pass over the big side."""
+    keys = [key] if isinstance(key, str) else list(key)
     return (counts.where(F.col(count_col) >= min_rows)
-                  .orderBy(F.col(count_col).desc(), F.col(key)).limit(limit).select(key))
+                  .orderBy(F.col(count_col).desc(), *[F.col(k) for k in keys])
+                  .limit(limit).select(*keys))
 
 
 def salted_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],
