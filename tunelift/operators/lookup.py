@@ -31,13 +31,15 @@ def global_means(features: DataFrame) -> DataFrame:
 
 
 def group_mean_or_single(features: DataFrame, keys: list[str]) -> DataFrame:
-    """Per key, the single row as is, or the means with confidence 3 when several."""
+    """Per key, the single row as is, or the means with confidence 3 when several
+    (means skip NaN; a single row keeps its own values)."""
     n = F.count(F.lit(1))
     return features.groupBy(*keys).agg(
         n.alias("n_matches"),
         F.when(n == 1, F.max(F.col("td_confidence").cast("double")))
          .otherwise(F.lit(AVERAGED_CONFIDENCE)).alias("td_confidence"),
-        *[mean_of(c).alias(c) for c in NUMERIC_FEATURES])
+        *[F.when(n == 1, F.max(F.col(c).cast("double"))).otherwise(mean_of(c)).alias(c)
+          for c in NUMERIC_FEATURES])
 
 
 def _level_struct(prefix: str, level: str) -> F.Column:
