@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-from tunelift.plans import pipelines as P
+from tunelift.plans import flows as P
 
 SONG_INFO = """song_id;track_id;artist_id;artist_name;title;artist_hotttnesss;artist_familiarity;loudness;tempo;duration;song_hotttnesss;year;extra
 S1;T1;A1;The Band!;Song One;0.5;0.6;-5;120;200;0.7;2001;x

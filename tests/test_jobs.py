@@ -3,7 +3,7 @@
 import os
 
 from tunelift.plans import jobs
-from tunelift.plans.pipelines import Roles
+from tunelift.plans.flows import Roles
 from conftest import SF_SMALL
 
 
@@ -41,7 +41,7 @@ def test_jobs_end_to_end(spark, scratch):
 
 def test_stage_counts_observed_in_one_write(spark, scratch):
     from tunelift.operators import audit, enrich
-    from tunelift.plans import pipelines as P
+    from tunelift.plans import flows as P
     r = Roles.from_test_tables(spark, SF_SMALL)
     out = jobs.serving_job(r, os.path.join(scratch, "serving"))
     got = {row["stage"]: int(row["rows"]) for row in

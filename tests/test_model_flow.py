@@ -5,7 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from tunelift.operators import model
-from tunelift.plans import pipelines as P
+from tunelift.plans import flows as P
 from tunelift.sources import writers
 from conftest import SF_SMALL
 

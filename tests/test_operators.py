@@ -124,7 +124,7 @@ def test_mark_categorical_maps_unknown(spark):
 
 def test_left_joins_keep_row_count(spark):
     import __spark_entry__  # noqa: F401
-    from tunelift.plans.pipelines import Roles
+    from tunelift.plans.flows import Roles
     r = Roles.from_test_tables(spark, "/root/testdata/sf0.001")
     songs = enrich.clean_song_info_wide(r.song_info)
     n = songs.count()
@@ -192,7 +192,7 @@ def test_salted_join_equals_plain_join(spark, how):
 
 
 def test_download_joins_salted_equal_plain(spark):
-    from tunelift.plans.pipelines import Roles, serving_songs, wide_songs
+    from tunelift.plans.flows import Roles, serving_songs, wide_songs
     r = Roles.from_test_tables(spark, "/root/testdata/sf0.001")
     rec_a = enrich.clean_downloads(r.downloads)
     songs = serving_songs(r)
@@ -281,7 +281,7 @@ def test_salted_join_left_hot_equals_plain(spark, how):
 
 def test_hot_artists_salted_in_flows(spark, monkeypatch):
     from tunelift.operators import skew
-    from tunelift.plans import pipelines as P
+    from tunelift.plans import flows as P
     r = P.Roles.from_test_tables(spark, "/root/testdata/sf0.001")
     plain = sorted(map(tuple, P.wide_features(r).collect()))
     plain_q1 = sorted(map(tuple, P.serving_features(r).collect()))

@@ -3,7 +3,7 @@
 import os
 
 from tunelift.operators import lookup
-from tunelift.plans.pipelines import Roles, serving_features
+from tunelift.plans.flows import Roles, serving_features
 from tunelift.session import materialize
 from tunelift.sources.readers import parse_requests
 from tunelift.streaming import scoring
@@ -35,7 +35,7 @@ def test_stream_scores_to_parquet_sink_exactly_once(spark, scratch):
     from pyspark.sql import functions as F
 
     from tunelift.operators import model
-    from tunelift.plans.pipelines import scoring_training_view, wide_features
+    from tunelift.plans.flows import scoring_training_view, wide_features
 
     r = Roles.from_test_tables(spark, SF_SMALL)
     features = materialize(serving_features(r), "features-stream")

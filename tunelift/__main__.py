@@ -20,7 +20,7 @@ import os
 import sys
 
 from .plans import jobs
-from .plans.pipelines import Roles
+from .plans.flows import Roles
 from .session import build_session
 
 

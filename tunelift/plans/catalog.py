@@ -18,7 +18,7 @@ from ..operators import audit, enrich, explore, lookup, model, terms
 from ..session import apply_session_settings, materialize, scratch_path
 from ..sources import readers, writers
 from . import bindings as B
-from . import pipelines as P
+from . import flows as P
 from .oracle import WIDE, clean, num0, ordinal, rounded, split_bucket, with_fragments
 
 QueryFn = Callable[[SparkSession, str], DataFrame]

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..operators import audit, explore, lookup, model
 from ..session import materialize
 from ..sources import readers, writers
-from . import pipelines as P
+from . import flows as P
 
 SERVING_SCHEMA = ("artist_name string, title string, td_confidence int, artist_hotness double, "
                   "song_hotness double, td_meanPrice double, has_download_record boolean")
