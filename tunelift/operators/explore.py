@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 from ..functions.columns import mean_of, popularity_ln
 from ..session import materialize
 
+# --- fixed values that must equal the reference ----------------------------------
 # Exploration keeps rows with confidence above this value.
 CONFIDENCE_THRESHOLD = 1
-# Library default cluster count of the k-means the reference calls.
+# Cluster count of the k-means used (the library default of the original script).
 KMEANS_K = 8
+# ---------------------------------------------------------------------------------
 # Relative error used by the approximate median (``exact=False``).
 APPROX_ACCURACY = 100_000
 # Exact median by distributed selection: histogram buckets per round, and the largest

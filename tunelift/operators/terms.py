@@ -14,12 +14,15 @@ from pyspark.sql import functions as F
 from ..functions.columns import fixed_round, nan_to_null
 from .skew import salted_join
 
+# --- fixed values that must equal the reference ----------------------------------
+# Number of top terms an artist's terms are matched against.
+DEFAULT_TOP_K = 1000
+# ---------------------------------------------------------------------------------
 # Means are ranked on their value rounded to this many decimals, so that means equal
 # up to floating-point summation noise count as ties (broken by term).
 RANK_DIGITS = 9
 # Largest k whose top-k table is broadcast; a top-k result never exceeds k rows.
 MAX_BROADCAST_TOP_K = 1_000_000
-DEFAULT_TOP_K = 1000
 
 
 def artist_hotness_totals(songs: DataFrame, hotness_col: str) -> DataFrame:
