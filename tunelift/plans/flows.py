@@ -91,11 +91,13 @@ def serving_songs(r: Roles, top_k: int = terms.DEFAULT_TOP_K,
     # Flow A ranks terms on the cleaned hotness ('NA' counted as 0).
     genre = terms.genre_match_from_songs(r.artist_terms, songs, "artist_hotness", top_k)
     per_artist = enrich.artist_features(
-        genre, similar_counts=enrich.similar_artist_count(r.similar_artists))
+        genre, song_counts=enrich.artist_song_count(songs),
+        similar_counts=enrich.similar_artist_count(r.similar_artists))
     # J2 + J3 as one join of the songs with the combined per-artist table; artists with
-    # very many songs are salted (their song counts come from a cheap partial aggregate)
-    hot = skew.hot_by_count(enrich.artist_song_count(songs), "artist_id", "song_count")
-    return audit.observed(terms.inner_join_genre_match(s, per_artist, hot), "with_genre", observe)
+    # very many songs (per the table's song_count) are salted
+    hot = skew.hot_by_count(per_artist, "artist_id", "song_count")
+    out = terms.inner_join_genre_match(s, per_artist, hot).drop("song_count")
+    return audit.observed(out, "with_genre", observe)
 
 
 def serving_features(r: Roles, top_k: int = terms.DEFAULT_TOP_K,
