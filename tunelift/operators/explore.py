@@ -9,7 +9,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import mean_of, popularity_ln
+from ..functions.columns import mean_of, nan_to_null, popularity_ln
 from ..session import materialize
 
 # --- fixed values that must equal the reference ----------------------------------
@@ -48,27 +48,41 @@ def mean_median(df: DataFrame, cols: Sequence[str], method: str = "select") -> D
 
 def _summary(df: DataFrame, cols: Sequence[str], label: str | None, method: str,
              stored: bool = False) -> DataFrame:
-    if method == "select" and not stored:
-        df = materialize(df.select(*cols, *([label] if label else [])), "summary-input")
-    aggs, fields = [], {"mean": ""}
     y = F.col(label).cast("double") if label else None
+    if method == "select":
+        # One aggregate job gives the means, r and every column's (count, min, max) for
+        # the median selection; the result has one row per column, built from it.
+        base = df if stored else materialize(
+            df.select(*cols, *([label] if label else [])), "summary-input")
+        aggs = []
+        for c in cols:
+            x = F.col(c).cast("double")
+            v = nan_to_null(x)
+            aggs += [mean_of(x).alias(f"mean__{c}"), F.count(v).alias(f"n__{c}"),
+                     F.min(v).alias(f"lo__{c}"), F.max(v).alias(f"hi__{c}")]
+            if label:
+                aggs.append(F.try_divide(F.covar_pop(x, y),
+                                         F.stddev_pop(x) * F.stddev_pop(y)).alias(f"r__{c}"))
+        row = base.agg(*aggs).first()
+        medians = select_medians(stack_columns(base, cols),
+                                 {c: (row[f"n__{c}"], row[f"lo__{c}"], row[f"hi__{c}"])
+                                  for c in cols})
+        rows = [(c, row[f"mean__{c}"], medians.get(c), *([row[f"r__{c}"]] if label else []))
+                for c in cols]
+        schema = "feature string, mean double, median double" + (", r double" if label else "")
+        return base.sparkSession.createDataFrame(rows, schema)
+    aggs, fields = [], {"mean": "", "median": ""}
     for c in cols:
         x = F.col(c).cast("double")
-        aggs.append(mean_of(x).alias(f"mean__{c}"))
-        if method != "select":
-            med = F.median(x) if method == "percentile" else \
-                F.percentile_approx(x, 0.5, APPROX_ACCURACY)
-            aggs.append(med.cast("double").alias(f"median__{c}"))
+        med = F.median(x) if method == "percentile" else \
+            F.percentile_approx(x, 0.5, APPROX_ACCURACY)
+        aggs += [mean_of(x).alias(f"mean__{c}"), med.cast("double").alias(f"median__{c}")]
         if label:
             aggs.append(F.try_divide(F.covar_pop(x, y),
                                      F.stddev_pop(x) * F.stddev_pop(y)).alias(f"r__{c}"))
-    if method != "select":
-        fields["median"] = ""
     if label:
         fields["r"] = ""
     out = _long(df.agg(*aggs), cols, fields)
-    if method == "select":
-        out = out.join(exact_median(df, cols, stored=True), "feature")
     return out.select("feature", "mean", "median", *(["r"] if label else []))
 
 
@@ -95,14 +109,24 @@ def exact_median(df: DataFrame, cols: Sequence[str], stored: bool = False) -> Da
     spark = df.sparkSession
     base = df if stored else materialize(df.select(*cols), "median-input")
     st = stack_columns(base, cols)
-    stats = st.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"),
-                                      F.max("x").alias("hi")).collect()
-    counts = {r["feature"]: r["n"] for r in stats}
+    stats = {r["feature"]: (r["n"], r["lo"], r["hi"]) for r in
+             st.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"),
+                                       F.max("x").alias("hi")).collect()}
+    medians = select_medians(st, stats)
+    return spark.createDataFrame([(c, medians.get(c)) for c in cols],
+                                 "feature string, median double")
+
+
+def select_medians(st: DataFrame, stats: dict[str, tuple]) -> dict[str, float | None]:
+    """The selection rounds of ``exact_median`` over stacked (feature, x) rows, given each
+    feature's (non-NaN value count, min, max)."""
+    spark = st.sparkSession
     # open ranges: (feature, rank) -> [lo, hi, values below lo, values in range]
     open_: dict[tuple[str, int], list] = {}
-    for r in stats:
-        for k in {(r["n"] - 1) // 2, r["n"] // 2}:
-            open_[(r["feature"], k)] = [r["lo"], r["hi"], 0, r["n"]]
+    for f, (n, lo, hi) in stats.items():
+        if n:
+            for k in {(n - 1) // 2, n // 2}:
+                open_[(f, k)] = [lo, hi, 0, n]
     done: dict[tuple[str, int], float] = {}
 
     def ranges_df(keys):
@@ -149,12 +173,12 @@ def exact_median(df: DataFrame, cols: Sequence[str], stored: bool = False) -> Da
                     open_[key] = [r["bmin"], r["bmax"], seen, r["n"]]
                     break
                 seen += r["n"]
-    medians = {}
-    for f, n in counts.items():
-        a, c = done[(f, (n - 1) // 2)], done[(f, n // 2)]
-        medians[f] = a + (c - a) * 0.5
-    rows = [(c, medians.get(c)) for c in cols]
-    return spark.createDataFrame(rows, "feature string, median double")
+    medians: dict[str, float | None] = {}
+    for f, (n, _, _) in stats.items():
+        if n:
+            a, c = done[(f, (n - 1) // 2)], done[(f, n // 2)]
+            medians[f] = a + (c - a) * 0.5
+    return medians
 
 
 def correlation_with_label(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
