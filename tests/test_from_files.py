@@ -103,7 +103,7 @@ def test_command_line_jobs(spark, scratch):
     tr = main(["train", "--wide", got["wide"], "--out", os.path.join(scratch, "train"),
                "--trees", "5", "--depth", "4"])
     assert os.path.isdir(tr["model"])
-    assert spark.read.option("sep", ";").csv(tr["metrics"]).count() == 10
+    assert spark.read.option("sep", ";").csv(tr["metrics"]).count() == 12
     known = feats.first()
     req = os.path.join(scratch, "req.txt")
     with open(req, "w") as f:

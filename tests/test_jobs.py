@@ -16,7 +16,7 @@ def test_jobs_end_to_end(spark, scratch):
 
     out = jobs.training_job(wide, os.path.join(scratch, "train"), num_trees=5, max_depth=4)
     metrics = spark.read.option("sep", ";").csv(out["metrics"]).collect()
-    assert {row[0] for row in metrics} == {"test", "train"} and len(metrics) == 10
+    assert {row[0] for row in metrics} == {"test", "train"} and len(metrics) == 12
     assert spark.read.parquet(out["predictions"]).count() == wide.count()
 
     model_path = jobs.scoring_model(wide, os.path.join(scratch, "scoring-model"), 5, 4)

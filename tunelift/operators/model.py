@@ -146,7 +146,8 @@ def evaluate_splits(predictions: DataFrame, label: str = "label",
 
 def metrics_long(metrics: DataFrame) -> DataFrame:
     """Metrics in long form (split, metric, value) for the metrics sink."""
-    names = ["mse", "rmse", "r2", "mae", "explained_variance"]
+    names = [m for m in ["mse_direct", "mse", "rmse", "r2", "mae", "explained_variance"]
+             if m in metrics.columns]
     return metrics.select(
         "split",
         F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value"))
