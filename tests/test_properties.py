@@ -130,3 +130,45 @@ def test_lookup_cascade_matches_brute_force(spark, feats, reqs):
                 assert abs(g - w) < 1e-9, (k, got[k], want[k])
             else:
                 assert g == w, (k, got[k], want[k])
+
+
+def _round9(x):
+    import math
+    return math.floor(math.floor(x * 1e12 + 0.5) / 1e12 * 1e9 + 0.5) / 1e9
+
+
+def _model_genre(term_rows, songs, k):
+    """Brute force: term means over every (term row, song) pair, top k, distinct matches."""
+    by_artist = {}
+    for a, h in songs:
+        by_artist.setdefault(a, []).append(h)
+    vals = {}
+    for a, t in term_rows:
+        if a in by_artist:
+            vals.setdefault(t, []).extend(h for h in by_artist[a] if h is not None and h == h)
+    means = {t: (sum(v) / len(v) if v else None) for t, v in vals.items()}
+    ranked = sorted(means, key=lambda t: (means[t] is None,
+                                          -_round9(means[t]) if means[t] is not None else 0, t))
+    top = set(ranked[:k])
+    out = {}
+    for a, t in set(term_rows):
+        out.setdefault(a, set())
+        if t in top:
+            out[a].add(t)
+    return {a: len(ts) for a, ts in out.items()}
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["a1", "a2", "a3", "a4"]),
+                          st.sampled_from(["rock", "pop", "jazz", "folk", "punk"])),
+                min_size=1, max_size=15),
+       st.lists(st.tuples(st.sampled_from(["a1", "a2", "a3"]),
+                          st.sampled_from([0.1, 0.5, 0.9, None, float("nan")])),
+                min_size=0, max_size=12),
+       st.integers(1, 4))
+def test_genre_match_matches_brute_force(spark, term_rows, songs, k):
+    from tunelift.operators import terms
+    t = spark.createDataFrame(term_rows, "artist_id string, artist_term string")
+    s = spark.createDataFrame(songs, "artist_id string, h double")
+    got = {r[0]: r[1] for r in terms.genre_match_from_songs(t, s, "h", k).collect()}
+    assert got == _model_genre(term_rows, songs, k)
