@@ -52,3 +52,17 @@ def test_stage_counts_observed_in_one_write(spark, scratch):
         ("download_records", enrich.clean_downloads(r.downloads)),
         ("serving_features", P.serving_features(r))]).collect()}
     assert got == want
+
+
+def test_training_with_separate_test_table(spark, scratch):
+    from pyspark.sql import functions as F
+    from tunelift.operators import model
+    from tunelift.plans import flows as P
+    r = Roles.from_test_tables(spark, SF_SMALL)
+    wide = P.wide_features_with_artist(r)
+    labelled = model.artist_disjoint_split(wide, "artist_key", 30)
+    train = labelled.where(F.col("split") == "train").drop("split")
+    test = labelled.where(F.col("split") == "test").drop("split")
+    _, preds, metrics = P.train_and_evaluate(train, num_trees=3, max_depth=3, test=test)
+    n = {row["split"]: row["n"] for row in metrics.collect()}
+    assert n == {"train": train.count(), "test": test.count()}

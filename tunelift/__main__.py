@@ -3,6 +3,7 @@
   python -m tunelift features --song-info F --artist-terms F --similar-artists F \\
       --play-count F --likes F --downloads F --out DIR
   python -m tunelift train --wide DIR --out DIR [--trees 30] [--depth 8] [--features 0,1,6,13]
+      [--test DIR]   (separate held-out table; otherwise an artist-hash split)
   python -m tunelift score --requests F --features DIR --means DIR --model DIR --out DIR
   python -m tunelift explore --wide DIR --out DIR
   python -m tunelift score-stream --requests-dir DIR --features DIR --means DIR --model DIR \
@@ -40,6 +41,8 @@ def _parser() -> argparse.ArgumentParser:
     t.add_argument("--depth", type=int, default=8)
     t.add_argument("--features", default="0,1,6,13", help="wide-table positions")
     t.add_argument("--test-percent", type=int, default=30)
+    t.add_argument("--test", default=None,
+                   help="held-out wide table (then --wide is the training table)")
     s = sub.add_parser("score", help="score request lines artist;title")
     for name in ("requests", "features", "means", "model", "out"):
         s.add_argument(f"--{name}", required=True)
@@ -66,8 +69,9 @@ def main(argv: list[str] | None = None) -> dict:
                                                   os.path.join(args.out, "scoring-model"))
     elif args.cmd == "train":
         idx = [int(x) for x in args.features.split(",") if x.strip()]
+        test = jobs.read_wide(spark, args.test) if args.test else None
         out = jobs.training_job(jobs.read_wide(spark, args.wide), args.out, idx,
-                                args.trees, args.depth, args.test_percent)
+                                args.trees, args.depth, args.test_percent, test=test)
     elif args.cmd == "score":
         scores, rejected = jobs.scoring_job(spark, args.requests, args.features, args.means,
                                             args.model)

@@ -152,17 +152,25 @@ def wide_features(r: Roles, top_k: int = terms.DEFAULT_TOP_K, sort: bool = False
 
 def train_and_evaluate(wide: DataFrame, feature_indexes=model.DEFAULT_FEATURE_INDEXES,
                        num_trees: int = 30, max_depth: int = 8, test_percent: int = 30,
-                       split_key: str = "artist_key"):
+                       split_key: str = "artist_key", test: DataFrame | None = None):
     """Q3: artist-disjoint split, forest on the training rows, metrics per split.
 
-    ``wide`` must carry ``split_key`` (an artist key) beside the contract columns.
+    ``wide`` must carry ``split_key`` (an artist key) beside the contract columns, and is
+    split by a hash of it; or, with ``test``, ``wide`` is the training table and ``test``
+    the held-out one (split beforehand, as two files).
     Returns (model, predictions, metrics); predictions are cached because the metrics,
     the prediction sink and the caller all re-read them.
     """
     cols = model.feature_names(feature_indexes)
+    if test is None:
+        labelled = model.artist_disjoint_split(wide, split_key, test_percent)
+    else:
+        keep = [c for c in wide.columns if c in test.columns]
+        labelled = (wide.select(*keep).withColumn("split", F.lit("train"))
+                    .unionByName(test.select(*keep).withColumn("split", F.lit("test"))))
     # The forest reads its input several times (split candidates, binning) and the
     # predictions read it again: store the split table once instead of recomputing Q2.
-    split = materialize(model.artist_disjoint_split(wide, split_key, test_percent), "q3-input")
+    split = materialize(labelled, "q3-input")
     data = model.prepare(split, cols)
     fitted = model.train_forest(data.where(F.col("split") == "train"), cols,
                                 num_trees=num_trees, max_depth=max_depth)

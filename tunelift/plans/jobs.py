@@ -73,10 +73,12 @@ def read_wide(spark: SparkSession, path: str) -> DataFrame:
 
 def training_job(wide: DataFrame, out_dir: str,
                  feature_indexes: Sequence[int] = model.DEFAULT_FEATURE_INDEXES,
-                 num_trees: int = 30, max_depth: int = 8, test_percent: int = 30) -> dict[str, str]:
-    """Q3 + K3/K4/K5: metrics per split, integer predictions per split, the model."""
+                 num_trees: int = 30, max_depth: int = 8, test_percent: int = 30,
+                 test: DataFrame | None = None) -> dict[str, str]:
+    """Q3 + K3/K4/K5: metrics per split, integer predictions per split, the model.
+    With ``test``, ``wide`` is the training table and ``test`` the held-out one."""
     fitted, preds, metrics = P.train_and_evaluate(wide, feature_indexes, num_trees, max_depth,
-                                                  test_percent)
+                                                  test_percent, test=test)
     paths = {k: _p(out_dir, k) for k in ("metrics", "predictions", "model")}
     writers.write_metrics(model.metrics_long(metrics), paths["metrics"])
     writers.write_predictions(model.prediction_table(preds), paths["predictions"])
