@@ -47,8 +47,17 @@ def _level_struct(prefix: str, level: str) -> F.Column:
                     *[F.col(f"{prefix}{c}").alias(c) for c in FEATURES])
 
 
-def lookup_cascade(requests: DataFrame, features: DataFrame,
-                   means: DataFrame | None = None) -> DataFrame:
+def level_tables(features: DataFrame) -> dict[str, DataFrame]:
+    """The three per-level aggregates (A8 by pair, artist, title) and the global means."""
+    return {"exact": group_mean_or_single(features, ["artist_name", "title"]),
+            "artist": group_mean_or_single(features, ["artist_name"]),
+            "title": group_mean_or_single(features, ["title"]),
+            "means": global_means(features)}
+
+
+def lookup_cascade(requests: DataFrame, features: DataFrame | None,
+                   means: DataFrame | None = None,
+                   levels: dict[str, DataFrame] | None = None) -> DataFrame:
     """One output row per request with the features of the first matching level.
 
     ``requests`` needs ``artist`` and ``title`` (raw text) plus any id columns, which are
@@ -56,15 +65,18 @@ def lookup_cascade(requests: DataFrame, features: DataFrame,
     feature columns.  The global level is a scalar subquery over ``means`` (one row).
 
     Each level is its own aggregate over ``features``, so ``features`` should be a
-    stored table (see ``session.materialize``), not a long plan computed four times.
+    stored table (see ``session.materialize``), not a long plan computed four times;
+    or pass ``levels`` (``level_tables``, stored once), as the streaming scorer does.
     """
-    def level(keys: list[str], prefix: str) -> DataFrame:
-        agg = group_mean_or_single(features, keys)
+    levels = levels or level_tables(features)
+
+    def level(name: str, prefix: str) -> DataFrame:
+        agg = levels[name]
         return agg.select(*[F.col(c).alias(f"{prefix}{c}") for c in agg.columns])
 
-    exact = level(["artist_name", "title"], "e_")
-    by_artist = level(["artist_name"], "a_")
-    by_title = level(["title"], "t_")
+    exact = level("exact", "e_")
+    by_artist = level("artist", "a_")
+    by_title = level("title", "t_")
 
     r = (requests.withColumn("_k_artist", clean_key("artist"))
                  .withColumn("_k_title", clean_key("title")))
@@ -81,7 +93,7 @@ def lookup_cascade(requests: DataFrame, features: DataFrame,
               .join(by_artist, F.col("_k_artist") == F.col("a_artist_name"), "left")
               .join(by_title, F.col("_k_title") == F.col("t_title"), "left"))
 
-    m = means if means is not None else global_means(features)
+    m = means if means is not None else levels["means"]
     g = m.select(F.struct(
         F.lit("global").alias("match_level"),
         F.col("mean_td_confidence").alias("td_confidence"),

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import lookup, model
+from ..session import materialize
 from ..sources.readers import parse_requests
 
 
@@ -25,10 +26,21 @@ def request_stream(spark: SparkSession, request_dir: str, sep: str = ";",
     return parse_requests(reader.text(request_dir), sep)
 
 
+def stored_levels(features: DataFrame, means: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The lookup's per-level aggregates and means, computed once and stored under the
+    shared checkpoint folder.  The static side of a stream-static join is re-planned for
+    every micro-batch, so without this each trigger would re-aggregate the features."""
+    levels = lookup.level_tables(features)
+    if means is not None:
+        levels["means"] = means
+    return {k: materialize(v, f"lookup-{k}") for k, v in levels.items()}
+
+
 def stream_lookup(requests: DataFrame, features: DataFrame,
                   means: DataFrame | None = None) -> DataFrame:
-    """Streaming J10: each request row gets the features of its first matching level."""
-    return lookup.lookup_cascade(requests, features, means)
+    """Streaming J10: each request row gets the features of its first matching level
+    (against level tables stored once)."""
+    return lookup.lookup_cascade(requests, None, levels=stored_levels(features, means))
 
 
 def stream_scores(requests: DataFrame, features: DataFrame, fitted: PipelineModel,
