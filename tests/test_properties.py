@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from tunelift.functions import columns as C
 
 TEXT = st.text(alphabet=st.sampled_from(list("ab;Z9 é#-") + [";", ";"]), max_size=12)
-SETTINGS = settings(max_examples=60, deadline=None,
+SETTINGS = settings(max_examples=60, deadline=None, derandomize=True,
                     suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
@@ -107,7 +107,7 @@ FEATURE_ROW = st.tuples(st.sampled_from(["x", "y", "z"]), st.sampled_from(["p",
 REQUEST = st.tuples(st.sampled_from(["X", "y!", "w", None]), st.sampled_from(["P", "r", None]))
 
 
-@settings(max_examples=25, deadline=None,
+@settings(max_examples=25, deadline=None, derandomize=True,
           suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(FEATURE_ROW, min_size=1, max_size=12), st.lists(REQUEST, min_size=1, max_size=10))
 def test_lookup_cascade_matches_brute_force(spark, feats, reqs):
