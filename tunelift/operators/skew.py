@@ -73,6 +73,11 @@ def salted_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]]
         hot = (hot_keys(right, rkeys, min_rows, limit) if hot_side == "right" else
                hot_keys(left.select(*[F.col(lk).alias(rk) for lk, rk in on]), rkeys,
                         min_rows, limit))
+    elif hot_side == "right" and how == "left":
+        # the left-join rule below needs every hot key to have right rows: keep only
+        # those (the right keys stream past the broadcast list; at most `limit` remain)
+        hot = (right.select(*rkeys).join(F.broadcast(hot.select(*rkeys)), rkeys, "left_semi")
+                    .distinct())
     hot = F.broadcast(hot.select(*rkeys).withColumn("_hot", F.lit(True)))  # <= limit rows
     hot_l = hot.select(*[F.col(rk).alias(f"_hk_{i}") for i, rk in enumerate(rkeys)], "_hot")
 
