@@ -291,11 +291,9 @@ def test_hot_artists_salted_in_flows(spark, monkeypatch):
     assert sorted(map(tuple, P.serving_features(r).collect())) == plain_q1
 
 
-def test_lookup_hot_request_pairs_salted(spark, features, monkeypatch):
-    from tunelift.operators import skew
+def test_lookup_hot_request_pairs_salted(spark, features):
     req_rows = [(i, "A1", "s1") for i in range(30)] + [(100, None, None), (101, "a3", "x")]
     req = spark.createDataFrame(req_rows, "request_id int, artist string, title string")
     plain = sorted(map(tuple, lookup.lookup_cascade(req, features).collect()))
-    monkeypatch.setattr(skew.hot_by_count, "__defaults__", (5, skew.HOT_KEY_LIMIT))
-    salted = sorted(map(tuple, lookup.lookup_cascade(req, features).collect()))
+    salted = sorted(map(tuple, lookup.lookup_cascade(req, features, hot_rows=5).collect()))
     assert salted == plain and len(salted) == 32

@@ -1,9 +1,11 @@
-"""Measure the songs x per-artist join when one artist holds a third of all songs.
+"""Measure the salted joins when one key holds a third of the rows.
 
-The sf0.1 song table is re-keyed so that every third song belongs to one artist (a
-Spark-derived variant of the given tables), broadcasts are switched off (as for large
-per-artist tables on a cluster), and the rows handled by each task of the join stage are
-counted with ``spark_partition_id()`` taken in that stage.
+Three Spark-derived variants of the sf0.1 tables: one artist owning every third song (the
+songs x per-artist join), one (title, artist) key owning every third download record (the
+J4 left join), one request pair making every third request (the lookup's join-back).
+Broadcasts are switched off (as for large tables on a cluster), and the rows handled by
+each task of the join stage are counted with ``spark_partition_id()`` taken in that
+stage, for the plain join and the salted one.
 
 usage: python tools/skew_check.py [sf_dir]
 """
@@ -36,22 +38,51 @@ def main() -> None:
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.coalescePartitions.enabled": "false"})
     r = P.Roles.from_test_tables(spark, sf)
+
+    def report(name: str, plain, salted) -> None:
+        for label, df in [("plain", plain), ("salted", salted)]:
+            share, tasks = largest_task_share(df)
+            print(f"{name:34s} {label:6s}: largest task holds {share:6.1%} of "
+                  f"{df.count()} rows ({tasks} tasks)")
+
+    # 1. songs x per-artist join, one artist owning every third song
     hot_id = F.when(F.col("song_id") % 3 == 0, F.lit("Brand#1")).otherwise(F.col("artist_id"))
-    r.song_info = r.song_info.withColumn("artist_id", hot_id).withColumn("artist_name", hot_id)
-    songs = enrich.clean_song_info_wide(r.song_info)
+    info = r.song_info.withColumn("artist_id", hot_id).withColumn("artist_name", hot_id)
+    songs = enrich.clean_song_info_wide(info)
     per_artist = enrich.artist_features(
-        terms.genre_match_from_songs(r.artist_terms, r.song_info.select(
+        terms.genre_match_from_songs(r.artist_terms, info.select(
             "artist_id", F.col("artist_hotttnesss").try_cast("double").alias("h")), "h"),
         song_counts=enrich.artist_song_count(songs))
     n_songs = songs.count()
-    for label, threshold in [("plain join", None), ("salted", max(1, n_songs // 20))]:
-        hot = None if threshold is None else skew.hot_by_count(
-            per_artist, "artist_id", "song_count", min_rows=threshold)
-        joined = terms.inner_join_genre_match(songs, per_artist, hot)
-        share, tasks = largest_task_share(joined)
-        print(f"{label:11s}: largest task holds {share:6.1%} of {joined.count()} joined rows "
-              f"({tasks} tasks)")
+    hot = skew.hot_by_count(per_artist, "artist_id", "song_count", min_rows=max(1, n_songs // 20))
+    report("artist join (hot artist)", terms.inner_join_genre_match(songs, per_artist),
+           terms.inner_join_genre_match(songs, per_artist, hot))
+
+    # 2. J4 left join, one (title, artist) key owning every third download record
+    sv = enrich.clean_song_info_serving(r.song_info)
+    key = sv.select("title", "artist_name").first()
+    rec = enrich.clean_downloads(r.downloads)
+    rec = rec.withColumn("_i", F.monotonically_increasing_id())
+    third = F.col("_i") % 3 == 0
+    rec = (rec.withColumn("td_title", F.when(third, F.lit(key["title"])).otherwise(F.col("td_title")))
+              .withColumn("td_artist", F.when(third, F.lit(key["artist_name"]))
+                          .otherwise(F.col("td_artist"))).drop("_i"))
+    n_rec = rec.count()
+    report("download left join (hot record key)",
+           enrich.left_join_downloads(sv, rec, hot_rows=10 ** 12),
+           enrich.left_join_downloads(sv, rec, hot_rows=max(1, n_rec // 20)))
 
+    # 3. lookup join-back, one request pair making a third of all requests
+    from tunelift.operators import lookup
+    feats = P.serving_features(r)
+    req = r.requests.withColumn("artist", F.when(F.col("request_id") % 3 == 0, F.lit("Brand#1"))
+                                .otherwise(F.col("artist")))
+    req = req.withColumn("title", F.when(F.col("request_id") % 3 == 0, F.lit("hot song"))
+                         .otherwise(F.col("title")))
+    n_req = req.count()
+    report("lookup join-back (hot request pair)",
+           lookup.lookup_cascade(req, feats, hot_rows=10 ** 12),
+           lookup.lookup_cascade(req, feats, hot_rows=max(1, n_req // 20)))
 
 if __name__ == "__main__":
     main()

@@ -57,7 +57,8 @@ def level_tables(features: DataFrame) -> dict[str, DataFrame]:
 
 def lookup_cascade(requests: DataFrame, features: DataFrame | None,
                    means: DataFrame | None = None,
-                   levels: dict[str, DataFrame] | None = None) -> DataFrame:
+                   levels: dict[str, DataFrame] | None = None,
+                   hot_rows: int | None = None) -> DataFrame:
     """One output row per request with the features of the first matching level.
 
     ``requests`` needs ``artist`` and ``title`` (raw text) plus any id columns, which are
@@ -118,7 +119,8 @@ def lookup_cascade(requests: DataFrame, features: DataFrame | None,
     # plain equi-join (every request has exactly one resolved row).  Request pairs with
     # very many requests are salted: the resolved side is the output of joins, not a
     # plain shuffle, so AQE could not split a hot pair here.
-    hot = skew.hot_by_count(resolved, ["_ra", "_rt"], "_n_req")
+    hot = skew.hot_by_count(resolved, ["_ra", "_rt"], "_n_req",
+                            min_rows=skew.HOT_KEY_ROWS if hot_rows is None else hot_rows)
     rq = (r.withColumn("_ba", F.coalesce("_k_artist", F.lit(NULL_KEY)))
            .withColumn("_bt", F.coalesce("_k_title", F.lit(NULL_KEY))))
     rv = (resolved.withColumn("_ra", F.coalesce("_ra", F.lit(NULL_KEY)))
