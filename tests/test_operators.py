@@ -297,3 +297,44 @@ def test_lookup_hot_request_pairs_salted(spark, features):
     plain = sorted(map(tuple, lookup.lookup_cascade(req, features).collect()))
     salted = sorted(map(tuple, lookup.lookup_cascade(req, features, hot_rows=5).collect()))
     assert salted == plain and len(salted) == 32
+
+
+def test_salting_spreads_a_hot_artist(spark):
+    """One artist owning every third song: the plain join gives that third to one task,
+    the salted join spreads it (measured per task of the join stage)."""
+    from tunelift.operators import skew
+    from tunelift.plans.flows import Roles
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.coalescePartitions.enabled": "false",
+                "spark.sql.shuffle.partitions": "32"}
+    old = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        r = Roles.from_test_tables(spark, "/root/testdata/sf0.001")
+        hot_id = F.when(F.col("song_id") % 3 == 0, F.lit("Brand#1")).otherwise(F.col("artist_id"))
+        info = r.song_info.withColumn("artist_id", hot_id)
+        songs = enrich.clean_song_info_wide(info)
+        per_artist = enrich.artist_features(
+            terms.genre_match_from_songs(r.artist_terms, songs, "artist_hotttnesss"),
+            song_counts=enrich.artist_song_count(songs))
+
+        def largest_share(df):
+            counts = [x["count"] for x in df.select(F.spark_partition_id().alias("p"))
+                      .groupBy("p").count().collect()]
+            return max(counts) / sum(counts)
+
+        plain = terms.inner_join_genre_match(songs, per_artist)
+        hot = skew.hot_by_count(per_artist, "artist_id", "song_count", min_rows=30)
+        salted = terms.inner_join_genre_match(songs, per_artist, hot)
+        assert sorted(map(tuple, plain.collect())) == sorted(
+            map(tuple, salted.select(*plain.columns).collect()))
+        assert largest_share(plain) >= 1 / 3
+        assert largest_share(salted) < 0.2
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
