@@ -29,3 +29,13 @@ def test_train_evaluate_and_reload(spark, scratch):
     table = model.prediction_table(preds)
     writers.write_predictions(table, os.path.join(scratch, "pred"))
     assert spark.read.parquet(os.path.join(scratch, "pred")).count() == wide.count()
+
+
+def test_forest_is_seeded(spark):
+    """A fixed seed makes training reproducible."""
+    r = P.Roles.from_test_tables(spark, SF_SMALL)
+    cols = model.feature_names(model.DEFAULT_FEATURE_INDEXES)
+    data = model.prepare(P.wide_features(r), cols)
+    preds = [sorted(x[0] for x in model.train_forest(data, cols, num_trees=5, max_depth=4)
+                    .transform(data).select("prediction").collect()) for _ in range(2)]
+    assert preds[0] == preds[1]
