@@ -33,10 +33,19 @@ def con():
     return c
 
 
+SPARK_TO_DUCKDB = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+                   "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("key", sorted(E.oracle_sql()))
 def test_matches_oracle(spark, con, key):
-    got = E.queries()[key](spark, SF_SMALL).toPandas()
-    want = con.execute(E.oracle_sql()[key]).df()
+    sdf = E.queries()[key](spark, SF_SMALL)
+    rel = con.sql(E.oracle_sql()[key])
+    spark_types = {f.name: SPARK_TO_DUCKDB.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in sdf.schema.fields}
+    assert spark_types == {n: str(t) for n, t in zip(rel.columns, rel.types)}
+    got = sdf.toPandas()
+    want = rel.df()
     gc, gr = _rows(got)
     wc, wr = _rows(want)
     assert gc == wc
