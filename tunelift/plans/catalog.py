@@ -519,6 +519,7 @@ def _p22(spark, d):
     SELECT s.song_id, coalesce(p.play_count, 0) AS play_count
     FROM songs_a s LEFT JOIN play_count p ON s.song_id = p.play_song_id AND s.track_id = p.play_track_id""")
 def _j1(spark, d):
+    """Serving songs left join play counts on (song_id, track_id); missing -> 0."""
     r = roles(spark, d)
     s = enrich.left_join_play_count(enrich.clean_song_info_serving(r.song_info), r.play_count)
     return s.select("song_id", "play_count")
@@ -528,6 +529,7 @@ def _j1(spark, d):
     SELECT s.song_id, s.artist_id, coalesce(c.similar_artist_count, 0) AS similar_artist_count
     FROM songs_a s LEFT JOIN sim_count c ON s.artist_id = c.artist_id""")
 def _j2(spark, d):
+    """Songs left join per-artist similar-artist counts; missing -> 0."""
     r = roles(spark, d)
     s = enrich.left_join_similar_count(enrich.clean_song_info_serving(r.song_info),
                                        enrich.similar_artist_count(r.similar_artists))
@@ -536,6 +538,7 @@ def _j2(spark, d):
 
 @query("inner_join_genre_match", "SELECT song_id, genre_match_count FROM serving_songs")
 def _j3(spark, d):
+    """Serving songs inner join the per-artist genre match (artists without terms dropped)."""
     return P.serving_songs(roles(spark, d)).select("song_id", "genre_match_count")
 
 
@@ -546,6 +549,7 @@ def _j3(spark, d):
     FROM serving_songs s LEFT JOIN dl_a d ON s.title = d.td_title AND s.artist_name = d.td_artist""",
     ["td_meanPrice"]))
 def _j4(spark, d):
+    """Serving songs left join download records on cleaned (title, artist), fan-out kept."""
     r = roles(spark, d)
     rec = enrich.clean_downloads(r.downloads, require_numeric_price=True)
     out = enrich.left_join_downloads(P.serving_songs(r), rec)
@@ -555,6 +559,7 @@ def _j4(spark, d):
 @query("inner_join_downloads_sorted", rounded(
     "SELECT artist_key AS td_artist, td_title, song_id, td_downloads FROM q2w", ["td_downloads"]))
 def _j5(spark, d):
+    """Download records inner join wide songs, globally sorted by artist."""
     r = roles(spark, d)
     rec = enrich.clean_downloads(r.downloads, require_numeric_price=False)
     j = enrich.sort_by_artist(enrich.inner_join_downloads(P.wide_songs(r), rec))
@@ -565,6 +570,7 @@ def _j5(spark, d):
     SELECT s.song_id, s.artist_id, c.song_count FROM songs_b s JOIN song_count_b c
     ON s.artist_id = c.artist_id""")
 def _j6(spark, d):
+    """Songs inner join their own per-artist song count."""
     s = enrich.clean_song_info_wide(roles(spark, d).song_info)
     return enrich.inner_join_song_count(s).select("song_id", "artist_id", "song_count")
 
@@ -573,6 +579,7 @@ def _j6(spark, d):
     SELECT s.song_id, coalesce(w.weight_dot_freq, 0.0) AS weight_dot_freq
     FROM songs_b s LEFT JOIN wf_b w ON s.artist_id = w.artist_id""", ["weight_dot_freq"]))
 def _j7(spark, d):
+    """Songs left join per-artist weight*freq sums; missing -> 0."""
     r = roles(spark, d)
     s = enrich.left_join_weight_freq(enrich.clean_song_info_wide(r.song_info),
                                      enrich.artist_weight_freq(r.term_scores))
@@ -583,6 +590,7 @@ def _j7(spark, d):
     SELECT s.song_id, coalesce(lk.likes, 0) AS likes FROM songs_b s
     LEFT JOIN likes lk ON s.track_id = lk.track""")
 def _j8(spark, d):
+    """Songs left join likes on track id; missing -> 0."""
     r = roles(spark, d)
     s = enrich.left_join_likes(enrich.clean_song_info_wide(r.song_info), r.likes)
     return s.select("song_id", "likes")
@@ -594,6 +602,7 @@ def _j8(spark, d):
     FROM artist_terms t JOIN songs_a s ON t.artist_id = s.artist_id
     GROUP BY t.artist_term, t.artist_id""", ["hotness_sum"]))
 def _j9(spark, d):
+    """Term rows inner join per-artist song totals (one row per term and artist)."""
     r = roles(spark, d)
     songs = enrich.clean_song_info_serving(r.song_info)
     return terms.inner_join_term_hotness(r.artist_terms, songs, "artist_hotness").select(
@@ -656,11 +665,13 @@ def _j11(spark, d):
 
 @query("similar_artist_count", "SELECT * FROM sim_count")
 def _a1(spark, d):
+    """A1: similar artists counted per artist."""
     return enrich.similar_artist_count(B.similar_artists(spark, d))
 
 
 @query("artist_song_count", "SELECT * FROM song_count_b")
 def _a2(spark, d):
+    """A2: songs counted per artist."""
     return enrich.artist_song_count(enrich.clean_song_info_wide(B.song_info(spark, d)))
 
 
@@ -681,11 +692,13 @@ def _a3(spark, d):
 
 @query("artist_weight_freq", rounded("SELECT * FROM wf_b", ["weight_dot_freq"]))
 def _a4(spark, d):
+    """A4: sum of weight * freq per artist over numeric rows."""
     return enrich.artist_weight_freq(B.term_scores(spark, d))
 
 
 @query("artist_genre_match", "SELECT * FROM genre_a")
 def _a5(spark, d):
+    """A5: per artist, distinct terms among the top 1000 terms (0 kept)."""
     r = roles(spark, d)
     return terms.genre_match_from_songs(r.artist_terms, enrich.clean_song_info_serving(r.song_info),
                                         "artist_hotness")
@@ -693,6 +706,7 @@ def _a5(spark, d):
 
 @query("global_means", rounded(MEANS_SQL, MEANS_DOUBLES))
 def _a6(spark, d):
+    """One-row means of the serving features, confidence constant 3."""
     return lookup.global_means(P.serving_features(roles(spark, d)))
 
 
@@ -702,6 +716,7 @@ def _a6(spark, d):
     SELECT 2, 'download_records', count(*) FROM dl_a UNION ALL
     SELECT 3, 'serving_features', count(*) FROM q1""")
 def _a7(spark, d):
+    """Row counts after each stage of the serving flow."""
     r = roles(spark, d)
     return audit.stage_row_counts([
         ("songs", enrich.clean_song_info_serving(r.song_info)),
@@ -717,6 +732,7 @@ def _a7(spark, d):
            avg(td_meanPrice) AS td_meanPrice
     FROM q1 GROUP BY artist_name""", ["td_confidence", "artist_hotness", "song_hotness", "td_meanPrice"]))
 def _a8(spark, d):
+    """Per artist, the single row as is or the means with confidence 3."""
     return lookup.group_mean_or_single(P.serving_features(roles(spark, d)), ["artist_name"])
 
 
@@ -757,6 +773,7 @@ def _a11(spark, d):
     SELECT split, avg(pow(label - prediction, 2)) AS mse FROM li_pred GROUP BY split""", {"mse": 2}),
     digits={"mse": 2})
 def _a12(spark, d):
+    """Mean squared error per split, computed directly."""
     return model.mean_squared_error(lineitem_predictions(spark, d), by=["split"])
 
 
