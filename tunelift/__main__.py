@@ -105,5 +105,11 @@ def main(argv: list[str] | None = None) -> dict:
     return out
 
 
-if __name__ == "__main__":
+def cli() -> int:
+    """Console-script entry: run ``main`` and exit 0 (``main`` returns the output paths)."""
     main(sys.argv[1:])
+    return 0
+
+
+if __name__ == "__main__":
+    sys.exit(cli())
