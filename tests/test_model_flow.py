@@ -32,10 +32,13 @@ def test_train_evaluate_and_reload(spark, scratch):
 
 
 def test_forest_is_seeded(spark):
-    """A fixed seed makes training reproducible."""
+    """A fixed seed makes training on a stored table reproducible.  (A lazy input is
+    recomputed per fit, and shuffle output order may differ between recomputations, so
+    the flows store their training table before fitting.)"""
+    from tunelift.session import materialize
     r = P.Roles.from_test_tables(spark, SF_SMALL)
     cols = model.feature_names(model.DEFAULT_FEATURE_INDEXES)
-    data = model.prepare(P.wide_features(r), cols)
+    data = model.prepare(materialize(P.wide_features(r), "seed-test"), cols)
     preds = [sorted(x[0] for x in model.train_forest(data, cols, num_trees=5, max_depth=4)
                     .transform(data).select("prediction").collect()) for _ in range(2)]
     assert preds[0] == preds[1]
