@@ -2,14 +2,28 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import tunelift
+
 # A word of the contracts: a run of characters other than the six ASCII white spaces.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def let_workers_import(spark: SparkSession) -> None:
+    """Add this checkout to the Python path of the session's workers.  On a cluster the
+    package is installed on the executors, or sent with ``--py-files``."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(tunelift.__file__)))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH")) if x)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    let_workers_import(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -4,14 +4,23 @@ can express."""
 from __future__ import annotations
 
 from tunelift.llm.chunk_dedup import OP6_SQL, op6_chunk_recipe_dedup
+from tunelift.llm.langid import op5_compression_langid
 from tunelift.llm.mixing import OP7_SQL, op7_water_filling_mix
+from tunelift.llm.packing import op1_best_fit_packing
+from tunelift.llm.quality import op9_knn_quality
+from tunelift.llm.warc import OP10_SQL, op10_warc_dictionary
 
 QUERIES = {
+    "op1_best_fit_packing": op1_best_fit_packing,
+    "op5_compression_langid": op5_compression_langid,
     "op6_chunk_recipe_dedup": op6_chunk_recipe_dedup,
     "op7_water_filling_mix": op7_water_filling_mix,
+    "op9_knn_quality": op9_knn_quality,
+    "op10_warc_dictionary": op10_warc_dictionary,
 }
 
 ORACLES = {
     "op6_chunk_recipe_dedup": OP6_SQL,
     "op7_water_filling_mix": OP7_SQL,
+    "op10_warc_dictionary": OP10_SQL,
 }
