@@ -20,11 +20,11 @@ from pyspark.sql import functions as F
 from tunelift.llm.common import id_remainder, read_table
 from tunelift.session import materialize
 
-SAMPLE_DOCS = 128          # training documents sampled for each language
-SAMPLE_CHARS = 4096        # characters of each of them that go into the dictionary
-DICTIONARY_BYTES = 96 << 10
+SAMPLE_DOCS = 64           # training documents sampled for each language
+SAMPLE_CHARS = 2048        # characters of each of them that go into the dictionary
+DICTIONARY_BYTES = 32 << 10
 BLOCK_BYTES = 4096         # a text is compressed in blocks, so a long one still leans on the dictionary
-LEVEL = 3
+LEVEL = 9                  # lower levels miss the short matches that tell languages apart
 MIN_MARGIN = 0.005         # share of the second-best size under which a decision is rejected
 UNDETERMINED = "und"
 RESULT = "doc_id long, lang_best string, lang string, score double, margin double"
