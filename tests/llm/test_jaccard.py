@@ -8,6 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tunelift.llm import jaccard as J
+from tunelift.llm import linking
 from tunelift.llm.components import connected_components
 from tunelift.session import materialize
 
@@ -93,7 +94,7 @@ def test_near_copies_80_without_leaders(make_docs):
 
 
 def test_tiles_in_blocks(make_docs, monkeypatch):
-    monkeypatch.setattr(J, "BLOCK_ROWS", 4)
+    monkeypatch.setattr(linking, "BLOCK_ROWS", 4)
     check(make_docs, random_rows(3, 120, vocabulary=60), 3, 80, leader_rounds=1)
 
 

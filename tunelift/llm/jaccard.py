@@ -11,11 +11,7 @@ shingles that hash to it, so the bits that differ count no more than the shingle
 differ, and the overlap cannot exceed half of (both sizes - differing bits).  Pairs that
 pass are decided exactly, by intersecting their sorted arrays.
 
-A tile is not expanded into all its pairs.  In a few rounds every member is compared with
-one leader of the tile, another in each round, and tiles whose members already are in one
-component drop out.  Only what then still lies in different components is compared in
-blocks of tile members, so no group is ever held by one task, and no link between
-different components is lost.
+Pairs are searched as linking.py says: a tile is never expanded into all its pairs.
 """
 
 from __future__ import annotations
@@ -30,14 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tunelift.llm.common import read_table
-from tunelift.llm.components import connected_components
 from tunelift.llm.hashing import LOWER, mix, shingle_hashes, text_slices, word_hashes, words
+from tunelift.llm.linking import LEADER_ROUNDS, link_components, open_pairs, shared_tiles
 from tunelift.session import materialize
 
 MISS = 1e-11
 BAND_RATIO = 1.5
-LEADER_ROUNDS = 2
-BLOCK_ROWS = 512
 SIGNATURE = "doc_id long, n long, d1 long, d2 long, bitmap binary, tiles array<long>"
 _RNG = np.random.default_rng(17)
 _MULTIPLIERS = _RNG.integers(0, 2 ** 63, 1024, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -183,55 +177,23 @@ def _verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: in
     return near.mapInArrow(decide, "a long, b long")
 
 
-def _open_pairs(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components that share a tile and pass the bitmap bound.
-    ``members``: (tile, v, label).  Tiles are cut into blocks of about BLOCK_ROWS members,
-    and pairs of blocks are compared, each by one step of bounded size."""
-    counts = materialize(members.groupBy("tile").agg(
-        F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("members"))
-        .where("lo < hi").select("tile", F.ceil(F.col("members") / BLOCK_ROWS).cast("int").alias("blocks")), "open-tiles")
-    rows = (members.join(counts, "tile").join(classes.select("v", "n", "bitmap"), "v")
-            .withColumn("block", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .withColumn("bi", F.least("block", "other")).withColumn("bj", F.greatest("block", "other")))
-
-    def compare(label, v, n, bits) -> tuple[np.ndarray, np.ndarray]:
-        i, j = np.triu_indices(len(v), 1)
-        small, large = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
-        ok = (label[i] != label[j]) & (100 * small >= percent * large)
-        i, j = i[ok], j[ok]
+def _block_bound(percent: int):
+    """The bitmap bound for pairs within a block: sizes and bitmaps of the rows."""
+
+    def bound(i: np.ndarray, j: np.ndarray, values: list) -> np.ndarray:
+        n, bits = np.array(values[0]), values[1]
+        keep = 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
+        at = np.flatnonzero(keep)
         size = min(map(len, bits))
         m = np.frombuffer(b"".join(folded(b, size) for b in bits), np.uint64).reshape(len(bits), -1)
-        keep = np.empty(len(i), dtype=bool)
         step = max(1, (1 << 20) // m.shape[1])
-        for s in range(0, len(i), step):
-            p, q = i[s:s + step], j[s:s + step]
+        for s in range(0, len(at), step):
+            p, q = i[at[s:s + step]], j[at[s:s + step]]
             differ = np.bitwise_count(m[p] ^ m[q]).sum(axis=1, dtype=np.int64)
-            keep[s:s + step] = (100 + percent) * ((n[p] + n[q] - differ) // 2) >= percent * (n[p] + n[q])
-        return np.minimum(v[i], v[j])[keep], np.maximum(v[i], v[j])[keep]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, group = None, []
+            keep[at[s:s + step]] = (100 + percent) * ((n[p] + n[q] - differ) // 2) >= percent * (n[p] + n[q])
+        return keep
 
-        def close():
-            if len(group) > 1:
-                label, v, n, bits = zip(*group)
-                a, b = compare(np.array(label), np.array(v), np.array(n), bits)
-                if len(a):
-                    yield pa.record_batch([pa.array(a), pa.array(b)], names=["a", "b"])
-
-        for batch in batches:
-            cols = [batch[c].to_pylist() for c in ("tile", "bi", "bj", "label", "v", "n", "bitmap")]
-            for tile, bi, bj, *row in zip(*cols):
-                if (tile, bi, bj) != key:
-                    yield from close()
-                    key, group = (tile, bi, bj), []
-                group.append(row)
-        yield from close()
-
-    n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (rows.select("tile", "bi", "bj", "label", "v", "n", "bitmap").repartition(n, "tile", "bi", "bj")
-            .sortWithinPartitions("tile", "bi", "bj").mapInArrow(run, "a long, b long").distinct())
+    return bound
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80,
@@ -254,35 +216,12 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80,
                     F.first("tiles").alias("tiles"))
                .withColumn("v", F.monotonically_increasing_id()))
     classes = materialize(classes, "classes")  # stored, so v is settled
-    tiles = classes.select(F.explode("tiles").alias("tile"), "v")
-    shared = materialize(tiles.groupBy("tile").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-                         .where("lo < hi").select("tile"), "shared-tiles")
-    members = materialize(tiles.join(shared, "tile"), "tile-members")
+    members = shared_tiles(classes.select(F.explode("tiles").alias("tile"), "v"))
     wanted = members.select("v").distinct().join(classes.select("v", "rep", "d1", "d2"), "v")
     sets = materialize(_sets(docs, materialize(wanted, "wanted"), k), "sets")
-
-    edges = tested = labels = None
-    for turn in range(leader_rounds + 1):
-        now = members.withColumn("label", F.col("v")) if labels is None else (
-            members.join(labels, "v", "left").withColumn("label", F.coalesce("label", "v")))
-        if turn < leader_rounds:
-            leader = F.min(F.struct(F.xxhash64(F.col("v"), F.lit(turn)).alias("at"), "v", "label")).alias("leader")
-            tops = materialize(now.groupBy("tile").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), leader)
-                               .where("lo < hi").select("tile", F.col("leader.v").alias("of"),
-                                                        F.col("leader.label").alias("of_label")), "leaders")
-            pairs = (now.join(tops, "tile").where("label <> of_label")
-                     .select(F.least("v", "of").alias("a"), F.greatest("v", "of").alias("b")).distinct())
-        else:
-            pairs = _open_pairs(now, classes, percent)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "pairs")
-        tested = pairs if tested is None else tested.union(pairs)
-        found = materialize(_verified(pairs, classes, sets, percent), "links")
-        if found.isEmpty():
-            continue  # the components are as they were
-        edges = found if edges is None else edges.union(found)
-        labels = materialize(connected_components(edges), "labels")
+    labels = link_components(
+        members, lambda pairs: _verified(pairs, classes, sets, percent),
+        lambda now: open_pairs(now, classes, ["n", "bitmap"], _block_bound(percent)), leader_rounds)
 
     names = classes.select("d1", "d2", "v", "rep")
     if labels is None:

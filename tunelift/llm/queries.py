@@ -6,6 +6,7 @@ from __future__ import annotations
 from tunelift.llm.chunk_dedup import OP6_SQL, op6_chunk_recipe_dedup
 from tunelift.llm.jaccard import op2_ngram_jaccard_join
 from tunelift.llm.langid import op5_compression_langid
+from tunelift.llm.line_dedup import op4_fuzzy_line_dedup
 from tunelift.llm.mixing import OP7_SQL, op7_water_filling_mix
 from tunelift.llm.packing import op1_best_fit_packing
 from tunelift.llm.quality import op9_knn_quality
@@ -14,6 +15,7 @@ from tunelift.llm.warc import OP10_SQL, op10_warc_dictionary
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
+    "op4_fuzzy_line_dedup": op4_fuzzy_line_dedup,
     "op5_compression_langid": op5_compression_langid,
     "op6_chunk_recipe_dedup": op6_chunk_recipe_dedup,
     "op7_water_filling_mix": op7_water_filling_mix,
