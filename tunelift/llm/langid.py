@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from tunelift.llm.common import id_remainder, read_table
 from tunelift.session import materialize
 
-SAMPLE_DOCS = 64           # training documents sampled for each language
+STRATA = 16                # hash strata from which the sample of a language is drawn
+SAMPLE_DOCS = 64           # training documents sampled for each language, in all strata
 SAMPLE_CHARS = 2048        # characters of each of them that go into the dictionary
 DICTIONARY_BYTES = 32 << 10
 BLOCK_BYTES = 4096         # a text is compressed in blocks, so a long one still leans on the dictionary
@@ -35,17 +36,17 @@ def learn_dictionaries(train: DataFrame, sample_docs: int = SAMPLE_DOCS,
                        dictionary_bytes: int = DICTIONARY_BYTES) -> dict[str, bytes]:
     """Dictionary bytes of each language of ``train`` (doc_id, text, lang).
 
-    The sample is the documents with the smallest hash of (doc_id, lang), at most
-    ``sample_docs`` a language; only their ids are ranked (the limit also applies before
-    the shuffle), and only their first ``sample_chars`` characters reach the driver: at most
+    The sample is, of each of STRATA hash strata of a language, the documents with the
+    smallest hash, at most ``sample_docs`` a language in all; only their ids are ranked (the
+    limit also applies before the shuffle), and only their first ``sample_chars`` characters reach the driver: at most
     languages x sample_docs x sample_chars.  Rows with a null text or lang, and texts
     without a letter, teach nothing."""
     usable = train.where("text is not null and lang is not null").where(
         F.regexp_like("text", F.lit(r"\p{L}")))
-    rank = F.row_number().over(W.partitionBy("lang").orderBy("at", "doc_id"))
+    rank = F.row_number().over(W.partitionBy("lang", F.pmod("at", F.lit(STRATA))).orderBy("at", "doc_id"))
     chosen = materialize(
         usable.select("doc_id", "lang", F.xxhash64("doc_id", "lang").alias("at"))
-        .withColumn("rank", rank).where(F.col("rank") <= sample_docs)
+        .withColumn("rank", rank).where(F.col("rank") <= max(1, sample_docs // STRATA))
         .select("doc_id", "lang", "at").distinct(), "language-sample")
     rows = (usable.select("doc_id", "lang", F.substring("text", 1, sample_chars).alias("text"))
             .join(chosen, ["doc_id", "lang"]).select("lang", "at", "text").collect())

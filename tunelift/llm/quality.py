@@ -25,7 +25,8 @@ from tunelift.session import materialize
 
 BUCKETS = 1024             # of each of the two families of features
 DIMENSIONS = 64            # of the latent space
-PER_CLASS = 2048           # labelled rows sampled for each label
+STRATA = 32                # hash strata from which the sample of a label is drawn
+PER_CLASS = 2048           # labelled rows sampled for each label, in all strata
 NEIGHBOURS = 15
 SHARPNESS = 4.0            # a neighbour votes with similarity ** SHARPNESS
 THRESHOLD = 0.3
@@ -106,14 +107,14 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS,
         dimensions: int = DIMENSIONS, seed: int = 5) -> Model:
     """Learn from ``labels`` (doc_id, quality 0/1; other values and nulls teach nothing).
 
-    The sample is bounded: the rows with the smallest hash of doc_id, at most ``per_class``
-    of either label.  Statistics (idf) are over all documents."""
+    The sample is bounded: of each of STRATA hash strata of a label the rows with the
+    smallest hash of doc_id, at most ``per_class`` of either label in all.  Statistics (idf) are over all documents."""
     idf = inverse_frequencies(docs)
-    rank = F.row_number().over(W.partitionBy("quality").orderBy("at", "doc_id"))
+    rank = F.row_number().over(W.partitionBy("quality", F.pmod("at", F.lit(STRATA))).orderBy("at", "doc_id"))
     usable = (labels.select("doc_id", "quality").where("doc_id is not null and quality in (0, 1)")
               .join(docs.select("doc_id"), "doc_id", "left_semi"))
     chosen = materialize(usable.withColumn("at", F.xxhash64("doc_id")).withColumn("rank", rank)
-                         .where(F.col("rank") <= per_class).select("doc_id", "quality").distinct(),
+                         .where(F.col("rank") <= max(1, per_class // STRATA)).select("doc_id", "quality").distinct(),
                          "quality-sample")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
