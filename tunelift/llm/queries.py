@@ -10,6 +10,7 @@ from tunelift.llm.line_dedup import op4_fuzzy_line_dedup
 from tunelift.llm.mixing import OP7_SQL, op7_water_filling_mix
 from tunelift.llm.packing import op1_best_fit_packing
 from tunelift.llm.quality import op9_knn_quality
+from tunelift.llm.suffix_dedup import op8_suffix_array_dedup
 from tunelift.llm.warc import OP10_SQL, op10_warc_dictionary
 
 QUERIES = {
@@ -19,6 +20,7 @@ QUERIES = {
     "op5_compression_langid": op5_compression_langid,
     "op6_chunk_recipe_dedup": op6_chunk_recipe_dedup,
     "op7_water_filling_mix": op7_water_filling_mix,
+    "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_knn_quality": op9_knn_quality,
     "op10_warc_dictionary": op10_warc_dictionary,
 }
