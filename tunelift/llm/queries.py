@@ -4,6 +4,7 @@ can express."""
 from __future__ import annotations
 
 from tunelift.llm.chunk_dedup import OP6_SQL, op6_chunk_recipe_dedup
+from tunelift.llm.imatch import op3_imatch_fingerprints
 from tunelift.llm.jaccard import op2_ngram_jaccard_join
 from tunelift.llm.langid import op5_compression_langid
 from tunelift.llm.line_dedup import op4_fuzzy_line_dedup
@@ -16,6 +17,7 @@ from tunelift.llm.warc import OP10_SQL, op10_warc_dictionary
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
+    "op3_imatch_fingerprints": op3_imatch_fingerprints,
     "op4_fuzzy_line_dedup": op4_fuzzy_line_dedup,
     "op5_compression_langid": op5_compression_langid,
     "op6_chunk_recipe_dedup": op6_chunk_recipe_dedup,
