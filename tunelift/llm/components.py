@@ -8,8 +8,13 @@ from pyspark.sql import functions as F
 from tunelift.session import materialize
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first())
+def _all_stars(edges: DataFrame) -> bool:
+    """Whether every vertex either points to one other vertex or is pointed to."""
+    ends = (edges.select(F.col("a").alias("v"), F.col("b").alias("to"))
+            .union(edges.select("b", F.lit(None).cast("long"))))
+    return (ends.groupBy("v").agg(F.min("to").alias("lo"), F.max("to").alias("hi"),
+                                  F.max(F.col("to").isNull()).alias("center"))
+            .where("lo <> hi or (center and lo is not null)").isEmpty())
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -23,9 +28,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     and null edges are left out."""
     e = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                     .distinct(), "edges")
-    state = _state(e)
-    while state[0]:
-        both = e.select("a", "b").union(e.select("b", "a"))
+    while not _all_stars(e):
+        both = e.union(e.select("b", "a"))
         low = materialize(both.groupBy("a").agg(F.min("b").alias("m"))
                           .select("a", F.least("a", "m").alias("m")), "star-minima")
         large = materialize(both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -33,8 +37,5 @@ def connected_components(edges: DataFrame) -> DataFrame:
         low = materialize(large.groupBy("a").agg(F.min("b").alias("m")), "star-minima")
         small = large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         e = materialize(small.union(low.select("a", F.col("m").alias("b"))).distinct(), "small-star")
-        state, old = _state(e), state
-        if state == old:
-            break
     return (e.select(F.col("a").alias("v"), F.col("b").alias("label"))
             .union(e.select("b", "b").distinct()))

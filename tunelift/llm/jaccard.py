@@ -25,14 +25,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tunelift.llm.common import read_table
+from tunelift.llm.common import read_table, text_or_empty
 from tunelift.llm.hashing import LOWER, mix, shingle_hashes, text_slices, word_hashes, words
 from tunelift.llm.linking import LEADER_ROUNDS, link_components, open_pairs, shared_tiles
 from tunelift.session import materialize
 
 MISS = 1e-11
 BAND_RATIO = 1.5
-SIGNATURE = "doc_id long, n long, d1 long, d2 long, bitmap binary, tiles array<long>"
+SIGNATURE = "doc_id long, t long, n long, d1 long, d2 long, bitmap binary, tiles array<long>"
 _RNG = np.random.default_rng(17)
 _MULTIPLIERS = _RNG.integers(0, 2 ** 63, 1024, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADDENDS = _RNG.integers(0, 2 ** 64, 1024, dtype=np.uint64)
@@ -53,8 +53,9 @@ def size_bands(most: int) -> np.ndarray:
 
 
 def bitmap(x: np.ndarray) -> bytes:
-    """Parity bitmap of a set, of a width that follows its size (64 bits at least)."""
-    width = 1 << max(6, (max(1, len(x)) - 1).bit_length() - 1)
+    """Parity bitmap of a set, of 2 to 4 bits an element (64 bits at least): wide enough for
+    the bound to reject nearly all pairs a little under the threshold."""
+    width = 1 << max(6, (max(1, len(x)) - 1).bit_length() + 1)
     bit = ((x ^ (x >> np.uint64(29))) & np.uint64(width - 1)).astype(np.int64)
     return np.packbits((np.bincount(bit, minlength=width) & 1).astype(np.uint8), bitorder="little").tobytes()
 
@@ -112,7 +113,7 @@ def signatures(docs: DataFrame, k: int, percent: int) -> DataFrame:
         band = int(np.searchsorted(bounds, len(x), side="right")) - 1
         bands = [band, band + 1] if 100 * len(x) >= percent * bounds[band + 1] else [band]
         return np.concatenate([mix(key + np.arange(keys, dtype=np.uint64) * np.uint64(1009)
-                                   + np.uint64(c) * np.uint64(0x9E3779B97F4A7C15)) for c in bands])
+                                   + np.uint64(c * 0x9E3779B97F4A7C15 % 2 ** 64)) for c in bands])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bounds = size_bands(1 << 40)
@@ -127,11 +128,12 @@ def signatures(docs: DataFrame, k: int, percent: int) -> DataFrame:
             flat = np.concatenate(out) if out else np.empty(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum([len(t) for t in out])], pa.int32()),
                                              pa.array(flat))
-            yield pa.record_batch([batch["doc_id"], pa.array(n, pa.int64()), pa.array(d[:, 0]), pa.array(d[:, 1]),
+            yield pa.record_batch([batch["doc_id"], batch["t"], pa.array(n, pa.int64()), pa.array(d[:, 0]), pa.array(d[:, 1]),
                                    pa.array(bits, pa.binary()), lists],
-                                  names=["doc_id", "n", "d1", "d2", "bitmap", "tiles"])
+                                  names=["doc_id", "t", "n", "d1", "d2", "bitmap", "tiles"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SIGNATURE)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_or_empty()).alias("t"),
+                       "text").mapInArrow(run, SIGNATURE)
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
@@ -148,7 +150,8 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
             yield pa.record_batch([batch["v"].take(pa.array(rows, pa.int64())), pa.array(x, pa.binary())],
                                   names=["v", "x"])
 
-    j = docs.select(F.col("doc_id").alias("rep"), "text").join(wanted, "rep")
+    # the list grows with the corpus: no broadcast, however short it is at a small size
+    j = docs.select(F.col("doc_id").alias("rep"), "text").join(wanted.hint("merge"), "rep")
     # a repeated row of the same id and text would give its set twice
     return j.select("v", "d1", "d2", "text").mapInArrow(run, "v long, x binary").dropDuplicates(["v"])
 
@@ -204,7 +207,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80,
     Input columns doc_id and text (others are ignored).  A-Z are lower-cased; words are runs
     of characters other than the six ASCII white spaces; a text with fewer than k words has
     them all as its only shingle.  Returns one row per input row: doc_id, n_shingles,
-    component_id (the smallest doc_id that links reach, itself included).
+    component_id (the smallest doc_id that links reach, itself included), text_hash.
 
     Null, empty and wordless texts have no shingle, link with nothing and are their own
     component.  A row without doc_id links with nothing and has no component_id.  Each row
@@ -232,11 +235,26 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80,
         names = named.join(smallest, "label")
     names = materialize(names.select("d1", "d2", "component_id"), "class-components")
     linkable = F.when(F.col("n") > 0, F.col("doc_id"))
-    rows = sig.select("doc_id", "n", F.when(linkable.isNotNull(), F.col("d1")).alias("d1"),
+    rows = sig.select("doc_id", "t", "n", F.when(linkable.isNotNull(), F.col("d1")).alias("d1"),
                       F.when(linkable.isNotNull(), F.col("d2")).alias("d2"))
-    alone = rows.where("d1 is null").select("doc_id", "n", F.col("doc_id").alias("component_id"))
-    found = rows.where("d1 is not null").join(names, ["d1", "d2"]).select("doc_id", "n", "component_id")
-    return found.union(alone).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    alone = rows.where("d1 is null").select("doc_id", "t", "n", F.col("doc_id").alias("component_id"))
+    found = rows.where("d1 is not null").join(names, ["d1", "d2"]).select("doc_id", "t", "n", "component_id")
+    return found.union(alone).select("doc_id", F.col("n").alias("n_shingles"), "component_id",
+                                     F.col("t").alias("text_hash"))
+
+
+def one_of_each_group(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """``docs``, with its columns, with one document of each component: the one whose doc_id
+    is the smallest.  Documents that link with nothing stay, rows without doc_id too; rows
+    that repeat both id and text are one document."""
+    found = materialize(jaccard_components(docs, k, percent), "components")
+    stays = (found.where(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id")))
+             .select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__t")).distinct())
+    j = docs.withColumn("__hash", F.xxhash64(text_or_empty()))
+    j = j.join(stays, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__t")), "left_semi")
+    # of rows that repeat both id and text, the smallest by source and language
+    copies = j.where("doc_id is not null").dropDuplicates(["doc_id", "__hash"])
+    return copies.unionByName(j.where("doc_id is null")).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op2_ngram_jaccard_join(spark, sf_dir):

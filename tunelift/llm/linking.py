@@ -81,12 +81,14 @@ def link_components(members: DataFrame, verify: Callable[[DataFrame], DataFrame]
 
     ``verify`` keeps the pairs (a, b), a < b, that link; ``rest`` gives the pairs to verify
     of members (tile, v, label) after the leader rounds, as open_pairs does."""
-    links = tested = labels = None
+    tested = labels = None
     for turn in range(leader_rounds + 1):
         now = members.withColumn("label", F.col("v")) if labels is None else (
             members.join(labels, "v", "left").withColumn("label", F.coalesce("label", "v")))
         if turn < leader_rounds:
-            leader = F.min(F.struct(F.xxhash64(F.col("v"), F.lit(turn)).alias("at"), "v", "label")).alias("leader")
+            # the smallest member first, which makes components shallow; then others
+            at = F.lit(0).cast("long") if turn == 0 else F.xxhash64(F.col("v"), F.lit(turn))
+            leader = F.min(F.struct(at.alias("at"), "v", "label")).alias("leader")
             tops = materialize(now.groupBy("tile").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), leader)
                                .where("lo < hi").select("tile", F.col("leader.v").alias("of"),
                                                         F.col("leader.label").alias("of_label")), "leaders")
@@ -101,6 +103,16 @@ def link_components(members: DataFrame, verify: Callable[[DataFrame], DataFrame]
         found = materialize(verify(pairs), "links")
         if found.isEmpty():
             continue  # the components are as they were
-        links = found if links is None else links.union(found)
-        labels = materialize(connected_components(links), "labels")
+        if labels is None:
+            labels = materialize(connected_components(found), "labels")
+            continue
+        # components grow by the links between them
+        for side in "ab":
+            found = (found.join(labels.select(F.col("v").alias(side), F.col("label").alias("of")), side, "left")
+                     .withColumn(side, F.coalesce("of", side)).drop("of"))
+        grown = materialize(connected_components(found).select(F.col("v").alias("label"), F.col("label").alias("into")), "grown")
+        fresh = grown.join(labels.select(F.col("v").alias("label")), "label", "left_anti").select(
+            F.col("label").alias("v"), F.col("into").alias("label"))
+        labels = materialize(labels.join(grown, "label", "left").select("v", F.coalesce("into", "label").alias("label"))
+                             .union(fresh), "labels")
     return labels
