@@ -1,0 +1,76 @@
+"""Quality classifier: voting against brute force, edge cases, held-out accuracy."""
+
+import zlib
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from conftest import SF_CHECK
+from tunelift.llm import quality as Q
+
+
+def test_vote_matches_brute_force():
+    rng = np.random.default_rng(1)
+    basis = rng.standard_normal((2 * Q.BUCKETS, 8)).astype(np.float32)
+    labelled = Q._unit(rng.standard_normal((50, 2 * Q.BUCKETS)).astype(np.float32) @ basis)
+    m = Q.Model(np.ones(2 * Q.BUCKETS, np.float32), basis, labelled, (rng.random(50) < 0.6).astype(np.float32), 0.6)
+    x = rng.standard_normal((30, 2 * Q.BUCKETS)).astype(np.float32)
+    got = Q.vote(x, m, neighbours=7)
+    for row, g in zip(x, got):
+        v = row @ basis
+        cos = sorted(((float(v @ u) / (np.linalg.norm(v) * np.linalg.norm(u)), y) for u, y in zip(labelled, m.labels)), reverse=True)[:7]
+        w = [(max(c, 0) ** Q.SHARPNESS, y) for c, y in cos]
+        assert abs(g - sum(a * y for a, y in w) / sum(a for a, _ in w)) < 1e-3
+
+
+@settings(max_examples=60, derandomize=True, deadline=None)
+@given(st.one_of(st.none(), st.text(max_size=80)))
+def test_feature_counts(text):
+    n = len((text or "").encode())
+    c = Q.features(text)
+    assert len(c) == 2 * Q.BUCKETS and c[:Q.BUCKETS].sum() == max(0, n - 2) and c[Q.BUCKETS:].sum() == max(0, n - 4)
+
+
+GOOD = [(i, f"plain sentences about topic {i} that read well. " * 5) for i in range(40)]
+BAD = [(100 + i, f"BUY!! NOW!! {i}!! *** $$$ " * 5) for i in range(40)]
+
+
+def test_edge_cases(spark, make_docs):
+    rows = GOOD + BAD + [(500, None), (501, ""), (502, "x"), (GOOD[0]), (None, "no id here at all. " * 5),
+                         (503, "plain sentences about topic that read well. " * 20000)]
+    docs = make_docs(rows, extra=("quality", "bucket", "n", "quality_score"))
+    labels = spark.createDataFrame([(i, 1, 0) for i, _ in GOOD] + [(i, 0, 0) for i, _ in BAD]
+                                   + [(7, None, 0), (None, 1, 0), (8, 5, 0), (9999, 1, 0), (GOOD[0][0], 1, 0)],
+                                   "doc_id long, quality int, toxic int")
+    model = Q.fit(docs, labels)
+    assert len(model.labels) == 80
+    out = Q.score(docs, model).collect()
+    assert len(out) == len(rows) and set(out[0].asDict()) == set(docs.columns)
+    by = {r["doc_id"]: r["quality_score"] for r in out}
+    assert all(0 <= s <= 1 for s in by.values())
+    assert min(by[i] for i, _ in GOOD) > 0.7 > 0.3 > max(by[i] for i, _ in BAD)
+    assert by[500] == by[501] == by[502] == model.prior and by[503] > 0.7
+
+
+def test_empty_tables(spark, make_docs):
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    model = Q.fit(make_docs([]), none)
+    assert Q.score(make_docs([]), model).collect() == []
+    assert [r["quality_score"] for r in Q.score(make_docs([(1, "text here")]), Q.fit(make_docs([(1, "x")]), none)).collect()] == [1.0]
+
+
+def test_sample_is_bounded(spark, make_docs):
+    labels = spark.createDataFrame([(i, 1) for i, _ in GOOD] + [(i, 0) for i, _ in BAD], "doc_id long, quality int")
+    assert len(Q.fit(make_docs(GOOD + BAD), labels, per_class=32).labels) <= 64
+
+
+def test_held_out_accuracy(spark):
+    found = Q.op9_knn_quality(spark, SF_CHECK)
+    labels = spark.read.parquet(f"{SF_CHECK}/labels.parquet")
+    rows = found.join(labels, "doc_id").collect()
+    assert found.count() == 1000
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in rows)
+    held = [r["predicted"] == r["quality"] for r in rows if r["held_out"]]
+    assert sum(held) >= 0.95 * len(held)
+    assert all(r["predicted"] == 1 for r in rows if r["quality"] == 1)

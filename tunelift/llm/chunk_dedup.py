@@ -1,7 +1,7 @@
 """Exact dedup by content-defined chunk recipes (DataFrame functions only).
 
 A text is cut where its own content says so: after at least ``min_chars`` characters, at
-the first white space that follows a boundary character, or after ``max_chars``.  Equal
+the first word that ends in one of a set of letter triples, or after ``max_chars``.  Equal
 texts are cut alike, and an edit moves only the cuts near it.  Every chunk gets a 64-bit
 identifier.  The dictionary of chunks (each distinct chunk moved once, after a map-side
 distinct) verifies the identifiers: those that stand for one content only are proven, and
@@ -20,13 +20,14 @@ from pyspark.sql import functions as F
 from tunelift.llm.common import read_table, text_or_empty
 from tunelift.session import materialize
 
-MIN_CHARS, MAX_CHARS = 1024, 4096
-BOUNDARY = r"[aehlorst.,;:!?。、]\s"
+MIN_CHARS, MAX_CHARS = 256, 4096
+# about one word end in fifty of Latin text; other text is cut at MAX_CHARS
+BOUNDARY = r"[aeiouAEIOU][dlnrtDLNRT][aeghsyAEGHSY]\W"
 
 
 def chunks(text: Column, min_chars: int = MIN_CHARS, max_chars: int = MAX_CHARS) -> Column:
     """Content-defined chunks; their concatenation is the text, an empty text has none."""
-    pattern = f"(?s).{{{min_chars},{max_chars - 2}}}?{BOUNDARY}|.{{1,{max_chars}}}"
+    pattern = f"(?s).{{{min_chars},{max_chars - 4}}}?{BOUNDARY}|.{{1,{max_chars}}}"
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
 

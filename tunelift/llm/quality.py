@@ -48,9 +48,10 @@ CLASS_OF = _classes()
 
 
 def _buckets(x: np.ndarray, width: int) -> np.ndarray:
-    h = np.zeros(max(0, len(x) - width + 1), dtype=np.uint32)
+    n = max(0, len(x) - width + 1)
+    h = np.zeros(n, dtype=np.uint32)
     for i in range(width):
-        h = (h + x[i:len(x) - width + 1 + i]) * np.uint32(0x9E3779B1)
+        h = (h + x[i:i + n]) * np.uint32(0x9E3779B1) if n else h
     return (h ^ (h >> np.uint32(15))) * np.uint32(0x85EBCA77) >> np.uint32(22)  # 10 bits: BUCKETS
 
 
