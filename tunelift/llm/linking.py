@@ -33,36 +33,42 @@ def open_pairs(members: DataFrame, facts: DataFrame, columns: Sequence[str],
                may_link: Callable[[np.ndarray, np.ndarray, list[list]], np.ndarray]) -> DataFrame:
     """Pairs (a, b) of different components that share a tile and pass ``may_link``.
 
-    ``members``: (tile, v, label).  ``facts``: (v, *columns).  Tiles are cut into blocks of
-    about BLOCK_ROWS members, and pairs of blocks are compared, each by one step of bounded
-    size: may_link(i, j, values of the columns) gives a mask for the index arrays i and j."""
+    ``members``: (tile, v, label).  ``facts``: (v, tiles, *columns), tiles being all tiles of
+    v.  Tiles are cut into blocks of about BLOCK_ROWS members, and pairs of blocks are
+    compared, each by one step of bounded size: may_link(i, j, values of the columns) gives
+    a mask for the index arrays i and j.  Of the tiles that a pair shares, only the smallest
+    gives it, so no pair comes twice."""
     counts = materialize(members.groupBy("tile").agg(
         F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("members"))
         .where("lo < hi").select("tile", F.ceil(F.col("members") / BLOCK_ROWS).cast("int").alias("blocks")), "open-tiles")
-    rows = (members.join(counts, "tile").join(facts.select("v", *columns), "v")
+    rows = (members.join(counts, "tile").join(facts.select("v", "tiles", *columns), "v")
             .withColumn("block", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .withColumn("bi", F.least("block", "other")).withColumn("bj", F.greatest("block", "other")))
+    fields = ["block", "label", "v", "tiles", *columns]
 
-    def compare(group: list[list]) -> tuple[np.ndarray, np.ndarray]:
-        label, v, *values = zip(*group)
-        label, v = np.array(label), np.array(v)
+    def compare(tile: int, within: bool, group: list[list]) -> tuple[np.ndarray, np.ndarray]:
+        block, label, v, tiles, *values = zip(*group)
+        block, label, v = np.array(block), np.array(label), np.array(v)
         i, j = np.triu_indices(len(v), 1)
-        ok = label[i] != label[j]
+        ok = (label[i] != label[j]) & (within | (block[i] != block[j]))
         i, j = i[ok], j[ok]
         keep = may_link(i, j, values)
-        return np.minimum(v[i], v[j])[keep], np.maximum(v[i], v[j])[keep]
+        i, j = i[keep], j[keep]
+        sets = {k: set(tiles[k]) for k in {*i.tolist(), *j.tolist()}}
+        first = np.array([min(sets[x] & sets[y]) == tile for x, y in zip(i.tolist(), j.tolist())], dtype=bool)
+        return np.minimum(v[i], v[j])[first], np.maximum(v[i], v[j])[first]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, group = None, []
 
         def close() -> Iterator[pa.RecordBatch]:
-            a, b = compare(group) if len(group) > 1 else ((), ())
+            a, b = compare(key[0], key[1] == key[2], group) if len(group) > 1 else ((), ())
             if len(a):
                 yield pa.record_batch([pa.array(a), pa.array(b)], names=["a", "b"])
 
         for batch in batches:
-            for tile, bi, bj, *row in zip(*[batch[c].to_pylist() for c in ("tile", "bi", "bj", "label", "v", *columns)]):
+            for tile, bi, bj, *row in zip(*[batch[c].to_pylist() for c in ("tile", "bi", "bj", *fields)]):
                 if (tile, bi, bj) != key:
                     yield from close()
                     key, group = (tile, bi, bj), []
@@ -70,8 +76,8 @@ def open_pairs(members: DataFrame, facts: DataFrame, columns: Sequence[str],
         yield from close()
 
     n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (rows.select("tile", "bi", "bj", "label", "v", *columns).repartition(n, "tile", "bi", "bj")
-            .sortWithinPartitions("tile", "bi", "bj").mapInArrow(run, "a long, b long").distinct())
+    return (rows.select("tile", "bi", "bj", *fields).repartition(n, "tile", "bi", "bj")
+            .sortWithinPartitions("tile", "bi", "bj").mapInArrow(run, "a long, b long"))
 
 
 def link_components(members: DataFrame, verify: Callable[[DataFrame], DataFrame],
