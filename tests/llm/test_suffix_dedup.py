@@ -96,7 +96,7 @@ def test_ranks_and_prefixes(texts, span):
     suffixes = [t[i:] for t in texts for i in range(len(t))]
     order = sorted(range(len(suffixes)), key=lambda i: (suffixes[i], i))
     array = np.argsort(rank, kind="stable")
-    assert array.tolist() == order
+    assert array.tolist() == order and (np.diff(rank[array]) >= 0).all()
     common = S.common_prefixes(raw, ends - size, ends, array, span)
     for k in range(1, len(order)):
         x, y = suffixes[order[k - 1]], suffixes[order[k]]
@@ -106,9 +106,24 @@ def test_ranks_and_prefixes(texts, span):
 
 @settings(max_examples=100, derandomize=True, deadline=None)
 @given(st.lists(st.integers(0, 5), min_size=1, max_size=40), st.integers(1, 12))
-def test_leftmost_minima(values, width):
+def test_sliding_minima(values, width):
     g = np.array(values, dtype=np.uint64)
     if width > len(g):
         return
-    want = [i + int(np.argmin(g[i:i + width])) for i in range(len(g) - width + 1)]
-    assert S.leftmost_minima(g, width).tolist() == want
+    assert S.sliding_minima(g, width).tolist() == [min(values[i:i + width]) for i in range(len(g) - width + 1)]
+
+
+@settings(max_examples=100, derandomize=True, deadline=None)
+@given(st.lists(st.text(alphabet="ab", max_size=60), max_size=5))
+def test_each_window_is_in_one_context(texts):
+    raw = [t.encode() for t in texts]
+    offsets = np.r_[0, np.cumsum([len(b) for b in raw])].astype(np.int64)
+    of, anchor, first, last, _ = S.contexts(np.frombuffer(b"".join(raw), np.uint8), offsets, 12, 4)
+    windows = [(int(t), w) for t, a, b in zip(of, first, last) for w in range(a, b + 1)]
+    assert sorted(windows) == [(t, w) for t, b in enumerate(raw) for w in range(len(b) - 11)]
+    assert all(b - a <= 12 - 4 for a, b in zip(first, last))
+    # equal windows have equal anchors
+    by = {}
+    for t, x, a, b in zip(of, anchor, first, last):
+        for w in range(a, b + 1):
+            assert by.setdefault(raw[t][w:w + 12], x) == x

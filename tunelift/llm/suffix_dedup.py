@@ -1,15 +1,15 @@
 """Suffix-array dedup: remove every byte of a repeated passage of ``span`` bytes or more.
 
-Which windows of ``span`` bytes can repeat at all is settled first.  Every window selects one
-of its ``gram``-byte strings, the leftmost with the smallest hash (its anchor), and equal
-windows select equal anchors.  Windows that select the same anchor occurrence are
-neighbours; together with the bytes they cover they form a context, so each window belongs
-to exactly one context.  Anchors that occur once in the whole corpus cannot belong to a
-repeated window; only contexts of the other anchors, about the repeated part of the corpus,
-are looked at again.
-
-Equal contexts are counted, not repeated.  The distinct ones go to shards by anchor, and an
-anchor of very many contexts is salted over several shards.  Each shard builds a suffix array
+Which windows of ``span`` bytes can repeat at all is settled first.  Every window has an
+anchor, the smallest hash of its ``gram``-byte strings, and equal windows have equal anchors.
+Neighbouring windows of one anchor, with the bytes they cover, form a context, so each
+window belongs to exactly one context.  An anchor that occurs once in the whole corpus cannot
+belong to a repeated window; only contexts of the other anchors, about the repeated part of
+the corpus, are looked at again.
+
+Equal contexts are counted, not repeated; where an anchor has only one distinct context, all
+of its windows repeat.  The others go to shards by anchor, and an anchor of very many
+contexts is salted over several shards.  Each shard builds a suffix array
 by Larsson-Sadakane refinement in numpy (only groups that are still tied are sorted again,
 by the rank at doubled distance), and longest common prefixes by Kasai's rule, advancing in
 all contexts at once.  Windows with a common prefix of ``span`` bytes with a neighbour in the
@@ -20,6 +20,8 @@ have.
 
 from __future__ import annotations
 
+import struct
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,14 +32,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tunelift.llm.common import read_table, text_or_empty
-from tunelift.llm.hashing import _BYTE, mix, powers, text_slices
+from tunelift.llm.hashing import _BYTE, powers, text_slices
 from tunelift.session import materialize
 
 SPAN_BYTES = 200
 GRAM_BYTES = 24
 SHARD_CONTEXTS = 4096      # contexts of one anchor in a shard
 ARRAY_BYTES = 1 << 20      # bytes of the contexts that one suffix array covers
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 256 << 10    # bytes hashed at a time, so that the arrays stay in a core's cache
 
 
 def gram_hashes(raw: np.ndarray, gram: int) -> np.ndarray:
@@ -46,38 +48,46 @@ def gram_hashes(raw: np.ndarray, gram: int) -> np.ndarray:
         return np.empty(0, dtype=np.uint64)
     power, inverse = powers(len(raw))
     total = np.r_[np.uint64(0), np.cumsum(_BYTE[raw] * power[:len(raw)], dtype=np.uint64)]
-    return mix((total[gram:] - total[:-gram]) * inverse[:len(raw) - gram + 1])
+    h = (total[gram:] - total[:-gram]) * inverse[:len(raw) - gram + 1]
+    return (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
 
 
-def leftmost_minima(g: np.ndarray, width: int) -> np.ndarray:
-    """Position of the leftmost smallest value in each window of ``width`` values."""
-    value, at, have = g, np.arange(len(g)), 1
+def sliding_minima(g: np.ndarray, width: int) -> np.ndarray:
+    """Smallest value in each window of ``width`` values."""
+    have = 1
     while have < width:
         step = min(have, width - have)
-        right = value[step:]
-        left = value[:len(right)]
-        first = left <= right
-        at = np.where(first, at[:len(right)], at[step:])
-        value = np.where(first, left, right)
+        g = np.minimum(g[:-step], g[step:])
         have += step
-    return at
+    return g
 
 
 def contexts(raw: np.ndarray, offsets: np.ndarray, span: int, gram: int) -> tuple[np.ndarray, ...]:
-    """Of texts in a run of bytes: text number, anchor hash, first and last window start (in
-    the text) of every context."""
+    """Of texts in a run of bytes: text number, anchor, first and last window start (in the
+    text) of every context, and whether its anchor occurs several times in it (its own
+    windows may be equal then).  A context has span - gram + 1 windows at most."""
     if len(raw) < span:
-        return (np.empty(0, np.int64),) * 4
-    g = gram_hashes(raw, gram)
-    chosen = leftmost_minima(g, span - gram + 1)
-    starts = np.arange(len(chosen))
-    of = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[:len(chosen)]
+        return (np.empty(0, np.int64),) * 5
+    most = span - gram + 1
+    hashes = gram_hashes(raw, gram)
+    anchor = sliding_minima(hashes, most)
+    starts = np.arange(len(anchor))
+    of = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[:len(anchor)]
     valid = starts + span <= offsets[of + 1]
-    starts, of, chosen = starts[valid], of[valid], chosen[valid]
-    new = np.flatnonzero(np.r_[True, (np.diff(chosen) != 0) | (np.diff(of) != 0)][:len(chosen)])
-    last = np.r_[new[1:] - 1, len(chosen) - 1][:len(new)]
-    base = offsets[of[new]]
-    return of[new], g[chosen[new]], starts[new] - base, starts[last] - base
+    starts, of, anchor = starts[valid], of[valid], anchor[valid]
+    new = np.flatnonzero(np.r_[True, (np.diff(anchor) != 0) | (np.diff(of) != 0)][:len(anchor)])
+    size = np.diff(np.r_[new, len(anchor)])
+    pieces = -(-size // most)  # long runs of one anchor (periodic text) are cut
+    nth = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    first = np.repeat(new, pieces) + nth * most
+    last = np.minimum(first + most, np.repeat(new + size, pieces)) - 1
+    # the first place of the anchor in the first window is the last one in the last window,
+    # if it is the only one
+    view = np.lib.stride_tricks.sliding_window_view(hashes, most)
+    leftmost = starts[first] + view[starts[first]].argmin(axis=1)
+    rightmost = starts[last] + most - 1 - view[starts[last]][:, ::-1].argmin(axis=1)
+    base = offsets[of[first]]
+    return of[first], anchor[first], starts[first] - base, starts[last] - base, leftmost != rightmost
 
 
 def suffix_ranks(raw: np.ndarray, ends: np.ndarray, depth: int) -> np.ndarray:
@@ -90,7 +100,7 @@ def suffix_ranks(raw: np.ndarray, ends: np.ndarray, depth: int) -> np.ndarray:
     for i in range(7):  # 7 symbols of 9 bits; 0 stands for the end
         inside = place + i < ends
         key = (key << np.uint64(9)) | np.where(inside, raw[np.minimum(place + i, n - 1)].astype(np.uint64) + np.uint64(1), np.uint64(0))
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     head = np.r_[True, np.diff(key[order]) != 0]
     rank = np.empty(n, dtype=np.int64)
     rank[order] = np.maximum.accumulate(np.where(head, place, 0))
@@ -100,7 +110,7 @@ def suffix_ranks(raw: np.ndarray, ends: np.ndarray, depth: int) -> np.ndarray:
     while reach < depth and len(tied):
         beyond = tied + reach
         after = np.where(beyond < ends[tied], rank[np.minimum(beyond, n - 1)] + 1, 0)
-        by = np.lexsort((after, rank[tied]))
+        by = np.argsort(rank[tied] * (n + 1) + after)
         tied, after, group = tied[by], after[by], rank[tied[by]]
         k = np.arange(len(tied))
         fresh = np.r_[True, np.diff(group) != 0]
@@ -121,6 +131,7 @@ def common_prefixes(raw: np.ndarray, begins: np.ndarray, ends: np.ndarray, array
     before[array[1:]] = array[:-1]
     last = np.repeat(ends, ends - begins)
     limit = np.minimum(np.minimum(last - np.arange(n), np.where(before >= 0, last[before] - before, 0)), most)
+    eight = np.lib.stride_tricks.sliding_window_view(np.r_[raw, np.zeros(7, np.uint8)], 8).copy().view(np.uint64)[:, 0]
     found = np.zeros(n, dtype=np.int64)
     have = np.zeros(len(begins), dtype=np.int64)
     for t in range(int((ends - begins).max(initial=0))):
@@ -128,12 +139,13 @@ def common_prefixes(raw: np.ndarray, begins: np.ndarray, ends: np.ndarray, array
         i = begins[lane] + t
         j, top = before[i], limit[i]
         length = np.minimum(np.maximum(have[lane] - 1, 0), top)
-        live = np.flatnonzero(length < top)
-        while len(live):
-            same = raw[i[live] + length[live]] == raw[j[live] + length[live]]
-            live = live[same]
-            length[live] += 1
-            live = live[length[live] < top[live]]
+        for step, values in ((8, eight), (1, raw)):
+            live = np.flatnonzero(length + step <= top)
+            while len(live):
+                same = values[i[live] + length[live]] == values[j[live] + length[live]]
+                live = live[same]
+                length[live] += step
+                live = live[length[live] + step <= top[live]]
         found[i] = length
         have[lane] = length
     return found[array]
@@ -148,7 +160,7 @@ def repeated_windows(texts: list[bytes], counts: np.ndarray, span: int) -> tuple
     raw = np.frombuffer(b"".join(texts), dtype=np.uint8)
     # to the end of the longest context: Kasai's rule needs the whole order
     rank = suffix_ranks(raw, np.repeat(ends, size), int(size.max(initial=0)))
-    array = np.argsort(rank, kind="stable")
+    array = np.argsort(rank * len(raw) + np.arange(len(raw)))  # equal suffixes by position
     group = np.cumsum(common_prefixes(raw, begins, ends, array, span) < span) - 1
     many = np.bincount(group)[group] > 1
     again = np.zeros(len(raw), dtype=bool)
@@ -168,20 +180,21 @@ def _runs(mask: np.ndarray) -> list[tuple[int, int]]:
 
 def _rows(texts: pa.Array, span: int, gram: int) -> Iterator[tuple]:
     for at, raw, offsets in text_slices(texts, SLICE_BYTES):
-        of, anchor, first, last = contexts(raw, offsets, span, gram)
-        yield raw, offsets, at, of, anchor, first, last
+        yield at, *contexts(raw, offsets, span, gram)
 
 
 def _anchors(docs: DataFrame, span: int, gram: int, places: bool) -> DataFrame:
-    """(a) of every context, or (a, u, first, last)."""
+    """The anchor (a) of every context, twice if it occurs several times in it; or, with
+    ``places``, (a, u, w) of every context, w being its first window and their number - 1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, at, of, anchor, first, last in _rows(batch["text"], span, gram):
-                a = pa.array(np.ascontiguousarray(anchor).view(np.int64))
+            for at, of, anchor, first, last, several in _rows(batch["text"], span, gram):
                 if not places:
-                    yield pa.record_batch([a], names=["a"])
+                    twice = np.repeat(anchor, 1 + several.astype(int))
+                    yield pa.record_batch([pa.array(twice.view(np.int64))], names=["a"])
                     continue
+                a = pa.array(np.ascontiguousarray(anchor).view(np.int64))
                 u = batch["u"].take(pa.array(at + of))
                 yield pa.record_batch([a, u, pa.array((first << 16) | (last - first))], names=["a", "u", "w"])
 
@@ -216,7 +229,7 @@ def _contexts_of(batch: pa.RecordBatch, span: int) -> Iterator[tuple]:
         for x in listed:
             first, more = x["w"] >> 16, x["w"] & 0xFFFF
             text = raw[first:first + more + span]
-            c1, c2 = np.frombuffer(xxhash.xxh3_128_digest(text), dtype=np.int64).tolist()
+            c1, c2 = struct.unpack("<qq", xxhash.xxh3_128_digest(text))
             yield u, first, x["a"], x["n"], c1, c2, text
 
 
@@ -250,15 +263,16 @@ def _repeats(distinct: DataFrame, span: int) -> DataFrame:
         total, key = 0, None
 
         def close() -> Iterator[pa.RecordBatch]:
-            items = list(held.items())
-            found = repeated_windows([t for _, (_, t, _) in items], np.array([k for _, (k, _, _) in items]), span) if items else ((), ())
-            rows = []
-            for ((c1, c2), (_, text, salted)), mask, one in zip(items, *found):
+            distinct = Counter(a for a, _, _ in held)
+            alone = {k for k, (n, _, salted) in held.items() if distinct[k[0]] == 1 and n > 1 and not salted}
+            rows = [(c1, c2, 0, len(held[a, c1, c2][1]) - span, None, None) for a, c1, c2 in alone]
+            items = [(k, x) for k, x in held.items() if k not in alone]
+            found = repeated_windows([x[1] for _, x in items], np.array([x[0] for _, x in items]), span) if items else ((), ())
+            for ((_, c1, c2), (_, text, salted)), mask, one in zip(items, *found):
                 rows += [(c1, c2, x, y, None, None) for x, y in _runs(mask)]
                 if salted:
                     for x in np.flatnonzero(one).tolist():
-                        w = np.frombuffer(xxhash.xxh3_128_digest(text[x:x + span]), dtype=np.int64).tolist()
-                        rows.append((c1, c2, x, x, *w))
+                        rows.append((c1, c2, x, x, *struct.unpack("<qq", xxhash.xxh3_128_digest(text[x:x + span]))))
             cols = list(zip(*rows)) or [[]] * 6
             types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
             yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, types)], names=["c1", "c2", "x", "y", "w1", "w2"])
@@ -270,10 +284,10 @@ def _repeats(distinct: DataFrame, span: int) -> DataFrame:
                     yield from close()
                     held, total = {}, 0
                 key = (a, salt)
-                old = held.get((c1, c2))
+                old = held.get((a, c1, c2))
                 if old is None:
                     total += len(ctx)
-                held[(c1, c2)] = (n + (old[0] if old else 0), ctx, salted)
+                held[(a, c1, c2)] = (n + (old[0] if old else 0), ctx, salted)
         yield from close()
 
     n = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
