@@ -48,8 +48,10 @@ def test_popularity_ln_null_below_minus_one(spark):
 
 
 def test_truncate_to_int(spark):
-    df = _one_col(spark, [2.7, -2.7], "double")
-    assert [r[0] for r in df.select(C.truncate_to_int("v")).collect()] == [2, -2]
+    values = [2.7, -2.7, 3e10, -3e10, float("nan"), float("inf"), float("-inf"), 2147483647.9, -2147483648.9, None]
+    df = _one_col(spark, values, "double")
+    big, small = 2 ** 31 - 1, -2 ** 31
+    assert [r[0] for r in df.select(C.truncate_to_int("v")).collect()] == [2, -2, big, small, 0, big, small, big, small, None]
 
 
 def test_select_by_index_keeps_table_order(spark):
@@ -76,10 +78,10 @@ def test_fill_missing_uses_column_type(spark):
     assert [tuple(r) for r in out] == [("0", 0), ("x", 2)]
 
 
-def test_fixed_round_is_half_up(spark):
-    df = _one_col(spark, [0.1234565, 1.5, -1.5, 2.0e13], "double")
+def test_fixed_round_has_one_rule(spark):
+    df = _one_col(spark, [0.1234565, 1.5, -1.5, 2.0e13, 1e300, -1e300], "double")
     got = [r[0] for r in df.select(C.fixed_round("v", 0)).collect()]
-    assert got == [0.0, 2.0, -1.0, 2.0e13]
+    assert got == [0.0, 2.0, -2.0, 2.0e13, 1e300, -1e300]
 
 
 def test_read_requests(spark, scratch):

@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from tunelift.plans import jobs
 from tunelift.plans.flows import Roles
 from conftest import SF_SMALL
@@ -54,6 +56,20 @@ def test_stage_counts_observed_in_one_write(spark, scratch):
     assert got == want
 
 
+@pytest.mark.parametrize("sort", [True, False])
+def test_wide_stage_counts_are_real_counts(spark, scratch, sort):
+    from tunelift.plans import flows as P
+    r = Roles.from_test_tables(spark, SF_SMALL)
+    path = jobs.wide_job(r, os.path.join(scratch, "wide"), sort=sort)
+    got = {row["stage"]: int(row["rows"]) for row in
+           spark.read.option("header", "true").csv(os.path.join(scratch, "wide", "wide_stage_counts")).collect()}
+    n = P.wide_features(r).count()
+    assert jobs.read_wide(spark, path).count() == n
+    assert got["wide"] == got["with_downloads"] == n
+    assert got["songs"] == got["with_plays"] == got["with_likes"] == r.song_info.count()
+    assert got["with_genre"] == P.wide_songs(r).count()
+
+
 def test_training_with_separate_test_table(spark, scratch):
     from pyspark.sql import functions as F
     from tunelift.operators import model

@@ -22,7 +22,8 @@ def test_train_evaluate_and_reload(spark, scratch):
     assert both.count() == 0
     path = os.path.join(scratch, "model")
     writers.save_model(fitted, path)
-    again = writers.load_model(path).transform(preds.drop("features", "prediction"))
+    data = model.prepare(model.artist_disjoint_split(wide, "artist_key"), model.feature_names(model.DEFAULT_FEATURE_INDEXES))
+    again = writers.load_model(path).transform(data)
     a = sorted(x[0] for x in preds.select("prediction").collect())
     b = sorted(x[0] for x in again.select("prediction").collect())
     assert a == b

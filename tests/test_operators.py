@@ -155,7 +155,6 @@ def test_binned_scatter_counts_every_row(spark):
 @pytest.mark.parametrize("n", [1001, 1000])
 def test_exact_median_selection_rounds(spark, monkeypatch, n):
     import numpy as np
-    monkeypatch.setattr(explore, "MEDIAN_FINAL_ROWS", 10)
     monkeypatch.setattr(explore, "MEDIAN_BUCKETS", 4)
     rng = np.random.default_rng(7)
     vals = rng.lognormal(0, 2, n)
@@ -169,6 +168,73 @@ def test_exact_median_selection_rounds(spark, monkeypatch, n):
     assert abs(got["c"] - float(np.median(c))) < 1e-9
 
 
+@pytest.mark.parametrize("n", [40_000, 60_000])
+def test_median_with_infinite_values(spark, n):
+    """One path for all sizes: an infinite value neither fails nor widens the search."""
+    x = F.when(F.col("id") == 0, float("inf")).when(F.col("id") == 1, float("nan")).otherwise(F.col("id").cast("double"))
+    y = F.when(F.col("id") < 0.7 * n, float("-inf")).otherwise(1.0)
+    z = F.when(F.col("id") % 2 == 0, -1e308).otherwise(1e308)
+    df = spark.range(n).select(x.alias("x"), y.alias("y"), z.alias("z"))
+    got = {r["feature"]: r["median"] for r in explore.exact_median(df, ["x", "y", "z"]).collect()}
+    ranked = [float(i) for i in range(2, n)] + [float("inf")]      # NaN is missing
+    assert got["x"] == (ranked[(len(ranked) - 1) // 2] + ranked[len(ranked) // 2]) / 2
+    assert got["y"] == float("-inf") and got["z"] == 0.0
+
+
+def test_binned_scatter_with_nan_and_infinity(spark):
+    nan, inf = float("nan"), float("inf")
+    df = spark.createDataFrame([(1.0, 1.0), (nan, 1.0), (3.0, 2.0), (2.0, None), (2.0, 1.5), (inf, 1.0), (-inf, 2.0)],
+                               "x double, y double")
+    got = {(r["x_bin"], r["y_bin"]): r["n"] for r in explore.binned_scatter(df, ["x"], "y", bins=2).collect()}
+    # edges 1..3 and 1..2: NaN and null are missing, infinite values fall in the outer bins
+    assert got == {(0, 0): 1, (1, 1): 2, (1, 0): 1, (0, 1): 1}
+    assert explore.binned_scatter(df.where("false"), ["x"], "y").collect() == []
+
+
+def test_kmeans_keeps_rows_without_a_value(spark):
+    df = spark.createDataFrame([(i, float(i % 4) * 100) for i in range(40)] + [(100, None), (101, float("nan"))],
+                               "id int, v double")
+    rows = explore.kmeans_label(df, "v", k=4).collect()
+    assert len(rows) == 42
+    assert {r["id"] for r in rows if r["cluster"] is None} == {100, 101}
+    assert len({r["cluster"] for r in rows}) == 5
+
+
+def test_metrics_leave_out_missing_labels(spark):
+    from tunelift.operators import model
+    df = spark.createDataFrame([(1.0, 2.0), (None, 5.0), (3.0, 1.0), (float("nan"), 1.0), (4.0, None)],
+                               "label double, prediction double")
+    m = model.regression_metrics(df).first()
+    assert (m["n"], m["left_out"], m["mse"]) == (2, 3, 2.5)
+    assert model.mean_squared_error(df).first()["mse"] == m["mse"]
+    assert model.regression_metrics(df.where("false")).first()["mse"] is None
+
+
+def test_every_row_is_scored(spark):
+    """A row with a null or NaN feature comes back without a score, not lost."""
+    from tunelift.operators import model
+    rows = [(float(i), float(i % 7), float(2 * i)) for i in range(60)] + [(None, 1.0, 3.0), (float("nan"), 1.0, 3.0)]
+    data = spark.createDataFrame(rows, "a double, b double, label double")
+    assert model.skipped_rows(data, ["a", "b"]) == 2
+    fitted = model.train_forest(data, ["a", "b"], num_trees=3, max_depth=3)
+    out = model.predict_batch(fitted, data).collect()
+    assert len(out) == 62
+    assert sum(r["prediction"] is None for r in out) == 2
+    assert {r["reject_reason"] for r in out if r["prediction"] is None} == {"missing feature"}
+    assert all(r["reject_reason"] is None for r in out if r["prediction"] is not None)
+
+
+def test_top_terms_rank_on_the_exact_mean(spark):
+    t = spark.createDataFrame([("1", "a"), ("2", "b")], "artist_id string, artist_term string")
+    songs = spark.createDataFrame([("1", 0.5), ("2", 0.50000000004), ("2", float("inf"))], "artist_id string, h double")
+    th = terms.term_mean_hotness(t, songs, "h")
+    assert [r["artist_term"] for r in terms.top_terms(th, 1).collect()] == ["b"]
+    # equal up to the order of the sum: a tie, broken by term
+    values = [0.1, 0.2, 0.3]
+    songs = spark.createDataFrame([("1", v) for v in values] + [("2", v) for v in reversed(values)], "artist_id string, h double")
+    assert [r["artist_term"] for r in terms.top_terms(terms.term_mean_hotness(t, songs, "h"), 1).collect()] == ["a"]
+
+
 def test_cluster_settings_scale_with_input():
     from tunelift.session import cluster_settings
     small = cluster_settings(1 << 30, 8)
@@ -184,7 +250,7 @@ def test_salted_join_equals_plain_join(spark, how):
         [(1, "k"), (2, "k"), (3, "a"), (4, None), (5, "z")], "lid int, lk string")
     right_rows = [("k", i) for i in range(40)] + [("k", 0)] * 5 + [("a", 100), ("b", 7), (None, 8)]
     right = spark.createDataFrame(right_rows, "rk string, v int")
-    got = salted_join(left, right, [("lk", "rk")], how, min_rows=10, buckets=4)
+    got = salted_join(left, right, [("lk", "rk")], how, tasks=8)
     want = left.join(right, left.lk == right.rk, how)
     key = lambda r: (r["lid"], -1 if r["v"] is None else r["v"])
     assert sorted(map(key, got.collect())) == sorted(map(key, want.collect()))
@@ -196,13 +262,13 @@ def test_download_joins_salted_equal_plain(spark):
     r = Roles.from_test_tables(spark, "/root/testdata/sf0.001")
     rec_a = enrich.clean_downloads(r.downloads)
     songs = serving_songs(r)
-    a = enrich.left_join_downloads(songs, rec_a, hot_rows=1).drop("td_artist", "td_title")
+    a = enrich.left_join_downloads(songs, rec_a, tasks=10_000).drop("td_artist", "td_title")
     b = enrich.left_join_downloads(songs, rec_a).drop("td_artist", "td_title")
     assert sorted(map(tuple, a.select(*b.columns).collect())) == sorted(map(tuple, b.collect()))
     from tunelift.operators.skew import salted_join
     rec_b = enrich.clean_downloads(r.downloads, require_numeric_price=False)
     ws = wide_songs(r)
-    c = salted_join(ws, rec_b, enrich.DOWNLOAD_KEYS, "inner", min_rows=1)
+    c = salted_join(ws, rec_b, enrich.DOWNLOAD_KEYS, "inner", tasks=10_000)
     d = enrich.inner_join_downloads(ws, rec_b)
     assert sorted(map(tuple, c.select(*d.columns).collect())) == sorted(map(tuple, d.collect()))
 
@@ -266,75 +332,85 @@ def test_term_ranking_counts_repeated_rows(spark):
     assert g == {"a": 1, "b": 1}
 
 
-@pytest.mark.parametrize("how", ["inner", "left"])
-def test_salted_join_left_hot_equals_plain(spark, how):
-    from tunelift.operators.skew import salted_join
-    left_rows = [(i, "k") for i in range(40)] + [(100, "a"), (101, None), (102, "z")]
-    left = spark.createDataFrame(left_rows, "lid int, lk string")
-    right = spark.createDataFrame([("k", 1), ("a", 2), ("b", 3)], "rk string, v int")
-    hot = spark.createDataFrame([("k",), ("z",)], "rk string")   # z is hot but has no partner
-    got = salted_join(left, right, [("lk", "rk")], how, hot=hot, hot_side="left", buckets=4)
-    want = left.join(right, left.lk == right.rk, how)
-    key = lambda r: (r["lid"], -1 if r["v"] is None else r["v"])
-    assert sorted(map(key, got.collect())) == sorted(map(key, want.collect()))
+def test_hot_keys_have_no_fixed_bounds(spark):
+    """A key is hot above the fair share of a task; its salts follow its rows."""
+    from tunelift.operators.skew import hot_keys, key_counts
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit("big")).otherwise(F.concat(F.lit("k"), F.col("id") % 500)).alias("k"))
+    hot = hot_keys(key_counts(df, ["k"]), ["k"], tasks=64).collect()
+    assert [(r["k"], r["_salts"]) for r in hot] == [("big", 22)]      # a third of 64 tasks
+    many = spark.range(4000).select((F.col("id") % 2000).alias("k"))
+    assert hot_keys(key_counts(many, ["k"]), ["k"], tasks=4000).count() == 2000
 
 
-def test_hot_artists_salted_in_flows(spark, monkeypatch):
-    from tunelift.operators import skew
-    from tunelift.plans import flows as P
-    r = P.Roles.from_test_tables(spark, "/root/testdata/sf0.001")
-    plain = sorted(map(tuple, P.wide_features(r).collect()))
-    plain_q1 = sorted(map(tuple, P.serving_features(r).collect()))
-    monkeypatch.setattr(skew, "HOT_KEY_ROWS", 5)       # every artist with >= 5 songs is hot
-    monkeypatch.setattr(skew.hot_by_count, "__defaults__", (5, skew.HOT_KEY_LIMIT))
-    assert sorted(map(tuple, P.wide_features(r).collect())) == plain
-    assert sorted(map(tuple, P.serving_features(r).collect())) == plain_q1
+HOT_SESSION = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+               "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+               "spark.sql.adaptive.coalescePartitions.enabled": "false",
+               "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+               "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+               "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100b",
+               "spark.sql.files.maxPartitionBytes": "1m",
+               "spark.sql.shuffle.partitions": "32"}
 
 
-def test_lookup_hot_request_pairs_salted(spark, features):
-    req_rows = [(i, "A1", "s1") for i in range(30)] + [(100, None, None), (101, "a3", "x")]
-    req = spark.createDataFrame(req_rows, "request_id int, artist string, title string")
-    plain = sorted(map(tuple, lookup.lookup_cascade(req, features).collect()))
-    salted = sorted(map(tuple, lookup.lookup_cascade(req, features, hot_rows=5).collect()))
-    assert salted == plain and len(salted) == 32
+def largest_share(df):
+    """Rows of the largest task of the last stage; all columns are read, as AQE goes by bytes."""
+    rows = df.select(F.spark_partition_id().alias("p"), F.xxhash64(*df.columns).alias("h"))
+    counts = [x["n"] for x in rows.groupBy("p").agg(F.count("h").alias("n"), F.max("h")).collect()]
+    return max(counts) / sum(counts)
 
 
-def test_salting_spreads_a_hot_artist(spark):
-    """One artist owning every third song: the plain join gives that third to one task,
-    the salted join spreads it (measured per task of the join stage)."""
-    from tunelift.operators import skew
-    from tunelift.plans.flows import Roles
-    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
-                "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-                "spark.sql.adaptive.coalescePartitions.enabled": "false",
-                "spark.sql.shuffle.partitions": "32"}
-    old = {k: spark.conf.get(k, None) for k in settings}
+def test_joins_split_a_hot_artist(spark):
+    """One artist owning every third song (term, request): with broadcasts off, no task of
+    J2, J6, J7, J3, J9 or the lookup's joins gets that third."""
+    from tunelift.session import materialize
+    old = {k: spark.conf.get(k, None) for k in HOT_SESSION}
     try:
-        for k, v in settings.items():
+        for k, v in HOT_SESSION.items():
             spark.conf.set(k, v)
-        r = Roles.from_test_tables(spark, "/root/testdata/sf0.001")
-        hot_id = F.when(F.col("song_id") % 3 == 0, F.lit("Brand#1")).otherwise(F.col("artist_id"))
-        info = r.song_info.withColumn("artist_id", hot_id)
-        songs = enrich.clean_song_info_wide(info)
-        per_artist = enrich.artist_features(
-            terms.genre_match_from_songs(r.artist_terms, songs, "artist_hotttnesss"),
-            song_counts=enrich.artist_song_count(songs))
-
-        def largest_share(df):
-            counts = [x["count"] for x in df.select(F.spark_partition_id().alias("p"))
-                      .groupBy("p").count().collect()]
-            return max(counts) / sum(counts)
-
-        plain = terms.inner_join_genre_match(songs, per_artist)
-        hot = skew.hot_by_count(per_artist, "artist_id", "song_count", min_rows=30)
-        salted = terms.inner_join_genre_match(songs, per_artist, hot)
-        assert sorted(map(tuple, plain.collect())) == sorted(
-            map(tuple, salted.select(*plain.columns).collect()))
-        assert largest_share(plain) >= 1 / 3
-        assert largest_share(salted) < 0.2
+        n = 30_000
+        artist = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("a"), F.col("id") % 2000))
+        songs = materialize(spark.range(0, n, 1, 24).select(
+            F.col("id").alias("song_id"), artist.alias("artist_id"), (F.col("id") % 97 / 97).alias("h"),
+            F.concat(F.lit("title "), F.col("id")).alias("title")), "hot-songs")
+        per = songs.groupBy("artist_id").agg(F.count("song_id").alias("similar_artist_count"))
+        t = songs.select("artist_id", F.col("title").alias("artist_term"))
+        joins = {
+            "J2": enrich.left_join_similar_count(songs, per),
+            "J6": enrich.inner_join_song_count(songs),
+            "J7": enrich.left_join_weight_freq(songs, per.select("artist_id", F.lit(1.0).alias("weight_dot_freq"))),
+            "J3": terms.inner_join_genre_match(songs, materialize(per, "hot-genre")),
+            "J9": terms.inner_join_term_hotness(t, songs, "h"),
+        }
+        for name, df in joins.items():
+            assert df.count() == n, name
+            assert largest_share(df) < 0.1, name
+        feats = songs.select(F.col("artist_id").alias("artist_name"), F.lit("x").alias("title"), F.lit(1).alias("td_confidence"),
+                             F.col("h").alias("artist_hotness"), F.col("h").alias("song_hotness"), F.col("h").alias("td_meanPrice"))
+        req = songs.select(F.col("song_id").alias("request_id"), F.col("artist_id").alias("artist"),
+                           F.when(F.col("song_id") % 2 == 0, F.lit("x")).otherwise(F.col("title")).alias("title"))
+        out = lookup.lookup_cascade(req, feats)
+        assert out.count() == n
+        assert largest_share(out) < 0.1
     finally:
         for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_stored_tables_need_a_shared_folder_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+    from tunelift import session
+    conf = SimpleNamespace(get=lambda key, default=None: default)
+    sc = SimpleNamespace(master="spark://host:7077", getConf=lambda: conf, getCheckpointDir=lambda: None)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc))
+
+
+def test_intermediates_are_deleted_with_their_block(spark):
+    import os
+    from tunelift.session import intermediates, materialize
+    with intermediates(spark):
+        df = materialize(spark.range(5), "owned")
+        path = df.inputFiles()[0].removeprefix("file://")
+        assert os.path.exists(path)
+    assert not os.path.exists(os.path.dirname(path))
+

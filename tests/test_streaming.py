@@ -18,12 +18,9 @@ def test_stream_lookup_matches_batch(spark, scratch):
     lines.write.text(in_dir)
 
     accepted, _ = scoring.request_stream(spark, in_dir, max_files_per_trigger=2)
-    out = scoring.stream_lookup(accepted, features)
-    q = out.writeStream.format("memory").queryName("stream_lookup_out") \
-           .option("checkpointLocation", os.path.join(scratch, "ckpt")).start()
-    q.processAllAvailable()
-    q.stop()
-    got = sorted(tuple(x) for x in spark.sql("SELECT * FROM stream_lookup_out").collect())
+    out = os.path.join(scratch, "looked")
+    scoring.start_sink(accepted, out, os.path.join(scratch, "ckpt"), scoring.batch_lookup(features)).awaitTermination()
+    got = sorted(tuple(x) for x in spark.read.parquet(out).drop("batch_id").collect())
 
     batch_req, _ = parse_requests(spark.read.text(in_dir))
     want = sorted(tuple(x) for x in lookup.lookup_cascade(batch_req, features).collect())
@@ -47,14 +44,34 @@ def test_stream_scores_to_parquet_sink_exactly_once(spark, scratch):
     r.requests.selectExpr("concat(artist, ';', title) AS value").write.text(in_dir)
     out_dir, ckpt = os.path.join(scratch, "scores"), os.path.join(scratch, "ckpt")
     accepted, _ = scoring.request_stream(spark, in_dir)
-    q = scoring.start_parquet_sink(scoring.stream_scores(accepted, features, fitted), out_dir, ckpt)
-    q.awaitTermination()
+    score = scoring.batch_scores(features, fitted)
+    scoring.start_sink(accepted, out_dir, ckpt, score).awaitTermination()
     n = r.requests.count()
     got = spark.read.parquet(out_dir)
     assert got.count() == n
     assert got.where(F.col("prediction_int").isNull()).count() == 0
     # a restart from the same checkpoint adds nothing (files already processed)
     accepted2, _ = scoring.request_stream(spark, in_dir)
-    q2 = scoring.start_parquet_sink(scoring.stream_scores(accepted2, features, fitted), out_dir, ckpt)
-    q2.awaitTermination()
+    scoring.start_sink(accepted2, out_dir, ckpt, score).awaitTermination()
     assert spark.read.parquet(out_dir).count() == n
+
+
+def test_command_line_writes_rejected_lines(spark, scratch):
+    from tunelift import __main__ as cli
+    from tunelift.operators import model
+    from tunelift.plans import jobs
+    from tunelift.plans.flows import scoring_training_view, wide_features
+    from tunelift.sources import writers
+
+    r = Roles.from_test_tables(spark, SF_SMALL)
+    paths = jobs.serving_job(r, scratch)
+    cols = ["td_confidence", "artist_hotness", "song_hotness", "td_meanPrice"]
+    fitted = model.train_forest(model.prepare(scoring_training_view(wide_features(r)), cols), cols, 3, 3)
+    writers.save_model(fitted, os.path.join(scratch, "model"))
+    in_dir = os.path.join(scratch, "in")
+    spark.createDataFrame([("Brand#13;x",), ("bad line",), ("a;b;c",)], "value string").write.text(in_dir)
+    out = cli.main(["score-stream", "--requests-dir", in_dir, "--features", paths["features"], "--means", paths["means"],
+                    "--model", os.path.join(scratch, "model"), "--out", os.path.join(scratch, "out"),
+                    "--checkpoint", os.path.join(scratch, "cp"), "--available-now"])
+    assert spark.read.parquet(out["scores"]).count() == 1
+    assert sorted(x["value"] for x in spark.read.parquet(out["rejected"]).collect()) == ["a;b;c", "bad line"]

@@ -22,7 +22,8 @@ import sys
 
 from .plans import jobs
 from .plans.flows import Roles
-from .session import build_session
+from .session import build_session, intermediates
+from .sources.readers import read_feature_index
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -40,6 +41,8 @@ def _parser() -> argparse.ArgumentParser:
     t.add_argument("--trees", type=int, default=30)
     t.add_argument("--depth", type=int, default=8)
     t.add_argument("--features", default="0,1,6,13", help="wide-table positions")
+    t.add_argument("--features-file", default=None,
+                   help="file whose first line lists the positions (instead of --features)")
     t.add_argument("--test-percent", type=int, default=30)
     t.add_argument("--test", default=None,
                    help="held-out wide table (then --wide is the training table)")
@@ -49,6 +52,8 @@ def _parser() -> argparse.ArgumentParser:
     ss = sub.add_parser("score-stream", help="score request files as they arrive (streaming)")
     for name in ("requests-dir", "features", "means", "model", "out", "checkpoint"):
         ss.add_argument(f"--{name}", required=True)
+    ss.add_argument("--rejected", default=None,
+                    help="folder of the rejected lines (default: beside --out)")
     ss.add_argument("--available-now", action="store_true",
                     help="process the files present now, then stop")
     e = sub.add_parser("explore", help="means, medians, correlations, clusters, histograms")
@@ -61,14 +66,16 @@ def main(argv: list[str] | None = None) -> dict:
     args = _parser().parse_args(argv)
     spark = build_session(args.master, None if args.master is None else 8)
     if args.cmd == "features":
-        roles = Roles.from_files(spark, args.song_info, args.artist_terms, args.similar_artists,
-                                 args.play_count, args.likes, args.downloads)
-        out = jobs.serving_job(roles, args.out)
-        out["wide"] = jobs.wide_job(roles, args.out)
+        with intermediates(spark):
+            roles = Roles.from_files(spark, args.song_info, args.artist_terms, args.similar_artists,
+                                     args.play_count, args.likes, args.downloads)
+            out = jobs.serving_job(roles, args.out)
+            out["wide"] = jobs.wide_job(roles, args.out)
         out["scoring_model"] = jobs.scoring_model(jobs.read_wide(spark, out["wide"]),
                                                   os.path.join(args.out, "scoring-model"))
     elif args.cmd == "train":
-        idx = [int(x) for x in args.features.split(",") if x.strip()]
+        idx = (read_feature_index(spark, args.features_file) if args.features_file else
+               [int(x) for x in args.features.split(",") if x.strip()])
         test = jobs.read_wide(spark, args.test) if args.test else None
         out = jobs.training_job(jobs.read_wide(spark, args.wide), args.out, idx,
                                 args.trees, args.depth, args.test_percent, test=test)
@@ -77,24 +84,28 @@ def main(argv: list[str] | None = None) -> dict:
                                             args.model)
         out = {"scores": os.path.join(args.out, "scores"),
                "rejected": os.path.join(args.out, "rejected")}
-        scores.select("request_line", "match_level", "prediction_int") \
+        scores.select("request_line", "match_level", "prediction_int", "reject_reason") \
               .write.mode("overwrite").option("header", "true").csv(out["scores"])
         rejected.write.mode("overwrite").text(out["rejected"])
     elif args.cmd == "score-stream":
         from pyspark.sql import functions as F
 
-        from .sources import readers, writers
+        from .sources import writers
         from .streaming import scoring
-        accepted, _ = scoring.request_stream(spark, args.requests_dir)
+        accepted, rejected = scoring.request_stream(spark, args.requests_dir)
         accepted = accepted.withColumn("request_line", F.concat_ws(";", "artist", "title"))
-        features = readers.read_delimited(spark, args.features, jobs.SERVING_SCHEMA, ",")
-        means = readers.read_delimited(spark, args.means, jobs.MEANS_SCHEMA, ",")
-        scores = scoring.stream_scores(accepted, features, writers.load_model(args.model), means)
-        q = scoring.start_parquet_sink(
-            scores.select("request_line", "match_level", "prediction", "prediction_int"),
-            args.out, args.checkpoint, available_now=args.available_now)
-        q.awaitTermination()
-        out = {"scores": args.out}
+        score = scoring.batch_scores(jobs.read_serving(spark, args.features), writers.load_model(args.model),
+                                     jobs.read_means(spark, args.means))
+        out = {"scores": args.out, "rejected": args.rejected or args.out.rstrip("/") + "-rejected"}
+        running = [
+            scoring.start_sink(accepted, out["scores"], os.path.join(args.checkpoint, "scores"),
+                               lambda batch: score(batch).select("request_line", "match_level", "prediction",
+                                                                 "prediction_int", "reject_reason"),
+                               available_now=args.available_now),
+            scoring.start_sink(rejected, out["rejected"], os.path.join(args.checkpoint, "rejected"),
+                               available_now=args.available_now)]
+        for q in running:
+            q.awaitTermination()
     else:
         report = jobs.explore_job(jobs.read_wide(spark, args.wide))
         out = {}

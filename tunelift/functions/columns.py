@@ -186,8 +186,13 @@ def row_to_text(cols: Sequence[str | Column], sep: str = ",") -> Column:
 
 
 def truncate_to_int(c: str | Column) -> Column:
-    """P20: double to int toward zero."""
-    return _col(c).try_cast("int")
+    """P20: double to int toward zero, as the JVM does it: values beyond the int range give
+    its limits, NaN gives 0; null stays null."""
+    x = _col(c).cast("double")
+    return (F.when(F.isnan(x), F.lit(0))
+            .when(x >= F.lit(2147483647.0), F.lit(2147483647))
+            .when(x <= F.lit(-2147483648.0), F.lit(-2147483648))
+            .otherwise(x.try_cast("int")))
 
 
 def abs_int_difference(a: str | Column, b: str | Column) -> Column:
@@ -205,23 +210,16 @@ def string_to_double(c: str | Column) -> Column:
     return to_double(c)
 
 
-def _floor_round(x: Column, digits: int) -> Column:
-    scale = float(10 ** digits)
-    return F.floor(x * scale + F.lit(0.5)) / F.lit(scale)
-
-
 def fixed_round(c: str | Column, digits: int) -> Column:
-    """Round half up to ``digits`` decimals, in two steps: first to ``digits + 3``
-    decimals (absorbs floating-point summation noise, so a true tie such as x.xxxxxx5
-    rounds the same whatever the summation order), then to ``digits``.
+    """Round to ``digits`` decimals for comparisons between engines, in two steps: first to
+    ``digits + 3`` decimals (absorbs floating-point summation noise), then to ``digits``.
 
-    Each step is floor(x * 10^d + 0.5) / 10^d, plain IEEE operations, so every engine
-    gives the same double; values too large for the scaled floor pass through.
-    """
+    Each step is rint(x * 10^d) / 10^d, plain IEEE operations with one rule for values of
+    any size (rint leaves integers, so also very large values, alone)."""
     x = _col(c)
-    bound = 1e17 / float(10 ** (digits + 3))
-    return F.when(F.abs(x) < F.lit(bound),
-                  _floor_round(_floor_round(x, digits + 3), digits)).otherwise(x)
+    for d in (digits + 3, digits):
+        x = F.rint(x * F.lit(float(10 ** d))) / F.lit(float(10 ** d))
+    return x
 
 
 def _regex_quote(s: str) -> str:

@@ -2,8 +2,9 @@
 
 Every per-artist aggregate is a ``groupBy`` with partial (map-side) aggregation, so a hot
 artist costs one partial row per input partition, never a whole group in one task.  The
-joins keep their physical choice to Spark: AQE turns a join into a broadcast join only
-after measuring the aggregate side at run time, and splits skewed partitions otherwise.
+joins of songs with such an aggregate store it first: both sides are then plain shuffles,
+so AQE broadcasts the aggregate if it is small and splits a hot artist's songs otherwise
+(it splits no partition of a join that reads an aggregate's own output).
 """
 
 from __future__ import annotations
@@ -14,7 +15,8 @@ from pyspark.sql import functions as F
 from ..functions.columns import (clean_key, fill_missing, is_number, lower_text,
                                  non_numeric_to_zero, ordinal_encode, to_double,
                                  weight_times_freq)
-from .skew import HOT_KEY_ROWS, salted_join
+from ..session import materialize
+from .skew import salted_join
 
 SONG_NUMERIC = ["artist_hotttnesss", "artist_familiarity", "loudness", "tempo",
                 "duration", "song_hotttnesss"]
@@ -90,23 +92,24 @@ def left_join_play_count(songs: DataFrame, plays: DataFrame) -> DataFrame:
 
 def left_join_similar_count(songs: DataFrame, similar_counts: DataFrame) -> DataFrame:
     """Songs left join per-artist similar-artist count; missing -> 0."""
-    return fill_missing(songs.join(similar_counts, "artist_id", "left"),
-                        {"similar_artist_count": 0})
+    counts = materialize(similar_counts, "similar-counts")
+    return fill_missing(songs.join(counts, "artist_id", "left"), {"similar_artist_count": 0})
 
 
 def inner_join_song_count(songs: DataFrame, song_counts: DataFrame | None = None) -> DataFrame:
     """Songs inner join their own per-artist song count.
 
     A ``groupBy`` + join rather than a window: a window puts a whole artist in one task,
-    while the aggregate combines map-side and AQE can split a hot artist in the join.
+    while the aggregate combines map-side and, stored, lets AQE split a hot artist.
     """
     counts = song_counts if song_counts is not None else artist_song_count(songs)
-    return songs.join(counts, "artist_id", "inner")
+    return songs.join(materialize(counts, "song-counts"), "artist_id", "inner")
 
 
 def left_join_weight_freq(songs: DataFrame, weight_freq: DataFrame) -> DataFrame:
     """Songs left join per-artist weight*freq sum; missing -> 0."""
-    return fill_missing(songs.join(weight_freq, "artist_id", "left"), {"weight_dot_freq": 0.0})
+    sums = materialize(weight_freq, "weight-freq")
+    return fill_missing(songs.join(sums, "artist_id", "left"), {"weight_dot_freq": 0.0})
 
 
 def left_join_likes(songs: DataFrame, likes: DataFrame) -> DataFrame:
@@ -124,9 +127,7 @@ def artist_features(genre: DataFrame, song_counts: DataFrame | None = None,
     Same semantics as joining them to the songs one by one (genre match and song count
     are inner joins, weight*freq and similar count left joins filled with 0), but the
     combining joins run between small per-artist tables that share their partitioning,
-    and the songs then take a single artist-keyed join.  That join reads two fresh
-    shuffles, so AQE can split a hot artist there; in a chain of joins that reuse one
-    partitioning only the first could be split.
+    and the songs then take a single artist-keyed join with the stored result.
     """
     t = genre
     if song_counts is not None:
@@ -145,15 +146,16 @@ DOWNLOAD_KEYS = [("title", "td_title"), ("artist_name", "td_artist")]
 
 
 def left_join_downloads(songs: DataFrame, records: DataFrame,
-                        hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+                        tasks: int | None = None) -> DataFrame:
     """Songs left join download records on cleaned (title, artist).
 
     Many-to-many fan-out is kept.  Songs without a record get confidence 0 and price 0
     (the same code as 'terrible'), so ``has_download_record`` tells them apart.  A
-    (title, artist) with at least ``hot_rows`` records is salted (``skew.salted_join``).
+    (title, artist) with more records than the fair share of a task is salted
+    (``skew.salted_join``); ``records`` should be a stored table.
     """
     rec = records.select("td_artist", "td_title", "td_confidence", "td_meanPrice")
-    out = (salted_join(songs, rec, DOWNLOAD_KEYS, "left", min_rows=hot_rows)
+    out = (salted_join(songs, rec, DOWNLOAD_KEYS, "left", tasks)
                 .withColumn("has_download_record", F.col("td_artist").isNotNull())
                 .drop("td_artist", "td_title"))
     return fill_missing(out, {"td_confidence": 0, "td_meanPrice": 0.0})

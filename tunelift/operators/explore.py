@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import mean_of, nan_to_null, popularity_ln
@@ -20,11 +20,8 @@ KMEANS_K = 8
 # ---------------------------------------------------------------------------------
 # Relative error used by the approximate median (``exact=False``).
 APPROX_ACCURACY = 100_000
-# Exact median by distributed selection: histogram buckets per round, and the largest
-# candidate range that is read out value by value.
+# Exact median by distributed selection: histogram buckets per round.
 MEDIAN_BUCKETS = 1024
-MEDIAN_FINAL_ROWS = 50_000
-MEDIAN_MAX_ROUNDS = 64
 
 
 def _long(one_row: DataFrame, cols: Sequence[str], fields: dict[str, str]) -> DataFrame:
@@ -50,23 +47,19 @@ def _summary(df: DataFrame, cols: Sequence[str], label: str | None, method: str,
              stored: bool = False) -> DataFrame:
     y = F.col(label).cast("double") if label else None
     if method == "select":
-        # One aggregate job gives the means, r and every column's (count, min, max) for
-        # the median selection; the result has one row per column, built from it.
+        # One aggregate job gives the means and r; the result has one row per column,
+        # built from it and the median selection.
         base = df if stored else materialize(
             df.select(*cols, *([label] if label else [])), "summary-input")
         aggs = []
         for c in cols:
             x = F.col(c).cast("double")
-            v = nan_to_null(x)
-            aggs += [mean_of(x).alias(f"mean__{c}"), F.count(v).alias(f"n__{c}"),
-                     F.min(v).alias(f"lo__{c}"), F.max(v).alias(f"hi__{c}")]
+            aggs.append(mean_of(x).alias(f"mean__{c}"))
             if label:
                 aggs.append(F.try_divide(F.covar_pop(x, y),
                                          F.stddev_pop(x) * F.stddev_pop(y)).alias(f"r__{c}"))
         row = base.agg(*aggs).first()
-        medians = select_medians(stack_columns(base, cols),
-                                 {c: (row[f"n__{c}"], row[f"lo__{c}"], row[f"hi__{c}"])
-                                  for c in cols})
+        medians = select_medians(stack_columns(base, cols))
         rows = [(c, row[f"mean__{c}"], medians.get(c), *([row[f"r__{c}"]] if label else []))
                 for c in cols]
         schema = "feature string, mean double, median double" + (", r double" if label else "")
@@ -99,69 +92,64 @@ def exact_median(df: DataFrame, cols: Sequence[str], stored: bool = False) -> Da
 
     Each round counts, for every still-open (feature, rank), how many values fall in each
     of ``MEDIAN_BUCKETS`` buckets of its candidate range (one aggregate job; the bucket
-    table has at most 2 x columns x buckets rows), then narrows the range to the bucket
-    holding the rank.  A range of one distinct value, or of at most ``MEDIAN_FINAL_ROWS``
-    values, is read out exactly.  No step holds more than those bounds in one task or on
-    the driver, whatever the table size or skew.  Unless ``stored`` says ``df`` is
-    already a stored table, its columns are written once to the shared checkpoint
-    folder, so the rounds rescan a table instead of recomputing its plan.
+    table has at most 2 x columns x buckets rows), then narrows the range to the smallest
+    and largest value of the bucket holding the rank, until those are one value.  A round
+    always separates the two ends, and divides the width by the number of buckets, so
+    even a range over every magnitude of a double ends within about 200 rounds (a handful
+    for common data).  Infinite values are counted apart and never widen a range.  No step
+    holds more than those bounds in one task or on the driver, whatever the table size or
+    skew.  Unless ``stored`` says ``df`` is already a stored table, its columns are written
+    once to the shared checkpoint folder, so the rounds rescan a table instead of
+    recomputing its plan.
     """
     spark = df.sparkSession
     base = df if stored else materialize(df.select(*cols), "median-input")
     st = stack_columns(base, cols)
-    stats = {r["feature"]: (r["n"], r["lo"], r["hi"]) for r in
-             st.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"),
-                                       F.max("x").alias("hi")).collect()}
-    medians = select_medians(st, stats)
+    medians = select_medians(st)
     return spark.createDataFrame([(c, medians.get(c)) for c in cols],
                                  "feature string, median double")
 
 
-def select_medians(st: DataFrame, stats: dict[str, tuple]) -> dict[str, float | None]:
-    """The selection rounds of ``exact_median`` over stacked (feature, x) rows, given each
-    feature's (non-NaN value count, min, max)."""
-    spark = st.sparkSession
-    # open ranges: (feature, rank) -> [lo, hi, values below lo, values in range]
-    open_: dict[tuple[str, int], list] = {}
-    for f, (n, lo, hi) in stats.items():
-        if n:
-            for k in {(n - 1) // 2, n // 2}:
-                open_[(f, k)] = [lo, hi, 0, n]
-    done: dict[tuple[str, int], float] = {}
-
-    def ranges_df(keys):
-        return spark.createDataFrame(
-            [(f, k, float(open_[(f, k)][0]), float(open_[(f, k)][1]), open_[(f, k)][2])
-             for f, k in keys], "feature string, rank long, lo double, hi double, below long")
+INFINITE = float("inf")
 
-    def in_range(keys):
-        return (st.join(F.broadcast(ranges_df(keys)), "feature")
-                  .where((F.col("x") >= F.col("lo")) & (F.col("x") <= F.col("hi"))))
 
-    for _ in range(MEDIAN_MAX_ROUNDS):
-        for key, (lo, hi, _, _) in list(open_.items()):
+def select_medians(st: DataFrame) -> dict[str, float | None]:
+    """The selection rounds of ``exact_median`` over stacked (feature, x) rows."""
+    spark = st.sparkSession
+    finite = F.when(F.abs("x") < INFINITE, F.col("x"))
+    stats = st.groupBy("feature").agg(
+        F.count(finite).alias("n"), F.min(finite).alias("lo"), F.max(finite).alias("hi"),
+        F.count(F.when(F.col("x") == -INFINITE, 1)).alias("below"),
+        F.count(F.when(F.col("x") == INFINITE, 1)).alias("above")).collect()
+    done: dict[tuple[str, int], float] = {}
+    # open ranges: (feature, rank) -> [lo, hi, values below lo]
+    open_: dict[tuple[str, int], list] = {}
+    total = {r["feature"]: r["n"] + r["below"] + r["above"] for r in stats}
+    for r in stats:
+        for k in {(total[r["feature"]] - 1) // 2, total[r["feature"]] // 2}:
+            if k < r["below"]:
+                done[(r["feature"], k)] = -INFINITE
+            elif k >= r["below"] + r["n"]:
+                done[(r["feature"], k)] = INFINITE
+            else:
+                open_[(r["feature"], k)] = [r["lo"], r["hi"], r["below"]]
+    while True:
+        for key, (lo, hi, _) in list(open_.items()):
             if lo == hi:
                 done[key] = lo
                 del open_[key]
-        small = [k for k, v in open_.items() if v[3] <= MEDIAN_FINAL_ROWS]
-        if small:
-            # every small range in one job: rank the (at most MEDIAN_FINAL_ROWS) values of
-            # each range and keep the wanted one
-            w = Window.partitionBy("feature", "rank").orderBy("x")
-            picked = (in_range(small).withColumn("_i", F.row_number().over(w) - 1)
-                      .where(F.col("_i") == F.col("rank") - F.col("below"))
-                      .select("feature", "rank", "x").collect())
-            for r in picked:
-                done[(r["feature"], r["rank"])] = r["x"]
-                del open_[(r["feature"], r["rank"])]
         if not open_:
             break
-        b = F.least(F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo"))
-                            * MEDIAN_BUCKETS), F.lit(MEDIAN_BUCKETS - 1)).cast("int")
-        hist = (in_range(list(open_))
-                  .groupBy("feature", "rank", b.alias("bucket"))
-                  .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("bmin"),
-                       F.max("x").alias("bmax"))
+        ranges = spark.createDataFrame([(f, k, float(lo), float(hi)) for (f, k), (lo, hi, _) in open_.items()],
+                                       "feature string, rank long, lo double, hi double")
+        # halves, so that the width of a range over all doubles is finite
+        place = (F.col("x") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2)
+        bucket = F.least(F.floor(place * MEDIAN_BUCKETS), F.lit(MEDIAN_BUCKETS - 1)).cast("int")
+        # 2 x columns rows at most: the open ranges
+        hist = (st.join(F.broadcast(ranges), "feature")
+                  .where((F.col("x") >= F.col("lo")) & (F.col("x") <= F.col("hi")))
+                  .groupBy("feature", "rank", bucket.alias("bucket"))
+                  .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("bmin"), F.max("x").alias("bmax"))
                   .collect())
         per: dict[tuple[str, int], list] = {}
         for r in hist:
@@ -170,14 +158,16 @@ def select_medians(st: DataFrame, stats: dict[str, tuple]) -> dict[str, float |
             seen = open_[key][2]
             for r in sorted(rows, key=lambda r: r["bucket"]):
                 if key[1] < seen + r["n"]:
-                    open_[key] = [r["bmin"], r["bmax"], seen, r["n"]]
+                    open_[key] = [r["bmin"], r["bmax"], seen]
                     break
                 seen += r["n"]
     medians: dict[str, float | None] = {}
-    for f, (n, _, _) in stats.items():
+    for f, n in total.items():
         if n:
             a, c = done[(f, (n - 1) // 2)], done[(f, n // 2)]
-            medians[f] = a + (c - a) * 0.5
+            middle = a + (c - a) * 0.5
+            # equal infinities, and two values further apart than a double can say
+            medians[f] = a if a == c else a / 2 + c / 2 if abs(c - a) == INFINITE else middle
     return medians
 
 
@@ -212,54 +202,61 @@ def with_popularity_ln(df: DataFrame) -> DataFrame:
 
 def kmeans_label(df: DataFrame, col: str, k: int = KMEANS_K, seed: int = 42,
                  out: str = "cluster") -> DataFrame:
-    """M7: k-means on one numeric column (fits a model: an action); adds the cluster id."""
-    vec = VectorAssembler(inputCols=[col], outputCol="_km_features", handleInvalid="skip")
-    data = vec.transform(df.withColumn(col, F.col(col).cast("double")))
-    model = KMeans(k=k, seed=seed, featuresCol="_km_features", predictionCol=out).fit(data)
-    return model.transform(data).drop("_km_features")
+    """M7: k-means on one numeric column (fits a model: an action); adds the cluster id.
+    Fitted on the rows that have a value; every row is returned, one without (null or NaN)
+    with a null cluster."""
+    x = nan_to_null(F.col(col).cast("double"))
+    vec = VectorAssembler(inputCols=[col], outputCol="_km_features", handleInvalid="keep")
+    data = vec.transform(df.withColumn(col, x))
+    model = KMeans(k=k, seed=seed, featuresCol="_km_features", predictionCol=out).fit(
+        data.where(F.col(col).isNotNull()))
+    return (model.transform(data).drop("_km_features")
+            .withColumn(out, F.when(F.col(col).isNotNull(), F.col(out))))
 
 
 def kmeans_centers(df: DataFrame, col: str, k: int = KMEANS_K, seed: int = 42) -> DataFrame:
     """M7 as the exploration script prints it: (cluster, center, size) of a k-means fit
     on one column."""
-    labelled = kmeans_label(df.select(col), col, k, seed)
+    labelled = kmeans_label(df.select(col), col, k, seed).where(F.col("cluster").isNotNull())
     return (labelled.groupBy("cluster")
                     .agg(F.avg(col).alias("center"), F.count(F.lit(1)).alias("size")))
 
 
 def binned_scatter(df: DataFrame, x_cols: Sequence[str], y_col: str, bins: int = 20,
-                   store_input: bool = False) -> DataFrame:
+                   stored: bool = False) -> DataFrame:
     """M8: 2-D histogram of each column against the label: (feature, x_bin, y_bin, n,
     frac), frac being the cell's share of the feature's points.
 
-    Columns are stacked into (feature, x, y) rows and counted per distinct value triple
-    (a partial aggregate).  Both the bin edges (each feature's min/max: one row per
-    feature, broadcast, its size is the column count) and the cell counts are computed
-    from that one aggregate, whose exchange Spark reuses, so ``df`` is computed once.
-    ``store_input`` writes the columns to the shared folder first instead.
+    Two aggregates over one stored copy of the columns (``stored``: ``df`` already is
+    one): the edges (smallest and largest finite value of each column over the points that
+    have both values, one row in all), then the cells, binned before the shuffle, so a map
+    task sends at most columns x bins x bins rows.  NaN is missing, like null; an infinite
+    value falls in the first or last bin and does not move an edge.
     """
-    if store_input:
-        df = materialize(df.select(*x_cols, y_col), "scatter-input")
-    stacked = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x"),
-                 F.col(y_col).cast("double").alias("y")) for c in x_cols])).alias("s")
-    ).select("s.*").where(F.col("x").isNotNull() & F.col("y").isNotNull())
-    points = stacked.groupBy("feature", "x", "y").agg(F.count(F.lit(1)).alias("k"))
-    # ``rows`` (points per feature, for the cell fraction) also keeps ``k`` in this
-    # branch, so both branches read the very same aggregate and its exchange is reused;
-    # were the aggregates pruned differently, ``df`` would be computed twice.
-    edges = points.groupBy("feature").agg(
-        F.min("x").alias("x_min"), F.max("x").alias("x_max"),
-        F.min("y").alias("y_min"), F.max("y").alias("y_max"), F.sum("k").alias("rows"))
-    nb = F.lit(bins)
-
-    def bin_of(v: str, lo: str, hi: str) -> F.Column:
-        width = (F.col(hi) - F.col(lo)) / nb
-        idx = F.floor(F.try_divide(F.col(v) - F.col(lo), width))
-        return F.coalesce(F.least(idx, F.lit(bins - 1)), F.lit(0)).cast("int")
-
-    cells = (points.join(F.broadcast(edges), "feature")
-                   .groupBy("feature", bin_of("x", "x_min", "x_max").alias("x_bin"),
-                            bin_of("y", "y_min", "y_max").alias("y_bin"))
-                   .agg(F.sum("k").alias("n"), F.max("rows").alias("rows")))
-    return cells.select("feature", "x_bin", "y_bin", "n", (F.col("n") / F.col("rows")).alias("frac"))
+    base = df if stored else materialize(df.select(*x_cols, y_col), "scatter-input")
+    # one row per point and column, the value missing in either leaving the point out
+    y = nan_to_null(F.col(y_col).cast("double"))
+    points = base.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), nan_to_null(F.col(c).cast("double")).alias("x"), y.alias("y"))
+        for c in x_cols])).alias("s")).select("s.*").where("x is not null and y is not null")
+    aggs = []
+    for v in ("x", "y"):
+        finite = F.when(F.abs(v) < INFINITE, F.col(v))
+        aggs += [F.min(finite).alias(f"{v}_min"), F.max(finite).alias(f"{v}_max")]
+    edges = {r["feature"]: r for r in points.groupBy("feature").agg(F.count(F.lit(1)).alias("rows"), *aggs).collect()}
+
+    def bin_of(v: str) -> F.Column:
+        def number(field: str) -> F.Column:  # the edges as literals: one row per column
+            pairs = [z for f, r in edges.items() for z in (F.lit(f), F.lit(r[field]).cast("double"))]
+            return F.element_at(F.create_map(*pairs), F.col("feature")) if pairs else F.lit(None).cast("double")
+
+        lo, hi = number(f"{v}_min"), number(f"{v}_max")
+        idx = F.try_divide(F.col(v) - lo, (hi - lo) / F.lit(bins))
+        return (F.when(F.col(v) == INFINITE, F.lit(bins - 1)).when(F.col(v) == -INFINITE, F.lit(0))
+                .otherwise(F.coalesce(F.least(F.floor(idx), F.lit(bins - 1)), F.lit(0)))).cast("int")
+
+    cells = (points.groupBy("feature", bin_of("x").alias("x_bin"), bin_of("y").alias("y_bin"))
+                   .agg(F.count(F.lit(1)).alias("n")))
+    rows = F.element_at(F.create_map(*[z for f, r in edges.items() for z in (F.lit(f), F.lit(r["rows"]))]),
+                        F.col("feature")) if edges else F.lit(1)
+    return cells.select("feature", "x_bin", "y_bin", "n", (F.col("n") / rows).alias("frac"))

@@ -1,9 +1,9 @@
 """Feature lookup for (artist, title) requests with artist, title and global fallbacks.
 
 The reference runs two to six Spark jobs per request.  Here a whole request table is
-resolved by one plan: three pre-aggregates of the feature table (by pair, by artist, by
-title) are left-joined to the requests, and the first level that matched wins.  The plan
-holds no action, so the same function serves a streaming request table.
+resolved at once: the feature table is reduced to sums and counts per (artist, title), the
+artist, title and global levels are rolled up from that one aggregate, the stored levels are
+left-joined to the distinct requests, and the first level that matched wins.
 """
 
 from __future__ import annotations
@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import AVERAGED_CONFIDENCE, clean_key, mean_of
-from . import skew
+from ..functions.columns import AVERAGED_CONFIDENCE, clean_key, mean_of, nan_to_null
+from ..session import materialize
 
 FEATURES = ["td_confidence", "artist_hotness", "song_hotness", "td_meanPrice"]
 NUMERIC_FEATURES = ["artist_hotness", "song_hotness", "td_meanPrice"]
@@ -30,16 +30,38 @@ def global_means(features: DataFrame) -> DataFrame:
     ).withColumn("mean_td_confidence", F.lit(AVERAGED_CONFIDENCE))
 
 
+def _totals(features: DataFrame, keys: list[str]) -> DataFrame:
+    """Per key: rows, largest confidence, and per feature the largest value (that of a
+    single row), the sum and the count (both skip NaN)."""
+    return features.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.col("td_confidence").cast("double")).alias("c"),
+        *[x for c in NUMERIC_FEATURES for x in (
+            F.max(F.col(c).cast("double")).alias(f"max_{c}"), F.sum(nan_to_null(c)).alias(f"sum_{c}"),
+            F.count(nan_to_null(c)).alias(f"n_{c}"))])
+
+
+def _rolled_up(totals: DataFrame, keys: list[str]) -> DataFrame:
+    """Totals by fewer keys (none: one row)."""
+    return totals.groupBy(*keys).agg(
+        F.sum("n").alias("n"), F.max("c").alias("c"),
+        *[x for c in NUMERIC_FEATURES for x in (F.max(f"max_{c}").alias(f"max_{c}"),
+                                                F.sum(f"sum_{c}").alias(f"sum_{c}"),
+                                                F.sum(f"n_{c}").alias(f"n_{c}"))])
+
+
+def _mean_or_single(totals: DataFrame, keys: list[str]) -> DataFrame:
+    one = F.col("n") == 1
+    return totals.select(
+        *keys, F.col("n").alias("n_matches"),
+        F.when(one, F.col("c")).otherwise(F.lit(AVERAGED_CONFIDENCE)).alias("td_confidence"),
+        *[F.when(one, F.col(f"max_{c}")).otherwise(F.try_divide(f"sum_{c}", f"n_{c}")).alias(c)
+          for c in NUMERIC_FEATURES])
+
+
 def group_mean_or_single(features: DataFrame, keys: list[str]) -> DataFrame:
     """Per key, the single row as is, or the means with confidence 3 when several
     (means skip NaN; a single row keeps its own values)."""
-    n = F.count(F.lit(1))
-    return features.groupBy(*keys).agg(
-        n.alias("n_matches"),
-        F.when(n == 1, F.max(F.col("td_confidence").cast("double")))
-         .otherwise(F.lit(AVERAGED_CONFIDENCE)).alias("td_confidence"),
-        *[F.when(n == 1, F.max(F.col(c).cast("double"))).otherwise(mean_of(c)).alias(c)
-          for c in NUMERIC_FEATURES])
+    return _mean_or_single(_totals(features, keys), keys)
 
 
 def _level_struct(prefix: str, level: str) -> F.Column:
@@ -48,26 +70,34 @@ def _level_struct(prefix: str, level: str) -> F.Column:
 
 
 def level_tables(features: DataFrame) -> dict[str, DataFrame]:
-    """The three per-level aggregates (A8 by pair, artist, title) and the global means."""
-    return {"exact": group_mean_or_single(features, ["artist_name", "title"]),
-            "artist": group_mean_or_single(features, ["artist_name"]),
-            "title": group_mean_or_single(features, ["title"]),
-            "means": global_means(features)}
+    """The three per-level aggregates (A8 by pair, artist, title) and the global means, all
+    stored: ``features`` is read once, and the joins with stored tables can be split."""
+    pair = ["artist_name", "title"]
+    totals = materialize(_totals(features, pair), "pair-totals")
+    out = {"exact": _mean_or_single(totals, pair)}
+    for name, key in (("artist", "artist_name"), ("title", "title")):
+        out[name] = materialize(_mean_or_single(_rolled_up(totals, [key]), [key]), f"{name}-level")
+    every = _rolled_up(totals, [])
+    out["means"] = materialize(every.select(
+        *[F.try_divide(f"sum_{c}", f"n_{c}").alias(f"mean_{c}") for c in NUMERIC_FEATURES],
+        F.lit(AVERAGED_CONFIDENCE).alias("mean_td_confidence")), "global-level")
+    return out
 
 
 def lookup_cascade(requests: DataFrame, features: DataFrame | None,
                    means: DataFrame | None = None,
-                   levels: dict[str, DataFrame] | None = None,
-                   hot_rows: int | None = None) -> DataFrame:
+                   levels: dict[str, DataFrame] | None = None) -> DataFrame:
     """One output row per request with the features of the first matching level.
 
     ``requests`` needs ``artist`` and ``title`` (raw text) plus any id columns, which are
     carried through.  ``features`` needs cleaned ``artist_name``, ``title`` and the four
-    feature columns.  The global level is a scalar subquery over ``means`` (one row).
+    feature columns; it is read once (``level_tables``), or pass the stored ``levels``.
+    The global level is a scalar subquery over ``means`` (one row).
 
-    Each level is its own aggregate over ``features``, so ``features`` should be a
-    stored table (see ``session.materialize``), not a long plan computed four times;
-    or pass ``levels`` (``level_tables``, stored once), as the streaming scorer does.
+    Each distinct cleaned (artist, title) is resolved once.  The resolved pairs are stored
+    and joined back to the requests: there too both sides are plain shuffles, so a pair
+    with a large share of all requests can be split.  A streaming request table is given
+    micro-batch by micro-batch (``streaming.scoring``).
     """
     levels = levels or level_tables(features)
 
@@ -81,14 +111,7 @@ def lookup_cascade(requests: DataFrame, features: DataFrame | None,
 
     r = (requests.withColumn("_k_artist", clean_key("artist"))
                  .withColumn("_k_title", clean_key("title")))
-    # Batch: resolve each distinct cleaned (artist, title) once, then join the answer
-    # back.  The distinct is a partial aggregate (a hot pair collapses map-side), the
-    # three level joins run on the distinct pairs, and the full request table is
-    # shuffled once for the join back instead of once per level.  A streaming table
-    # resolves its rows directly (a distinct would need streaming state).
-    dedupe = not requests.isStreaming
-    probe = (r.groupBy("_k_artist", "_k_title").agg(F.count(F.lit(1)).alias("_n_req"))
-             if dedupe else r)
+    probe = r.select("_k_artist", "_k_title").distinct()
     j = (probe.join(exact, (F.col("_k_artist") == F.col("e_artist_name"))
                     & (F.col("_k_title") == F.col("e_title")), "left")
               .join(by_artist, F.col("_k_artist") == F.col("a_artist_name"), "left")
@@ -110,23 +133,13 @@ def lookup_cascade(requests: DataFrame, features: DataFrame | None,
     keep = list(requests.columns)
     picked = [F.col("_m.match_level").alias("match_level"),
               *[F.col(f"_m.{c}").alias(c) for c in FEATURES]]
-    if not dedupe:
-        return j.select(*keep, chosen.alias("_m")).select(*keep, *picked)
-    resolved = (j.select(F.col("_k_artist").alias("_ra"), F.col("_k_title").alias("_rt"),
-                         "_n_req", chosen.alias("_m"))
-                 .select("_ra", "_rt", "_n_req", *picked))
-    # Join the answers back.  Null keys are mapped to a sentinel so that the join is a
-    # plain equi-join (every request has exactly one resolved row).  Request pairs with
-    # very many requests are salted: the resolved side is the output of joins, not a
-    # plain shuffle, so AQE could not split a hot pair here.
-    hot = skew.hot_by_count(resolved, ["_ra", "_rt"], "_n_req",
-                            min_rows=skew.HOT_KEY_ROWS if hot_rows is None else hot_rows)
-    rq = (r.withColumn("_ba", F.coalesce("_k_artist", F.lit(NULL_KEY)))
-           .withColumn("_bt", F.coalesce("_k_title", F.lit(NULL_KEY))))
-    rv = (resolved.withColumn("_ra", F.coalesce("_ra", F.lit(NULL_KEY)))
-                  .withColumn("_rt", F.coalesce("_rt", F.lit(NULL_KEY))))
-    hot = hot.select(F.coalesce("_ra", F.lit(NULL_KEY)).alias("_ra"),
-                     F.coalesce("_rt", F.lit(NULL_KEY)).alias("_rt"))
-    back = skew.salted_join(rq, rv, [("_ba", "_ra"), ("_bt", "_rt")], "inner", hot=hot,
-                            hot_side="left")
+    # Null keys are mapped to a sentinel so that the join back is a plain equi-join (every
+    # request has exactly one resolved row).
+    def key(c: str) -> F.Column:
+        return F.coalesce(c, F.lit(NULL_KEY))
+
+    resolved = materialize(j.select(key("_k_artist").alias("_ra"), key("_k_title").alias("_rt"),
+                                    chosen.alias("_m")).select("_ra", "_rt", *picked), "resolved-requests")
+    rq = r.withColumn("_ba", key("_k_artist")).withColumn("_bt", key("_k_title"))
+    back = rq.join(resolved, (F.col("_ba") == F.col("_ra")) & (F.col("_bt") == F.col("_rt")))
     return back.select(*keep, "match_level", *FEATURES)

@@ -10,7 +10,7 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import truncate_to_int
+from ..functions.columns import nan_to_null, truncate_to_int
 
 # --- fixed values that must equal the reference ----------------------------------
 # Wide feature layout: position -> column (the label is last).
@@ -64,10 +64,29 @@ def mark_categorical(df: DataFrame, col: str = "td_confidence",
 
 
 def assembler(feature_cols: Sequence[str], output: str = "features") -> VectorAssembler:
-    """M1: dense feature vector of the chosen columns.  Rows with a missing chosen
-    feature are skipped: a forest cannot use them (the original flow stops with a
-    number-format error on such a row)."""
-    return VectorAssembler(inputCols=list(feature_cols), outputCol=output, handleInvalid="skip")
+    """M1: dense feature vector of the chosen columns.  Every row is kept; a missing
+    feature is NaN in the vector (see ``usable`` and ``predict_batch``)."""
+    return VectorAssembler(inputCols=list(feature_cols), outputCol=output, handleInvalid="keep")
+
+
+def complete(cols: Sequence[str]) -> F.Column:
+    """True where no chosen feature is null or NaN."""
+    out = F.lit(True)
+    for c in cols:
+        x = F.col(c).cast("double")
+        out = out & x.isNotNull() & ~F.isnan(x)
+    return out
+
+
+def usable(df: DataFrame, feature_cols: Sequence[str]) -> DataFrame:
+    """Rows that a forest can learn from: a label and every chosen feature (the original
+    flow stops with a number-format error on any other row)."""
+    return df.where(F.col("label").isNotNull() & ~F.isnan("label") & complete(feature_cols))
+
+
+def skipped_rows(df: DataFrame, feature_cols: Sequence[str]) -> int:
+    """How many rows of a prepared table ``train_forest`` leaves out (an action)."""
+    return df.count() - usable(df, feature_cols).count()
 
 
 def assemble_features(df: DataFrame, feature_cols: Sequence[str], label: str = LABEL) -> DataFrame:
@@ -97,31 +116,47 @@ def prepare(df: DataFrame, feature_cols: Sequence[str], label: str = LABEL) -> D
 
 def train_forest(train: DataFrame, feature_cols: Sequence[str], num_trees: int = 30,
                  max_depth: int = 8, seed: int = SEED) -> PipelineModel:
-    """M3: assembler + random-forest regression, fitted (an action)."""
+    """M3: assembler + random-forest regression, fitted (an action) on the usable rows
+    (``skipped_rows`` counts the others)."""
     pipe = Pipeline(stages=[assembler(feature_cols), forest(num_trees, max_depth, seed=seed)])
-    return pipe.fit(train.where(F.col("label").isNotNull() & ~F.isnan("label")))
+    return pipe.fit(usable(train, feature_cols))
 
 
 def predict_batch(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """M4: apply the model; ``prediction_int`` is the score truncated toward zero."""
+    """M4: apply the model, one output row per input row; ``prediction_int`` is the score
+    truncated toward zero.  A row with a missing feature has no score; ``reject_reason``
+    says so (null otherwise)."""
+    ok = complete(model.stages[0].getInputCols())
     out = model.transform(df)
-    return out.withColumn("prediction_int", truncate_to_int("prediction"))
+    return (out.withColumn("prediction", F.when(ok, F.col("prediction")))
+               .withColumn("prediction_int", truncate_to_int("prediction"))
+               .withColumn("reject_reason", F.when(~ok, F.lit("missing feature"))))
+
+
+def _both(label: str, prediction: str) -> tuple[F.Column, F.Column]:
+    """Label and prediction, both null where either is missing."""
+    y, p = nan_to_null(label), nan_to_null(prediction)
+    ok = y.isNotNull() & p.isNotNull()
+    return F.when(ok, y), F.when(ok, p)
 
 
 def regression_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction",
                        by: Sequence[str] = ()) -> DataFrame:
-    """N, MSE, RMSE, R^2, MAE and explained variance in one aggregate.
+    """N, MSE, RMSE, R^2, MAE and explained variance in one aggregate, over the rows
+    that have both a label and a prediction (null and NaN are missing); ``left_out`` counts
+    the others.
 
     Explained variance is mean((p - mean(y))^2) = var_pop(p) + (mean(p) - mean(y))^2, so
     no second pass over the data is needed.
     """
-    y, p = F.col(label).cast("double"), F.col(prediction).cast("double")
+    y, p = _both(label, prediction)
     e = y - p
-    n = F.count(F.lit(1))
+    n = F.count(e)
     sse = F.sum(e * e)
-    mse = sse / n
+    mse = F.try_divide(sse, n)
     aggs = [
         n.alias("n"),
+        (F.count(F.lit(1)) - n).alias("left_out"),
         mse.alias("mse"),
         F.sqrt(mse).alias("rmse"),
         (F.lit(1.0) - F.try_divide(sse, F.var_pop(y) * n)).alias("r2"),
@@ -133,8 +168,9 @@ def regression_metrics(df: DataFrame, label: str = "label", prediction: str = "p
 
 def mean_squared_error(df: DataFrame, label: str = "label", prediction: str = "prediction",
                        by: Sequence[str] = ()) -> DataFrame:
-    """Mean of squared errors, computed directly."""
-    sq = F.avg(F.pow(F.col(label).cast("double") - F.col(prediction).cast("double"), 2))
+    """Mean of squared errors, computed directly (over the rows that have both)."""
+    y, p = _both(label, prediction)
+    sq = F.avg(F.pow(y - p, 2))
     return df.groupBy(*by).agg(sq.alias("mse")) if by else df.agg(sq.alias("mse"))
 
 

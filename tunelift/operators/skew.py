@@ -1,11 +1,12 @@
-"""Equi-joins that stay balanced when one key holds a large share of the rows.
-
-AQE splits a skewed partition only on the side it may duplicate safely (the left side of
-a left outer join, either side of an inner join).  A many-to-many join whose *right* side
-is dominated by one key would still give that key to one task.  ``salted_join`` finds the
-heaviest right-side keys (a top list with a fixed bound, so it can be broadcast), spreads
-their right rows over ``buckets`` salt values and replicates the matching left rows once
-per salt; every other key takes the plain join.  The result equals the plain join.
+"""Left joins that stay balanced when one key holds a large share of the right rows.
+
+AQE splits a skewed partition only on the side it may duplicate safely: either side of an
+inner join, the left side of a left outer join.  A join of a large table with a stored
+per-key table therefore needs nothing but that table to be stored (both sides are then
+plain shuffles).  A many-to-many *left* join whose right side is dominated by one key would
+still give that key to one task.  ``salted_join`` spreads the right rows of such keys over
+several tasks and replicates the matching left rows; every other key takes the plain join.
+The result equals the plain join.
 """
 
 from __future__ import annotations
@@ -15,90 +16,53 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A right-side key with at least this many rows is split over several tasks.
-HOT_KEY_ROWS = 1_000_000
-# How many of the heaviest keys may be salted (bounds the broadcast hot-key table).
-HOT_KEY_LIMIT = 1000
-# Number of tasks a hot key is spread over.
-SALT_BUCKETS = 64
-
 
-def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_KEY_ROWS,
-             limit: int = HOT_KEY_LIMIT) -> DataFrame:
-    """The (at most ``limit``) heaviest key values with at least ``min_rows`` rows.
+def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows per key (``_rows``); a partial aggregate, so a hot key costs one row per input
+    partition."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
 
-    The count is a partial aggregate, so a hot key costs one row per input partition.
-    """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return (counts.where(F.col("_rows") >= min_rows)
-                  .orderBy(F.col("_rows").desc(), *[F.col(k) for k in keys])
-                  .limit(limit).select(*keys))
 
+def hot_keys(counts: DataFrame, keys: Sequence[str], tasks: int | None = None) -> DataFrame:
+    """Keys that hold more than the fair share of one of ``tasks`` tasks (default: the
+    shuffle partitions), with the number of tasks they are worth (``_salts``).
 
-def hot_by_count(counts: DataFrame, key: str | Sequence[str], count_col: str,
-                 min_rows: int = HOT_KEY_ROWS, limit: int = HOT_KEY_LIMIT) -> DataFrame:
-    """Hot keys from a table that already holds a row count per key (e.g. songs per
-    artist): no extra pass over the big side."""
-    keys = [key] if isinstance(key, str) else list(key)
-    return (counts.where(F.col(count_col) >= min_rows)
-                  .orderBy(F.col(count_col).desc(), *[F.col(k) for k in keys])
-                  .limit(limit).select(*keys))
+    The shares add up to ``tasks``, so there are fewer hot keys than tasks, whatever the
+    size of the table: that bounds the broadcast list and the replication."""
+    tasks = tasks or int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = F.col("_rows") * F.lit(tasks) / counts.agg(F.sum("_rows").alias("total")).scalar()
+    return (counts.withColumn("_salts", F.ceil(share).cast("int")).where(share > 1)
+            .select(*keys, "_salts"))
 
 
 def salted_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],
-                how: str = "inner", min_rows: int = HOT_KEY_ROWS,
-                limit: int = HOT_KEY_LIMIT, buckets: int = SALT_BUCKETS,
-                hot: DataFrame | None = None, hot_side: str = "right") -> DataFrame:
+                how: str = "inner", tasks: int | None = None) -> DataFrame:
     """``left.join(right, left.l == right.r for (l, r) in on, how)`` for how in
-    {'inner', 'left'}, with the rows of hot keys spread over ``buckets`` tasks.
-
-    ``hot_side`` names the side whose keys are heavy.  Its rows of a hot key get a salt
-    in [0, buckets); the other side's rows of that key are replicated once per salt;
-    all other rows use salt 0.  Each (left, right) pair meets in exactly one bucket.
-    ``hot`` gives the hot keys (columns named as the right keys, at most ``limit``
-    rows); by default the heaviest keys of the hot side with at least ``min_rows``
-    rows.  Both sides are tagged through a broadcast lookup in that bounded table: no
-    plan is split or computed twice.
-
-    With hot right keys and a left join, a hot left replica whose bucket holds no right
-    row is dropped: the key has right rows, so the left row is matched in some other
-    bucket and the result is unchanged.
+    {'inner', 'left'}, with the right rows of hot keys spread over as many tasks as they
+    are worth.
+
+    ``right`` is read twice (its keys are counted first), so it should be a stored table.
+    Its rows of a hot key get a salt below the key's number of tasks; the left rows of that
+    key are replicated once per salt; all other rows use salt 0.  Each (left, right) pair
+    meets in exactly one task.  In a left join, a replica whose salt holds no right row is
+    dropped: the key has right rows, so the left row is matched under some other salt.
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
-    if hot_side not in ("left", "right"):
-        raise ValueError("hot_side is 'left' or 'right'")
     rkeys = [rk for _, rk in on]
-    if hot is None:
-        hot = (hot_keys(right, rkeys, min_rows, limit) if hot_side == "right" else
-               hot_keys(left.select(*[F.col(lk).alias(rk) for lk, rk in on]), rkeys,
-                        min_rows, limit))
-    elif hot_side == "right" and how == "left":
-        # the left-join rule below needs every hot key to have right rows: keep only
-        # those (the right keys stream past the broadcast list; at most `limit` remain)
-        hot = (right.select(*rkeys).join(F.broadcast(hot.select(*rkeys)), rkeys, "left_semi")
-                    .distinct())
-    hot = F.broadcast(hot.select(*rkeys).withColumn("_hot", F.lit(True)))  # <= limit rows
-    hot_l = hot.select(*[F.col(rk).alias(f"_hk_{i}") for i, rk in enumerate(rkeys)], "_hot")
-
+    hot = F.broadcast(hot_keys(key_counts(right, rkeys), rkeys, tasks))  # fewer rows than tasks
+    hot_l = hot.select(*[F.col(rk).alias(f"_hk_{i}") for i, rk in enumerate(rkeys)], "_salts")
     lt = left.join(hot_l, [left[lk] == hot_l[f"_hk_{i}"] for i, (lk, _) in enumerate(on)],
                    "left").drop(*[f"_hk_{i}" for i in range(len(on))])
     rt = right.join(hot, rkeys, "left")
     # A random salt is safe under task retries: the replicated side meets every salt,
     # so any assignment gives the same result (and duplicates are spread too).
-    spread = F.when(F.col("_hot"), (F.rand(17) * buckets).cast("int")).otherwise(F.lit(0))
-    every = F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1)))
-                       .otherwise(F.array(F.lit(0))))
-    if hot_side == "right":
-        ls = lt.withColumn("_salt", every).withColumnRenamed("_hot", "_lhot")
-        rs = rt.withColumn("_salt", spread).drop("_hot")
-    else:
-        ls = lt.withColumn("_salt", spread).drop("_hot")
-        rs = rt.withColumn("_salt", every).drop("_hot")
-
+    spread = F.when(F.col("_salts").isNotNull(), F.floor(F.rand(17) * F.col("_salts")).cast("int")).otherwise(F.lit(0))
+    every = F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
+    ls = lt.withColumn("_salt", every).withColumnRenamed("_salts", "_lsalts")
+    rs = rt.withColumn("_salt", spread).drop("_salts")
     cond = [ls[lk] == rs[rk] for lk, rk in on] + [ls["_salt"] == rs["_salt"]]
     out = ls.join(rs, cond, how)
-    if how == "left" and hot_side == "right":
-        out = out.where(~(F.coalesce(F.col("_lhot"), F.lit(False)) & rs["_salt"].isNull()))
-    out = out.drop(ls["_salt"]).drop(rs["_salt"])
-    return out.drop("_lhot") if "_lhot" in out.columns else out
+    if how == "left":
+        out = out.where(~(F.col("_lsalts").isNotNull() & rs["_salt"].isNull()))
+    return out.drop(ls["_salt"]).drop(rs["_salt"]).drop("_lsalts")

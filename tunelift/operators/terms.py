@@ -11,33 +11,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import fixed_round, nan_to_null
-from .skew import salted_join
+from ..functions.columns import nan_to_null
+from ..session import materialize
 
 # --- fixed values that must equal the reference ----------------------------------
 # Number of top terms an artist's terms are matched against.
 DEFAULT_TOP_K = 1000
 # ---------------------------------------------------------------------------------
-# Means are ranked on their value rounded to this many decimals, so that means equal
-# up to floating-point summation noise count as ties (broken by term).
-RANK_DIGITS = 9
-# Largest k whose top-k table is broadcast; a top-k result never exceeds k rows.
-MAX_BROADCAST_TOP_K = 1_000_000
+# Hotness is summed as a decimal of this type, so a sum does not depend on the order of
+# its rows and means that are equal rank as equal.
+EXACT = "decimal(38,15)"
 
 
 def artist_hotness_totals(songs: DataFrame, hotness_col: str) -> DataFrame:
-    """Per artist: songs, sum and count of non-null hotness (pre-aggregation for J9)."""
-    h = nan_to_null(hotness_col)          # NaN counts as missing in the mean
+    """Per artist: songs, exact sum and count of hotness (pre-aggregation for J9).  NaN and
+    infinite values count as missing."""
+    h = nan_to_null(hotness_col)
+    exact = F.when(F.abs(h) < F.lit(float("inf")), h.try_cast(EXACT))
     return songs.groupBy("artist_id").agg(
         F.count(F.lit(1)).alias("songs"),
-        F.sum(h).alias("hotness_sum"),
-        F.count(h).alias("hotness_n"))
+        F.sum(exact).alias("hotness_sum"),
+        F.count(exact).alias("hotness_n"))
 
 
 def inner_join_term_hotness(terms: DataFrame, songs: DataFrame, hotness_col: str) -> DataFrame:
     """Terms inner join songs on artist_id, one row per (term row, artist) carrying the
-    artist's song count and hotness totals (the per-song rows are summed, not emitted)."""
-    totals = artist_hotness_totals(songs, hotness_col)
+    artist's song count and hotness totals (the per-song rows are summed, not emitted).
+
+    The totals are stored, so both sides of the join are plain shuffles and AQE can split
+    an artist with very many terms."""
+    totals = materialize(artist_hotness_totals(songs, hotness_col), "artist-hotness")
     return terms.select("artist_id", "artist_term").join(totals, "artist_id", "inner")
 
 
@@ -45,26 +48,23 @@ def term_mean_hotness(terms: DataFrame, songs: DataFrame, hotness_col: str) -> D
     """A3: mean artist hotness per term, over all (term row, song) pairs of J9."""
     j = inner_join_term_hotness(terms, songs, hotness_col)
     return j.groupBy("artist_term").agg(
-        F.try_divide(F.sum("hotness_sum"), F.sum("hotness_n")).alias("artist_hotness"))
+        F.try_divide(F.sum("hotness_sum").cast("double"), F.sum("hotness_n")).alias("artist_hotness"))
 
 
 def top_terms(term_hotness: DataFrame, k: int = DEFAULT_TOP_K) -> DataFrame:
     """The k terms of highest mean hotness (ties broken by term; nulls last)."""
-    rank = fixed_round("artist_hotness", RANK_DIGITS)
-    return (term_hotness.orderBy(rank.desc_nulls_last(),
+    return (term_hotness.orderBy(F.col("artist_hotness").desc_nulls_last(),
                                  F.col("artist_term").asc())
                         .limit(k))
 
 
-def artist_genre_match(terms: DataFrame, top: DataFrame, k: int = DEFAULT_TOP_K) -> DataFrame:
+def artist_genre_match(terms: DataFrame, top: DataFrame) -> DataFrame:
     """Per artist, how many of its distinct terms are in the top-k table.
 
-    Artists with no top term keep a 0.  The top-k table has at most k rows, so it is
-    broadcast (k is checked); the distinct and the count combine map-side.
+    Artists with no top term keep a 0.  The distinct and the count combine map-side; AQE
+    broadcasts the top-k table if it has measured it to be small.
     """
     t = top.select("artist_term").distinct().withColumn("in_top", F.lit(1))
-    if k <= MAX_BROADCAST_TOP_K:
-        t = F.broadcast(t)
     pairs = terms.select("artist_id", "artist_term").distinct()
     return (pairs.join(t, "artist_term", "left")
                  .groupBy("artist_id")
@@ -76,22 +76,13 @@ def genre_match_from_songs(terms: DataFrame, songs: DataFrame, hotness_col: str,
     """A3 -> T1 -> A5 in one plan.  The ranking uses every term row (a repeated row
     weighs twice, as in the original flow); the match count uses distinct terms."""
     top = top_terms(term_mean_hotness(terms, songs, hotness_col), k)
-    return artist_genre_match(terms, top, k)
+    return artist_genre_match(terms, top)
 
 
-def inner_join_genre_match(songs: DataFrame, genre: DataFrame,
-                           hot_artists: DataFrame | None = None) -> DataFrame:
+def inner_join_genre_match(songs: DataFrame, genre: DataFrame) -> DataFrame:
     """Songs inner join the genre match (or the combined per-artist table); songs
     whose artist has no terms are dropped.
 
-    ``hot_artists`` (artist_id, at most ``skew.HOT_KEY_LIMIT`` rows) spreads the songs of
-    those artists over several tasks (``skew.salted_join``, hot side left): one artist
-    may hold a large share of all songs, and this join's per-artist side is not a
-    plain shuffle, so AQE could not split it."""
-    if hot_artists is None:
-        return songs.join(genre, "artist_id", "inner")
-    g = genre.withColumnRenamed("artist_id", "_g_artist_id")
-    hot = hot_artists.select(F.col("artist_id").alias("_g_artist_id"))
-    out = salted_join(songs, g, [("artist_id", "_g_artist_id")], "inner", hot=hot,
-                      hot_side="left")
-    return out.drop("_g_artist_id")
+    ``genre`` should be a stored table: both sides are then plain shuffles, and AQE can
+    split an artist that holds a large share of all songs."""
+    return songs.join(genre, "artist_id", "inner")

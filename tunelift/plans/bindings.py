@@ -16,15 +16,19 @@ song_info          one song per part: song_id = track_id = p_partkey, artist = p
                    p_partkey % 7 = 0, tempo = p_size, song_hotttnesss = p_retailprice/1000,
                    artist_familiarity = p_retailprice/2000, loudness = -p_size/5,
                    duration = p_retailprice/4, year = 1990 + p_partkey % 20 (text)
-play_count         lineitem with l_returnflag = 'R' and l_quantity >= 49, rows per l_partkey
-similar_artists    distinct (p_brand, l_suppkey) for l_quantity = 50 and p_size <= 12
-artist_terms       distinct (p_brand, word of p_name) for p_size <= 25, plus
-                   (p_brand, p_type) for p_size <= 5
+play_count         all of lineitem: rows per 2 * l_partkey (so odd songs have no plays, and
+                   the larger half of the keys no song)
+similar_artists    distinct (artist, l_suppkey) of lineitem x part, the artist being the brand
+                   number plus 11 (some of those artists have no song, some songs no artist)
+artist_terms       distinct (artist, lower-case word) of the whole texts of documents; the
+                   artist's two digits come from doc_id, and include digits that no brand has
+                   while brands that end in 5 have no terms
 term_scores        lineitem x part: (p_brand, p_type, weight = l_discount as text, 'NA' when
                    l_linenumber % 5 = 0, freq = l_quantity)
-likes              events of type 'view', rows per user_id (as track id)
-downloads          lineitem x part x orders with the play_count filter, per (p_brand, p_name):
-                   mean l_extendedprice, row count, and min o_orderpriority as a label
+likes              all of events: rows per 3 * user_id (as track id)
+downloads          lineitem x part x orders, per (p_brand, title): mean l_extendedprice, row
+                   count, and as confidence the label of the largest order's priority; the
+                   title of every third part carries a suffix that no song has
 requests           one per part; p_partkey % 4 picks: exact pair, unknown title,
                    unknown artist, both unknown
 =================  =========================================================================
@@ -46,6 +50,10 @@ PRIORITY_LABELS = {
 }
 UNKNOWN_ARTIST_PREFIX = "Unknown "
 UNKNOWN_TITLE_SUFFIX = " remix"
+LIVE_TITLE_SUFFIX = " live"
+# Second digit of the artist of a document, by doc_id: no 5, so brands ending in 5 have no
+# terms; 6 and 7 are no brand's.
+TERM_DIGITS = "123467"
 # ---------------------------------------------------------------------------------
 
 
@@ -53,10 +61,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _plays_filter() -> F.Column:
-    return (F.col("l_returnflag") == "R") & (F.col("l_quantity") >= 49)
-
-
 def song_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
     return p.select(
@@ -78,29 +82,27 @@ def song_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def play_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
-    return (li.where(_plays_filter())
-              .groupBy("l_partkey").agg(F.count(F.lit(1)).alias("play_count"))
-              .select(F.col("l_partkey").alias("play_song_id"),
-                      F.col("l_partkey").alias("play_track_id"), "play_count"))
+    key = F.col("l_partkey") * 2
+    return (li.groupBy(key.alias("play_song_id")).agg(F.count(F.lit(1)).alias("play_count"))
+              .select("play_song_id", F.col("play_song_id").alias("play_track_id"), "play_count"))
 
 
 def similar_artists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").where(F.col("l_quantity") == 50)
-    p = table(spark, sf_dir, "part").where(F.col("p_size") <= 12)
+    li = table(spark, sf_dir, "lineitem")
+    p = table(spark, sf_dir, "part")
+    number = F.regexp_extract("p_brand", "([0-9]+)$", 1).cast("int")
     return (li.join(p, li.l_partkey == p.p_partkey)
-              .select(F.col("p_brand").alias("artist_id"),
+              .select(F.concat(F.lit("Brand#"), (number + 11).cast("string")).alias("artist_id"),
                       F.col("l_suppkey").alias("similar_artist"))
               .distinct())
 
 
 def artist_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "part")
-    words = (p.where(F.col("p_size") <= 25)
-              .select(F.col("p_brand").alias("artist_id"),
-                      F.explode(F.split("p_name", " ")).alias("artist_term")))
-    types = (p.where(F.col("p_size") <= 5)
-              .select(F.col("p_brand").alias("artist_id"), F.col("p_type").alias("artist_term")))
-    return words.unionByName(types).distinct()
+    doc = table(spark, sf_dir, "documents")
+    second = F.substring(F.lit(TERM_DIGITS), (F.floor(F.col("doc_id") / 5) % 6 + 1).cast("int"), F.lit(1))
+    artist = F.concat(F.lit("Brand#"), (F.col("doc_id") % 5 + 1).cast("string"), second)
+    words = F.regexp_extract_all(F.lower("text"), F.lit("[^ \\n]+"), F.lit(0))
+    return doc.select(artist.alias("artist_id"), F.explode(F.array_distinct(words)).alias("artist_term")).distinct()
 
 
 def term_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,28 +118,26 @@ def term_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def likes(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
-    return (ev.where(F.col("event_type") == "view")
-              .groupBy("user_id").agg(F.count(F.lit(1)).alias("likes"))
-              .select(F.col("user_id").alias("track"), "likes"))
+    return ev.groupBy((F.col("user_id") * 3).alias("track")).agg(F.count(F.lit(1)).alias("likes"))
 
 
 def downloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").where(_plays_filter())
+    li = table(spark, sf_dir, "lineitem")
     p = table(spark, sf_dir, "part")
     o = table(spark, sf_dir, "orders")
-    # The lowest priority text is found through its leading digit, so the aggregate
-    # stays a hash aggregate (a min over strings needs a sort aggregate).
-    labels = F.create_map(*[x for k, v in PRIORITY_LABELS.items()
-                            for x in (F.lit(int(k[0])), F.lit(v))])
+    title = F.when(F.col("p_partkey") % 3 == 0, F.concat("p_name", F.lit(LIVE_TITLE_SUFFIX))).otherwise(F.col("p_name"))
+    # The label travels as its place in the list: numbers keep the aggregate a hash aggregate.
+    texts = list(PRIORITY_LABELS)
+    place = F.create_map(*[x for i, k in enumerate(texts) for x in (F.lit(k), F.lit(i))])
+    labels = F.create_map(*[x for i, k in enumerate(texts) for x in (F.lit(i), F.lit(PRIORITY_LABELS[k]))])
     return (li.join(p, li.l_partkey == p.p_partkey)
               .join(o, li.l_orderkey == o.o_orderkey)
-              .groupBy("p_brand", "p_name")
+              .groupBy(F.col("p_brand").alias("artist"), title.alias("title"))
               .agg(F.avg("l_extendedprice").alias("mean_price"),
                    F.count(F.lit(1)).alias("downloads"),
-                   F.min(F.substring("o_orderpriority", 1, 1).cast("int")).alias("priority"))
-              .select(F.col("p_brand").alias("artist"), F.col("p_name").alias("title"),
-                      "mean_price", "downloads",
-                      F.element_at(labels, F.col("priority")).alias("confidence")))
+                   F.max_by(F.element_at(place, F.col("o_orderpriority")), F.col("l_orderkey")).alias("place"))
+              .select("artist", "title", "mean_price", "downloads",
+                      F.element_at(labels, F.col("place")).alias("confidence")))
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -188,19 +188,18 @@ ROLE_SQL: dict[str, str] = {
                CAST(1990 + p_partkey % 20 AS VARCHAR) AS year
         FROM part""",
     "play_count": """
-        SELECT l_partkey AS play_song_id, l_partkey AS play_track_id, count(*) AS play_count
-        FROM lineitem WHERE l_returnflag = 'R' AND l_quantity >= 49
-        GROUP BY l_partkey""",
+        SELECT 2 * l_partkey AS play_song_id, 2 * l_partkey AS play_track_id,
+               count(*) AS play_count
+        FROM lineitem GROUP BY l_partkey""",
     "similar_artists": """
-        SELECT DISTINCT p_brand AS artist_id, l_suppkey AS similar_artist
-        FROM lineitem JOIN part ON l_partkey = p_partkey
-        WHERE l_quantity = 50 AND p_size <= 12""",
-    "artist_terms": """
-        SELECT DISTINCT artist_id, artist_term FROM (
-            SELECT p_brand AS artist_id, unnest(string_split(p_name, ' ')) AS artist_term
-            FROM part WHERE p_size <= 25
-            UNION ALL
-            SELECT p_brand, p_type FROM part WHERE p_size <= 5)""",
+        SELECT DISTINCT 'Brand#' || (CAST(regexp_extract(p_brand, '([0-9]+)$', 1) AS INTEGER) + 11)
+               AS artist_id, l_suppkey AS similar_artist
+        FROM lineitem JOIN part ON l_partkey = p_partkey""",
+    "artist_terms": f"""
+        SELECT DISTINCT 'Brand#' || (doc_id % 5 + 1)
+                        || substr('{TERM_DIGITS}', (doc_id // 5) % 6 + 1, 1) AS artist_id,
+               unnest(regexp_extract_all(lower(text), '[^ \\n]+')) AS artist_term
+        FROM documents""",
     "term_scores": """
         SELECT p_brand AS artist_id, p_type AS artist_term,
                CASE WHEN l_linenumber % 5 = 0 THEN 'NA'
@@ -208,16 +207,16 @@ ROLE_SQL: dict[str, str] = {
                l_quantity AS freq
         FROM lineitem JOIN part ON l_partkey = p_partkey""",
     "likes": """
-        SELECT user_id AS track, count(*) AS likes
-        FROM events WHERE event_type = 'view' GROUP BY user_id""",
+        SELECT 3 * user_id AS track, count(*) AS likes FROM events GROUP BY user_id""",
     "downloads": f"""
-        SELECT p_brand AS artist, p_name AS title, avg(l_extendedprice) AS mean_price,
-               count(*) AS downloads,
-               {_sql_map(PRIORITY_LABELS, 'min(o_orderpriority)')} AS confidence
-        FROM lineitem JOIN part ON l_partkey = p_partkey
-             JOIN orders ON l_orderkey = o_orderkey
-        WHERE l_returnflag = 'R' AND l_quantity >= 49
-        GROUP BY p_brand, p_name""",
+        SELECT artist, title, avg(l_extendedprice) AS mean_price, count(*) AS downloads,
+               {_sql_map(PRIORITY_LABELS, 'max_by(o_orderpriority, l_orderkey)')} AS confidence
+        FROM (SELECT p_brand AS artist,
+                     CASE WHEN p_partkey % 3 = 0 THEN p_name || '{LIVE_TITLE_SUFFIX}'
+                          ELSE p_name END AS title, l_extendedprice, l_orderkey, o_orderpriority
+              FROM lineitem JOIN part ON l_partkey = p_partkey
+                   JOIN orders ON l_orderkey = o_orderkey)
+        GROUP BY artist, title""",
     "requests": f"""
         SELECT p_partkey AS request_id,
                CASE WHEN p_partkey % 4 < 2 THEN p_brand

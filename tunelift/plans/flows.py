@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import (non_numeric_to_zero, popularity_log10, reorder,
                                  threshold_filter, to_double)
-from ..operators import audit, enrich, explore, lookup, model, skew, terms
+from ..operators import audit, enrich, explore, lookup, model, terms
 from ..session import materialize
 from . import bindings
 
@@ -40,12 +40,14 @@ class Roles:
     @classmethod
     def from_files(cls, spark: SparkSession, song_info: str, artist_terms: str,
                    similar_artists: str, play_count: str, likes: str, downloads: str,
-                   requests: str | None = None) -> "Roles":
+                   requests: str | None = None, store: bool = True) -> "Roles":
         """The roles from the original delimited input files.
 
         Header-named files (``;`` song info and similar artists, ``,`` play counts and
         likes) are read by column name; artist terms and download records are read by
         position, every copy of their header line dropped.  Counts are cast once here.
+        With ``store`` each parsed file is stored once as parquet, which the flows then
+        read column by column instead of parsing the text again in every branch.
         """
         from ..sources import readers as R
 
@@ -67,6 +69,11 @@ class Roles:
             req = req.withColumn("request_line", F.concat_ws(";", "artist", "title"))
         else:
             req = spark.createDataFrame([], "artist string, title string")
+        if store:
+            songs, plays, similar, lk, terms_rows, dl = (
+                materialize(df, name) for df, name in (
+                    (songs, "song-info"), (plays, "play-count"), (similar, "similar-artists"),
+                    (lk, "likes"), (terms_rows, "artist-terms"), (dl, "downloads")))
         return cls(songs, plays, similar, terms_rows.select("artist_id", "artist_term"),
                    terms_rows, lk, dl, req)
 
@@ -85,18 +92,20 @@ def serving_songs(r: Roles, top_k: int = terms.DEFAULT_TOP_K,
                   observe: dict | None = None) -> DataFrame:
     """Flow A up to the genre join: songs + plays + similar count + genre match.
 
-    ``observe`` (a dict) collects a row count per stage during the caller's action."""
-    songs = audit.observed(enrich.clean_song_info_serving(r.song_info), "songs", observe)
+    The cleaned songs and the per-artist table are stored: each is read by several parts
+    of the plan, and the join of the two can split an artist with very many songs.
+    ``observe`` (a dict) collects a row count per stage, here and in the caller's action."""
+    songs = materialize(audit.observed(enrich.clean_song_info_serving(r.song_info), "songs", observe),
+                        "serving-songs")
     s = enrich.left_join_play_count(songs, r.play_count)
     # Flow A ranks terms on the cleaned hotness ('NA' counted as 0).
     genre = terms.genre_match_from_songs(r.artist_terms, songs, "artist_hotness", top_k)
     per_artist = enrich.artist_features(
         genre, song_counts=enrich.artist_song_count(songs),
         similar_counts=enrich.similar_artist_count(r.similar_artists))
-    # J2 + J3 as one join of the songs with the combined per-artist table; artists with
-    # very many songs (per the table's song_count) are salted
-    hot = skew.hot_by_count(per_artist, "artist_id", "song_count")
-    out = terms.inner_join_genre_match(s, per_artist, hot).drop("song_count")
+    # J2 + J3 as one join of the songs with the combined per-artist table
+    per_artist = materialize(per_artist, "per-artist")
+    out = terms.inner_join_genre_match(s, per_artist).drop("song_count")
     return audit.observed(out, "with_genre", observe)
 
 
@@ -104,8 +113,9 @@ def serving_features(r: Roles, top_k: int = terms.DEFAULT_TOP_K,
                      observe: dict | None = None) -> DataFrame:
     """Q1: six feature columns per (song x matching download record), plus
     ``has_download_record``."""
-    records = audit.observed(enrich.clean_downloads(r.downloads, require_numeric_price=True),
-                             "download_records", observe)
+    # stored: the join looks for hot keys in it first
+    records = materialize(audit.observed(enrich.clean_downloads(r.downloads, require_numeric_price=True),
+                                         "download_records", observe), "download-records")
     out = enrich.left_join_downloads(serving_songs(r, top_k, observe), records)
     return audit.observed(out.select(*SERVING_COLUMNS), "serving_features", observe)
 
@@ -116,7 +126,7 @@ def wide_songs(r: Roles, top_k: int = terms.DEFAULT_TOP_K,
                observe: dict | None = None) -> DataFrame:
     """Flow B up to the genre join (``observe``: row count per stage, see above)."""
     ob = audit.observed
-    songs = ob(enrich.clean_song_info_wide(r.song_info), "songs", observe)
+    songs = materialize(ob(enrich.clean_song_info_wide(r.song_info), "songs", observe), "wide-songs")
     # Song-keyed joins first, then one join with all per-artist features.
     s = ob(enrich.left_join_play_count(songs, r.play_count), "with_plays", observe)
     s = ob(enrich.left_join_likes(s, r.likes), "with_likes", observe)
@@ -127,24 +137,23 @@ def wide_songs(r: Roles, top_k: int = terms.DEFAULT_TOP_K,
         genre, song_counts=enrich.artist_song_count(songs),
         weight_freq=enrich.artist_weight_freq(r.term_scores),
         similar_counts=enrich.similar_artist_count(r.similar_artists))
-    # J6, J7, J2 and J3 as one join of the songs with the combined per-artist table;
-    # artists with very many songs (per the table's own song_count) are salted
-    hot = skew.hot_by_count(per_artist, "artist_id", "song_count")
-    return ob(terms.inner_join_genre_match(s, per_artist, hot), "with_genre", observe)
+    # J6, J7, J2 and J3 as one join of the songs with the combined per-artist table
+    per_artist = materialize(per_artist, "per-artist")
+    return ob(terms.inner_join_genre_match(s, per_artist), "with_genre", observe)
 
 
 def wide_features(r: Roles, top_k: int = terms.DEFAULT_TOP_K, sort: bool = False) -> DataFrame:
     """Q2: the 17-column training table in contract order (label last).
 
-    ``sort=True`` adds the reference's global sort by artist (T2); the table is written
-    and read unordered otherwise, which saves a range shuffle.
+    ``sort=True`` adds the reference's global sort by artist (T2) to a stored copy, since
+    range sampling reads its input twice; the table is unordered otherwise.
     """
     records = enrich.clean_downloads(r.downloads, require_numeric_price=False)
     j = enrich.inner_join_downloads(wide_songs(r, top_k), records)
     j = j.withColumn("popularity", popularity_log10(
         "artist_familiarity", "song_count", "similar_artist_count"))
     if sort:
-        j = enrich.sort_by_artist(j)
+        j = enrich.sort_by_artist(materialize(j, "unsorted"))
     return reorder(j.withColumn("year", non_numeric_to_zero("year")), model.WIDE_COLUMNS)
 
 
@@ -158,8 +167,10 @@ def train_and_evaluate(wide: DataFrame, feature_indexes=model.DEFAULT_FEATURE_IN
     ``wide`` must carry ``split_key`` (an artist key) beside the contract columns, and is
     split by a hash of it; or, with ``test``, ``wide`` is the training table and ``test``
     the held-out one (split beforehand, as two files).
-    Returns (model, predictions, metrics); predictions are cached because the metrics,
-    the prediction sink and the caller all re-read them.
+    Returns (model, predictions, metrics).  The predictions (split key, split, label,
+    prediction) are stored once, and the metrics computed from the stored table.  Rows
+    without a label or a feature are not learned from; they have no prediction, and the
+    metrics count them as ``left_out``.
     """
     cols = model.feature_names(feature_indexes)
     if test is None:
@@ -174,7 +185,8 @@ def train_and_evaluate(wide: DataFrame, feature_indexes=model.DEFAULT_FEATURE_IN
     data = model.prepare(split, cols)
     fitted = model.train_forest(data.where(F.col("split") == "train"), cols,
                                 num_trees=num_trees, max_depth=max_depth)
-    preds = fitted.transform(data).cache()
+    kept = [c for c in (split_key, "split", "label") if c in data.columns]
+    preds = materialize(model.predict_batch(fitted, data).select(*kept, "prediction"), "predictions")
     # A11 per split, plus the squared error averaged directly (A12), as both are reported
     metrics = model.evaluate_splits(preds).join(
         model.mean_squared_error(preds, by=["split"]).withColumnRenamed("mse", "mse_direct"),

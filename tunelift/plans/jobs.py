@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import audit, explore, lookup, model
-from ..session import materialize
+from ..session import intermediates, materialize
 from ..sources import readers, writers
 from . import flows as P
 
@@ -45,30 +45,42 @@ def serving_job(roles: P.Roles, out_dir: str) -> dict[str, str]:
     feats_path, means_path = _p(out_dir, "features"), _p(out_dir, "means")
     spark = roles.song_info.sparkSession
     observations: dict = {}
-    writers.write_features_csv(P.serving_features(roles, observe=observations), feats_path)
-    _write_counts(spark, observations, _p(out_dir, "serving_stage_counts"))
-    stored = readers.read_delimited(spark, feats_path, SERVING_SCHEMA, ",")
-    writers.write_means(lookup.global_means(stored), means_path)
+    with intermediates(spark):
+        writers.write_features_csv(P.serving_features(roles, observe=observations), feats_path)
+        _write_counts(spark, observations, _p(out_dir, "serving_stage_counts"))
+        writers.write_means(lookup.global_means(read_serving(spark, feats_path)), means_path)
     return {"features": feats_path, "means": means_path,
             "stage_counts": _p(out_dir, "serving_stage_counts")}
 
 
 def wide_job(roles: P.Roles, out_dir: str, sort: bool = True) -> str:
     """Q2 (+ T2) + K1 + A7: the wide training table with its artist key, sorted by
-    artist, and the row count of each stage."""
+    artist, and the row count of each stage.  The counts are observed while the unsorted
+    table is stored (a sort samples its input, which would count rows twice)."""
     path = _p(out_dir, "wide")
+    spark = roles.song_info.sparkSession
     observations: dict = {}
-    wide = audit.observed(P.wide_features_with_artist(roles, observe=observations), "wide",
-                          observations)
-    if sort:
-        wide = wide.orderBy("artist_key", "td_meanPrice", "td_downloads")
-    writers.write_features_csv(wide, path)
-    _write_counts(wide.sparkSession, observations, _p(out_dir, "wide_stage_counts"))
+    with intermediates(spark):
+        wide = materialize(audit.observed(P.wide_features_with_artist(roles, observe=observations),
+                                          "wide", observations), "wide")
+        _write_counts(spark, observations, _p(out_dir, "wide_stage_counts"))
+        if sort:
+            wide = wide.orderBy("artist_key", "td_meanPrice", "td_downloads")
+        writers.write_features_csv(wide, path)
     return path
 
 
+def read_serving(spark: SparkSession, path: str) -> DataFrame:
+    """Stored serving features; a malformed row is a fault (this library wrote the file)."""
+    return readers.read_delimited(spark, path, SERVING_SCHEMA, ",", mode="FAILFAST")
+
+
+def read_means(spark: SparkSession, path: str) -> DataFrame:
+    return readers.read_delimited(spark, path, MEANS_SCHEMA, ",", mode="FAILFAST")
+
+
 def read_wide(spark: SparkSession, path: str) -> DataFrame:
-    return readers.read_delimited(spark, path, WIDE_SCHEMA, ",")
+    return readers.read_delimited(spark, path, WIDE_SCHEMA, ",", mode="FAILFAST")
 
 
 def training_job(wide: DataFrame, out_dir: str,
@@ -77,13 +89,13 @@ def training_job(wide: DataFrame, out_dir: str,
                  test: DataFrame | None = None) -> dict[str, str]:
     """Q3 + K3/K4/K5: metrics per split, integer predictions per split, the model.
     With ``test``, ``wide`` is the training table and ``test`` the held-out one."""
-    fitted, preds, metrics = P.train_and_evaluate(wide, feature_indexes, num_trees, max_depth,
-                                                  test_percent, test=test)
     paths = {k: _p(out_dir, k) for k in ("metrics", "predictions", "model")}
-    writers.write_metrics(model.metrics_long(metrics), paths["metrics"])
-    writers.write_predictions(model.prediction_table(preds), paths["predictions"])
-    writers.save_model(fitted, paths["model"])
-    preds.unpersist()
+    with intermediates(wide.sparkSession):
+        fitted, preds, metrics = P.train_and_evaluate(wide, feature_indexes, num_trees, max_depth,
+                                                      test_percent, test=test)
+        writers.write_metrics(model.metrics_long(metrics), paths["metrics"])
+        writers.write_predictions(model.prediction_table(preds), paths["predictions"])
+        writers.save_model(fitted, paths["model"])
     return paths
 
 
@@ -95,8 +107,7 @@ def scoring_job(spark: SparkSession, requests_path: str, features_path: str, mea
     serving features (see ``scoring_model``)."""
     accepted, rejected = readers.read_requests(spark, requests_path)
     accepted = accepted.withColumn("request_line", F.concat_ws(";", "artist", "title"))
-    features = readers.read_delimited(spark, features_path, SERVING_SCHEMA, ",")
-    means = readers.read_delimited(spark, means_path, MEANS_SCHEMA, ",")
+    features, means = read_serving(spark, features_path), read_means(spark, means_path)
     fitted = writers.load_model(model_path)
     scores = P.score_requests(accepted, features, fitted, means)
     return scores, rejected
@@ -119,5 +130,5 @@ def explore_job(wide: DataFrame, bins: int = 20) -> dict[str, DataFrame]:
     return {
         "summary": explore.feature_summary(v, P.EXPLORE_COLUMNS, model.LABEL, stored=True),
         "clusters": explore.kmeans_centers(v, model.LABEL),
-        "scatter": explore.binned_scatter(v, P.EXPLORE_COLUMNS, model.LABEL, bins),
+        "scatter": explore.binned_scatter(v, P.EXPLORE_COLUMNS, model.LABEL, bins, stored=True),
     }

@@ -27,10 +27,10 @@ def ordinal(x: str) -> str:
 
 def fround(x: str, d: int) -> str:
     """Same rounding as ``functions.columns.fixed_round``."""
-    s1, s2 = float(10 ** (d + 3)), float(10 ** d)
-    bound = 1e17 / s1
-    inner = f"(floor({x} * {s1} + 0.5) / {s1})"
-    return f"(CASE WHEN abs({x}) < {bound} THEN floor({inner} * {s2} + 0.5) / {s2} ELSE {x} END)"
+    for k in (d + 3, d):
+        s = float(10 ** k)
+        x = f"(round_even({x} * {s}::DOUBLE, 0) / {s}::DOUBLE)"
+    return x
 
 
 def split_bucket(x: str) -> str:
@@ -48,12 +48,13 @@ WIDE = ["td_confidence", "artist_hotttnesss", "artist_familiarity", "loudness",
 def _term_rank(suffix: str, hot: str, songs: str, k: int) -> dict[str, str]:
     return {
         f"term_hot_{suffix}": f"""
-            SELECT t.artist_term, avg({hot}) AS artist_hotness
+            SELECT t.artist_term, CAST(sum(CAST({hot} AS DECIMAL(38, 15))) AS DOUBLE)
+                                  / nullif(count({hot}), 0) AS artist_hotness
             FROM artist_terms t JOIN {songs} s ON t.artist_id = s.artist_id
             GROUP BY t.artist_term""",
         f"top_{suffix}": f"""
             SELECT artist_term, artist_hotness FROM term_hot_{suffix}
-            ORDER BY {fround('artist_hotness', 9)} DESC NULLS LAST, artist_term LIMIT {k}""",
+            ORDER BY artist_hotness DESC NULLS LAST, artist_term LIMIT {k}""",
         f"genre_{suffix}": f"""
             SELECT t.artist_id,
                    CAST(count(DISTINCT CASE WHEN tp.artist_term IS NOT NULL
@@ -159,9 +160,6 @@ FRAGMENTS.update({
 })
 FRAGMENTS.update(_term_rank("a", "s.artist_hotness", "songs_a", 1000))
 FRAGMENTS.update(_term_rank("b", "s.raw_hotness", "raw_hot", 1000))
-FRAGMENTS.update({k.replace("_a", "_a10"): v.replace("top_a", "top_a10")
-                  for k, v in _term_rank("a", "s.artist_hotness", "songs_a", 10).items()
-                  if k != "term_hot_a"})
 
 
 def _deps(sql: str, exclude: str | None = None) -> list[str]:

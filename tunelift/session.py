@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -14,8 +16,6 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    # DROPMALFORMED must see every column, not only the projected ones.
-    "spark.sql.csv.parser.columnPruning.enabled": "false",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
@@ -59,16 +59,16 @@ def build_session(master: str | None = "local[*]", shuffle_partitions: int | Non
 
 
 def apply_session_settings(spark: SparkSession) -> None:
-    """Set the runtime SQL settings this library relies on (idempotent)."""
-    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
+    """Make sure that intermediates have a shared folder (idempotent)."""
     ensure_checkpoint_dir(spark)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
-    Only where it is unset (local tests) a folder of our own is created.
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is; where
+    it is unset there, this raises, since executors could not read what others wrote to
+    a folder of one machine.  Only a local master (tests) gets a folder of our own.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
@@ -76,6 +76,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.split("[")[0] == "local":
+        raise ValueError(f"spark.checkpoint.dir is not set; with master {sc.master} it must "
+                         "name a folder that all executors share")
     local = tempfile.mkdtemp(prefix="tunelift-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
@@ -87,12 +90,40 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"scratch-{name}-{uuid.uuid4().hex[:12]}")
 
 
+# Paths of the innermost open ``intermediates`` block of a thread, which owns and deletes them.
+_blocks = threading.local()
+
+
+def _owned() -> list[list[str]]:
+    if not hasattr(_blocks, "stack"):
+        _blocks.stack = []
+    return _blocks.stack
+
+
+@contextmanager
+def intermediates(spark: SparkSession):
+    """Own every table that ``materialize`` stores inside the block, and delete them at its
+    end.  For jobs that write their results: a lazy result must not outlive the block."""
+    _owned().append([])
+    try:
+        yield
+    finally:
+        jvm = spark.sparkContext._jvm
+        for path in _owned().pop():
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def materialize(df, name: str):
     """Write ``df`` as parquet under the shared checkpoint folder and read it back.
 
     Cuts the lineage of a table that several later plans read (and survives the loss of
-    executors, unlike a local checkpoint or a cache)."""
+    executors, unlike a local checkpoint or a cache).  Inside an ``intermediates`` block
+    the copy is deleted at the end of the block; otherwise it lives as long as the
+    session's checkpoint folder."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if _owned():
+        _owned()[-1].append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

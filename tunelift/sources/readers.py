@@ -13,23 +13,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.columns import field_count, split_jvm
-from ..session import apply_session_settings
-
 
 def read_delimited(spark: SparkSession, path: str, schema: StructType | str | None, sep: str,
-                   header: bool = True) -> DataFrame:
+                   header: bool = True, mode: str = "DROPMALFORMED") -> DataFrame:
     """Delimited file(s); rows of the wrong width are dropped.
 
     With a ``schema`` the columns are typed by position; without one they are all
     strings named by the header (no inference pass).  Column pruning of the CSV parser
-    is switched off so that the width check sees every column even when the caller
-    projects a few.
+    is switched off for this read so that the width check sees every column even when the
+    caller projects a few.  ``mode="FAILFAST"`` is for files this library wrote itself,
+    where a malformed row is a fault and not an outside file's noise.
     """
-    apply_session_settings(spark)
     reader = spark.read.schema(schema) if schema is not None else spark.read
     return (reader.option("header", str(header).lower())
                   .option("sep", sep)
-                  .option("mode", "DROPMALFORMED")
+                  .option("mode", mode)
+                  .option("columnPruning", "false")
                   .csv(path))
 
 

@@ -1,19 +1,21 @@
 """Streaming request scoring: request lines arriving as text files are parsed, looked up
-against static feature aggregates (stream-static left joins) and optionally scored.
+against stored feature aggregates and optionally scored.
 
-The lookup is the batch ``lookup_cascade``, unchanged: it holds no action, so Structured
-Streaming plans it per micro-batch.  Bad lines go to their own sink instead of ending
-the stream.
+Each micro-batch goes through the batch lookup, with its balanced joins, and is written to
+a folder of its own, which a repeated batch overwrites: restarts are exactly-once.  Bad
+lines go to their own sink instead of ending the stream.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import lookup, model
-from ..session import materialize
+from ..session import intermediates
 from ..sources.readers import parse_requests
 
 
@@ -26,35 +28,30 @@ def request_stream(spark: SparkSession, request_dir: str, sep: str = ";",
     return parse_requests(reader.text(request_dir), sep)
 
 
-def stored_levels(features: DataFrame, means: DataFrame | None = None) -> dict[str, DataFrame]:
-    """The lookup's per-level aggregates and means, computed once and stored under the
-    shared checkpoint folder.  The static side of a stream-static join is re-planned for
-    every micro-batch, so without this each trigger would re-aggregate the features."""
+def batch_lookup(features: DataFrame, means: DataFrame | None = None) -> Callable[[DataFrame], DataFrame]:
+    """J10 for micro-batches: the level tables are aggregated and stored once, here."""
     levels = lookup.level_tables(features)
-    if means is not None:
-        levels["means"] = means
-    return {k: materialize(v, f"lookup-{k}") for k, v in levels.items()}
+    return lambda requests: lookup.lookup_cascade(requests, None, means, levels)
 
 
-def stream_lookup(requests: DataFrame, features: DataFrame,
-                  means: DataFrame | None = None) -> DataFrame:
-    """Streaming J10: each request row gets the features of its first matching level
-    (against level tables stored once)."""
-    return lookup.lookup_cascade(requests, None, levels=stored_levels(features, means))
+def batch_scores(features: DataFrame, fitted: PipelineModel,
+                 means: DataFrame | None = None) -> Callable[[DataFrame], DataFrame]:
+    """Q4 for micro-batches: lookup, then forest score truncated toward zero."""
+    look = batch_lookup(features, means)
+    return lambda requests: model.predict_batch(
+        fitted, model.mark_categorical(look(requests), "td_confidence")).drop("features")
 
 
-def stream_scores(requests: DataFrame, features: DataFrame, fitted: PipelineModel,
-                  means: DataFrame | None = None) -> DataFrame:
-    """Streaming Q4: lookup then forest score (truncated toward zero)."""
-    looked = model.mark_categorical(stream_lookup(requests, features, means), "td_confidence")
-    return model.predict_batch(fitted, looked).drop("features")
+def start_sink(df: DataFrame, path: str, checkpoint_location: str,
+               transform: Callable[[DataFrame], DataFrame] = lambda batch: batch,
+               available_now: bool = True) -> StreamingQuery:
+    """Write ``transform`` of every micro-batch to ``path``/batch_id=N as parquet."""
 
+    def write(batch: DataFrame, batch_id: int) -> None:
+        with intermediates(batch.sparkSession):
+            transform(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-def start_parquet_sink(df: DataFrame, path: str, checkpoint_location: str,
-                       available_now: bool = True) -> StreamingQuery:
-    """Append the stream to parquet; the checkpoint makes restarts exactly-once."""
-    w = (df.writeStream.format("parquet").outputMode("append")
-           .option("checkpointLocation", checkpoint_location))
+    w = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_location)
     if available_now:
         w = w.trigger(availableNow=True)
-    return w.start(path)
+    return w.start()
