@@ -11,7 +11,7 @@ Equal contexts are counted, not repeated; where an anchor has only one distinct
 of its windows repeat.  The others go to shards by anchor, and an anchor of very many
 contexts is salted over several shards.  Each shard builds a suffix array
 by Larsson-Sadakane refinement in numpy (only groups that are still tied are sorted again,
-by the rank at doubled distance), and longest common prefixes by Kasai's rule, advancing in
+by the ranks at multiples of the length settled so far), and longest common prefixes by Kasai's rule, advancing in
 all contexts at once.  Windows with a common prefix of ``span`` bytes with a neighbour in the
 array, or in a context that occurs several times, repeat.  The distinct windows of salted
 anchors are merged across shards by binary search in the sorted union of what the shards
@@ -38,7 +38,7 @@ from tunelift.session import materialize
 SPAN_BYTES = 200
 GRAM_BYTES = 24
 SHARD_CONTEXTS = 4096      # contexts of one anchor in a shard
-ARRAY_BYTES = 1 << 20      # bytes of the contexts that one suffix array covers
+ARRAY_BYTES = 512 << 10    # bytes of the contexts that one suffix array covers
 SLICE_BYTES = 256 << 10    # bytes hashed at a time, so that the arrays stay in a core's cache
 
 
@@ -106,20 +106,26 @@ def suffix_ranks(raw: np.ndarray, ends: np.ndarray, depth: int) -> np.ndarray:
     rank[order] = np.maximum.accumulate(np.where(head, place, 0))
     size = np.diff(np.r_[np.flatnonzero(head), n])
     tied = order[np.repeat(size, size) > 1]
+    # a key holds the ranks at as many distances as fit: two for any size, mostly three
+    width = int(n).bit_length() + 1
+    together = max(2, 63 // width)
     reach = 7
     while reach < depth and len(tied):
-        beyond = tied + reach
-        after = np.where(beyond < ends[tied], rank[np.minimum(beyond, n - 1)] + 1, 0)
-        by = np.argsort(rank[tied] * (n + 1) + after)
-        tied, after, group = tied[by], after[by], rank[tied[by]]
+        group = rank[tied]
+        key = group.copy()
+        for i in range(1, together):
+            beyond = tied + i * reach
+            key = (key << width) | np.where(beyond < ends[tied], rank[np.minimum(beyond, n - 1)] + 1, 0)
+        by = np.argsort(key)
+        tied, key, group = tied[by], key[by], group[by]
         k = np.arange(len(tied))
         fresh = np.r_[True, np.diff(group) != 0]
-        head = fresh | np.r_[True, np.diff(after) != 0]
+        head = np.r_[True, np.diff(key) != 0]
         place_in = k - np.maximum.accumulate(np.where(fresh, k, 0))
         rank[tied] = group + np.maximum.accumulate(np.where(head, k, 0)) - (k - place_in)
         size = np.diff(np.r_[np.flatnonzero(head), len(tied)])
         tied = tied[np.repeat(size, size) > 1]
-        reach *= 2
+        reach *= together
     return rank
 
 
