@@ -37,7 +37,7 @@ from tunelift.session import materialize
 
 SPAN_BYTES = 200
 GRAM_BYTES = 24
-SHARD_CONTEXTS = 4096      # contexts of one anchor in a shard
+SHARD_CONTEXTS = 1024      # contexts of one anchor in a shard
 ARRAY_BYTES = 512 << 10    # bytes of the contexts that one suffix array covers
 SLICE_BYTES = 256 << 10    # bytes hashed at a time, so that the arrays stay in a core's cache
 
