@@ -4,9 +4,11 @@ import random
 import re
 
 import pyarrow as pa
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tunelift.llm import components
 from tunelift.llm import jaccard as J
 from tunelift.llm import linking
 from tunelift.llm.components import connected_components
@@ -128,7 +130,9 @@ def test_shingle_sets_match_regex(texts):
     assert got == [len(shingles(t, 3)) for t in texts]
 
 
-def test_components_of_a_long_path_and_a_star(spark):
+@pytest.mark.parametrize("task_edges", [7, 250_000])
+def test_components_of_a_long_path_and_a_star(spark, monkeypatch, task_edges):
+    monkeypatch.setattr(components, "TASK_EDGES", task_edges)
     edges = [(i, i + 1) for i in range(300)] + [(1000, 1000 + i) for i in range(1, 50)] + [(5000, 5000)]
     random.Random(4).shuffle(edges)
     df = materialize(spark.createDataFrame(edges, "a long, b long"), "test-edges")
