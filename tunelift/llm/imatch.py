@@ -5,8 +5,8 @@ document frequency does.  Its size has a bound that does not grow with the corpu
 the band is in at least ``min_share`` of the documents, so there are at most (mean distinct
 terms of a document) / min_share of them; that bound is what lets the lexicon be broadcast.
 Each term of the lexicon carries a random mask that says to which of 32 subsets it belongs;
-subsets come in eight densities, from half of the lexicon down to 1/256, so short and long
-texts both have subsets that an edit leaves alone.  A fingerprint is, for each subset, the
+subsets come in eight densities, from half of the lexicon down to 1/256 (each a random half of
+the one before it), so short and long texts both have subsets that an edit leaves alone.  A fingerprint is, for each subset, the
 hash of the text's distinct terms in it, sorted (by their own hash).
 
 Documents are also compared with an edited copy and with the next document by doc_id.  For
@@ -37,14 +37,13 @@ def terms(text: Column) -> Column:
 
 
 def _mask(term: Column, seed: int) -> Column:
-    """A long whose bit k says that the term is in subset k; the bits of density d are the
-    conjunction of d random bits."""
-    out, word = F.lit(0).cast("long"), None
+    """A long whose bit PER_DENSITY * d + j says that the term is in subset j of density d.
+    Each subset is a random half of the one of the density before it."""
+    out, kept = F.lit(0).cast("long"), None
     for d in range(DENSITIES):
-        random = F.xxhash64(term, F.lit(seed), F.lit(d))
-        word = random if word is None else word.bitwiseAND(random)
-        field = ((1 << PER_DENSITY) - 1) << (d * PER_DENSITY)
-        out = out.bitwiseOR(word.bitwiseAND(F.lit(field).cast("long")))
+        random = F.xxhash64(term, F.lit(seed), F.lit(d)).bitwiseAND(F.lit((1 << PER_DENSITY) - 1))
+        kept = random if kept is None else kept.bitwiseAND(random)
+        out = out.bitwiseOR(F.shiftleft(kept, d * PER_DENSITY))
     return out
 
 
@@ -62,22 +61,28 @@ def lexicon(docs: DataFrame, min_share: float = MIN_SHARE, max_share: float = MA
         "lexicon")
 
 
-def _hashes(found: Column) -> Column:
-    """The hash of the sorted terms of each subset, null where there are none."""
-    def of(k: int) -> Column:
-        inside = F.filter(found, lambda t: t["mask"].bitwiseAND(F.lit(1 << k).cast("long")) != 0)
-        return F.when(F.size(inside) > 0, F.xxhash64(F.transform(inside, lambda t: t["id"]), F.lit(k)))
+def _with_print(df: DataFrame, found: str, text_hash: str, name: str) -> DataFrame:
+    """``df`` with the fingerprint of the sorted terms ``found`` (array of id, mask): eight
+    hexadecimal digits for each subset (``-`` for one without a term), joined by dots.  A text
+    without any term of the lexicon is told by its own hash.
 
-    return F.array(*[of(k) for k in range(SUBSETS)])
+    A subset is filtered from the one of the density before it, so that all of them together
+    look at each term about eight times."""
+    def member(k: int):
+        return lambda t: t["mask"].bitwiseAND(F.lit(1 << k).cast("long")) != 0
 
+    cols = df.columns
+    for d in range(DENSITIES):
+        df = df.select("*", *[F.filter(f"{found}_{d - 1}_{j}" if d else found, member(d * PER_DENSITY + j))
+                              .alias(f"{found}_{d}_{j}") for j in range(PER_DENSITY)])
+
+    def digits(d: int, j: int) -> Column:
+        inside = F.col(f"{found}_{d}_{j}")
+        h = F.xxhash64(F.transform(inside, lambda t: t["id"]), F.lit(d * PER_DENSITY + j))
+        return F.when(F.size(inside) > 0, F.lower(F.lpad(F.hex(F.pmod(h, F.lit(1 << 32))), 8, "0"))).otherwise("-")
 
-def fingerprint(found: Column, text_hash: Column) -> Column:
-    """Eight hexadecimal digits for each subset (``-`` for an empty one), joined by dots.  A
-    text without any term of the lexicon is told by its own hash."""
-    parts = F.transform(_hashes(found), lambda h: F.coalesce(
-        F.lower(F.lpad(F.hex(F.pmod(h, F.lit(1 << 32))), 8, "0")), F.lit("-")))
-    return F.when(F.size(found) > 0, F.array_join(parts, ".")).otherwise(
-        F.concat(F.lit("text:"), text_hash))
+    parts = F.concat_ws(".", *[digits(d, j) for d in range(DENSITIES) for j in range(PER_DENSITY)])
+    return df.select(*cols, F.when(F.size(found) > 0, parts).otherwise(F.concat(F.lit("text:"), F.col(text_hash))).alias(name))
 
 
 def likeness(a: str, b: str) -> Column:
@@ -164,8 +169,8 @@ def imatch(docs: DataFrame, lex: DataFrame | None = None, range_rows: int = RANG
     gathered = found.groupBy("range", "place").agg(*[F.max(c).alias(c) for c in facts], *[
         F.array_sort(F.collect_list(F.when(F.col("of") == of, F.struct("id", "mask")))).alias(name)
         for of, name in ((0, "own"), (1, "other"))])
-    prints = gathered.select("range", "place", *facts, fingerprint(F.col("own"), F.col("sha")).alias("fingerprint"),
-                             fingerprint(F.col("other"), F.col("edited_sha256")).alias("edited_fingerprint"))
+    prints = _with_print(_with_print(gathered, "own", "sha", "fingerprint"), "other", "edited_sha256", "edited_fingerprint")
+    prints = prints.select("range", "place", *facts, "fingerprint", "edited_fingerprint")
     # a lone row has no next document; its likeness to an empty text is that of its own print
     empty = F.concat(F.lit("text:"), F.sha2(F.lit(""), 256))
     compared = prints.withColumn("next_print", F.when(lone, empty).otherwise(
