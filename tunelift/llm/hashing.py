@@ -17,7 +17,7 @@ _BYTE = _RNG.integers(0, 2 ** 64, 256, dtype=np.uint64)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 2 ** 64))
 _POWERS: list[np.ndarray] = []
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 512 << 10    # bytes hashed at a time, so that the arrays stay small
 
 
 def mix(h: np.ndarray) -> np.ndarray:

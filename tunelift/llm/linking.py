@@ -26,7 +26,8 @@ BLOCK_ROWS = 512
 def shared_tiles(tiles: DataFrame) -> DataFrame:
     """Of ``tiles`` (tile long, v long; each pair once) the rows whose tile has several."""
     several = materialize(tiles.groupBy("tile").count().where("count > 1").select("tile"), "shared-tiles")
-    return materialize(tiles.join(several, "tile"), "tile-members")
+    # a hash join: the tiles of all rows need no sort to be looked up in the shared ones
+    return materialize(tiles.join(several.hint("shuffle_hash"), "tile"), "tile-members")
 
 
 def open_pairs(members: DataFrame, facts: DataFrame, columns: Sequence[str],
