@@ -4,9 +4,9 @@ The lexicon is every term whose document frequency lies in a chosen band, so who
 document frequency does.  Its size has a bound that does not grow with the corpus: a term of
 the band is in at least ``min_share`` of the documents, so there are at most (mean distinct
 terms of a document) / min_share of them; that bound is what lets the lexicon be broadcast.
-Each term of the lexicon carries a random mask that says to which of 32 subsets it belongs;
-subsets come in eight densities, from half of the lexicon down to 1/256 (each a random half of
-the one before it), so short and long texts both have subsets that an edit leaves alone.  A fingerprint is, for each subset, the
+Each term of the lexicon carries a random mask that says to which of 56 subsets it belongs;
+subsets come in seven densities, from a quarter of the lexicon down to 1/256 (each a random half
+of the one before it), so short and long texts both have subsets that an edit leaves alone.  A fingerprint is, for each subset, the
 hash of the text's distinct terms in it, sorted (by their own hash).
 
 Documents are also compared with an edited copy and with the next document by doc_id.  For
@@ -24,7 +24,7 @@ from tunelift.llm.common import read_table, text_or_empty
 from tunelift.session import materialize
 
 MIN_SHARE, MAX_SHARE = 0.002, 0.2   # of the documents that have a term of the lexicon
-DENSITIES, PER_DENSITY = 8, 4
+FIRST_DENSITY, DENSITIES, PER_DENSITY = 2, 7, 8  # 1/4, 1/8, ... 1/256 of the lexicon; 8 subsets each
 SUBSETS = DENSITIES * PER_DENSITY
 RANGE_ROWS = 512
 BROADCAST_TERMS = 1_000_000
@@ -40,10 +40,11 @@ def _mask(term: Column, seed: int) -> Column:
     """A long whose bit PER_DENSITY * d + j says that the term is in subset j of density d.
     Each subset is a random half of the one of the density before it."""
     out, kept = F.lit(0).cast("long"), None
-    for d in range(DENSITIES):
-        random = F.xxhash64(term, F.lit(seed), F.lit(d)).bitwiseAND(F.lit((1 << PER_DENSITY) - 1))
+    for halving in range(FIRST_DENSITY + DENSITIES - 1):
+        random = F.xxhash64(term, F.lit(seed), F.lit(halving)).bitwiseAND(F.lit((1 << PER_DENSITY) - 1))
         kept = random if kept is None else kept.bitwiseAND(random)
-        out = out.bitwiseOR(F.shiftleft(kept, d * PER_DENSITY))
+        if (d := halving - FIRST_DENSITY + 1) >= 0:
+            out = out.bitwiseOR(F.shiftleft(kept, d * PER_DENSITY))
     return out
 
 
@@ -67,7 +68,7 @@ def _with_print(df: DataFrame, found: str, text_hash: str, name: str) -> DataFra
     without any term of the lexicon is told by its own hash.
 
     A subset is filtered from the one of the density before it, so that all of them together
-    look at each term about eight times."""
+    look at each term about eleven times."""
     def member(k: int):
         return lambda t: t["mask"].bitwiseAND(F.lit(1 << k).cast("long")) != 0
 
