@@ -150,8 +150,9 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
             yield pa.record_batch([batch["v"].take(pa.array(rows, pa.int64())), pa.array(x, pa.binary())],
                                   names=["v", "x"])
 
-    # the list grows with the corpus: no broadcast, however short it is at a small size
-    j = docs.select(F.col("doc_id").alias("rep"), "text").join(wanted.hint("merge"), "rep")
+    # the list grows with the corpus: no broadcast, however short it is at a small size; and
+    # the texts need no sort to meet it
+    j = docs.select(F.col("doc_id").alias("rep"), "text").join(wanted.hint("shuffle_hash"), "rep")
     # a repeated row of the same id and text would give its set twice
     return j.select("v", "d1", "d2", "text").mapInArrow(run, "v long, x binary").dropDuplicates(["v"])
 
