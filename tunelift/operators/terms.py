@@ -74,7 +74,9 @@ def artist_genre_match(terms: DataFrame, top: DataFrame) -> DataFrame:
 def genre_match_from_songs(terms: DataFrame, songs: DataFrame, hotness_col: str,
                            k: int = DEFAULT_TOP_K) -> DataFrame:
     """A3 -> T1 -> A5 in one plan.  The ranking uses every term row (a repeated row
-    weighs twice, as in the original flow); the match count uses distinct terms."""
+    weighs twice, as in the original flow); the match count uses distinct terms.  The rows
+    are stored, as both read them."""
+    terms = materialize(terms.select("artist_id", "artist_term"), "artist-terms")
     top = top_terms(term_mean_hotness(terms, songs, hotness_col), k)
     return artist_genre_match(terms, top)
 
