@@ -7,15 +7,15 @@ window belongs to exactly one context.  An anchor that occurs once in the whole
 belong to a repeated window; only contexts of the other anchors, about the repeated part of
 the corpus, are looked at again.
 
-Equal contexts are counted, not repeated; where an anchor has only one distinct context, all
-of its windows repeat.  The others go to shards by anchor, and an anchor of very many
-contexts is salted over several shards.  Each shard builds a suffix array
-by Larsson-Sadakane refinement in numpy (only groups that are still tied are sorted again,
-by the ranks at multiples of the length settled so far), and longest common prefixes by Kasai's rule, advancing in
-all contexts at once.  Windows with a common prefix of ``span`` bytes with a neighbour in the
-array, or in a context that occurs several times, repeat.  The distinct windows of salted
-anchors are merged across shards by binary search in the sorted union of what the shards
-have.
+Equal contexts are counted, not repeated; where an anchor has only one distinct context that
+occurs several times, all of its windows repeat.  The others go to shards by anchor, and an
+anchor of very many contexts is salted over several shards.  Each shard builds a suffix array
+by Larsson-Sadakane refinement in numpy (only groups that are still tied are sorted again, by
+the ranks at multiples of the length settled so far), and longest common prefixes by Kasai's
+rule, advancing in all contexts at once.  Windows with a common prefix of ``span`` bytes with a
+neighbour in the array, or in a context that occurs several times, repeat.  The distinct
+windows of salted anchors are merged across shards by binary search in the sorted union of
+what the shards have.
 """
 
 from __future__ import annotations
