@@ -45,3 +45,16 @@ def test_held_out_accuracy(spark):
     held = [r["lang"] == r["lang_pred"] for r in rows if r["held_out"]]
     assert len(rows) == 1000 and sum(held) >= 0.95 * len(held)
     assert found.agg(F.min("score"), F.max("score")).first()[0] >= 0
+
+
+def test_one_short_text_shortens_no_other_dictionary(spark):
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet").select("doc_id", "text", "lang")
+    held = L.id_remainder("doc_id", 4) == 2
+    train = docs.where(~held)
+    short = spark.createDataFrame([(-1, "hola amigos", "zz")], "doc_id long, text string, lang string")
+    alone, both = L.learn_dictionaries(train), L.learn_dictionaries(train.unionByName(short))
+    assert {k: v for k, v in both.items() if k != "zz"} == alone and "hola amigos" in both["zz"].decode()
+    rows = L.identify(docs.where(held), both).join(docs.select("doc_id", F.col("lang").alias("true")), "doc_id").collect()
+    assert sum(r["lang_best"] == r["true"] for r in rows) >= 0.95 * len(rows)
+    # eleven bytes are too few to compress, with any dictionary
+    assert L.identify(short.withColumn("text", F.repeat("text", F.lit(3))), both).first()["lang_best"] == "zz"

@@ -39,7 +39,9 @@ def learn_dictionaries(train: DataFrame, sample_docs: int = SAMPLE_DOCS,
     The sample is, of each of STRATA hash strata of a language, the documents with the
     smallest hash, at most ``sample_docs`` a language in all; only their ids are ranked (the
     limit also applies before the shuffle), and only their first ``sample_chars`` characters reach the driver: at most
-    languages x sample_docs x sample_chars.  Rows with a null text or lang, and texts
+    languages x sample_docs x sample_chars.  A language's dictionary is the end of its own sample,
+    ``dictionary_bytes`` at most; a smaller sample is repeated to the bytes of the largest, so
+    a language with little text shortens no other's.  Rows with a null text or lang, and texts
     without a letter, teach nothing."""
     usable = train.where("text is not null and lang is not null").where(
         F.regexp_like("text", F.lit(r"\p{L}")))
@@ -53,9 +55,10 @@ def learn_dictionaries(train: DataFrame, sample_docs: int = SAMPLE_DOCS,
     out: dict[str, list[bytes]] = {}
     for row in sorted(rows, key=lambda r: (r["lang"], r["at"], r["text"])):
         out.setdefault(row["lang"], []).append(row["text"].lower().encode())
-    # every language gets the same number of bytes, so none wins by the size of its sample
-    even = min([dictionary_bytes, *(sum(map(len, x)) for x in out.values())])
-    return {lang: b" ".join(x)[-even:] for lang, x in out.items()}
+    # every language keeps its sample; a small one is repeated to the bytes of the largest
+    whole = {lang: b" ".join(x) for lang, x in out.items()}
+    even = min(dictionary_bytes, max(map(len, whole.values()), default=0))
+    return {lang: b" ".join([x] * -(-(even + 1) // (len(x) + 1)))[-even:] for lang, x in whole.items()}
 
 
 def compressed_sizes(text: str, presses: list, block_bytes: int = BLOCK_BYTES) -> list[int]:
