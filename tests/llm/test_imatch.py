@@ -112,3 +112,18 @@ def test_equal_texts_equal_prints_and_edits_stay_near(spark, make_docs):
 def test_no_python_in_the_plan(spark, make_docs):
     plan = M.imatch(make_docs(random_rows(9, 10)))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_a_text_on_a_third_of_the_rows_keeps_its_terms(spark, make_docs):
+    rows = [(i, t) for i, (_, t) in enumerate(random_rows(10, 90)) if len(words(t)) > 5]
+    rng = random.Random(4)
+    common = " ".join(rng.choice(sorted(words(rng.choice(rows)[1]))) for _ in range(80))
+    copies = [(1000 + i, common) for i in range(len(rows) // 2)]
+    df = make_docs(rows + copies + [(5000, common[:-1] + "!")], extra=("hash", "count"))
+    once = make_docs(rows + copies[:1] + [(5000, common[:-1] + "!")])
+    assert {r["term"] for r in M.lexicon(df).collect()} == {r["term"] for r in M.lexicon(once).collect()}
+    got = {r["doc_id"]: r for r in M.imatch(df).collect()}
+    assert all(got[i]["fingerprint"] == got[1000]["fingerprint"] for i, _ in copies)
+    assert not got[1000]["fingerprint"].startswith("text:") and got[1000]["near_next"] == 1.0
+    x, y = (got[i]["fingerprint"].split(".") for i in (1000, 5000))
+    assert sum(a == b for a, b in zip(x, y)) > 0.5 * len(x)  # one character apart

@@ -2,8 +2,8 @@
 
 The lexicon is every term whose document frequency lies in a chosen band, so whose inverse
 document frequency does.  Its size has a bound that does not grow with the corpus: a term of
-the band is in at least ``min_share`` of the documents, so there are at most (mean distinct
-terms of a document) / min_share of them; that bound is what lets the lexicon be broadcast.
+the band is in at least ``min_share`` of the distinct texts, so there are at most (mean distinct
+terms of a text) / min_share of them; that bound is what lets the lexicon be broadcast.
 Each term of the lexicon carries a random mask that says to which of 56 subsets it belongs;
 subsets come in seven densities, from a quarter of the lexicon down to 1/256 (each a random half
 of the one before it), so short and long texts both have subsets that an edit leaves alone.  A fingerprint is, for each subset, the
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from tunelift.llm.common import read_table, text_or_empty
 from tunelift.session import materialize
 
-MIN_SHARE, MAX_SHARE = 0.002, 0.2   # of the documents that have a term of the lexicon
+MIN_SHARE, MAX_SHARE = 0.002, 0.2   # of the distinct texts that have a term of the lexicon
 FIRST_DENSITY, DENSITIES, PER_DENSITY = 2, 7, 8  # 1/4, 1/8, ... 1/256 of the lexicon; 8 subsets each
 SUBSETS = DENSITIES * PER_DENSITY
 RANGE_ROWS = 512
@@ -50,12 +50,15 @@ def _mask(term: Column, seed: int) -> Column:
 
 def lexicon(docs: DataFrame, min_share: float = MIN_SHARE, max_share: float = MAX_SHARE,
             seed: int = 11) -> DataFrame:
-    """(term, id, mask) of the terms in the band; frequencies count all documents.
-
-    A term in one document only is no evidence and is left out; where ``min_share`` of a
-    small table is less than two documents, two are asked for."""
-    rows = docs.count()
-    counts = docs.select(F.explode(terms(text_or_empty())).alias("term")).groupBy("term").count()
+    """(term, id, mask) of the terms in the band; frequencies count all distinct texts, so
+    copies of a text neither raise its terms above the band nor change it for others.
+
+    A term in one text only is no evidence and is left out; where ``min_share`` of a
+    small table is less than two texts, two are asked for."""
+    hashed = docs.select(text_or_empty().alias("text")).withColumn("hash", F.xxhash64("text"))
+    rows = hashed.select("hash").distinct().count()
+    texts = hashed.groupBy("hash").agg(F.first("text").alias("text"))
+    counts = texts.select(F.explode(terms(F.col("text"))).alias("term")).groupBy("term").count()
     return materialize(
         counts.where(F.col("count").between(max(2, min_share * rows), max(2, max_share * rows)))
         .select("term", F.xxhash64("term", F.lit(seed)).alias("id"), _mask(F.col("term"), seed).alias("mask")),
