@@ -4,6 +4,7 @@ can express."""
 from __future__ import annotations
 
 from tunelift.llm.chunk_dedup import OP6_SQL, op6_chunk_recipe_dedup
+from tunelift.llm.hard_negatives import op11_hard_negatives
 from tunelift.llm.imatch import op3_imatch_fingerprints
 from tunelift.llm.jaccard import op2_ngram_jaccard_join
 from tunelift.llm.langid import op5_compression_langid
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_knn_quality": op9_knn_quality,
     "op10_warc_dictionary": op10_warc_dictionary,
+    "op11_hard_negatives": op11_hard_negatives,
 }
 
 ORACLES = {
