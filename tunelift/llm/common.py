@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,3 +40,11 @@ def word_count(text: Column) -> Column:
 def id_remainder(col: str, n: int) -> Column:
     """crc32 of the id written as text, modulo n (null ids: null)."""
     return F.crc32(F.col(col).cast("string")) % n
+
+
+def free_name(columns: Iterable[str], name: str) -> str:
+    """``name``, with underscores after it until no column is called so (in any case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

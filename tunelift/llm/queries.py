@@ -12,7 +12,9 @@ from tunelift.llm.line_dedup import op4_fuzzy_line_dedup
 from tunelift.llm.mixing import OP7_SQL, op7_water_filling_mix
 from tunelift.llm.packing import op1_best_fit_packing
 from tunelift.llm.quality import op9_knn_quality
+from tunelift.llm.secret_scan import op13_secret_scan
 from tunelift.llm.suffix_dedup import op8_suffix_array_dedup
+from tunelift.llm.vector_codes import op12_vector_codes
 from tunelift.llm.warc import OP10_SQL, op10_warc_dictionary
 
 QUERIES = {
@@ -27,6 +29,8 @@ QUERIES = {
     "op9_knn_quality": op9_knn_quality,
     "op10_warc_dictionary": op10_warc_dictionary,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_secret_scan": op13_secret_scan,
 }
 
 ORACLES = {
