@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import AVERAGED_CONFIDENCE, clean_key, mean_of, nan_to_null
-from ..session import materialize
+from ..session import materialize, materialize_bucketed
 
 FEATURES = ["td_confidence", "artist_hotness", "song_hotness", "td_meanPrice"]
 NUMERIC_FEATURES = ["artist_hotness", "song_hotness", "td_meanPrice"]
@@ -84,6 +84,60 @@ def level_tables(features: DataFrame) -> dict[str, DataFrame]:
     return out
 
 
+def _global_row(means: DataFrame) -> F.Column:
+    """The global level as a struct: a scalar subquery over the one row of means."""
+    return means.select(F.struct(
+        F.lit("global").alias("match_level"),
+        F.col("mean_td_confidence").alias("td_confidence"),
+        F.col("mean_artist_hotness").alias("artist_hotness"),
+        F.col("mean_song_hotness").alias("song_hotness"),
+        F.col("mean_td_meanPrice").alias("td_meanPrice"))).scalar()
+
+
+def _with_levels(keyed: DataFrame, levels: dict[str, DataFrame], means: DataFrame | None) -> tuple[DataFrame, F.Column]:
+    """``keyed`` (cleaned ``_k_artist``, ``_k_title``) left-joined with the three levels, and the
+    struct of the first level that matched."""
+    def level(name: str, prefix: str) -> DataFrame:
+        agg = levels[name]
+        return agg.select(*[F.col(c).alias(f"{prefix}{c}") for c in agg.columns])
+
+    j = (keyed.join(level("exact", "e_"), (F.col("_k_artist") == F.col("e_artist_name"))
+                    & (F.col("_k_title") == F.col("e_title")), "left")
+              .join(level("artist", "a_"), F.col("_k_artist") == F.col("a_artist_name"), "left")
+              .join(level("title", "t_"), F.col("_k_title") == F.col("t_title"), "left"))
+    return j, F.coalesce(
+        F.when(F.col("e_n_matches").isNotNull(), _level_struct("e_", "exact")),
+        F.when(F.col("a_n_matches").isNotNull(), _level_struct("a_", "artist")),
+        F.when(F.col("t_n_matches").isNotNull(), _level_struct("t_", "title")),
+        _global_row(means if means is not None else levels["means"]))
+
+
+def _keyed(requests: DataFrame) -> DataFrame:
+    return requests.withColumn("_k_artist", clean_key("artist")).withColumn("_k_title", clean_key("title"))
+
+
+def bucketed_levels(features: DataFrame, buckets: int | None = None) -> dict[str, DataFrame]:
+    """``level_tables`` stored in buckets by their keys, which are unique in each, for requests
+    that come again and again: their joins shuffle the requests alone."""
+    levels = level_tables(features)
+    keys = {"exact": ["artist_name", "title"], "artist": ["artist_name"], "title": ["title"]}
+    return {"means": levels["means"],
+            **{name: materialize_bucketed(levels[name], f"{name}-level", k, buckets) for name, k in keys.items()}}
+
+
+def join_levels(requests: DataFrame, levels: dict[str, DataFrame], means: DataFrame | None = None) -> DataFrame:
+    """J10 as one plan without any action, so ``requests`` may be a stream: every request row is
+    joined with the stored levels (``level_tables`` or ``bucketed_levels``).
+
+    Same rows as ``lookup_cascade``.  That one resolves each distinct pair once and can split a
+    pair that holds a large share of all requests; here such a pair is one task's work, so a
+    stream bounds it by the size of its triggers."""
+    joined, chosen = _with_levels(_keyed(requests), levels, means)
+    return (joined.withColumn("_m", chosen)
+            .select(*requests.columns, F.col("_m.match_level").alias("match_level"),
+                    *[F.col(f"_m.{c}").alias(c) for c in FEATURES]))
+
+
 def lookup_cascade(requests: DataFrame, features: DataFrame | None,
                    means: DataFrame | None = None,
                    levels: dict[str, DataFrame] | None = None) -> DataFrame:
@@ -96,40 +150,12 @@ def lookup_cascade(requests: DataFrame, features: DataFrame | None,
 
     Each distinct cleaned (artist, title) is resolved once.  The resolved pairs are stored
     and joined back to the requests: there too both sides are plain shuffles, so a pair
-    with a large share of all requests can be split.  A streaming request table is given
-    micro-batch by micro-batch (``streaming.scoring``).
+    with a large share of all requests can be split.  A streaming request table takes
+    ``join_levels``, or this one micro-batch by micro-batch (``streaming.scoring``).
     """
     levels = levels or level_tables(features)
-
-    def level(name: str, prefix: str) -> DataFrame:
-        agg = levels[name]
-        return agg.select(*[F.col(c).alias(f"{prefix}{c}") for c in agg.columns])
-
-    exact = level("exact", "e_")
-    by_artist = level("artist", "a_")
-    by_title = level("title", "t_")
-
-    r = (requests.withColumn("_k_artist", clean_key("artist"))
-                 .withColumn("_k_title", clean_key("title")))
-    probe = r.select("_k_artist", "_k_title").distinct()
-    j = (probe.join(exact, (F.col("_k_artist") == F.col("e_artist_name"))
-                    & (F.col("_k_title") == F.col("e_title")), "left")
-              .join(by_artist, F.col("_k_artist") == F.col("a_artist_name"), "left")
-              .join(by_title, F.col("_k_title") == F.col("t_title"), "left"))
-
-    m = means if means is not None else levels["means"]
-    g = m.select(F.struct(
-        F.lit("global").alias("match_level"),
-        F.col("mean_td_confidence").alias("td_confidence"),
-        F.col("mean_artist_hotness").alias("artist_hotness"),
-        F.col("mean_song_hotness").alias("song_hotness"),
-        F.col("mean_td_meanPrice").alias("td_meanPrice"))).scalar()
-
-    chosen = F.coalesce(
-        F.when(F.col("e_n_matches").isNotNull(), _level_struct("e_", "exact")),
-        F.when(F.col("a_n_matches").isNotNull(), _level_struct("a_", "artist")),
-        F.when(F.col("t_n_matches").isNotNull(), _level_struct("t_", "title")),
-        g)
+    r = _keyed(requests)
+    j, chosen = _with_levels(r.select("_k_artist", "_k_title").distinct(), levels, means)
     keep = list(requests.columns)
     picked = [F.col("_m.match_level").alias("match_level"),
               *[F.col(f"_m.{c}").alias(c) for c in FEATURES]]

@@ -6,6 +6,7 @@ import os
 import tempfile
 import threading
 import uuid
+from collections.abc import Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
@@ -110,6 +111,8 @@ def intermediates(spark: SparkSession):
     finally:
         jvm = spark.sparkContext._jvm
         for path in _owned().pop():
+            if "scratch-bucketed-" in path:
+                spark.sql(f"DROP TABLE IF EXISTS {_table_name(path)}")
             p = jvm.org.apache.hadoop.fs.Path(path)
             p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
@@ -127,3 +130,27 @@ def materialize(df, name: str):
         _owned()[-1].append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def _table_name(path: str) -> str:
+    """Catalog name of a bucketed table: the random end of its path."""
+    return f"tunelift_{path[-12:]}"
+
+
+def materialize_bucketed(df, name: str, keys: Sequence[str], buckets: int | None = None):
+    """Like ``materialize``, as an external table bucketed and sorted by ``keys``: joins and
+    aggregates on exactly these keys (aggregates: on more keys, too) read it without a shuffle.
+
+    ``buckets`` defaults to the shuffle partitions: with fewer, Spark would deal the table anew
+    rather than join in few tasks.  A bucket is read by one task, which no runtime re-plan can
+    split, so this is for tables whose keys are unique or pre-aggregated; tables where one key
+    may hold a large share of the rows belong in ``materialize``."""
+    spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, f"bucketed-{name}")
+    if _owned():
+        _owned()[-1].append(path)
+    # dealt by the keys first, so that a task writes whole buckets, one file each
+    (df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys)
+       .option("path", path).format("parquet").saveAsTable(_table_name(path)))
+    return spark.table(_table_name(path))
