@@ -4,15 +4,21 @@ The reference joins every (artist, term) row with every song of that artist and
 averages per term; an artist with n songs thus weighs n times.  Here the songs are first
 reduced to one row per artist (hotness sum and count), so the term join emits one row per
 (term, artist) instead of one per (term, song) - same means, no fan-out.
+
+What is ranked and what is counted both read the term rows: they are stored once, as one row
+per (artist, term) with the number of its repeats, in buckets of terms (``term_pairs``).  Several
+hotness measures (the two flows treat missing values differently) share one aggregate.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import nan_to_null
-from ..session import materialize
+from ..session import materialize, materialize_bucketed
 
 # --- fixed values that must equal the reference ----------------------------------
 # Number of top terms an artist's terms are matched against.
@@ -71,14 +77,59 @@ def artist_genre_match(terms: DataFrame, top: DataFrame) -> DataFrame:
                  .agg(F.count("in_top").cast("int").alias("genre_match_count")))
 
 
+def term_pairs(terms: DataFrame) -> DataFrame:
+    """(artist_id, artist_term, repeats), one row per pair, stored in buckets of terms.
+
+    A term that very many rows share has a row per artist at most, which bounds its bucket.
+    Grouping by term, by (artist, term), or joining on the term then needs no shuffle of it."""
+    pairs = terms.groupBy("artist_id", "artist_term").agg(F.count(F.lit(1)).alias("repeats"))
+    return materialize_bucketed(pairs, "term-pairs", ["artist_term"])
+
+
+def hotness_totals(songs: DataFrame, measures: Sequence[str]) -> DataFrame:
+    """``artist_hotness_totals`` of several hotness columns at once: per artist the exact sum
+    (``<measure>_sum``) and count (``<measure>_n``) of each."""
+    aggs = []
+    for m in measures:
+        h = nan_to_null(m)
+        exact = F.when(F.abs(h) < F.lit(float("inf")), h.try_cast(EXACT))
+        aggs += [F.sum(exact).alias(f"{m}_sum"), F.count(exact).alias(f"{m}_n")]
+    return songs.groupBy("artist_id").agg(*aggs)
+
+
+def term_hotness(pairs: DataFrame, totals: DataFrame, measures: Sequence[str]) -> DataFrame:
+    """A3 for several measures in one aggregate over ``term_pairs``: one row per term, its mean
+    of each measure.  A repeated pair weighs as often as it occurs."""
+    # a product of two decimals of 38 digits would lose decimals; of 27 and 10 it does not
+    def weighed(m: str) -> F.Column:
+        several = F.col(f"{m}_sum").cast("decimal(27,15)") * F.col("repeats").cast("decimal(10,0)")
+        return F.when(F.col("repeats") == 1, F.col(f"{m}_sum")).otherwise(several.cast(EXACT))
+
+    return pairs.join(totals, "artist_id").groupBy("artist_term").agg(*[
+        F.try_divide(F.sum(weighed(m)).cast("double"), F.sum(F.col("repeats") * F.col(f"{m}_n"))).alias(m)
+        for m in measures])
+
+
+def genre_counts(pairs: DataFrame, songs: DataFrame, measures: Sequence[str],
+                 k: int = DEFAULT_TOP_K) -> DataFrame:
+    """A3 -> T1 -> A5 for several measures: per artist, for each measure, how many of its terms
+    are among the k terms of highest mean (0 kept).  The pairs are read twice, once to rank them
+    and once to count them, whatever the number of measures."""
+    totals = materialize(hotness_totals(songs, measures), "artist-hotness")
+    ranked = materialize(term_hotness(pairs, totals, measures), "term-hotness")
+    counted = pairs.select("artist_id", "artist_term")
+    for m in measures:
+        top = top_terms(ranked.select("artist_term", F.col(m).alias("artist_hotness")), k)
+        counted = counted.join(top.select("artist_term", F.lit(1).alias(m)), "artist_term", "left")
+    return counted.groupBy("artist_id").agg(*[F.count(m).cast("int").alias(m) for m in measures])
+
+
 def genre_match_from_songs(terms: DataFrame, songs: DataFrame, hotness_col: str,
                            k: int = DEFAULT_TOP_K) -> DataFrame:
-    """A3 -> T1 -> A5 in one plan.  The ranking uses every term row (a repeated row
-    weighs twice, as in the original flow); the match count uses distinct terms.  The rows
-    are stored, as both read them."""
-    terms = materialize(terms.select("artist_id", "artist_term"), "artist-terms")
-    top = top_terms(term_mean_hotness(terms, songs, hotness_col), k)
-    return artist_genre_match(terms, top)
+    """A3 -> T1 -> A5 over one hotness column.  The ranking uses every term row (a repeated row
+    weighs twice, as in the original flow); the match count uses distinct terms."""
+    measured = songs.select("artist_id", F.col(hotness_col).alias("genre_match_count"))
+    return genre_counts(term_pairs(terms), measured, ["genre_match_count"], k)
 
 
 def inner_join_genre_match(songs: DataFrame, genre: DataFrame) -> DataFrame:

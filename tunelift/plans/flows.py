@@ -6,7 +6,7 @@ pushes filters down to the parquet scans of the roles.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +27,7 @@ SONG_INFO_COLUMNS = ["song_id", "track_id", "artist_id", "artist_name", "title",
 
 @dataclass
 class Roles:
-    """The six input tables of the flows (plus requests)."""
+    """The six input tables of the flows (plus requests).  ``genre`` is set by ``with_shared``."""
     song_info: DataFrame
     play_count: DataFrame
     similar_artists: DataFrame
@@ -36,6 +36,8 @@ class Roles:
     likes: DataFrame
     downloads: DataFrame
     requests: DataFrame
+    genre: DataFrame | None = None
+    genre_k: int = 0
 
     @classmethod
     def from_files(cls, spark: SparkSession, song_info: str, artist_terms: str,
@@ -86,6 +88,33 @@ class Roles:
                    b.downloads(spark, sf_dir), b.requests(spark, sf_dir))
 
 
+# ---- what both feature flows read -----------------------------------------------------
+
+# The two rankings of terms: flow A counts a hotness that is no number as 0, flow B skips it.
+GENRE_MEASURES = {"genre_zero": non_numeric_to_zero, "genre_skip": to_double}
+
+
+def genre_table(r: Roles, top_k: int = terms.DEFAULT_TOP_K) -> DataFrame:
+    """Per artist, the genre match of either flow: the term rows are read and ranked once."""
+    songs = r.song_info.select("artist_id", *[f("artist_hotttnesss").alias(m) for m, f in GENRE_MEASURES.items()])
+    return terms.genre_counts(terms.term_pairs(r.artist_terms), songs, list(GENRE_MEASURES), top_k)
+
+
+def with_shared(r: Roles, top_k: int = terms.DEFAULT_TOP_K) -> Roles:
+    """``r`` for callers that run both feature flows: what both read (download records, play and
+    similar-artist rows, and the genre match of either ranking) is stored once."""
+    return replace(
+        r, downloads=materialize(r.downloads, "downloads"), play_count=materialize(r.play_count, "play-count"),
+        similar_artists=materialize(r.similar_artists, "similar-artists"),
+        genre=materialize(genre_table(r, top_k), "genre"), genre_k=top_k)
+
+
+def _genre_match(r: Roles, measure: str, top_k: int, songs: DataFrame, hotness_col: str) -> DataFrame:
+    if r.genre is not None and r.genre_k == top_k:
+        return r.genre.select("artist_id", F.col(measure).alias("genre_match_count"))
+    return terms.genre_match_from_songs(r.artist_terms, songs, hotness_col, top_k)
+
+
 # ---- Q1 ------------------------------------------------------------------------------
 
 def serving_songs(r: Roles, top_k: int = terms.DEFAULT_TOP_K,
@@ -99,7 +128,7 @@ def serving_songs(r: Roles, top_k: int = terms.DEFAULT_TOP_K,
                         "serving-songs")
     s = enrich.left_join_play_count(songs, r.play_count)
     # Flow A ranks terms on the cleaned hotness ('NA' counted as 0).
-    genre = terms.genre_match_from_songs(r.artist_terms, songs, "artist_hotness", top_k)
+    genre = _genre_match(r, "genre_zero", top_k, songs, "artist_hotness")
     per_artist = enrich.artist_features(
         genre, song_counts=enrich.artist_song_count(songs),
         similar_counts=enrich.similar_artist_count(r.similar_artists))
@@ -132,7 +161,7 @@ def wide_songs(r: Roles, top_k: int = terms.DEFAULT_TOP_K,
     s = ob(enrich.left_join_likes(s, r.likes), "with_likes", observe)
     # Flow B ranks terms on the raw hotness: non-numbers are skipped by the mean.
     raw = r.song_info.select("artist_id", to_double("artist_hotttnesss").alias("raw_hotness"))
-    genre = terms.genre_match_from_songs(r.artist_terms, raw, "raw_hotness", top_k)
+    genre = _genre_match(r, "genre_skip", top_k, raw, "raw_hotness")
     per_artist = enrich.artist_features(
         genre, song_counts=enrich.artist_song_count(songs),
         weight_freq=enrich.artist_weight_freq(r.term_scores),
