@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 
 def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows per key (``_rows``); a partial aggregate, so a hot key costs one row per input
@@ -35,13 +37,42 @@ def hot_keys(counts: DataFrame, keys: Sequence[str], tasks: int | None = None) -
             .select(*keys, "_salts"))
 
 
+# Sketches of input partitions are first merged in this many tasks, then those into one.
+SKETCH_GROUPS = 32
+# Most tasks that are told apart: a key below 1/100,000 of the rows is never hot.
+MOST_TASKS = 100_000
+
+
+def heavy_keys(df: DataFrame, keys: Sequence[str], tasks: int | None = None) -> DataFrame:
+    """``hot_keys`` of ``df`` without shuffling its keys.
+
+    A frequent-items sketch (mergeable, 8 counters a task) of the keys' hashes misses no key above
+    the fair share: a hash that occurs in more than two thirds of it is kept for certain, and at
+    most two candidates a task are taken.  Only the candidates' rows are then counted exactly,
+    by their keys, so hashes that collide or shares that are estimated too high change nothing."""
+    tasks = min(tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MOST_TASKS)
+    hashed = df.select(*keys, F.xxhash64(*keys).alias("_h"))
+    groups = hashed.groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_g")).agg(
+        F.expr(f"approx_top_k_accumulate(_h, {8 * tasks})").alias("_s"), F.count(F.lit(1)).alias("_n"))
+    merged = groups.agg(F.expr("approx_top_k_combine(_s)").alias("_s"), F.sum("_n").alias("_total"))
+    candidates = (merged.select(F.explode(F.expr(f"approx_top_k_estimate(_s, {2 * tasks})")).alias("_c"), "_total")
+                  .select(F.col("_c.item").alias("_h"), "_total"))
+    # 2 x tasks rows at most
+    counts = (hashed.join(F.broadcast(candidates), "_h").groupBy(*keys)
+              .agg(F.count(F.lit(1)).alias("_rows"), F.max("_total").alias("_total")))
+    share = F.col("_rows") * F.lit(tasks) / F.col("_total")
+    return (counts.withColumn("_salts", F.ceil(share).cast("int")).where(share > 1)
+            .select(*keys, "_salts"))
+
+
 def salted_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],
                 how: str = "inner", tasks: int | None = None) -> DataFrame:
     """``left.join(right, left.l == right.r for (l, r) in on, how)`` for how in
     {'inner', 'left'}, with the right rows of hot keys spread over as many tasks as they
     are worth.
 
-    ``right`` is read twice (its keys are counted first), so it should be a stored table.
+    ``right`` is read three times (its keys are sketched, then candidates counted), so it should
+    be a stored table.  Neither pass shuffles its keys.
     Its rows of a hot key get a salt below the key's number of tasks; the left rows of that
     key are replicated once per salt; all other rows use salt 0.  Each (left, right) pair
     meets in exactly one task.  In a left join, a replica whose salt holds no right row is
@@ -50,7 +81,7 @@ def salted_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]]
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
     rkeys = [rk for _, rk in on]
-    hot = F.broadcast(hot_keys(key_counts(right, rkeys), rkeys, tasks))  # fewer rows than tasks
+    hot = F.broadcast(materialize(heavy_keys(right, rkeys, tasks), "hot-keys"))  # fewer rows than tasks
     hot_l = hot.select(*[F.col(rk).alias(f"_hk_{i}") for i, rk in enumerate(rkeys)], "_salts")
     lt = left.join(hot_l, [left[lk] == hot_l[f"_hk_{i}"] for i, (lk, _) in enumerate(on)],
                    "left").drop(*[f"_hk_{i}" for i in range(len(on))])
