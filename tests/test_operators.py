@@ -155,7 +155,8 @@ def test_binned_scatter_counts_every_row(spark):
 @pytest.mark.parametrize("n", [1001, 1000])
 def test_exact_median_selection_rounds(spark, monkeypatch, n):
     import numpy as np
-    monkeypatch.setattr(explore, "MEDIAN_BUCKETS", 4)
+    for name, value in (("SKETCH_POINTS", 8), ("SKETCH_ACCURACY", 80), ("SKETCH_ALL", 4)):
+        monkeypatch.setattr(explore, name, value)
     rng = np.random.default_rng(7)
     vals = rng.lognormal(0, 2, n)
     vals[: n // 3] = 5.0                      # one hot value holds a third of the rows

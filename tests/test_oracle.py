@@ -56,7 +56,8 @@ def test_matches_oracle(spark, con, key):
 
 def test_every_core_query_has_an_oracle():
     from tunelift.plans.catalog import REGISTRY
-    assert [k for k, (_, sql) in REGISTRY.items() if not sql] == []
+    # SQL cannot grow the forest of request_scores; test_model_flow walks its trees instead
+    assert [k for k, (_, sql) in REGISTRY.items() if not sql] == ["request_scores"]
 
 
 def test_entry_smoke(spark):

@@ -95,12 +95,12 @@ def assemble_features(df: DataFrame, feature_cols: Sequence[str], label: str = L
     return out.withColumn("label", F.col(label).cast("double"))
 
 
-def forest(num_trees: int, max_depth: int, label: str = "label", seed: int = SEED
-           ) -> RandomForestRegressor:
+def forest(num_trees: int, max_depth: int, label: str = "label", seed: int = SEED,
+           bootstrap: bool = True) -> RandomForestRegressor:
     return RandomForestRegressor(
         featuresCol="features", labelCol=label, predictionCol="prediction",
         numTrees=num_trees, maxDepth=max_depth, maxBins=MAX_BINS,
-        featureSubsetStrategy=SUBSET_STRATEGY, impurity=IMPURITY, seed=seed)
+        featureSubsetStrategy=SUBSET_STRATEGY, impurity=IMPURITY, seed=seed, bootstrap=bootstrap)
 
 
 def prepare(df: DataFrame, feature_cols: Sequence[str], label: str = LABEL) -> DataFrame:
@@ -115,10 +115,12 @@ def prepare(df: DataFrame, feature_cols: Sequence[str], label: str = LABEL) -> D
 
 
 def train_forest(train: DataFrame, feature_cols: Sequence[str], num_trees: int = 30,
-                 max_depth: int = 8, seed: int = SEED) -> PipelineModel:
+                 max_depth: int = 8, seed: int = SEED, bootstrap: bool = True) -> PipelineModel:
     """M3: assembler + random-forest regression, fitted (an action) on the usable rows
-    (``skipped_rows`` counts the others)."""
-    pipe = Pipeline(stages=[assembler(feature_cols), forest(num_trees, max_depth, seed=seed)])
+    (``skipped_rows`` counts the others).  With ``bootstrap=False`` every tree sees each row once:
+    a tree's prediction then is the mean label of the training rows that share it."""
+    pipe = Pipeline(stages=[assembler(feature_cols),
+                            forest(num_trees, max_depth, seed=seed, bootstrap=bootstrap)])
     return pipe.fit(usable(train, feature_cols))
 
 

@@ -17,6 +17,7 @@ from ..functions import columns as C
 from ..operators import audit, enrich, explore, lookup, model, terms
 from ..session import apply_session_settings, materialize, scratch_path
 from ..sources import readers, writers
+from ..streaming import scoring
 from . import bindings as B
 from . import flows as P
 from .oracle import WIDE, clean, num0, ordinal, rounded, split_bucket, with_fragments
@@ -410,8 +411,10 @@ def _p11(spark, d):
 @query("equality_lookup", rounded(f"""
     SELECT * FROM q1 WHERE artist_name = {clean("'Brand#13'")}""", SERVING_DOUBLES))
 def _p12(spark, d):
-    """Serving features of one artist, key cleaned like the table."""
-    return C.equality_lookup(P.serving_features(roles(spark, d)), artist_name="Brand#13")
+    """Serving features of one artist from a store clustered by artist, key cleaned like it."""
+    path = scratch_path(spark, "feature-store")
+    writers.write_feature_store(P.serving_features(roles(spark, d)), path)
+    return readers.read_feature_store(spark, path, artist_name="Brand#13")
 
 
 @query("threshold_filter", rounded("SELECT * FROM q2 WHERE td_confidence > 1", WIDE_DOUBLES))
@@ -666,6 +669,16 @@ def _j10(spark, d):
     return lookup.lookup_cascade(r.requests, features)
 
 
+@query("stream_lookup", rounded(f"SELECT * FROM ({LOOKUP_SQL}) AS looked", [
+    "td_confidence", "artist_hotness", "song_hotness", "td_meanPrice"]))
+def _j10s(spark, d):
+    """J10 as a stream-static join: the requests arrive in two lots of files, each in two triggers
+    or more, the second after a restart from the checkpoint."""
+    r = roles(spark, d)
+    levels = lookup.bucketed_levels(materialize(P.serving_features(r), "features"))
+    return scoring.replay(r.requests, lambda stream: scoring.stream_lookup(stream, levels), scratch_path(spark, "stream"))[0]
+
+
 @query("set_intersection_size", "SELECT artist_id, genre_match_count FROM genre_b")
 def _j11(spark, d):
     """Per artist, distinct terms in the top 1000 of the wide flow (0 kept)."""
@@ -693,14 +706,14 @@ def _a2(spark, d):
     FROM term_hot_a a JOIN term_hot_b b ON a.artist_term = b.artist_term""",
     ["hotness_zero", "hotness_null"]))
 def _a3(spark, d):
-    """A3: per-term mean hotness, with 'NA' as 0 (serving flow) and skipped (wide flow)."""
+    """A3: per-term mean hotness, with 'NA' as 0 (serving flow) and skipped (wide flow), both in
+    one aggregate over the term rows."""
     r = roles(spark, d)
-    zero = terms.term_mean_hotness(r.artist_terms, enrich.clean_song_info_serving(r.song_info),
-                                   "artist_hotness")
-    raw = r.song_info.select("artist_id", C.to_double("artist_hotttnesss").alias("h"))
-    null = terms.term_mean_hotness(r.artist_terms, raw, "h")
-    return zero.withColumnRenamed("artist_hotness", "hotness_zero").join(
-        null.withColumnRenamed("artist_hotness", "hotness_null"), "artist_term")
+    songs = r.song_info.select("artist_id", C.non_numeric_to_zero("artist_hotttnesss").alias("hotness_zero"),
+                               C.to_double("artist_hotttnesss").alias("hotness_null"))
+    measures = ["hotness_zero", "hotness_null"]
+    totals = materialize(terms.hotness_totals(songs, measures), "artist-hotness")
+    return terms.term_hotness(terms.term_pairs(r.artist_terms), totals, measures)
 
 
 @query("artist_weight_freq", rounded("SELECT * FROM wf_b", ["weight_dot_freq"]))
@@ -729,13 +742,12 @@ def _a6(spark, d):
     SELECT 2, 'download_records', count(*) FROM dl_a UNION ALL
     SELECT 3, 'serving_features', count(*) FROM q1""")
 def _a7(spark, d):
-    """Row counts after each stage of the serving flow."""
-    r = roles(spark, d)
-    return audit.stage_row_counts([
-        ("songs", enrich.clean_song_info_serving(r.song_info)),
-        ("with_genre", P.serving_songs(r)),
-        ("download_records", enrich.clean_downloads(r.downloads)),
-        ("serving_features", P.serving_features(r))])
+    """Row counts after each stage of the serving flow, observed while it is written once."""
+    seen: dict = {}
+    materialize(P.serving_features(roles(spark, d), observe=seen), "counted-features")
+    counts = audit.observed_counts(seen)
+    return audit.counts_table(spark, {stage: counts[stage] for stage in (
+        "songs", "with_genre", "download_records", "serving_features")})
 
 
 @query("group_mean_or_single", rounded("""
@@ -848,41 +860,49 @@ def _m2(spark, d):
     return model.mark_categorical(w).select("td_confidence", "td_downloads")
 
 
-@query("train_forest", """
-    SELECT CAST(range AS INTEGER) AS tree, true AS depth_in_bounds, true AS nodes_in_bounds
-    FROM range(30)""")
-def _m3(spark, d):
-    """M3: forest on the training split; per tree, whether its depth and node count keep
-    the bounds that were asked for."""
-    cols = model.feature_names(model.DEFAULT_FEATURE_INDEXES)
-    split = materialize(model.artist_disjoint_split(_scoring_wide(spark, d), "artist_key"),
-                        "m3-input")
-    data = model.prepare(split, cols)
-    fitted = model.train_forest(data.where(F.col("split") == "train"), cols,
-                                num_trees=30, max_depth=8)
-    forest = fitted.stages[-1]
-    rows = [(i, 0 < t.depth <= 8, 1 < t.numNodes < 2 ** 9) for i, t in enumerate(forest.trees)]
-    return spark.createDataFrame(rows, "tree int, depth_in_bounds boolean, nodes_in_bounds boolean")
+# A tree without bootstrap, deep enough to tell all cells of two coarse features apart, predicts
+# the mean label of the training rows of each cell, which SQL can state.
+CELL_FEATURES = ["line_number", "l_discount"]
+CELL_SQL = f"""
+    WITH rows_ AS (SELECT l_orderkey, l_linenumber, l_discount, l_extendedprice AS label,
+                          CASE WHEN {split_bucket('l_suppkey')} < 30 THEN 'test' ELSE 'train' END AS split
+                   FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+         cells AS (SELECT l_linenumber AS line, l_discount AS discount, avg(label) AS prediction, count(*) AS n
+                   FROM rows_ WHERE split = 'train' GROUP BY 1, 2)"""
 
 
-@query("predict_batch", f"""
-    SELECT l_orderkey, l_linenumber,
-           CASE WHEN {split_bucket('l_suppkey')} < 30 THEN 'test' ELSE 'train' END AS split,
-           l_linenumber <> 7 AS score_present, l_linenumber <> 7 AS within_labels
-    FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
+def _cell_tree(spark, d):
+    data = model.artist_disjoint_split(_orders_training(spark, d), "l_suppkey").withColumn(
+        "line_number", F.col("l_linenumber").cast("double"))
+    train = materialize(data.where(F.col("split") == "train"), "cell-training")
+    return data, train, model.train_forest(train, CELL_FEATURES, num_trees=1, max_depth=30, bootstrap=False)
+
+
+@query("train_forest", rounded(f"""
+    {CELL_SQL} SELECT prediction, CAST(sum(n) AS BIGINT) AS n, prediction AS mean_label FROM cells GROUP BY prediction""",
+    {"prediction": 3, "mean_label": 3}), digits={"prediction": 3, "mean_label": 3})
+def _m3(spark, d):
+    """M3: an unbootstrapped tree on the training split: by predicted value, the training rows
+    that get it and their mean label, which is that value."""
+    _, train, fitted = _cell_tree(spark, d)
+    return model.predict_batch(fitted, train).groupBy("prediction").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("label").alias("mean_label"))
+
+
+@query("predict_batch", rounded(f"""
+    {CELL_SQL} SELECT l_orderkey, l_linenumber, split, CASE WHEN l_linenumber <> 7 THEN prediction END AS prediction,
+                      CASE WHEN l_linenumber <> 7 THEN CAST(CAST(trunc(prediction) AS INTEGER) AS VARCHAR) END AS printed,
+                      CASE WHEN l_linenumber = 7 THEN 'missing feature' END AS reject_reason
+               FROM rows_ LEFT JOIN cells ON l_linenumber = line AND l_discount = discount""",
+    {"prediction": 3}), digits={"prediction": 3})
 def _m4(spark, d):
-    """M4: forest trained on lineitem x orders, applied to every row.  Every row comes back:
-    those of line 7 lost a feature and have no score; a score lies within the labels."""
-    data = model.artist_disjoint_split(_orders_training(spark, d), "l_suppkey")
-    fitted = model.train_forest(data.where(F.col("split") == "train"), TRAIN_FEATURES,
-                                num_trees=10, max_depth=5)
-    edge = data.agg(F.min("label").alias("lo"), F.max("label").alias("hi")).first()
+    """M4: the tree of M3 applied to every row of both splits, with the score and the integer that
+    is printed.  Every row comes back; those of line 7 lost a feature and have no score."""
+    data, _, fitted = _cell_tree(spark, d)
     holed = data.withColumn("l_discount", F.when(F.col("l_linenumber") != 7, F.col("l_discount")))
-    scored = model.predict_batch(fitted, holed)
-    present = F.col("prediction").isNotNull() & F.col("prediction_int").isNotNull() & F.col("reject_reason").isNull()
-    return scored.select("l_orderkey", "l_linenumber", "split", present.alias("score_present"),
-                         F.coalesce(F.col("prediction").between(edge["lo"], edge["hi"]), F.lit(False))
-                         .alias("within_labels"))
+    return model.predict_batch(fitted, holed).select(
+        "l_orderkey", "l_linenumber", "split", "prediction", F.col("prediction_int").cast("string").alias("printed"),
+        "reject_reason")
 
 
 @query("evaluate_splits", rounded(_metrics_sql(True), METRIC_DOUBLES), digits=METRIC_DOUBLES)
@@ -901,25 +921,37 @@ def _m6(spark, d):
     return model.artist_disjoint_split(li, "l_suppkey", 30)
 
 
-@query("kmeans_label", """
-    SELECT event_id, event_id % 11 <> 0 AS has_cluster, event_id % 11 <> 0 AS centre_is_nearest
-    FROM events""")
+KMEANS_SQL = f"""
+    WITH v AS (SELECT event_id, value, CAST(value AS DECIMAL(38, 10)) AS e FROM events WHERE value IS NOT NULL),
+         h AS (SELECT value AS x, sum(e) AS s, count(*) AS n FROM v GROUP BY value),
+         ranked AS (SELECT value AS x, row_number() OVER (ORDER BY value) - 1 AS p, count(*) OVER () AS n,
+                           min(value) OVER () AS lo, max(value) OVER () AS hi FROM v),
+         c0 AS (SELECT list((x + (lo + (hi - lo) * (2 * i + 1) / {2 * explore.KMEANS_K})) / 2 ORDER BY i) AS c
+                FROM range({explore.KMEANS_K}) AS shares(i) JOIN ranked ON p = (2 * i + 1) * n // {2 * explore.KMEANS_K}),
+         {', '.join(f"""
+         c{r} AS (SELECT [{', '.join(f'coalesce(CAST(sum(s) FILTER (WHERE k = {i}) AS DOUBLE) / sum(n) FILTER (WHERE k = {i}), any_value(c)[{i + 1}])'
+                                     for i in range(explore.KMEANS_K))}] AS c
+                  FROM (SELECT s, n, c, {' + '.join(f'CAST(x > (c[{i}] + c[{i + 1}]) / 2 AS INTEGER)' for i in range(1, explore.KMEANS_K))} AS k
+                        FROM h, c{r - 1}))""" for r in range(1, explore.KMEANS_ROUNDS + 1))},
+         labelled AS (SELECT event_id, value, CASE WHEN value IS NOT NULL THEN
+                             {' + '.join(f'CAST(value > (c[{i}] + c[{i + 1}]) / 2 AS INTEGER)' for i in range(1, explore.KMEANS_K))} END AS cluster
+                      FROM events, c{explore.KMEANS_ROUNDS})"""
+
+
+@query("kmeans_label", rounded(f"{KMEANS_SQL} SELECT event_id, value, cluster FROM labelled", ["value"]))
 def _m7(spark, d):
-    """M7: k-means (k = 8) cluster of each event value, every eleventh value missing; whether
-    each value's cluster is the one whose mean is nearest (the means of the rows of each
-    cluster are the centres that the fit converged to, up to its tolerance)."""
-    ev = tbl(spark, d, "events").select(
-        "event_id", F.when(F.col("event_id") % 11 != 0, F.col("value")).alias("value"))
-    rows = materialize(explore.kmeans_label(ev, "value").select("event_id", "value", "cluster"), "clustered")
-    spans = (rows.where("cluster is not null").groupBy("cluster")
-             .agg(F.avg("value").alias("mean"), F.min("value").alias("lo"), F.max("value").alias("hi")).collect())
-    spans.sort(key=lambda r: r["mean"])  # k rows
-    # in one dimension nearest centres mean that the clusters are intervals that do not
-    # overlap, cut near the middle of neighbouring means
-    apart = all(a["hi"] < b["lo"] and a["hi"] <= 0.52 * b["mean"] + 0.48 * a["mean"]
-                and b["lo"] >= 0.48 * b["mean"] + 0.52 * a["mean"] for a, b in zip(spans, spans[1:]))
-    has = F.col("cluster").isNotNull()
-    return rows.select("event_id", has.alias("has_cluster"), (has & F.lit(apart)).alias("centre_is_nearest"))
+    """M7: k-means (k = 8) of all event values: the cluster of each, counted by their centres."""
+    events = tbl(spark, d, "events").select("event_id", "value")
+    return explore.kmeans_1d(events, "value")[0]
+
+
+@query("kmeans_centers", rounded(f"""
+    {KMEANS_SQL} SELECT CAST(generate_subscripts(c, 1) - 1 AS INTEGER) AS cluster, unnest(c) AS center
+    FROM c{explore.KMEANS_ROUNDS}""", ["center"]))
+def _m7c(spark, d):
+    """M7 as the exploration script prints it: the centres of the clusters."""
+    _, centers = explore.kmeans_1d(tbl(spark, d, "events").select("value"), "value")
+    return spark.createDataFrame(list(enumerate(centers)), "cluster int, center double")
 
 
 def _scatter_sql() -> str:
@@ -987,16 +1019,27 @@ def _q3(spark, d):
     SELECT request_id, match_level, true AS score_present FROM ({LOOKUP_SQL}) AS looked""")
 def _q4(spark, d):
     """Q4: every request scored by a forest trained on the wide table."""
-    r = roles(spark, d)
-    wide = materialize(P.scoring_training_view(P.wide_features(r)), "q4-train")
-    cols = ["td_confidence", "artist_hotness", "song_hotness", "td_meanPrice"]
-    fitted = model.train_forest(model.prepare(wide, cols), cols, num_trees=30, max_depth=8)
-    features = materialize(P.serving_features(r), "features")
-    scored = P.score_requests(r.requests, features, fitted)
+    scored = _scored_requests(spark, d)
     present = F.col("prediction").isNotNull() & F.col("prediction_int").isNotNull()
     return scored.select("request_id", "match_level", present.alias("score_present"))
 
 
+def _scored_requests(spark, d):
+    r = P.with_shared(roles(spark, d))
+    wide = materialize(P.scoring_training_view(P.wide_features(r)), "q4-train")
+    fitted = model.train_forest(model.prepare(wide, lookup.FEATURES), lookup.FEATURES, num_trees=30, max_depth=8)
+    features = materialize(P.serving_features(r), "features")
+    return P.score_requests(r.requests, features, fitted)
+
+
+@query("request_scores")
+def _q4v(spark, d):
+    """Q4 with its numbers: the forest's score of every request and the integer that the flow
+    prints.  SQL cannot grow the forest; the tests walk its stored trees."""
+    return _scored_requests(spark, d).select("request_id", "match_level", *lookup.FEATURES, "prediction", "prediction_int",
+                                             "reject_reason")
+
+
 @query("explore_features", rounded(f"""
     WITH mm AS ({_mm_sql()}), rr AS ({_corr_sql('explore_v')})
     SELECT mm.feature, mean, median, r FROM mm JOIN rr ON mm.feature = rr.feature""",

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..functions.columns import field_count, split_jvm
+from ..functions.columns import clean_key, equality_lookup, field_count, split_jvm
 
 def read_delimited(spark: SparkSession, path: str, schema: StructType | str | None, sep: str,
                    header: bool = True, mode: str = "DROPMALFORMED") -> DataFrame:
@@ -119,3 +119,24 @@ def parse_requests(lines: DataFrame, sep: str = ";", col: str = "value"
 def read_requests(spark: SparkSession, path: str, sep: str = ";") -> tuple[DataFrame, DataFrame]:
     """Request lines ``artist;title`` from text files."""
     return parse_requests(spark.read.text(path), sep)
+
+
+def read_feature_store(spark: SparkSession, path: str, artist_name: str | None = None,
+                       title: str | None = None) -> DataFrame:
+    """P12 on a clustered store (``writers.write_feature_store``): the rows of one artist, title or
+    both, keys cleaned like the table.
+
+    The store's index names the files that may hold the artist (one, or those of an artist that
+    fills several); in each, the equality reaches the parquet reader, which skips row groups by
+    their ranges and bloom filters.  Without an artist all files are asked."""
+    rows = f"{path}/rows"
+    schema = spark.read.parquet(rows).schema
+    if artist_name is None:
+        found = spark.read.schema(schema).parquet(rows)
+    else:
+        key = clean_key(F.lit(artist_name))
+        files = [r["file"] for r in spark.read.parquet(f"{path}/files")
+                 .where((F.col("first") <= key) & (F.col("last") >= key)).select("file").collect()]
+        found = spark.read.schema(schema).parquet(*files) if files else spark.createDataFrame([], schema)
+    wanted = {"artist_name": artist_name, "title": title}
+    return equality_lookup(found, **{c: v for c, v in wanted.items() if v is not None})

@@ -8,6 +8,12 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..session import materialize
+
+# The columns that a feature store is clustered and looked up by.
+STORE_KEYS = ("artist_name", "title")
 
 
 def _writer(df: DataFrame, single_file: bool):
@@ -20,6 +26,25 @@ def write_features_csv(df: DataFrame, path: str, sep: str = ",", header: bool =
     _writer(df, single_file).option("header", str(header).lower()).option("sep", sep).csv(path)
 
 
+def write_feature_store(features: DataFrame, path: str, files: int | None = None) -> None:
+    """Features for look-ups by key: clustered by (artist, title), with bloom filters on both, and
+    an index of the artists in each file (``readers.read_feature_store``).
+
+    The rows are stored before they are ranged, as range sampling reads its input a second
+    time.  The title is a range key too, so that an artist with very many rows fills several files
+    instead of one task.  ``files`` defaults to the shuffle partitions."""
+    spark = features.sparkSession
+    files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = (materialize(features, "unclustered").repartitionByRange(files, *STORE_KEYS)
+              .sortWithinPartitions(*STORE_KEYS).write.mode("overwrite"))
+    for key in STORE_KEYS:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true")
+    writer.parquet(f"{path}/rows")
+    (spark.read.parquet(f"{path}/rows").groupBy(F.col("_metadata.file_path").alias("file"))
+     .agg(F.min(STORE_KEYS[0]).alias("first"), F.max(STORE_KEYS[0]).alias("last"), F.count(F.lit(1)).alias("rows"))
+     .write.mode("overwrite").parquet(f"{path}/files"))
+
+
 def write_means(means: DataFrame, path: str) -> None:
     """K2: the one-row means table with a header (one row: one file)."""
     _writer(means, True).option("header", "true").csv(path)
