@@ -69,6 +69,15 @@ def test_bucketed_tables_end_with_their_block(spark):
     assert len(names) - len({t.name for t in spark.catalog.listTables()}) == 1
 
 
+def test_flows_join_bucketed_songs_with_plays(spark, merge_joins):
+    r = P.Roles.from_test_tables(spark, SF_SMALL)
+    shared = P.with_shared(r)
+    joined = enrich.left_join_play_count(enrich.clean_song_info_serving(shared.song_info), shared.play_count)
+    assert plan(joined).count("Exchange") == 1 and plan(joined).count("Bucketed: true") == 1  # that of the plays
+    hot = P.replace(r, song_info=r.song_info.withColumns({"song_id": F.lit(1).cast("long"), "track_id": F.lit(1).cast("long")}))
+    assert "Bucketed: true" not in plan(P.with_shared(hot).song_info)
+
+
 # ---- both rankings in one aggregate -----------------------------------------------------
 
 def test_two_measures_equal_two_rankings(spark):

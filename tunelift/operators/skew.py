@@ -54,7 +54,8 @@ def heavy_keys(df: DataFrame, keys: Sequence[str], tasks: int | None = None) ->
     hashed = df.select(*keys, F.xxhash64(*keys).alias("_h"))
     groups = hashed.groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_g")).agg(
         F.expr(f"approx_top_k_accumulate(_h, {8 * tasks})").alias("_s"), F.count(F.lit(1)).alias("_n"))
-    merged = groups.agg(F.expr("approx_top_k_combine(_s)").alias("_s"), F.sum("_n").alias("_total"))
+    # by a constant: a global aggregate would ask partitions without a sketch for one
+    merged = groups.groupBy(F.lit("all")).agg(F.expr("approx_top_k_combine(_s)").alias("_s"), F.sum("_n").alias("_total"))
     candidates = (merged.select(F.explode(F.expr(f"approx_top_k_estimate(_s, {2 * tasks})")).alias("_c"), "_total")
                   .select(F.col("_c.item").alias("_h"), "_total"))
     # 2 x tasks rows at most

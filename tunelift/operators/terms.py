@@ -83,7 +83,8 @@ def term_pairs(terms: DataFrame) -> DataFrame:
     A term that very many rows share has a row per artist at most, which bounds its bucket.
     Grouping by term, by (artist, term), or joining on the term then needs no shuffle of it."""
     pairs = terms.groupBy("artist_id", "artist_term").agg(F.count(F.lit(1)).alias("repeats"))
-    return materialize_bucketed(pairs, "term-pairs", ["artist_term"])
+    # hash aggregates and a broadcast top-k table need no order
+    return materialize_bucketed(pairs, "term-pairs", ["artist_term"], sort=False)
 
 
 def hotness_totals(songs: DataFrame, measures: Sequence[str]) -> DataFrame:

@@ -101,7 +101,8 @@ def artist_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     doc = table(spark, sf_dir, "documents")
     second = F.substring(F.lit(TERM_DIGITS), (F.floor(F.col("doc_id") / 5) % 6 + 1).cast("int"), F.lit(1))
     artist = F.concat(F.lit("Brand#"), (F.col("doc_id") % 5 + 1).cast("string"), second)
-    words = F.regexp_extract_all(F.lower("text"), F.lit("[^ \\n]+"), F.lit(0))
+    # a split at one plain character is several times cheaper than a pattern
+    words = F.array_remove(F.split(F.translate(F.lower("text"), "\n", " "), " "), "")
     return doc.select(artist.alias("artist_id"), F.explode(F.array_distinct(words)).alias("artist_term")).distinct()
 
 

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from ..functions.columns import (non_numeric_to_zero, popularity_log10, reorder,
                                  threshold_filter, to_double)
 from ..operators import audit, enrich, explore, lookup, model, terms
-from ..session import materialize
+from ..operators.skew import heavy_keys
+from ..session import materialize, materialize_bucketed
 from . import bindings
 
 SERVING_COLUMNS = ["artist_name", "title", "td_confidence", "artist_hotness",
@@ -27,7 +28,8 @@ SONG_INFO_COLUMNS = ["song_id", "track_id", "artist_id", "artist_name", "title",
 
 @dataclass
 class Roles:
-    """The six input tables of the flows (plus requests).  ``genre`` is set by ``with_shared``."""
+    """The six input tables of the flows (plus requests); the last three fields are set by
+    ``with_shared``."""
     song_info: DataFrame
     play_count: DataFrame
     similar_artists: DataFrame
@@ -38,6 +40,7 @@ class Roles:
     requests: DataFrame
     genre: DataFrame | None = None
     genre_k: int = 0
+    songs_stored: bool = False
 
     @classmethod
     def from_files(cls, spark: SparkSession, song_info: str, artist_terms: str,
@@ -100,13 +103,33 @@ def genre_table(r: Roles, top_k: int = terms.DEFAULT_TOP_K) -> DataFrame:
     return terms.genre_counts(terms.term_pairs(r.artist_terms), songs, list(GENRE_MEASURES), top_k)
 
 
+SONG_KEYS = ["song_id", "track_id"]
+
+
 def with_shared(r: Roles, top_k: int = terms.DEFAULT_TOP_K) -> Roles:
-    """``r`` for callers that run both feature flows: what both read (download records, play and
-    similar-artist rows, and the genre match of either ranking) is stored once."""
+    """``r`` for callers that run both feature flows: what both read (songs, play, download and
+    similar-artist rows, and the genre match of either ranking) is stored once.
+
+    Both flows join the songs with the plays by song and track id: the songs are stored in buckets
+    of those, which spares them that shuffle.  Should such a key be hot (a sketch tells), they
+    are stored plainly instead, for a join that can split it."""
+    if heavy_keys(r.song_info, SONG_KEYS).isEmpty():
+        songs = materialize_bucketed(r.song_info, "song-info", SONG_KEYS)
+    else:
+        songs = materialize(r.song_info, "song-info")
     return replace(
-        r, downloads=materialize(r.downloads, "downloads"), play_count=materialize(r.play_count, "play-count"),
+        r, song_info=songs, play_count=materialize(r.play_count, "play-count"),
+        downloads=materialize(r.downloads, "downloads"),
         similar_artists=materialize(r.similar_artists, "similar-artists"),
-        genre=materialize(genre_table(r, top_k), "genre"), genre_k=top_k)
+        genre=materialize(genre_table(r, top_k), "genre"), genre_k=top_k, songs_stored=True)
+
+
+def _stored_songs(r: Roles, cleaned: DataFrame, name: str, observe: dict | None) -> DataFrame:
+    """The cleaned songs, which several parts of a plan read: stored, unless the songs already are
+    (cleaning them again is cheap and keeps their buckets) and nothing is to be counted."""
+    if r.songs_stored and observe is None:
+        return cleaned
+    return materialize(audit.observed(cleaned, "songs", observe), name)
 
 
 def _genre_match(r: Roles, measure: str, top_k: int, songs: DataFrame, hotness_col: str) -> DataFrame:
@@ -124,8 +147,7 @@ def serving_songs(r: Roles, top_k: int = terms.DEFAULT_TOP_K,
     The cleaned songs and the per-artist table are stored: each is read by several parts
     of the plan, and the join of the two can split an artist with very many songs.
     ``observe`` (a dict) collects a row count per stage, here and in the caller's action."""
-    songs = materialize(audit.observed(enrich.clean_song_info_serving(r.song_info), "songs", observe),
-                        "serving-songs")
+    songs = _stored_songs(r, enrich.clean_song_info_serving(r.song_info), "serving-songs", observe)
     s = enrich.left_join_play_count(songs, r.play_count)
     # Flow A ranks terms on the cleaned hotness ('NA' counted as 0).
     genre = _genre_match(r, "genre_zero", top_k, songs, "artist_hotness")
@@ -155,7 +177,7 @@ def wide_songs(r: Roles, top_k: int = terms.DEFAULT_TOP_K,
                observe: dict | None = None) -> DataFrame:
     """Flow B up to the genre join (``observe``: row count per stage, see above)."""
     ob = audit.observed
-    songs = materialize(ob(enrich.clean_song_info_wide(r.song_info), "songs", observe), "wide-songs")
+    songs = _stored_songs(r, enrich.clean_song_info_wide(r.song_info), "wide-songs", observe)
     # Song-keyed joins first, then one join with all per-artist features.
     s = ob(enrich.left_join_play_count(songs, r.play_count), "with_plays", observe)
     s = ob(enrich.left_join_likes(s, r.likes), "with_likes", observe)

@@ -137,8 +137,8 @@ def _table_name(path: str) -> str:
     return f"tunelift_{path[-12:]}"
 
 
-def materialize_bucketed(df, name: str, keys: Sequence[str], buckets: int | None = None):
-    """Like ``materialize``, as an external table bucketed and sorted by ``keys``: joins and
+def materialize_bucketed(df, name: str, keys: Sequence[str], buckets: int | None = None, sort: bool = True):
+    """Like ``materialize``, as an external table bucketed (and sorted) by ``keys``: joins and
     aggregates on exactly these keys (aggregates: on more keys, too) read it without a shuffle.
 
     ``buckets`` defaults to the shuffle partitions: with fewer, Spark would deal the table anew
@@ -151,6 +151,6 @@ def materialize_bucketed(df, name: str, keys: Sequence[str], buckets: int | None
     if _owned():
         _owned()[-1].append(path)
     # dealt by the keys first, so that a task writes whole buckets, one file each
-    (df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys)
-       .option("path", path).format("parquet").saveAsTable(_table_name(path)))
+    writer = df.repartition(buckets, *keys).write.bucketBy(buckets, *keys)
+    (writer.sortBy(*keys) if sort else writer).option("path", path).format("parquet").saveAsTable(_table_name(path))
     return spark.table(_table_name(path))
