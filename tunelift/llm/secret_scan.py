@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tunelift.llm.common import free_name, read_table, text_or_empty
+from tunelift.session import materialize
 
 # --- fixed values ---------------------------------------------------------------------
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -187,7 +188,9 @@ def word_ranks(docs: DataFrame, words: int = WORDS) -> dict[str, int]:
     text = F.lower(F.regexp_replace(text_or_empty(), f"(?i){CONTEXT}", " "))
     counts = (docs.select(F.explode(F.regexp_extract_all(text, F.lit(rf"(\p{{L}}{{3,}})"))).alias("word"))
               .where(F.length("word") <= LONGEST_WORD).groupBy("word").count())
-    top = [r["word"] for r in counts.orderBy(F.desc("count"), "word").limit(words).collect()]
+    # stored first: a collected limit would send every task's own best words to the driver
+    best = materialize(counts.orderBy(F.desc("count"), "word").limit(words), "word-ranks")
+    top = [r["word"] for r in sorted(best.collect(), key=lambda r: (-r["count"], r["word"]))]
     ranks: dict[str, int] = {}
     for word in [*COMMON, *top]:
         ranks.setdefault(word, len(ranks) + 1)
