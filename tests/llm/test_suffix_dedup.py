@@ -80,6 +80,44 @@ def test_salted_anchors_and_small_arrays(make_docs, monkeypatch):
     check(make_docs, random_rows(4, 60, (0, 30), "abcdef", 2), 12, 4)
 
 
+@settings(max_examples=150, derandomize=True, deadline=None)
+@given(st.lists(st.text(alphabet="ab", max_size=60), max_size=5))
+def test_equal_windows_are_in_pieces_of_one_anchor(texts):
+    by = {}
+    for raw in (t.encode() for t in texts):
+        offsets = np.array([0, len(raw)], dtype=np.int64)
+        _, anchor, first, last, _ = S.contexts(np.frombuffer(raw, np.uint8), offsets, 12, 4)
+        seen = []
+        for a, b, e in zip(anchor.view(np.int64).tolist(), first.tolist(), last.tolist()):
+            for x, y, key in S.pieces(raw, b, e, a, 12, 4):
+                assert y - x < 3
+                seen += range(x, y + 1)
+                for w in range(x, y + 1):
+                    assert by.setdefault(raw[w:w + 12], key) == key
+        assert seen == list(range(max(0, len(raw) - 11)))  # each window once
+
+
+@pytest.mark.parametrize("limit", [1024, 128, 16])
+def test_rows_grow_in_step_with_contexts(make_docs, monkeypatch, limit):
+    """Texts that share passages, twice as many of them: no step in the rows, whatever the limit."""
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(S, "SHARD_CONTEXTS", limit)
+    rng = random.Random(6)
+
+    def text(n):
+        return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+
+    passages = [text(600) for _ in range(3)]
+    made = []
+    for n in (150, 300):
+        docs = make_docs([(i, text(300) + rng.choice(passages) + text(300)) for i in range(n)])
+        docs = docs.select(F.xxhash64("doc_id", "text").alias("u"), "text")
+        texts = S._texts_with_contexts(docs, S.SPAN_BYTES, S.GRAM_BYTES)
+        listed = texts.select(F.sum(F.size("w"))).first()[0]
+        made.append((listed, S._repeats(S._distinct_contexts(texts, S.SPAN_BYTES, S.GRAM_BYTES), S.SPAN_BYTES).count()))
+    assert made[1][1] <= 2.6 * made[0][1] and made[1][1] <= 12 * made[1][0]
+
+
 def test_empty_table(make_docs):
     assert S.repeated_spans(make_docs([])).collect() == []
 

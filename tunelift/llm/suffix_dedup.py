@@ -8,13 +8,18 @@ belong to a repeated window; only contexts of the other anchors, about the repea
 the corpus, are looked at again.
 
 Equal contexts are counted, not repeated; where an anchor has only one distinct context that
-occurs several times, all of its windows repeat.  The others go to shards by anchor, and an
-anchor of very many contexts is salted over several shards.  Each shard builds a suffix array
+occurs several times, all of its windows repeat.  The others go to shards by anchor.  Contexts of an
+anchor that occurs very often are first cut into pieces: equal windows have the anchor in equal
+places, so windows are taken together by that place, PIECE_WINDOWS at a time, and what all
+windows of a piece cover, nearly the whole of each, becomes their anchor.  Pieces of unlike
+surroundings part that way, and equal ones are counted.  Only where very many unlike pieces
+still have one such anchor (around the ends of a passage that many texts share) is it salted
+over several shards.  Each shard builds a suffix array
 by Larsson-Sadakane refinement in numpy (only groups that are still tied are sorted again, by
 the ranks at multiples of the length settled so far), and longest common prefixes by Kasai's
 rule, advancing in all contexts at once.  Windows with a common prefix of ``span`` bytes with a
 neighbour in the array, or in a context that occurs several times, repeat.  The distinct
-windows of salted anchors are merged across shards by binary search in the sorted union of
+windows of salted pieces are merged across shards by binary search in the sorted union of
 what the shards have.
 """
 
@@ -38,6 +43,7 @@ from tunelift.session import materialize
 SPAN_BYTES = 200
 GRAM_BYTES = 24
 SHARD_CONTEXTS = 1024      # contexts of one anchor in a shard
+PIECE_WINDOWS = 16         # windows that a piece of a frequent anchor's context has at most
 ARRAY_BYTES = 512 << 10    # bytes of the contexts that one suffix array covers
 SLICE_BYTES = 256 << 10    # bytes hashed at a time, so that the arrays stay in a core's cache
 
@@ -227,36 +233,70 @@ def _texts_with_contexts(docs: DataFrame, span: int, gram: int) -> DataFrame:
     return materialize(texts.join(lists, "u"), "texts-with-contexts")
 
 
-def _contexts_of(batch: pa.RecordBatch, span: int) -> Iterator[tuple]:
-    """u, place, anchor, occurrences, digest and bytes of each context listed in a batch."""
+def pieces(raw: bytes, first: int, last: int, anchor: int, span: int, gram: int) -> Iterator[tuple[int, int, int]]:
+    """Cut the windows first to last of a text, all of one anchor, into runs: (first window, last
+    window, anchor of the piece).
+
+    A window's place is where the anchor first occurs in it, so equal windows have equal places.
+    A piece has windows of one stretch of places that are about one occurrence; its anchor is a
+    hash of the stretch and of the bytes that any such window covers."""
+    width = max(1, min(PIECE_WINDOWS, span // 4))
+    hashes = gram_hashes(np.frombuffer(raw, np.uint8, last - first + span, first), gram)
+    for p in (np.flatnonzero(hashes == np.uint64(anchor & (2 ** 64 - 1))) + first).tolist():
+        until = min(last, p)                   # windows that begin after p have another occurrence
+        while first <= until:
+            stretch = (p - first) // width
+            core = p - stretch * width
+            seed = (anchor + stretch * 0x9E3779B97F4A7C15) & (2 ** 64 - 1)
+            key = xxhash.xxh3_64_intdigest(raw[core:core + span - width + 1], seed)
+            yield first, min(until, core), key - 2 ** 64 if key >= 2 ** 63 else key
+            first = min(until, core) + 1
+
+
+def _contexts_of(batch: pa.RecordBatch, span: int, gram: int, cut: bool | None = None) -> Iterator[tuple]:
+    """u, place, anchor, digest and bytes of each context listed in a batch; contexts of an anchor of
+    more than SHARD_CONTEXTS occurrences come in pieces.  ``cut`` asks for the pieces only, or for
+    the others."""
     d = zstandard.ZstdDecompressor()
     for u, z, listed in zip(batch["u"].to_pylist(), batch["z"], batch["w"].to_pylist()):
-        raw = d.decompress(z.as_py())
+        listed = [x for x in listed if cut is None or (x["n"] > SHARD_CONTEXTS) == cut]
+        raw = d.decompress(z.as_py()) if listed else b""
         for x in listed:
-            first, more = x["w"] >> 16, x["w"] & 0xFFFF
-            text = raw[first:first + more + span]
-            c1, c2 = struct.unpack("<qq", xxhash.xxh3_128_digest(text))
-            yield u, first, x["a"], x["n"], c1, c2, text
-
-
-def _distinct_contexts(texts: DataFrame, span: int) -> DataFrame:
-    """Contexts with the number of their occurrences, summed within each task; salt spreads
-    an anchor of more than SHARD_CONTEXTS occurrences."""
-    schema = "a long, salt int, salted boolean, c1 long, c2 long, n long, ctx binary"
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seen: dict = {}
-            for _, _, a, n, c1, c2, text in _contexts_of(batch, span):
-                seen.setdefault((a, n, c1, c2), [0, text])[0] += 1
-            rows = [(a, c2 % -(-n // SHARD_CONTEXTS), n > SHARD_CONTEXTS, c1, c2, k, text)
-                    for (a, n, c1, c2), (k, text) in seen.items()]
-            cols = list(zip(*rows)) or [[]] * 7
-            types = (pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, types)],
-                                  names=["a", "salt", "salted", "c1", "c2", "n", "ctx"])
-
-    return texts.mapInArrow(run, schema)
+            first, last = x["w"] >> 16, (x["w"] >> 16) + (x["w"] & 0xFFFF)
+            parts = pieces(raw, first, last, x["a"], span, gram) if x["n"] > SHARD_CONTEXTS else [(first, last, x["a"])]
+            for b, e, a in parts:
+                text = raw[b:e + span]
+                yield u, b, a, *struct.unpack("<qq", xxhash.xxh3_128_digest(text)), text
+
+
+def _distinct_contexts(texts: DataFrame, span: int, gram: int) -> DataFrame:
+    """Contexts and pieces with the number of their occurrences, which is summed within a task for
+    contexts and over all for pieces; salt spreads an anchor of more than SHARD_CONTEXTS different
+    pieces."""
+    schema = "a long, c1 long, c2 long, n long, ctx binary"
+
+    def listed(cut: bool) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                seen: dict = {}
+                for _, _, a, c1, c2, text in _contexts_of(batch, span, gram, cut):
+                    seen.setdefault((a, c1, c2), [0, text])[0] += 1
+                cols = list(zip(*((*key, k, text) for key, (k, text) in seen.items()))) or [[]] * 5
+                types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, types)], names=["a", "c1", "c2", "n", "ctx"])
+
+        return texts.mapInArrow(run, schema)
+
+    whole = listed(False).select("a", F.lit(0).alias("salt"), F.lit(False).alias("salted"), "c1", "c2", "n", "ctx")
+    parts = materialize(listed(True).groupBy("a", "c1", "c2").agg(F.sum("n").alias("n"), F.first("ctx").alias("ctx")),
+                        "context-pieces")
+    shards = F.ceil(F.count(F.lit(1)) / SHARD_CONTEXTS).cast("int")
+    crowded = materialize(parts.groupBy("a").agg(shards.alias("shards")).where("shards > 1"), "crowded-anchors")
+    salted = F.col("shards").isNotNull()
+    parts = parts.join(crowded, "a", "left").select(
+        "a", F.when(salted, F.pmod("c2", "shards")).otherwise(0).cast("int").alias("salt"), salted.alias("salted"),
+        "c1", "c2", "n", "ctx")
+    return whole.union(parts)
 
 
 def _repeats(distinct: DataFrame, span: int) -> DataFrame:
@@ -341,14 +381,14 @@ def repeated_spans(docs: DataFrame, span: int = SPAN_BYTES, gram: int = GRAM_BYT
     result row for both.  A null doc_id is as good as any."""
     docs = docs.select(F.xxhash64("doc_id", text_or_empty()).alias("u"), text_or_empty().alias("text"))
     texts = _texts_with_contexts(docs, span, gram)
-    found = materialize(_repeats(_distinct_contexts(texts, span), span), "repeats")
+    found = materialize(_repeats(_distinct_contexts(texts, span, gram), span), "repeats")
     merged = _merged(found.where("w1 is not null"))
     repeats = materialize(found.where("w1 is null").select("c1", "c2", "x", "y").union(merged)
                           .groupBy("c1", "c2").agg(F.collect_set(F.struct("x", "y")).alias("runs")), "context-runs")
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(u, first, c1, c2) for u, first, _, _, c1, c2, _ in _contexts_of(batch, span)]
+            rows = [(u, first, c1, c2) for u, first, _, c1, c2, _ in _contexts_of(batch, span, gram)]
             yield pa.record_batch([pa.array(c, pa.int64()) for c in (list(zip(*rows)) or [[]] * 4)],
                                   names=["u", "first", "c1", "c2"])
 
