@@ -127,3 +127,20 @@ def test_a_text_on_a_third_of_the_rows_keeps_its_terms(spark, make_docs):
     assert not got[1000]["fingerprint"].startswith("text:") and got[1000]["near_next"] == 1.0
     x, y = (got[i]["fingerprint"].split(".") for i in (1000, 5000))
     assert sum(a == b for a, b in zip(x, y)) > 0.5 * len(x)  # one character apart
+
+
+def test_lexicon_is_the_band_of_distinct_texts(make_docs):
+    """Document frequencies recounted in plain Python, copies of a text once."""
+    rng = random.Random(12)
+    vocabulary = [f"w{i}" for i in range(80)] + ["Élan", "élan", "x1", "中文"]
+    texts = [" ".join(rng.choices(vocabulary, weights=[1 / (k + 1) for k in range(len(vocabulary))], k=rng.randint(0, 25)))
+             for _ in range(120)]
+    rows = list(enumerate(texts + texts[:30] + [texts[5]] * 60 + [None, ""]))
+    counts, distinct = {}, {t or "" for _, t in rows}
+    for t in distinct:
+        for term in set(re.findall(r"[^\W_]+", t.lower())):
+            counts[term] = counts.get(term, 0) + 1
+    for lo, hi in ((0.002, 0.2), (0.1, 0.5)):
+        want = {t for t, n in counts.items() if max(2, lo * len(distinct)) <= n <= max(2, hi * len(distinct))}
+        got = [r["term"] for r in M.lexicon(make_docs(rows), lo, hi).collect()]
+        assert sorted(got) == sorted(want) and want

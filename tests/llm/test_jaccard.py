@@ -138,3 +138,28 @@ def test_components_of_a_long_path_and_a_star(spark, monkeypatch, task_edges):
     df = materialize(spark.createDataFrame(edges, "a long, b long"), "test-edges")
     got = dict(map(tuple, connected_components(df).collect()))
     assert got == {i: 0 for i in range(301)} | {1000 + i: 1000 for i in range(50)}
+
+
+def test_one_of_each_group_with_any_column_names(make_docs):
+    rows = [(1, "a b c d e f g h i j"), (2, "a b c d e f g h i j"), (3, None), (3, None), (None, "a b c d e f g h i j"), (4, "")]
+    df = make_docs(rows, extra=("__id", "__t", "__hash", "__HASH_", "component_id", "n"))
+    out = J.one_of_each_group(df)
+    assert out.columns == df.columns
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in out.collect()) == [(0, rows[0][1]), (1, rows[0][1]), (3, None), (4, "")]
+    assert J.one_of_each_group(make_docs([])).collect() == []
+
+
+def test_a_hot_tile_with_strangers_stays_linear(spark, monkeypatch):
+    """Rows of one component never meet each other again; all others meet once."""
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(linking, "BLOCK_ROWS", 8)
+    for hot, strangers in ((4000, 1), (400, 30), (5, 40), (8, 8)):
+        v = spark.range(hot + strangers).withColumnRenamed("id", "v")
+        members = v.select(F.lit(7).cast("long").alias("tile"), "v", F.when(F.col("v") < hot, -1).otherwise(F.col("v")).alias("label"))
+        facts = v.select("v", F.array(F.lit(7).cast("long")).alias("tiles"), F.lit(0).alias("x"))
+        rows = linking.meetings(members, facts, ["x"])
+        blocks, main = -(-strangers // 8), -(-hot // 8)
+        assert rows.count() == hot * blocks + strangers * (blocks + main)
+        pairs = linking.open_pairs(members, facts, ["x"], lambda i, j, values: i >= 0)
+        got = pairs.collect()
+        assert len(got) == len(set(got)) == hot * strangers + strangers * (strangers - 1) // 2

@@ -58,3 +58,33 @@ def test_one_short_text_shortens_no_other_dictionary(spark):
     assert sum(r["lang_best"] == r["true"] for r in rows) >= 0.95 * len(rows)
     # eleven bytes are too few to compress, with any dictionary
     assert L.identify(short.withColumn("text", F.repeat("text", F.lit(3))), both).first()["lang_best"] == "zz"
+
+
+def test_identify_matches_plain_compression(make_docs):
+    """Every text in blocks, one raw-content dictionary a language, the smallest sum wins."""
+    import random
+
+    import zstandard
+    rng = random.Random(4)
+    words = {lang: ["".join(rng.choice(letters) for _ in range(rng.randint(2, 7))) for _ in range(60)]
+             for lang, letters in (("aa", "abcdefgh"), ("bb", "klmnopqr"), ("cc", "stuvwxyzé"))}
+    learned = {lang: " ".join(rng.choice(w) for _ in range(400)).encode() for lang, w in words.items()}
+    rows = [(i, " ".join(rng.choice(words[rng.choice(["aa", "bb", "cc"]) if rng.random() < 0.2 else "abc"[i % 3] * 2])
+                         for _ in range(rng.choice([1, 5, 40, 3000])))) for i in range(30)] + [(99, "12 34"), (98, None)]
+    for r in L.identify(make_docs(rows), learned).collect():
+        text = dict(rows)[r["doc_id"]]
+        if r["doc_id"] >= 98:
+            assert (r["lang_best"], r["score"]) == ("und", 0.0)
+            continue
+        data, sizes = text.lower().encode(), {}
+        for lang, d in learned.items():
+            z = zstandard.ZstdCompressor(level=L.LEVEL, dict_data=zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT),
+                                         write_content_size=False, write_checksum=False, write_dict_id=False)
+            sizes[lang] = sum(len(z.compress(data[i:i + L.BLOCK_BYTES])) for i in range(0, len(data), L.BLOCK_BYTES))
+        best, second = sorted(sizes, key=lambda k: (sizes[k], k))[:2]
+        assert r["lang_best"] == best and abs(r["margin"] - (1 - sizes[best] / sizes[second])) < 1e-12
+
+
+def test_a_hot_id_sends_one_text(make_docs):
+    rows = [(7, f"the same id again and again {i:03}", "en") for i in range(300)] + [(8, "ein anderer text", "de")]
+    assert L.learn_dictionaries(make_docs(rows)) == L.learn_dictionaries(make_docs([rows[0], rows[-1]]))

@@ -67,7 +67,7 @@ def test_taken_words(make_docs):
 
 def test_documents_of_the_mix(make_docs):
     rows = rows_of(120)
-    df = make_docs(rows, extra=("size", "epochs"))
+    df = make_docs(rows, extra=("size", "epochs", "__id", "__size", "__words"))
     plan = M.mix_plan(df, block_rows=40).collect()
     out = M.mixed_documents(df, block_rows=40)
     assert out.columns == df.columns

@@ -87,3 +87,28 @@ def test_many_shards_and_refusal(spark, make_docs):
     check_packed(P.pack(pieces, shard_rows=20).collect())
     with pytest.raises(Exception, match="exceeds a capacity"):
         P.pack(P.token_pieces(make_docs([(1, "a b c d")])), capacities=(3, 9, 9)).collect()
+
+
+@pytest.mark.parametrize("rule", ["norm", "dot"])
+def test_every_item_goes_to_the_best_bin(rule):
+    """Replay of the choices: a bin is opened only if no open one has room in every respect, and
+    else the chosen one has the largest weighted dot product, or the smallest residual norm."""
+    rng = np.random.default_rng(8)
+    for caps, w in (((100, 6, 6000), (1.0, 0.5, 2.0)), ((64, 64, 4096), (1.0, 1.0, 1.0)), ((50, 3, 1200), (2.0, 1.0, 0.1))):
+        lengths = np.sort(rng.integers(1, 33, 300))[::-1]
+        left = {}
+        for n, at in zip(lengths.tolist(), P.best_fit(lengths, caps, w, rule).tolist()):
+            d = [n / caps[0], 1 / caps[1], n * n / caps[2]]
+
+            def score(room):
+                if rule == "dot":
+                    return -sum(x * k * y for x, k, y in zip(room, w, d))
+                return sum(k * (x - y) ** 2 for x, k, y in zip(room, w, d))
+
+            fits = {b: score(room) for b, room in left.items() if all(x >= y - 1e-12 for x, y in zip(room, d))}
+            if at not in left:
+                assert not fits and at == len(left)
+                left[at] = [1.0, 1.0, 1.0]
+            else:
+                assert fits[at] <= min(fits.values()) + 1e-9
+            left[at] = [x - y for x, y in zip(left[at], d)]

@@ -48,3 +48,9 @@ def free_name(columns: Iterable[str], name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def free_names(columns: Iterable[str], *names: str) -> list[str]:
+    """``free_name`` of each of several names."""
+    columns = list(columns)
+    return [free_name(columns, name) for name in names]

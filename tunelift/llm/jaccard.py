@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tunelift.llm.common import read_table, text_or_empty
+from tunelift.llm.common import free_names, read_table, text_or_empty
 from tunelift.llm.hashing import LOWER, mix, shingle_hashes, text_slices, word_hashes, words
 from tunelift.llm.linking import LEADER_ROUNDS, link_components, open_pairs, shared_tiles
 from tunelift.session import materialize
@@ -245,16 +245,18 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80,
 
 
 def one_of_each_group(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """``docs``, with its columns, with one document of each component: the one whose doc_id
-    is the smallest.  Documents that link with nothing stay, rows without doc_id too; rows
-    that repeat both id and text are one document."""
+    """``docs``, with its columns (whatever their names), with one document of each component: the
+    one whose doc_id is the smallest.  Documents that link with nothing stay, rows without doc_id
+    too, and so do null, empty and wordless texts; rows that repeat both id and text are one
+    document.  Whole texts are compared, very long ones like others; an empty table stays empty."""
+    id_, t_, hash_ = free_names(docs.columns, "__id", "__t", "__hash")
     found = materialize(jaccard_components(docs, k, percent), "components")
     stays = (found.where(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id")))
-             .select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__t")).distinct())
-    j = docs.withColumn("__hash", F.xxhash64(text_or_empty()))
-    j = j.join(stays, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__t")), "left_semi")
+             .select(F.col("doc_id").alias(id_), F.col("text_hash").alias(t_)).distinct())
+    j = docs.withColumn(hash_, F.xxhash64(text_or_empty()))
+    j = j.join(stays, F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(hash_) == F.col(t_)), "left_semi")
     # of rows that repeat both id and text, the smallest by source and language
-    copies = j.where("doc_id is not null").dropDuplicates(["doc_id", "__hash"])
+    copies = j.where("doc_id is not null").dropDuplicates(["doc_id", hash_])
     return copies.unionByName(j.where("doc_id is null")).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

@@ -41,7 +41,8 @@ def learn_dictionaries(train: DataFrame, sample_docs: int = SAMPLE_DOCS,
     limit also applies before the shuffle), and only their first ``sample_chars`` characters reach the driver: at most
     languages x sample_docs x sample_chars.  A language's dictionary is the end of its own sample,
     ``dictionary_bytes`` at most; a smaller sample is repeated to the bytes of the largest, so
-    a language with little text shortens no other's.  Rows with a null text or lang, and texts
+    a language with little text shortens no other's.  Of rows that share doc_id and lang the
+    smallest text teaches; an empty table teaches nothing (no dictionaries).  Rows with a null text or lang, and texts
     without a letter, teach nothing."""
     usable = train.where("text is not null and lang is not null").where(
         F.regexp_like("text", F.lit(r"\p{L}")))
@@ -51,7 +52,9 @@ def learn_dictionaries(train: DataFrame, sample_docs: int = SAMPLE_DOCS,
         .withColumn("rank", rank).where(F.col("rank") <= max(1, sample_docs // STRATA))
         .select("doc_id", "lang", "at").distinct(), "language-sample")
     rows = (usable.select("doc_id", "lang", F.substring("text", 1, sample_chars).alias("text"))
-            .join(chosen, ["doc_id", "lang"]).select("lang", "at", "text").collect())
+            .join(chosen, ["doc_id", "lang"])
+            # an id that very many rows share sends one of its texts, the first
+            .groupBy("doc_id", "lang", "at").agg(F.min("text").alias("text")).select("lang", "at", "text").collect())
     out: dict[str, list[bytes]] = {}
     for row in sorted(rows, key=lambda r: (r["lang"], r["at"], r["text"])):
         out.setdefault(row["lang"], []).append(row["text"].lower().encode())

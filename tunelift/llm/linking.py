@@ -30,6 +30,35 @@ def shared_tiles(tiles: DataFrame) -> DataFrame:
     return materialize(tiles.join(several.hint("shuffle_hash"), "tile"), "tile-members")
 
 
+def meetings(members: DataFrame, facts: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows (tile, bi, bj, block, label, v, tiles, *columns): which members are compared in which step.
+
+    The largest component of a tile is kept apart: its blocks meet those of the other members,
+    never each other, so a tile of very many linked rows and a few strangers takes a copy of
+    each row for every BLOCK_ROWS strangers."""
+    by_label = members.groupBy("tile", "label").agg(F.count(F.lit(1)).alias("n"))
+    counts = materialize(by_label.groupBy("tile").agg(
+        F.max(F.struct("n", "label")).alias("main"), F.sum("n").alias("members"), F.count(F.lit(1)).alias("labels"))
+        .where("labels > 1").select(
+            "tile", F.col("main.label").alias("main"),
+            F.ceil(F.col("main.n") / BLOCK_ROWS).cast("int").alias("main_blocks"),
+            F.ceil((F.col("members") - F.col("main.n")) / BLOCK_ROWS).cast("int").alias("blocks")), "open-tiles")
+    in_main = F.col("label") == F.col("main")
+
+    def numbers(n: str) -> F.Column:
+        return F.sequence(F.lit(0), F.col(n) - 1)
+
+    # a block of the largest component has a number below 0; the meetings of a row: (bi, bj)
+    block = F.when(in_main, -1 - F.pmod(F.xxhash64("v"), F.col("main_blocks"))).otherwise(
+        F.pmod(F.xxhash64("v"), F.col("blocks"))).cast("int")
+    with_main = F.transform(numbers("main_blocks"), lambda b: F.struct((-1 - b).alias("bi"), F.col("block").alias("bj")))
+    with_rest = F.transform(numbers("blocks"), lambda b: F.struct(
+        F.least("block", b).alias("bi"), F.greatest("block", b).alias("bj")))
+    return (members.join(counts, "tile").join(facts.select("v", "tiles", *columns), "v").withColumn("block", block)
+            .withColumn("meets", F.explode(F.when(in_main, with_rest).otherwise(F.concat(with_main, with_rest))))
+            .withColumn("bi", F.col("meets.bi")).withColumn("bj", F.col("meets.bj")))
+
+
 def open_pairs(members: DataFrame, facts: DataFrame, columns: Sequence[str],
                may_link: Callable[[np.ndarray, np.ndarray, list[list]], np.ndarray]) -> DataFrame:
     """Pairs (a, b) of different components that share a tile and pass ``may_link``.
@@ -39,13 +68,7 @@ def open_pairs(members: DataFrame, facts: DataFrame, columns: Sequence[str],
     compared, each by one step of bounded size: may_link(i, j, values of the columns) gives
     a mask for the index arrays i and j.  Of the tiles that a pair shares, only the smallest
     gives it, so no pair comes twice."""
-    counts = materialize(members.groupBy("tile").agg(
-        F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("members"))
-        .where("lo < hi").select("tile", F.ceil(F.col("members") / BLOCK_ROWS).cast("int").alias("blocks")), "open-tiles")
-    rows = (members.join(counts, "tile").join(facts.select("v", "tiles", *columns), "v")
-            .withColumn("block", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .withColumn("bi", F.least("block", "other")).withColumn("bj", F.greatest("block", "other")))
+    rows = meetings(members, facts, columns)
     fields = ["block", "label", "v", "tiles", *columns]
 
     def compare(tile: int, within: bool, group: list[list]) -> tuple[np.ndarray, np.ndarray]:

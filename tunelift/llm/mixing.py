@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tunelift.llm.common import read_table, text_or_empty, word_count
+from tunelift.llm.common import free_names, read_table, text_or_empty, word_count
 
 BLOCK_ROWS = 1000
 
@@ -95,31 +95,34 @@ def mix_plan(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), max_epochs: in
 
 def mixed_documents(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), max_epochs: int = 3,
                     seed: int = 7, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """The mix itself, with the columns of ``docs``: a row for each whole repetition, and
+    """The mix itself, with the columns of ``docs`` (whatever their names): a row for each whole repetition, and
     one with the first ``extra`` words of the text for a cut one.
 
     A document of which no word is taken has no row; so a null or empty text goes, as it
-    has no words.  Rows alike in doc_id and text share one decision."""
+    has no words.  Rows alike in doc_id and text share one decision.  Whole texts are mixed, very long
+    ones like others; an empty table gives an empty mix."""
+    id_, source_, size_, repeats_, extra_, rows_, words_ = free_names(
+        docs.columns, "__id", "__source", "__size", "__repeats", "__extra", "__rows", "__words")
     plan = (mix_plan(docs, weights, max_epochs, seed, block_rows).where("taken > 0")
-            .select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"),
-                    F.col("size").alias("__size"), F.col("repeats").alias("__repeats"),
-                    F.col("extra").alias("__extra"))
+            .select(F.col("doc_id").alias(id_), F.col("source").alias(source_),
+                    F.col("size").alias(size_), F.col("repeats").alias(repeats_),
+                    F.col("extra").alias(extra_))
             # repeated rows of one id, source and size: one plan row each, numbered
-            .groupBy("__id", "__source", "__size")
-            .agg(F.max("__repeats").alias("__repeats"), F.sum("__extra").alias("__extra"),
-                 F.count(F.lit(1)).alias("__rows")))
-    sized = docs.withColumn("__words", word_count(text_or_empty()))
-    j = sized.join(plan, F.col("doc_id").eqNullSafe(F.col("__id"))
-                   & F.col("source").eqNullSafe(F.col("__source"))
-                   & (F.col("__words") == F.col("__size")), "inner")
+            .groupBy(id_, source_, size_)
+            .agg(F.max(repeats_).alias(repeats_), F.sum(extra_).alias(extra_),
+                 F.count(F.lit(1)).alias(rows_)))
+    sized = docs.withColumn(words_, word_count(text_or_empty()))
+    j = sized.join(plan, F.col("doc_id").eqNullSafe(F.col(id_))
+                   & F.col("source").eqNullSafe(F.col(source_))
+                   & (F.col(words_) == F.col(size_)), "inner")
     # repeated rows share the cut part evenly
-    part = F.floor(F.col("__extra") / F.col("__rows")).cast("int")
+    part = F.floor(F.col(extra_) / F.col(rows_)).cast("int")
     words = F.split("text", r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
     words = F.filter(words, lambda w: F.length(w) > 0)
     lead = F.when(F.regexp_like(F.get(words, F.lit(0)), F.lit(r"^[\x20\x09-\x0D]")), 1).otherwise(0)
     cut = F.array_join(F.slice(words, F.lit(1), part + lead), "")
-    copies = F.concat(F.array_repeat(F.col("text"), F.col("__repeats").cast("int")),
-                      F.when(part >= F.col("__size"), F.array("text"))
+    copies = F.concat(F.array_repeat(F.col("text"), F.col(repeats_).cast("int")),
+                      F.when(part >= F.col(size_), F.array("text"))
                       .when(part > 0, F.array(cut)).otherwise(F.array().cast("array<string>")))
     kept = [c for c in docs.columns if c != "text"]
     out = j.select(*[F.col(f"`{c}`") for c in kept], F.explode(copies).alias("text"))
