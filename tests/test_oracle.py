@@ -65,3 +65,16 @@ def test_entry_smoke(spark):
     assert df.count() > 0
     assert df.columns == ["artist_name", "title", "td_confidence", "artist_hotness",
                           "song_hotness", "td_meanPrice", "has_download_record"]
+
+
+def test_entry_survives_a_missing_library():
+    """A library that only the optional operators need takes none of the core queries with it."""
+    import subprocess
+    import sys
+
+    from conftest import ROOT
+    from tunelift.plans.catalog import REGISTRY
+    code = ("import sys; sys.modules.update(tiktoken=None, zstandard=None, tokenizers=None); import __spark_entry__ as E; "
+            "print(len(E.queries()), len(E.oracle_sql()))")
+    out = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, timeout=120)
+    assert out.stdout.split() == [str(len(REGISTRY)), str(sum(1 for _, sql in REGISTRY.values() if sql))], out.stderr

@@ -70,11 +70,13 @@ def test_command_line_writes_rejected_lines(spark, scratch):
     writers.save_model(fitted, os.path.join(scratch, "model"))
     in_dir = os.path.join(scratch, "in")
     spark.createDataFrame([("Brand#13;x",), ("bad line",), ("a;b;c",)], "value string").write.text(in_dir)
-    out = cli.main(["score-stream", "--requests-dir", in_dir, "--features", paths["features"], "--means", paths["means"],
-                    "--model", os.path.join(scratch, "model"), "--out", os.path.join(scratch, "out"),
-                    "--checkpoint", os.path.join(scratch, "cp"), "--available-now"])
-    assert spark.read.parquet(out["scores"]).count() == 1
-    assert sorted(x["value"] for x in spark.read.parquet(out["rejected"]).collect()) == ["a;b;c", "bad line"]
+    for i, more in enumerate(([], ["--one-plan"])):
+        out = cli.main(["score-stream", "--requests-dir", in_dir, "--features", paths["features"], "--means", paths["means"],
+                        "--model", os.path.join(scratch, "model"), "--out", os.path.join(scratch, f"out{i}"),
+                        "--checkpoint", os.path.join(scratch, f"cp{i}"), "--available-now", *more])
+        scores = spark.read.parquet(out["scores"]).collect()
+        assert len(scores) == 1 and scores[0]["prediction_int"] is not None
+        assert sorted(x["value"] for x in spark.read.parquet(out["rejected"]).collect()) == ["a;b;c", "bad line"]
 
 
 def _plan(df):

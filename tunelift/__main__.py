@@ -7,7 +7,7 @@
   python -m tunelift score --requests F --features DIR --means DIR --model DIR --out DIR
   python -m tunelift explore --wide DIR --out DIR
   python -m tunelift score-stream --requests-dir DIR --features DIR --means DIR --model DIR \
-      --out DIR --checkpoint DIR [--available-now]
+      --out DIR --checkpoint DIR [--available-now] [--one-plan]
 
 Under spark-submit the master comes from the submit command (``--master`` here is for
 local runs).
@@ -56,6 +56,9 @@ def _parser() -> argparse.ArgumentParser:
                     help="folder of the rejected lines (default: beside --out)")
     ss.add_argument("--available-now", action="store_true",
                     help="process the files present now, then stop")
+    ss.add_argument("--one-plan", action="store_true",
+                    help="join the stream with bucketed levels in one streaming plan, instead of a "
+                         "batch lookup for each micro-batch")
     e = sub.add_parser("explore", help="means, medians, correlations, clusters, histograms")
     e.add_argument("--wide", required=True)
     e.add_argument("--out", required=True)
@@ -90,20 +93,25 @@ def main(argv: list[str] | None = None) -> dict:
     elif args.cmd == "score-stream":
         from pyspark.sql import functions as F
 
+        from .operators import lookup
         from .sources import writers
         from .streaming import scoring
         accepted, rejected = scoring.request_stream(spark, args.requests_dir)
         accepted = accepted.withColumn("request_line", F.concat_ws(";", "artist", "title"))
-        score = scoring.batch_scores(jobs.read_serving(spark, args.features), writers.load_model(args.model),
-                                     jobs.read_means(spark, args.means))
+        features, means = jobs.read_serving(spark, args.features), jobs.read_means(spark, args.means)
+        fitted = writers.load_model(args.model)
         out = {"scores": args.out, "rejected": args.rejected or args.out.rstrip("/") + "-rejected"}
-        running = [
-            scoring.start_sink(accepted, out["scores"], os.path.join(args.checkpoint, "scores"),
-                               lambda batch: score(batch).select("request_line", "match_level", "prediction",
-                                                                 "prediction_int", "reject_reason"),
-                               available_now=args.available_now),
-            scoring.start_sink(rejected, out["rejected"], os.path.join(args.checkpoint, "rejected"),
-                               available_now=args.available_now)]
+        columns = ["request_line", "match_level", "prediction", "prediction_int", "reject_reason"]
+        checkpoint = os.path.join(args.checkpoint, "scores")
+        if args.one_plan:
+            plan = scoring.stream_scores(accepted, lookup.bucketed_levels(features), fitted, means)
+            first = scoring.start_file_sink(plan.select(*columns), out["scores"], checkpoint, args.available_now)
+        else:
+            score = scoring.batch_scores(features, fitted, means)
+            first = scoring.start_sink(accepted, out["scores"], checkpoint, lambda batch: score(batch).select(*columns),
+                                       available_now=args.available_now)
+        running = [first, scoring.start_sink(rejected, out["rejected"], os.path.join(args.checkpoint, "rejected"),
+                                             available_now=args.available_now)]
         for q in running:
             q.awaitTermination()
     else:
