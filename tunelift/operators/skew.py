@@ -16,8 +16,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
-
 
 def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows per key (``_rows``); a partial aggregate, so a hot key costs one row per input
@@ -82,7 +80,7 @@ def salted_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]]
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
     rkeys = [rk for _, rk in on]
-    hot = F.broadcast(materialize(heavy_keys(right, rkeys, tasks), "hot-keys"))  # fewer rows than tasks
+    hot = F.broadcast(heavy_keys(right, rkeys, tasks))  # fewer rows than tasks
     hot_l = hot.select(*[F.col(rk).alias(f"_hk_{i}") for i, rk in enumerate(rkeys)], "_salts")
     lt = left.join(hot_l, [left[lk] == hot_l[f"_hk_{i}"] for i, (lk, _) in enumerate(on)],
                    "left").drop(*[f"_hk_{i}" for i in range(len(on))])
