@@ -3,7 +3,10 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
+from tunelift.plans import bindings as B
+from tunelift.plans import flows as P
 from tunelift.plans import jobs
 from tunelift.plans.flows import Roles
 from conftest import SF_SMALL
@@ -82,3 +85,46 @@ def test_training_with_separate_test_table(spark, scratch):
     _, preds, metrics = P.train_and_evaluate(train, num_trees=3, max_depth=3, test=test)
     n = {row["split"]: row["n"] for row in metrics.collect()}
     assert n == {"train": train.count(), "test": test.count()}
+
+
+def test_roles_match_patterns_and_join_texts_after_the_large_join(spark, scratch):
+    """A pattern is matched once a part, and line items meet their orders without any text."""
+    spark.createDataFrame([(1, "Brand#12", "a"), (2, "Brand#12", "b"), (3, "Brand#7", "c"), (4, None, "d"), (5, "no number", "e")],
+                          "p_partkey long, p_brand string, p_name string").write.parquet(f"{scratch}/part.parquet")
+    spark.createDataFrame([(1, "1-URGENT"), (1, "5-LOW"), (2, "2-HIGH"), (3, "none"), (None, "5-LOW")],
+                          "o_orderkey long, o_orderpriority string").write.parquet(f"{scratch}/orders.parquet")
+    spark.createDataFrame([(2, 1, 7, 10.0), (2, 1, 7, None), (1, 2, 8, 1.0), (3, 3, 9, 5.0), (2, 4, None, 2.0),
+                           (None, 1, 7, 99.0), (9, 1, 6, 99.0), (2, None, 5, 99.0)],
+                          "l_orderkey long, l_partkey long, l_suppkey long, l_extendedprice double"
+                          ).write.parquet(f"{scratch}/lineitem.parquet")
+    similar, downloads = B.similar_artists(spark, scratch), B.downloads(spark, scratch)
+    assert {tuple(r) for r in similar.collect()} == {("Brand#23", 6), ("Brand#23", 7), ("Brand#23", 8), ("Brand#18", 9), (None, None)}
+    rows = {(r.artist, r.title): (r.mean_price, r.downloads, r.confidence) for r in downloads.collect()}
+    low = rows.pop(("Brand#12", "b"))  # order 1 comes twice
+    assert low[:2] == (1.0, 2) and low[2] in ("excellent", "poor")
+    assert rows == {("Brand#12", "a"): (10.0, 2, "very good"), ("Brand#7", "c" + B.LIVE_TITLE_SUFFIX): (5.0, 1, None),
+                    (None, "d"): (2.0, 1, "very good")}
+
+    def places(df, *texts):  # of the lines of the optimised plan that hold all of ``texts``
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        return [i for i, line in enumerate(plan.splitlines()) if all(x in line for x in texts)]
+
+    assert min(places(similar, "regexp_extract")) > max(places(similar, "Join Inner"))
+    upper, lower = places(downloads, "Join Inner")
+    assert "o_orderkey" in downloads._jdf.queryExecution().optimizedPlan().toString().splitlines()[lower]
+    assert min(places(downloads, "concat(p_name")) > upper  # once a part
+
+
+def test_songs_are_dealt_out_before_they_are_cleaned(spark):
+    names = [c for c in P.SONG_INFO_COLUMNS if c not in ("song_id", "track_id")]
+    songs = spark.range(1000).coalesce(1).select(F.col("id").alias("song_id"), F.col("id").alias("track_id"),
+                                                 *[F.col("id").cast("string").alias(c) for c in names])
+    r = P.Roles(songs, *[None] * 7)
+    seen = []
+
+    def clean(df):
+        seen.append(df)
+        return df
+
+    assert P._stored_songs(r, clean, "songs", None).count() == 1000
+    assert "RepartitionByExpression" in seen[0]._jdf.queryExecution().optimizedPlan().toString()

@@ -89,11 +89,11 @@ def play_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def similar_artists(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
-    p = table(spark, sf_dir, "part")
-    number = F.regexp_extract("p_brand", "([0-9]+)$", 1).cast("int")
+    # the pattern is matched once a part, not once a line item
+    p = table(spark, sf_dir, "part").select("p_partkey", F.regexp_extract("p_brand", "([0-9]+)$", 1).alias("number"))
+    artist = F.concat(F.lit("Brand#"), (F.col("number").cast("int") + 11).cast("string"))
     return (li.join(p, li.l_partkey == p.p_partkey)
-              .select(F.concat(F.lit("Brand#"), (number + 11).cast("string")).alias("artist_id"),
-                      F.col("l_suppkey").alias("similar_artist"))
+              .select(artist.alias("artist_id"), F.col("l_suppkey").alias("similar_artist"))
               .distinct())
 
 
@@ -123,20 +123,22 @@ def likes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def downloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
-    p = table(spark, sf_dir, "part")
-    o = table(spark, sf_dir, "orders")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_extendedprice")
     title = F.when(F.col("p_partkey") % 3 == 0, F.concat("p_name", F.lit(LIVE_TITLE_SUFFIX))).otherwise(F.col("p_name"))
+    p = table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("artist"), title.alias("title"))
     # The label travels as its place in the list: numbers keep the aggregate a hash aggregate.
     texts = list(PRIORITY_LABELS)
     place = F.create_map(*[x for i, k in enumerate(texts) for x in (F.lit(k), F.lit(i))])
     labels = F.create_map(*[x for i, k in enumerate(texts) for x in (F.lit(i), F.lit(PRIORITY_LABELS[k]))])
-    return (li.join(p, li.l_partkey == p.p_partkey)
-              .join(o, li.l_orderkey == o.o_orderkey)
-              .groupBy(F.col("p_brand").alias("artist"), title.alias("title"))
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.element_at(place, F.col("o_orderpriority")).alias("place"))
+    # the orders first: the line items are dealt out by order before they carry any text
+    return (li.join(o, li.l_orderkey == o.o_orderkey)
+              .join(p, li.l_partkey == p.p_partkey)
+              .groupBy("artist", "title")
               .agg(F.avg("l_extendedprice").alias("mean_price"),
                    F.count(F.lit(1)).alias("downloads"),
-                   F.max_by(F.element_at(place, F.col("o_orderpriority")), F.col("l_orderkey")).alias("place"))
+                   F.max_by("place", "l_orderkey").alias("place"))
               .select("artist", "title", "mean_price", "downloads",
                       F.element_at(labels, F.col("place")).alias("confidence")))
 

@@ -6,6 +6,7 @@ pushes filters down to the parquet scans of the roles.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -124,12 +125,16 @@ def with_shared(r: Roles, top_k: int = terms.DEFAULT_TOP_K) -> Roles:
         genre=materialize(genre_table(r, top_k), "genre"), genre_k=top_k, songs_stored=True)
 
 
-def _stored_songs(r: Roles, cleaned: DataFrame, name: str, observe: dict | None) -> DataFrame:
+def _stored_songs(r: Roles, clean: Callable[[DataFrame], DataFrame], name: str, observe: dict | None) -> DataFrame:
     """The cleaned songs, which several parts of a plan read: stored, unless the songs already are
-    (cleaning them again is cheap and keeps their buckets) and nothing is to be counted."""
+    (cleaning them again is cheap and keeps their buckets) and nothing is to be counted.
+
+    Cleaning is dear for the bytes it reads, and a small file of very many songs is read by few
+    tasks: the rows are dealt out before they are cleaned."""
     if r.songs_stored and observe is None:
-        return cleaned
-    return materialize(audit.observed(cleaned, "songs", observe), name)
+        return clean(r.song_info)
+    dealt = r.song_info.repartition(*SONG_KEYS)
+    return materialize(audit.observed(clean(dealt), "songs", observe), name)
 
 
 def _genre_match(r: Roles, measure: str, top_k: int, songs: DataFrame, hotness_col: str) -> DataFrame:
@@ -147,7 +152,7 @@ def serving_songs(r: Roles, top_k: int = terms.DEFAULT_TOP_K,
     The cleaned songs and the per-artist table are stored: each is read by several parts
     of the plan, and the join of the two can split an artist with very many songs.
     ``observe`` (a dict) collects a row count per stage, here and in the caller's action."""
-    songs = _stored_songs(r, enrich.clean_song_info_serving(r.song_info), "serving-songs", observe)
+    songs = _stored_songs(r, enrich.clean_song_info_serving, "serving-songs", observe)
     s = enrich.left_join_play_count(songs, r.play_count)
     # Flow A ranks terms on the cleaned hotness ('NA' counted as 0).
     genre = _genre_match(r, "genre_zero", top_k, songs, "artist_hotness")
@@ -177,7 +182,7 @@ def wide_songs(r: Roles, top_k: int = terms.DEFAULT_TOP_K,
                observe: dict | None = None) -> DataFrame:
     """Flow B up to the genre join (``observe``: row count per stage, see above)."""
     ob = audit.observed
-    songs = _stored_songs(r, enrich.clean_song_info_wide(r.song_info), "wide-songs", observe)
+    songs = _stored_songs(r, enrich.clean_song_info_wide, "wide-songs", observe)
     # Song-keyed joins first, then one join with all per-artist features.
     s = ob(enrich.left_join_play_count(songs, r.play_count), "with_plays", observe)
     s = ob(enrich.left_join_likes(s, r.likes), "with_likes", observe)
