@@ -165,3 +165,49 @@ def test_each_window_is_in_one_context(texts):
     for t, x, a, b in zip(of, anchor, first, last):
         for w in range(a, b + 1):
             assert by.setdefault(raw[t][w:w + 12], x) == x
+
+
+def listed_share(texts):
+    """Share of the contexts whose anchor occurs several times."""
+    raw = [t.encode() for t in texts]
+    offsets = np.r_[0, np.cumsum([len(b) for b in raw])].astype(np.int64)
+    _, anchor, _, _, several = S.contexts(np.frombuffer(b"".join(raw), np.uint8), offsets, S.SPAN_BYTES, S.GRAM_BYTES)
+    _, at, n = np.unique(anchor, return_inverse=True, return_counts=True)
+    return float(((n[at] > 1) | several).mean())
+
+
+def test_short_repeats_are_not_looked_at_again():
+    """Texts of phrases that all occur many times, but no 200 bytes do."""
+    rng = random.Random(8)
+    phrases = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(40)) for _ in range(400)]
+    texts = ["".join(rng.choice(phrases) for _ in range(25)) for _ in range(200)]
+    assert listed_share(texts) < 0.1
+    assert listed_share(texts + texts) == 1
+
+
+@pytest.mark.parametrize("period", [1, 2, 50, 120, 170])
+def test_periodic_text_has_few_contexts(period):
+    rng = random.Random(period)
+    raw = np.frombuffer(bytes(rng.choice(b"abcdefgh") for _ in range(period)) * (20000 // period), np.uint8)
+    of, _, first, last, _ = S.contexts(raw, np.array([0, len(raw)]), S.SPAN_BYTES, S.GRAM_BYTES)
+    assert len(of) <= len(raw) / 30
+    assert [w for b, e in zip(first, last) for w in range(b, e + 1)] == list(range(len(raw) - S.SPAN_BYTES + 1))
+
+
+@settings(max_examples=200, derandomize=True, deadline=None)
+@given(st.lists(st.tuples(st.binary(max_size=40).map(lambda b: bytes(x % 2 + 97 for x in b)), st.integers(1, 2)),
+                min_size=1, max_size=8), st.integers(1, 40))
+def test_repeated_windows(contexts, span):
+    """Each distinct window of several places, or of a context that occurs twice; and one of each."""
+    contexts = list({t: n for t, n in contexts if len(t) >= span}.items())
+    if not contexts:
+        return
+    again, one = S.repeated_windows([t for t, _ in contexts], np.array([n for _, n in contexts]), span)
+    windows = [[t[i:i + span] for i in range(len(t) - span + 1)] for t, _ in contexts]
+    count = {}
+    for listed, (_, n) in zip(windows, contexts):
+        for w in listed:
+            count[w] = count.get(w, 0) + n
+    assert [m.tolist() for m in again] == [[count[w] > 1 for w in listed] for listed in windows]
+    chosen = [w for m, listed in zip(one, windows) for x, w in zip(m, listed) if x]
+    assert sorted(chosen) == sorted(count)

@@ -1,11 +1,13 @@
 """Suffix-array dedup: remove every byte of a repeated passage of ``span`` bytes or more.
 
-Which windows of ``span`` bytes can repeat at all is settled first.  Every window has an
-anchor, the smallest hash of its ``gram``-byte strings, and equal windows have equal anchors.
-Neighbouring windows of one anchor, with the bytes they cover, form a context, so each
-window belongs to exactly one context.  An anchor that occurs once in the whole corpus cannot
-belong to a repeated window; only contexts of the other anchors, about the repeated part of
-the corpus, are looked at again.
+Which windows of ``span`` bytes can repeat at all is settled first.  Equal windows have the
+smallest hash of their ``gram``-byte strings in equal places, in the first or the second half
+of the window.  The bytes around it that all windows of that half cover, more than half of
+each, are hashed with it into the anchor, so equal windows have equal anchors, and a phrase
+that many texts share makes none.  Neighbouring windows of one anchor, with the bytes they
+cover, form a context, so each window belongs to exactly one context.  An anchor that occurs
+once in the whole corpus cannot belong to a repeated window; only contexts of the other
+anchors, about the repeated part of the corpus, are looked at again.
 
 Equal contexts are counted, not repeated; where an anchor has only one distinct context that
 occurs several times, all of its windows repeat.  The others go to shards by anchor.  Contexts of an
@@ -16,8 +18,8 @@ surroundings part that way, and equal ones are counted.  Only where very many un
 still have one such anchor (around the ends of a passage that many texts share) is it salted
 over several shards.  Each shard builds a suffix array
 by Larsson-Sadakane refinement in numpy (only groups that are still tied are sorted again, by
-the ranks at multiples of the length settled so far), and longest common prefixes by Kasai's
-rule, advancing in all contexts at once.  Windows with a common prefix of ``span`` bytes with a
+the ranks at multiples of the length settled so far, until ``span`` bytes are settled), and
+longest common prefixes of the windows by Kasai's rule, advancing in all contexts at once.  Windows with a common prefix of ``span`` bytes with a
 neighbour in the array, or in a context that occurs several times, repeat.  The distinct
 windows of salted pieces are merged across shards by binary search in the sorted union of
 what the shards have.
@@ -37,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tunelift.llm.common import read_table, text_or_empty
-from tunelift.llm.hashing import _BYTE, powers, text_slices
+from tunelift.llm.hashing import _BYTE, mix, powers, text_slices
 from tunelift.session import materialize
 
 SPAN_BYTES = 200
@@ -48,13 +50,22 @@ ARRAY_BYTES = 512 << 10    # bytes of the contexts that one suffix array covers
 SLICE_BYTES = 256 << 10    # bytes hashed at a time, so that the arrays stay in a core's cache
 
 
-def gram_hashes(raw: np.ndarray, gram: int) -> np.ndarray:
+def byte_sums(raw: np.ndarray) -> np.ndarray:
+    """Sums from which ``run_hashes`` has the hash of any run of bytes."""
+    return np.r_[np.uint64(0), np.cumsum(_BYTE[raw] * powers(len(raw))[0][:len(raw)], dtype=np.uint64)]
+
+
+def run_hashes(total: np.ndarray, begin: np.ndarray, size: int) -> np.ndarray:
+    """64-bit hash of the ``size`` bytes from each of ``begin``, wherever they stand."""
+    return (total[begin + size] - total[begin]) * powers(len(total))[1][begin]
+
+
+def gram_hashes(raw: np.ndarray, gram: int, total: np.ndarray | None = None) -> np.ndarray:
     """64-bit hash of the bytes [i, i + gram) for every i."""
     if len(raw) < gram:
         return np.empty(0, dtype=np.uint64)
-    power, inverse = powers(len(raw))
-    total = np.r_[np.uint64(0), np.cumsum(_BYTE[raw] * power[:len(raw)], dtype=np.uint64)]
-    h = (total[gram:] - total[:-gram]) * inverse[:len(raw) - gram + 1]
+    total = byte_sums(raw) if total is None else total
+    h = (total[gram:] - total[:-gram]) * powers(len(raw))[1][:len(raw) - gram + 1]
     return (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -75,25 +86,42 @@ def contexts(raw: np.ndarray, offsets: np.ndarray, span: int, gram: int) -> tupl
     if len(raw) < span:
         return (np.empty(0, np.int64),) * 5
     most = span - gram + 1
-    hashes = gram_hashes(raw, gram)
-    anchor = sliding_minima(hashes, most)
-    starts = np.arange(len(anchor))
-    of = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[:len(anchor)]
+    half = -(-most // 2)
+    total = byte_sums(raw)
+    hashes = gram_hashes(raw, gram, total)
+    smallest = sliding_minima(hashes, most)
+    starts = np.arange(len(smallest))
+    of = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[:len(smallest)]
     valid = starts + span <= offsets[of + 1]
-    starts, of, anchor = starts[valid], of[valid], anchor[valid]
-    new = np.flatnonzero(np.r_[True, (np.diff(anchor) != 0) | (np.diff(of) != 0)][:len(anchor)])
-    size = np.diff(np.r_[new, len(anchor)])
-    pieces = -(-size // most)  # long runs of one anchor (periodic text) are cut
-    nth = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-    first = np.repeat(new, pieces) + nth * most
-    last = np.minimum(first + most, np.repeat(new + size, pieces)) - 1
-    # the first place of the anchor in the first window is the last one in the last window,
-    # if it is the only one
-    view = np.lib.stride_tricks.sliding_window_view(hashes, most)
-    leftmost = starts[first] + view[starts[first]].argmin(axis=1)
-    rightmost = starts[last] + most - 1 - view[starts[last]][:, ::-1].argmin(axis=1)
-    base = offsets[of[first]]
-    return of[first], anchor[first], starts[first] - base, starts[last] - base, leftmost != rightmost
+    starts, of, smallest = starts[valid], of[valid], smallest[valid]
+    # windows of one occurrence of the smallest hash: up to the window that begins with it
+    own = hashes[starts] == smallest
+    first, last = _stretches((np.diff(smallest) != 0) | (np.diff(of) != 0) | own[:-1], len(own))
+    at = starts[last]
+    far = np.flatnonzero(~own[last])
+    at[far] += np.lib.stride_tricks.sliding_window_view(hashes, most)[at[far]].argmin(axis=1)
+    smallest, of, first, last = smallest[first], of[first], starts[first], starts[last]
+    # by the place of the occurrence, in the first or the second half
+    high = (at - first) // half
+    i = np.repeat(np.arange(len(at)), high - (at - last) // half + 1)
+    side = high[i] - (np.arange(len(i)) - np.searchsorted(i, i))
+    core = at[i] - side * half              # the last window of this half begins here
+    anchor = mix(run_hashes(total, core, span - half + 1) + mix(smallest[i] + side.astype(np.uint64)))
+    of, first, last = of[i], np.maximum(first[i], core - half + 1), np.minimum(last[i], core)
+    # neighbours of one anchor (periodic text) are together again, and cut where they are many
+    new, end = _stretches((np.diff(anchor) != 0) | (np.diff(of) != 0), len(of))
+    of, anchor, first, last, several = of[new], anchor[new], first[new], last[end], end > new
+    i = np.repeat(np.arange(len(of)), -(-(last - first + 1) // most))
+    first = first[i] + (np.arange(len(i)) - np.searchsorted(i, i)) * most
+    last = np.minimum(first + most - 1, last[i])
+    base = offsets[of[i]]
+    return of[i], anchor[i], first - base, last - base, several[i]
+
+
+def _stretches(edge: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and last index of each stretch of n values between which there is no edge."""
+    new = np.flatnonzero(np.r_[True, edge][:n])
+    return new, np.r_[new[1:], n][:len(new)] - 1
 
 
 def suffix_ranks(raw: np.ndarray, ends: np.ndarray, depth: int) -> np.ndarray:
@@ -102,10 +130,16 @@ def suffix_ranks(raw: np.ndarray, ends: np.ndarray, depth: int) -> np.ndarray:
     the first of them in the order."""
     n = len(raw)
     place = np.arange(n)
+    left = ends - place
+    # as many symbols as fit in 64 bits, numbered among the bytes that occur; 0 stands for the end
+    code = np.cumsum(np.bincount(raw, minlength=256) > 0).astype(np.uint64)
+    bits = max(1, int(code[-1]).bit_length())
+    reach = 64 // bits
+    symbols = np.r_[code[raw], np.zeros(reach, np.uint64)]
     key = np.zeros(n, dtype=np.uint64)
-    for i in range(7):  # 7 symbols of 9 bits; 0 stands for the end
-        inside = place + i < ends
-        key = (key << np.uint64(9)) | np.where(inside, raw[np.minimum(place + i, n - 1)].astype(np.uint64) + np.uint64(1), np.uint64(0))
+    for i in range(reach):
+        key <<= np.uint64(bits)
+        key |= symbols[i:i + n] * (left > i)
     order = np.argsort(key)
     head = np.r_[True, np.diff(key[order]) != 0]
     rank = np.empty(n, dtype=np.int64)
@@ -115,13 +149,15 @@ def suffix_ranks(raw: np.ndarray, ends: np.ndarray, depth: int) -> np.ndarray:
     # a key holds the ranks at as many distances as fit: two for any size, mostly three
     width = int(n).bit_length() + 1
     together = max(2, 63 // width)
-    reach = 7
-    while reach < depth and len(tied):
-        group = rank[tied]
+    while reach < depth:
+        tied = tied[left[tied] >= reach]  # the others are equal to their ends
+        if not len(tied):
+            break
+        together = min(together, -(-depth // reach))
+        group, rest = rank[tied], left[tied]
         key = group.copy()
         for i in range(1, together):
-            beyond = tied + i * reach
-            key = (key << width) | np.where(beyond < ends[tied], rank[np.minimum(beyond, n - 1)] + 1, 0)
+            key = (key << width) | np.where(rest > i * reach, rank[np.minimum(tied + i * reach, n - 1)] + 1, 0)
         by = np.argsort(key)
         tied, key, group = tied[by], key[by], group[by]
         k = np.arange(len(tied))
@@ -135,9 +171,14 @@ def suffix_ranks(raw: np.ndarray, ends: np.ndarray, depth: int) -> np.ndarray:
     return rank
 
 
-def common_prefixes(raw: np.ndarray, begins: np.ndarray, ends: np.ndarray, array: np.ndarray, most: int) -> np.ndarray:
+def common_prefixes(raw: np.ndarray, begins: np.ndarray, ends: np.ndarray, array: np.ndarray, most: int,
+                    least: int = 1, tied: np.ndarray | None = None) -> np.ndarray:
     """Common prefix (up to ``most``) of each suffix in the array with the one before it, by
-    Kasai's rule: from one position of a context to the next it shrinks by one at most."""
+    Kasai's rule: from one position of a context to the next it shrinks by one at most.
+
+    Suffixes of less than ``least`` bytes are left out (0).  ``tied``: which places of the array
+    have the same ``most`` bytes as the one before, or all bytes to the end; their own order
+    is open, so the rule begins anew after them."""
     n = len(raw)
     before = np.full(n, -1, dtype=np.int64)
     before[array[1:]] = array[:-1]
@@ -145,9 +186,16 @@ def common_prefixes(raw: np.ndarray, begins: np.ndarray, ends: np.ndarray, array
     limit = np.minimum(np.minimum(last - np.arange(n), np.where(before >= 0, last[before] - before, 0)), most)
     eight = np.lib.stride_tricks.sliding_window_view(np.r_[raw, np.zeros(7, np.uint8)], 8).copy().view(np.uint64)[:, 0]
     found = np.zeros(n, dtype=np.int64)
+    known = np.zeros(n, dtype=bool)
+    if tied is not None:
+        known[array[tied]] = True
     have = np.zeros(len(begins), dtype=np.int64)
-    for t in range(int((ends - begins).max(initial=0))):
-        lane = np.flatnonzero(begins + t < ends)
+    for t in range(int((ends - begins).max(initial=0)) - least + 1):
+        lane = np.flatnonzero(begins + t + least <= ends)
+        equal = known[begins[lane] + t]
+        have[lane[equal]] = 0
+        found[begins[lane[equal]] + t] = limit[begins[lane[equal]] + t]
+        lane = lane[~equal]
         i = begins[lane] + t
         j, top = before[i], limit[i]
         length = np.minimum(np.maximum(have[lane] - 1, 0), top)
@@ -170,10 +218,10 @@ def repeated_windows(texts: list[bytes], counts: np.ndarray, span: int) -> tuple
     ends = np.cumsum(size)
     begins = ends - size
     raw = np.frombuffer(b"".join(texts), dtype=np.uint8)
-    # to the end of the longest context: Kasai's rule needs the whole order
-    rank = suffix_ranks(raw, np.repeat(ends, size), int(size.max(initial=0)))
+    rank = suffix_ranks(raw, np.repeat(ends, size), span)
     array = np.argsort(rank * len(raw) + np.arange(len(raw)))  # equal suffixes by position
-    group = np.cumsum(common_prefixes(raw, begins, ends, array, span) < span) - 1
+    tied = np.r_[False, np.diff(rank[array]) == 0][:len(raw)]
+    group = np.cumsum(common_prefixes(raw, begins, ends, array, span, span, tied) < span) - 1
     many = np.bincount(group)[group] > 1
     again = np.zeros(len(raw), dtype=bool)
     # a context that occurs several times repeats, and so does whatever equals a window of it
@@ -237,12 +285,12 @@ def pieces(raw: bytes, first: int, last: int, anchor: int, span: int, gram: int)
     """Cut the windows first to last of a text, all of one anchor, into runs: (first window, last
     window, anchor of the piece).
 
-    A window's place is where the anchor first occurs in it, so equal windows have equal places.
+    A window's place is where its smallest hash first occurs, so equal windows have equal places.
     A piece has windows of one stretch of places that are about one occurrence; its anchor is a
     hash of the stretch and of the bytes that any such window covers."""
     width = max(1, min(PIECE_WINDOWS, span // 4))
     hashes = gram_hashes(np.frombuffer(raw, np.uint8, last - first + span, first), gram)
-    for p in (np.flatnonzero(hashes == np.uint64(anchor & (2 ** 64 - 1))) + first).tolist():
+    for p in (np.flatnonzero(hashes == hashes[:span - gram + 1].min()) + first).tolist():
         until = min(last, p)                   # windows that begin after p have another occurrence
         while first <= until:
             stretch = (p - first) // width
@@ -258,15 +306,27 @@ def _contexts_of(batch: pa.RecordBatch, span: int, gram: int, cut: bool | None =
     more than SHARD_CONTEXTS occurrences come in pieces.  ``cut`` asks for the pieces only, or for
     the others."""
     d = zstandard.ZstdDecompressor()
-    for u, z, listed in zip(batch["u"].to_pylist(), batch["z"], batch["w"].to_pylist()):
-        listed = [x for x in listed if cut is None or (x["n"] > SHARD_CONTEXTS) == cut]
-        raw = d.decompress(z.as_py()) if listed else b""
-        for x in listed:
-            first, last = x["w"] >> 16, (x["w"] >> 16) + (x["w"] & 0xFFFF)
-            parts = pieces(raw, first, last, x["a"], span, gram) if x["n"] > SHARD_CONTEXTS else [(first, last, x["a"])]
-            for b, e, a in parts:
-                text = raw[b:e + span]
-                yield u, b, a, *struct.unpack("<qq", xxhash.xxh3_128_digest(text)), text
+    row = batch["w"].value_parent_indices().to_numpy()
+    w, a, n = (x.to_numpy() for x in (batch["w"].flatten().field(c) for c in ("w", "a", "n")))
+    often = n > SHARD_CONTEXTS
+    if cut is not None:
+        row, w, a, often = (x[(n > SHARD_CONTEXTS) == cut] for x in (row, w, a, often))
+    us, at = batch["u"].to_pylist(), -1
+    for i, first, last, anchor, many in zip(row.tolist(), (w >> 16).tolist(), ((w >> 16) + (w & 0xFFFF)).tolist(), a.tolist(), often.tolist()):
+        if i != at:
+            at, u, raw = i, us[i], d.decompress(batch["z"][i].as_py())
+        if not many:
+            text = raw[first:last + span]
+            yield u, first, anchor, xxhash.xxh3_128_digest(text), text
+            continue
+        for b, e, key in pieces(raw, first, last, anchor, span, gram):
+            text = raw[b:e + span]
+            yield u, b, key, xxhash.xxh3_128_digest(text), text
+
+
+def _halves(digests: list[bytes]) -> np.ndarray:
+    """The two longs of each digest, as two rows."""
+    return np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2).T.copy()
 
 
 def _distinct_contexts(texts: DataFrame, span: int, gram: int) -> DataFrame:
@@ -279,11 +339,11 @@ def _distinct_contexts(texts: DataFrame, span: int, gram: int) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 seen: dict = {}
-                for _, _, a, c1, c2, text in _contexts_of(batch, span, gram, cut):
-                    seen.setdefault((a, c1, c2), [0, text])[0] += 1
-                cols = list(zip(*((*key, k, text) for key, (k, text) in seen.items()))) or [[]] * 5
-                types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, types)], names=["a", "c1", "c2", "n", "ctx"])
+                for _, _, a, c, text in _contexts_of(batch, span, gram, cut):
+                    seen.setdefault((a, c), [0, text])[0] += 1
+                a = pa.array([a for a, _ in seen], pa.int64())
+                n, ctx = (pa.array(list(x), t) for x, t in zip(list(zip(*seen.values())) or [[]] * 2, (pa.int64(), pa.binary())))
+                yield pa.record_batch([a, *map(pa.array, _halves([c for _, c in seen])), n, ctx], names=["a", "c1", "c2", "n", "ctx"])
 
         return texts.mapInArrow(run, schema)
 
@@ -388,8 +448,8 @@ def repeated_spans(docs: DataFrame, span: int = SPAN_BYTES, gram: int = GRAM_BYT
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(u, first, c1, c2) for u, first, _, c1, c2, _ in _contexts_of(batch, span, gram)]
-            yield pa.record_batch([pa.array(c, pa.int64()) for c in (list(zip(*rows)) or [[]] * 4)],
+            u, first, digests = list(zip(*((u, b, c) for u, b, _, c, _ in _contexts_of(batch, span, gram)))) or [[]] * 3
+            yield pa.record_batch([pa.array(list(c), pa.int64()) for c in (u, first, *_halves(digests))],
                                   names=["u", "first", "c1", "c2"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
