@@ -430,6 +430,24 @@ def _merged(windows: DataFrame) -> DataFrame:
             .mapInArrow(run, "c1 long, c2 long, x int, y int"))
 
 
+def _spans(covered: pa.ListArray, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, start and length of the maximal runs of bytes that the repeated windows of each
+    row's contexts cover, in order; runs that meet are one."""
+    listed = covered.flatten()
+    runs = listed.field("runs")
+    windows = runs.flatten()
+    of = runs.value_parent_indices().to_numpy()
+    row = covered.value_parent_indices().to_numpy()[of]
+    first = listed.field("first").to_numpy()[of]
+    begin, end = (first + windows.field(c).to_numpy() for c in ("x", "y"))
+    apart = int(end.max(initial=0)) + span + 1  # from a row's bytes to the next row's
+    order = np.argsort(row * apart + begin)
+    begin = (row * apart + begin)[order]
+    end = np.maximum.accumulate((row * apart + end + span)[order])
+    new, last = _stretches(begin[1:] > end[:-1], len(begin))
+    return begin[new] // apart, begin[new] % apart, end[last] - begin[new]
+
+
 def repeated_spans(docs: DataFrame, span: int = SPAN_BYTES, gram: int = GRAM_BYTES) -> DataFrame:
     """Maximal runs of bytes covered by repeated strings of ``span`` bytes.
 
@@ -455,19 +473,17 @@ def repeated_spans(docs: DataFrame, span: int = SPAN_BYTES, gram: int = GRAM_BYT
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         d = zstandard.ZstdDecompressor()
         for batch in batches:
-            out = []
-            for u, z, covered in zip(batch["u"].to_pylist(), batch["z"], batch["covered"].to_pylist()):
-                raw, spans = d.decompress(z.as_py()), []
-                for x in sorted((p["first"] + r["x"], p["first"] + r["y"] + span) for p in covered for r in p["runs"]):
-                    if spans and x[0] <= spans[-1][1]:
-                        spans[-1][1] = max(spans[-1][1], x[1])
-                    else:
-                        spans.append(list(x))
-                kept = b"".join(raw[b:e] for b, e in zip([0, *(e for _, e in spans)], [*(b for b, _ in spans), len(raw)]))
-                out.append((u, [{"start": b, "length": e - b} for b, e in spans], len(raw) - len(kept), kept))
-            cols = list(zip(*out)) or [[]] * 4
-            types = (pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())])), pa.int64(), pa.binary())
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, types)], names=["u", "spans", "n_removed", "kept"])
+            row, begin, size = _spans(batch["covered"], span)
+            of = np.searchsorted(row, np.arange(batch.num_rows + 1))
+            removed = np.diff(np.r_[0, np.cumsum(size)][of])
+            kept, bounds, stops = [], of.tolist(), (begin + size).tolist()
+            begins = begin.tolist()
+            for z, x, y in zip(batch["z"], bounds, bounds[1:]):
+                raw = d.decompress(z.as_py())
+                kept.append(b"".join(raw[e:b] for e, b in zip([0, *stops[x:y]], [*begins[x:y], len(raw)])))
+            spans = pa.StructArray.from_arrays([pa.array(begin), pa.array(size)], names=["start", "length"])
+            yield pa.record_batch([batch["u"], pa.ListArray.from_arrays(pa.array(of, pa.int32()), spans), pa.array(removed),
+                                   pa.array(kept, pa.binary())], names=["u", "spans", "n_removed", "kept"])
 
     covered = (texts.select("u", "z", "w").mapInArrow(places, "u long, first long, c1 long, c2 long").distinct()
                .join(repeats, ["c1", "c2"]).groupBy("u").agg(F.collect_list(F.struct("first", "runs")).alias("covered")))
